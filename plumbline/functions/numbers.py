@@ -57,7 +57,9 @@ def percentage(num: Column | str, den: Column | str, digits: int = 4) -> Column:
 
 
 def average_per(total: Column | str, count: Column | str, digits: int = 2) -> Column:
-    return F.round(ratio(col(total).cast("double"), col(count).cast("double")), digits)
+    """Total per head, rounded half up on the exact quotient."""
+    quotient = ratio(col(total).cast(EXACT), col(count).cast("bigint"))
+    return F.round(quotient, digits).cast("double")
 
 
 def within(c: Column | str, tolerance: float) -> Column:

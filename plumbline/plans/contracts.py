@@ -13,6 +13,7 @@ from plumbline.functions.text import clean_text, contains_any
 from plumbline.operators import checks, dedup, dimensions, ranking, reconcile
 from plumbline.operators.typing import retype
 from plumbline.operators.unions import backfill
+from plumbline.runtime import materialize
 
 AGENCY = ["codigo_orgao_superior", "nome_orgao_superior", "codigo_orgao", "nome_orgao"]
 UNIT = ["codigo_ug", "nome_ug"]
@@ -404,7 +405,7 @@ def agency_contractor(contracts: DataFrame) -> DataFrame:
 
 def gold(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     contracts, terms = silver_tables["contratos_atuais"], silver_tables["termos_aditivos"]
-    items = current_items(silver_tables["itens_contrato"])
+    items = materialize(current_items(silver_tables["itens_contrato"]))
     return {
         "contratos_atuais_detalhe": contracts,
         "itens_contrato_atuais": items,

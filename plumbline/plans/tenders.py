@@ -12,6 +12,7 @@ from plumbline.functions.numbers import brazilian_decimal, percentage
 from plumbline.functions.text import clean_text, contains_any, upper_text
 from plumbline.operators import checks, dedup, dimensions, ranking, reconcile
 from plumbline.operators.typing import retype
+from plumbline.runtime import materialize
 
 AGENCY = ["codigo_orgao_superior", "nome_orgao_superior", "codigo_orgao", "nome_orgao"]
 MODALITY = ["codigo_modalidade_compra", "modalidade_compra"]
@@ -322,7 +323,7 @@ def agency_supplier(tenders: DataFrame, items: DataFrame) -> DataFrame:
 
 def gold(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     tenders, items = silver_tables["licitacoes"], silver_tables["itens_licitacao"]
-    competing = competition(tenders, silver_tables["participantes_licitacao"], items)
+    competing = materialize(competition(tenders, silver_tables["participantes_licitacao"], items))
     return {
         "concorrencia_licitacoes": competing,
         "ranking_orgaos": ranking_agencies(tenders, competing),
