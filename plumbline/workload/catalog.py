@@ -1,6 +1,6 @@
 """All registered queries: importing a module registers its queries."""
 
-from plumbline.workload import amendments, contracts, deputy_expenses, grants, tenders  # noqa: F401
+from plumbline.workload import amendments, chamber, contracts, deputy_expenses, grants, senate, tenders  # noqa: F401
 from plumbline.workload.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
