@@ -51,9 +51,14 @@ def ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, F.try_divide(num, den))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Round a double the way float engines do: scale, round half away from zero, scale back."""
+    return F.round(c * float(10**digits), 0) / float(10**digits)
+
+
 def percentage(num: Column | str, den: Column | str, digits: int = 4) -> Column:
     """EXP-18."""
-    return F.round(ratio(col(num).cast("double"), col(den).cast("double")) * 100, digits)
+    return rounded(ratio(col(num).cast("double"), col(den).cast("double")) * 100, digits)
 
 
 def average_per(total: Column | str, count: Column | str, digits: int = 2) -> Column:

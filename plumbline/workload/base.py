@@ -22,8 +22,28 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read once; a table of fewer files than cores is spread.
+
+    A file of one row group is one task however many rows it has, so on the small test
+    tables everything after the scan would run on one core. A table of many files is
+    left as its files are.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if name in _SPREAD and len(df.inputFiles()) < cores:
+        return df.repartition(cores, _SPREAD[name])
+    return df
+
+
+# The fact-like tables and a column with many values.
+_SPREAD = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
 
 
 def staged(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -50,8 +70,8 @@ def canon(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query and, where SQL can say it, its oracle."""
+def query(name: str, sql: str | None = None, wide: tuple[str, ...] = ()) -> Callable[[Query], Query]:
+    """Register a query and, where SQL can say it, its oracle. ``wide`` names int columns it passes on."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,7 +84,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
             raise ValueError(f"Query {name} is registered twice")
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = plain(sql)
+            ORACLES[name] = plain(widen(sql, *wide) if wide else sql)
         return fn
 
     return register
@@ -145,6 +165,12 @@ def rank(value: str, by: str | None = None) -> str:
     return f"CASE WHEN {value} IS NOT NULL THEN dense_rank() OVER ({part}ORDER BY {value} DESC NULLS LAST) END"
 
 
+def widen(sql: str, *columns: str) -> str:
+    """Integer columns of a given table, shown as bigint like every whole number."""
+    casts = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in columns)
+    return f"SELECT * REPLACE ({casts}) FROM ({sql})"
+
+
 def bigint(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 

@@ -1,6 +1,16 @@
 """All registered queries: importing a module registers its queries."""
 
-from plumbline.workload import amendments, chamber, contracts, deputy_expenses, grants, senate, tenders  # noqa: F401
+from plumbline.workload import (  # noqa: F401
+    amendments,
+    chamber,
+    contracts,
+    deputy_expenses,
+    expressions,
+    grants,
+    relational,
+    senate,
+    tenders,
+)
 from plumbline.workload.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -315,7 +315,7 @@ query(
     "dq_13_chamber_suite",
     f"""WITH b AS ({FACT_BILLS}), t AS ({THEMES}), a AS ({AUTHORS}), v AS ({VOTINGS}), o AS ({VOTES}), g AS ({GUIDANCE}), j AS ({OBJECTS}), k AS ({LINKS}) """
     + " UNION ALL ".join(_ROWS),
-)(lambda s, d: recipe.quality({name: build(_tables(s, d)[source]) for source, (name, build) in recipe.FACTS.items()}))
+)(lambda s, d: recipe.quality({name: gold(s, d, source) for source, (name, _) in recipe.FACTS.items()}))
 query(
     "dq_12_duplicate_groups_and_nulls",
     f"""WITH o AS ({VOTES}) {_expect("grupos", _repeated("id_votacao, deputado_id", "o"))} UNION ALL
@@ -336,6 +336,11 @@ query(
     ({_repeated("chave_proposicao_tema", f"({THEMES})")}) AS duplicate_content_hash_groups FROM ({THEMES})""",
 )(lambda s, d: checks.write_stats(gold(s, d, "proposicoes_temas"), "temas", "linha_arquivo", "chave_proposicao_tema"))
 
+def _reconciled(tables: dict[str, DataFrame]) -> DataFrame:
+    found = recipe.reconciliation(tables, recipe.gold(tables))
+    return found.select("check", "silver_value", "gold_value", "approved")
+
+
 _TIES = {f"{source}_record_count_preserved": FACT_SQL[source] for source in STAGES}
 query(
     "rec_07_chamber",
@@ -354,7 +359,5 @@ query(
             "SELECT 'gold_dataset_count', 13.0::DOUBLE, 13.0::DOUBLE, TRUE",
         ]
     ),
-)(
-    lambda s, d: recipe.reconciliation(_tables(s, d), recipe.gold(_tables(s, d))).select("check", "silver_value", "gold_value", "approved")
-)
+)(lambda s, d: _reconciled(_tables(s, d)))
 
