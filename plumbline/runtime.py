@@ -15,7 +15,7 @@ def small_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(SMALL_ROWS_SETTING, str(SMALL_ROWS_DEFAULT)))
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -33,5 +33,5 @@ def materialize(df: DataFrame) -> DataFrame:
     Rankings and surrogate keys read their input more than once; a reliable checkpoint
     makes all reads see the same rows, also after an executor is lost.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -24,7 +24,7 @@ def read_pages(spark: SparkSession, folder: str, columns: list[str]) -> DataFram
 
 def read_nested(spark: SparkSession, path: str, at: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
     """A JSON document; ``at`` is the dotted path of the record array (SRC-06)."""
-    reader = spark.read.option("multiLine", True).option("encoding", "UTF-8")
+    reader = spark.read.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)

@@ -7,6 +7,7 @@ from plumbline.workload import (  # noqa: F401
     deputy_expenses,
     expressions,
     grants,
+    landing,
     relational,
     senate,
     tenders,
