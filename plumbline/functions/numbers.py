@@ -5,20 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumbline.functions.text import clean_text, col
+from plumbline.functions.text import col, strip
 
 # Money adds up in this type: exact, so a total does not depend on how rows were partitioned.
 EXACT = "decimal(28,8)"
 
 
-def _plain_number(text: Column) -> Column:
-    """Null unless the text holds number characters only (Spark also casts ``1d`` or ``NaN``)."""
-    return F.when(F.translate(text, "0123456789+-.eE", "") == "", text)
+def _double(text: Column) -> Column:
+    """Tolerant cast; words and suffixes that Java reads as numbers (``NaN``, ``1d``) are null."""
+    return F.when(~text.rlike("[A-DF-Za-df-z]"), text.try_cast("double"))
+
+
+def _cast(text: Column, kind: str) -> Column:
+    return _double(text) if kind == "double" else text.try_cast(kind)
 
 
 def brazilian_decimal(c: Column | str, kind: str = "double") -> Column:
     """``1.234,56`` -> 1234.56; anything else -> null (EXP-03a, EXP-03c with a decimal kind)."""
-    return _plain_number(F.translate(clean_text(c), ",.", ".")).try_cast(kind)
+    without_groups = F.replace(strip(c), F.lit("."), F.lit(""))
+    return _cast(F.replace(without_groups, F.lit(","), F.lit(".")), kind)
 
 
 def brazilian_money(c: Column | str) -> Column:
@@ -28,17 +33,16 @@ def brazilian_money(c: Column | str) -> Column:
 
 def comma_decimal(c: Column | str) -> Column:
     """Only the decimal comma is replaced (EXP-03d)."""
-    return _plain_number(F.translate(clean_text(c), ",", ".")).try_cast("double")
+    return _double(F.replace(strip(c), F.lit(","), F.lit(".")))
 
 
 def plain_double(c: Column | str) -> Column:
-    return _plain_number(clean_text(c)).try_cast("double")
+    return _double(strip(c))
 
 
 def whole_number(c: Column | str, kind: str = "bigint") -> Column:
     """Tolerant integer cast: fractions and words are null."""
-    text = clean_text(c)
-    return F.when(F.translate(text, "0123456789+-", "") == "", text).try_cast(kind)
+    return strip(c).try_cast(kind)
 
 
 def digits_number(c: Column | str) -> Column:

@@ -279,17 +279,30 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "percentual_variacao_grupo": percentage("variacao_total_grupo", "valor_inicial_total_grupo"),
         }
     )
+    # Distinct item keys under three conditions: one row per key first, then plain counts.
     official, zero = F.col("item_utilizavel_valor_oficial"), F.col("item_codigo_zero")
-    item_side = ranking.summarize(
+    value = "valor_total_item_calculado"
+    per_item = ranking.summarize(
         items,
+        [*key, "chave_item_contrato"],
+        {
+            "_official": agg.any_true(official),
+            "_zero": agg.any_true(zero),
+            "_official_value": agg.exact_total(value, official),
+            "_zero_value": agg.exact_total(value, zero),
+            "_secret": agg.count_where("item_sigiloso"),
+        },
+    )
+    item_side = ranking.summarize(
+        per_item,
         key,
         {
-            "quantidade_itens": agg.n_present("chave_item_contrato"),
-            "quantidade_itens_identificados": agg.n_present("chave_item_contrato", official),
-            "quantidade_itens_codigo_zero": agg.n_present("chave_item_contrato", zero),
-            "valor_total_itens_identificados": agg.total("valor_total_item_calculado", official),
-            "valor_total_itens_codigo_zero": agg.total("valor_total_item_calculado", zero),
-            "quantidade_itens_sigilosos": agg.count_where("item_sigiloso"),
+            "quantidade_itens": agg.rows(),
+            "quantidade_itens_identificados": agg.count_where("_official"),
+            "quantidade_itens_codigo_zero": agg.count_where("_zero"),
+            "valor_total_itens_identificados": F.sum("_official_value").cast("double"),
+            "valor_total_itens_codigo_zero": F.sum("_zero_value").cast("double"),
+            "quantidade_itens_sigilosos": F.sum("_secret"),
         },
     )
     term_side = ranking.summarize(

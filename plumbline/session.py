@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Spark 4 narrows the charset list of the text readers; landed files are windows-1252.
     "spark.sql.legacy.javaCharsets": "true",
+    # The JVM does not compile methods over 8000 bytes. A projection of many columns fused into
+    # one larger method would run interpreted; above the limit Spark splits it instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plumbline.functions.text import strip
-from plumbline.session import SETTINGS
+from plumbline.session import apply_settings
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
@@ -75,9 +75,7 @@ def query(name: str, sql: str | None = None, wide: tuple[str, ...] = ()) -> Call
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.legacy.javaCharsets",
-                        "spark.sql.adaptive.forceOptimizeSkewedJoin"):
-                spark.conf.set(key, SETTINGS[key])
+            apply_settings(spark)
             return canon(fn(spark, sf_dir))
 
         if name in QUERIES:
