@@ -23,6 +23,8 @@ def keep_first(df: DataFrame, key: list[str], order: list[Column], total_order:
     Unless the caller says that ``order`` is total, the remaining columns break ties.
     """
     ties = [] if total_order else _tie_break(df, set(key))
+    if not order and not ties:
+        return df.dropDuplicates(key)
     w = Window.partitionBy(*key).orderBy(*order, *ties)
     return df.withColumn("_place", F.row_number().over(w)).where("_place = 1").drop("_place")
 
