@@ -66,18 +66,18 @@ def data_columns(df: DataFrame) -> list[str]:
 def with_line_numbers(df: DataFrame, name: str = "linha_arquivo", first: int = 2) -> DataFrame:
     """Physical line number per file (EXP-28), also for files of many splits.
 
-    Rows are numbered inside their split, then shifted by the row counts of the earlier
-    splits of the same file, so no task holds a whole file.
+    Row ids are consecutive inside a split, so the place in the split is a subtraction. Only
+    one row per split is aggregated, shifted by the earlier splits of its file and joined
+    back; the rows themselves are neither shuffled nor sorted. Call it on a frame as read.
     """
-    sizes = df.groupBy(FILE, SPLIT).agg(F.count(F.lit(1)).alias("_size"))
+    splits = df.groupBy(FILE, SPLIT).agg(F.count(F.lit(1)).alias("_size"), F.min(PLACE).alias("_first"))
     earlier = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col(FILE).alias("_f"), F.col(SPLIT).alias("_s"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    offsets = splits.select(
+        F.col(FILE).alias("_f"), F.col(SPLIT).alias("_s"), (before - F.col("_first") + first).alias("_shift")
     )
-    inside = F.row_number().over(Window.partitionBy(FILE, SPLIT).orderBy(PLACE))
-    numbered = df.withColumn("_row", inside)
-    both = numbered.join(offsets, (F.col(FILE) == F.col("_f")) & (F.col(SPLIT) == F.col("_s")))
-    return both.withColumn(name, F.col("_before") + F.col("_row") + (first - 1)).drop("_f", "_s", "_before", "_row", SPLIT, PLACE)
+    both = df.join(offsets, (F.col(FILE) == F.col("_f")) & (F.col(SPLIT) == F.col("_s")))
+    return both.withColumn(name, F.col(PLACE) + F.col("_shift")).drop("_f", "_s", "_shift", SPLIT, PLACE)
 
 
 def file_name(c: Column | str = FILE) -> Column:

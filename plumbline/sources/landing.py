@@ -89,15 +89,18 @@ def inventory(spark: SparkSession, root: str, entities: dict[str, str] | None =
         .select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
                 F.monotonically_increasing_id().alias("_place"))
     )
+    # Numbers only, so that the aggregate hashes; the header line itself is joined back by its place.
     lines = scan.groupBy("file").agg(
         F.count(F.lit(1)).alias("_lines"),
-        F.min_by("line", F.struct("_split", "_place")).alias("_header"),
         F.sum(F.xxhash64("line").cast("decimal(20,0)")).cast("string").alias("line_fingerprint"),
     )
+    first = scan.where("_split = 0").groupBy("file").agg(F.min("_place").alias("_place"))
+    headers = scan.join(first, ["file", "_place"]).select("file", F.col("line").alias("_header"))
     header = F.split(F.ltrim(F.regexp_replace("_header", "[\"\ufeff]", "")), ";")
     out = (
         listed.join(digests, "file", "left")
         .join(lines, "file", "left")
+        .join(headers, "file", "left")
         .withColumn("columns", header)
         .withColumn("record_count", F.greatest(F.coalesce("_lines", F.lit(0)) - 1, F.lit(0)))
         .withColumn("column_count", F.when(F.col("columns").isNotNull(), F.size("columns")).otherwise(0))
