@@ -39,19 +39,23 @@ def keep_last_line(df: DataFrame, key: list[str], file: str, line: str) -> DataF
     return keep_first(df, key, [F.col(file).desc(), F.col(line).desc()], total_order=True)
 
 
-def latest_snapshot(df: DataFrame, group: str, period: str, latest: str, where: Column | None = None) -> DataFrame:
+def latest_snapshot(
+    df: DataFrame, group: str, period: str, latest: str, where: Column | None = None, digits: bool = False
+) -> DataFrame:
     """All rows of each group's latest period (DDP-05), with that period as a column.
 
     ``where`` limits which rows compete; the others pass through with their own period.
+    ``digits`` says that a text period is ``yyyyMM``: it is compared as a number, because a
+    maximum of numbers is hash-aggregated while a maximum of text has to be sorted.
     """
+    value = F.col(period).cast("int") if digits else F.col(period)
     competing = df if where is None else df.where(where)
-    newest = competing.groupBy(F.col(group).alias("_group")).agg(F.max(period).alias(latest))
-    both = df.join(newest, F.col(group) == F.col("_group"), "left").drop("_group")
-    current = F.col(period) == F.col(latest)
-    if where is None:
-        return both.where(current)
-    own = F.when(where, F.col(latest)).otherwise(F.col(period))
-    return both.withColumn(latest, own).where(F.col(period) == F.col(latest))
+    newest = competing.groupBy(F.col(group).alias("_group")).agg(F.max(value).alias("_newest"))
+    both = df.join(newest, F.col(group) == F.col("_group"), "left")
+    current = value == F.col("_newest")
+    kept = both.where(current if where is None else ~where | current)
+    # The rows that are left have their group's latest period, or their own.
+    return kept.drop("_group", "_newest").withColumn(latest, F.col(period))
 
 
 def canonical(df: DataFrame, key: str, attributes: list[str], name: str) -> DataFrame:

@@ -178,7 +178,9 @@ def deduplicated(df: DataFrame, key: str) -> DataFrame:
 
 def current_contracts(history: DataFrame) -> DataFrame:
     """All records of each group's latest period (DDP-05, JON-02)."""
-    snapshot = dedup.latest_snapshot(history, "chave_grupo_contrato", "periodo_origem", "periodo_mais_recente")
+    snapshot = dedup.latest_snapshot(
+        history, "chave_grupo_contrato", "periodo_origem", "periodo_mais_recente", digits=True
+    )
     return snapshot.withColumn("registro_periodo_atual", F.lit(True))
 
 
@@ -209,7 +211,7 @@ def current_items(items: DataFrame) -> DataFrame:
     )
     coded = ~F.col("item_codigo_zero")
     current = dedup.latest_snapshot(
-        known, "chave_logica_item", "periodo_origem", "periodo_mais_recente_item", where=coded
+        known, "chave_logica_item", "periodo_origem", "periodo_mais_recente_item", where=coded, digits=True
     )
     return current.withColumns(
         {
