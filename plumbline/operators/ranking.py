@@ -139,3 +139,17 @@ def number_rows(df: DataFrame, number: str, order: list[str], start: int = 1) ->
     else:
         numbered = _positions(base, [], keys, number)
     return numbered.withColumn(number, (F.col(number) + (start - 1)).cast("int")).select(number, *df.columns)
+
+
+def number_in_source_order(df: DataFrame, number: str, segment: str, position: str) -> DataFrame:
+    """Number rows 1..n where the source order is known: segments (files, partitions) in order,
+    consecutive positions inside each.
+
+    Only one row per segment is aggregated and joined back; the rows are not moved.
+    """
+    sizes = df.groupBy(F.col(segment).alias("_seg")).agg(F.count(F.lit(1)).alias("_size"), F.min(position).alias("_first"))
+    earlier = Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    shifts = sizes.select("_seg", (before - F.col("_first") + 1).alias("_shift"))
+    both = df.join(shifts, F.col(segment) == F.col("_seg"))
+    return both.withColumn(number, F.col(position) + F.col("_shift")).drop("_seg", "_shift")

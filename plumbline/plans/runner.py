@@ -111,7 +111,7 @@ def run_silver_api_amendments(spark: SparkSession, pages: str, silver: str) -> D
     return write_layer({"emendas_api": table}, silver, "emendas", "silver")
 
 
-def _year_lineage(read: DataFrame, year: str) -> DataFrame:
+def year_lineage(read: DataFrame, year: str) -> DataFrame:
     numbered = delimited.with_line_numbers(read)
     found = F.regexp_extract(F.col(delimited.FILE), year, 1).try_cast("int")
     return numbered.withColumns(
@@ -121,7 +121,7 @@ def _year_lineage(read: DataFrame, year: str) -> DataFrame:
 
 def run_silver_deputy_expenses(spark: SparkSession, bronze: str, silver: str) -> DataFrame:
     read = delimited.read_delimited(spark, f"{bronze}/ano=*/*.csv", encoding=delimited.UTF8, strict=False)
-    raw = _year_lineage(read, r"ano=(\d{4})")
+    raw = year_lineage(read, r"ano=(\d{4})")
     return write_layer({"despesas": deputy_expenses.silver_expenses(raw)}, silver, "gastos_deputados", "silver")
 
 
@@ -129,7 +129,7 @@ def run_silver_chamber(spark: SparkSession, bronze: str, silver: str) -> DataFra
     tables, preserved = {}, True
     for dataset in chamber.TYPED:
         read = delimited.read_delimited(spark, f"{bronze}/dataset={dataset}/ano=*/*.csv", encoding=delimited.UTF8)
-        raw = _year_lineage(read, r"ano=(\d{4})")
+        raw = year_lineage(read, r"ano=(\d{4})")
         tables[dataset] = chamber.silver_dataset(raw, dataset)
     outputs = [write_dataset(df, silver, name) for name, df in tables.items()]
     for o in outputs:
@@ -142,7 +142,7 @@ def run_silver_senate(spark: SparkSession, bronze: str, silver: str) -> DataFram
     senators = documents.read_nested(spark, f"{bronze}/dataset=senadores/senadores_atuais.json", senate.SENATORS_AT)
     bills = documents.read_nested(spark, f"{bronze}/dataset=materias/materias.json", senate.BILLS_AT)
     votings = documents.read_nested(spark, f"{bronze}/dataset=votacoes/votacoes.json")
-    order = [delimited.FILE, "_line"]
+    order = (delimited.FILE, "_line")
 
     def lines(path: str) -> DataFrame:
         return delimited.with_line_numbers(delimited.read_snake_cased(spark, path), "_line")
@@ -152,8 +152,8 @@ def run_silver_senate(spark: SparkSession, bronze: str, silver: str) -> DataFram
         "materias": senate.silver_bills(bills),
         "votacoes": senate.silver_votings(votings),
         "votos": senate.silver_votes(votings),
-        "ceaps": senate.silver_expenses(lines(f"{bronze}/dataset=ceaps/ano=*/*.csv"), order),
-        "empresas_contratadas": senate.silver_companies(lines(f"{bronze}/dataset=empresas_contratadas/*.csv"), order),
+        "ceaps": senate.silver_expenses(lines(f"{bronze}/dataset=ceaps/ano=*/*.csv"), *order),
+        "empresas_contratadas": senate.silver_companies(lines(f"{bronze}/dataset=empresas_contratadas/*.csv"), *order),
     }
     return write_layer(tables, silver, "senado_federal", "silver")
 

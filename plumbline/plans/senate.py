@@ -56,15 +56,20 @@ CALENDAR = ("2024-01-01", "2026-12-31", 1096)
 # ---------------------------------------------------------------- silver
 
 
-def _audited(df: DataFrame, dataset: str, order: list[str]) -> DataFrame:
+SEGMENT, POSITION = "_segment", "_position"
+
+
+def _audited(df: DataFrame, dataset: str, segment: str = SEGMENT, position: str = POSITION) -> DataFrame:
     """Type the columns, add record number, record key and content hash.
 
-    ``order`` is the source order as columns; numbering does not gather the rows in one task.
+    ``segment`` and ``position`` say where a row stood in the source: which file or split, and
+    the consecutive place in it.
     """
-    clean = df.withColumns({f.name: clean_text(f.name) for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name not in order})
-    typed = retype_existing(clean, TYPED[dataset])
+    order = (segment, position)
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name not in order]
+    typed = retype_existing(df.withColumns({c: clean_text(c) for c in texts}), TYPED[dataset])
     data = [c for c in typed.columns if c not in order]
-    numbered = ranking.number_rows(typed, "linha_origem", order)
+    numbered = ranking.number_in_source_order(typed, "linha_origem", segment, position)
     return numbered.select(
         joined(F.lit(dataset), "linha_origem").alias("chave_registro"),
         content_hash(numbered, data).alias("hash_registro"),
@@ -74,39 +79,44 @@ def _audited(df: DataFrame, dataset: str, order: list[str]) -> DataFrame:
     )
 
 
-def _in_source_order(df: DataFrame) -> DataFrame:
-    return df.withColumn("_place", F.monotonically_increasing_id())
+def _placed(df: DataFrame) -> DataFrame:
+    """Source order of rows as read: the upper bits of the row id are the split, ids in it are consecutive."""
+    return df.withColumn(POSITION, F.monotonically_increasing_id()).withColumn(SEGMENT, F.shiftright(POSITION, 33))
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    return flatten(_placed(df), keep=(SEGMENT, POSITION))
 
 
 def silver_senators(records: DataFrame) -> DataFrame:
     """SLV-15: nested identification and mandate flattened."""
-    return _audited(flatten(_in_source_order(records), keep=("_place",)), "senadores", ["_place"])
+    return _audited(_flat(records), "senadores")
 
 
 def silver_bills(records: DataFrame) -> DataFrame:
     """SLV-16."""
-    return _audited(flatten(_in_source_order(records), keep=("_place",)), "materias", ["_place"])
+    return _audited(_flat(records), "materias")
 
 
 def silver_votings(documents: DataFrame) -> DataFrame:
     """SLV-17: the voting itself, without its votes."""
-    return _audited(flatten(_in_source_order(documents.drop("votos")), keep=("_place",)), "votacoes", ["_place"])
+    return _audited(_flat(documents.drop("votos")), "votacoes")
 
 
 def silver_votes(documents: DataFrame) -> DataFrame:
     """SLV-18: one row per vote, with the keys of its voting."""
     carry = {"codigo_sessao_votacao": "codigoSessaoVotacao", "codigo_materia": "codigoMateria", "data_sessao": "dataSessao"}
-    return _audited(_in_source_order(unnest(documents, "votos", carry)), "votos", ["_place"])
+    return _audited(_placed(unnest(documents, "votos", carry)), "votos")
 
 
-def silver_expenses(raw: DataFrame, order: list[str]) -> DataFrame:
-    """SLV-19: expense files of all years, ``order`` is file and line."""
-    return _audited(raw, "ceaps", order)
+def silver_expenses(raw: DataFrame, segment: str, position: str) -> DataFrame:
+    """SLV-19: expense files of all years; the order is file and line."""
+    return _audited(raw, "ceaps", segment, position)
 
 
-def silver_companies(raw: DataFrame, order: list[str]) -> DataFrame:
+def silver_companies(raw: DataFrame, segment: str, position: str) -> DataFrame:
     """SLV-20."""
-    return _audited(raw, "empresas_contratadas", order)
+    return _audited(raw, "empresas_contratadas", segment, position)
 
 
 # ---------------------------------------------------------------- gold

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import brazilian_decimal, whole_number
+from plumbline.operators.dimensions import calendar
 from plumbline.operators.gates import landing_approval
 from plumbline.operators.unions import void_to_string
-from plumbline.plans import amendments
+from plumbline.plans import amendments, runner
 from plumbline.runtime import ensure_checkpoint_dir
-from plumbline.sources import delimited, tables
+from plumbline.sources import delimited, documents, tables
 from plumbline.sources import landing as inventory
 from plumbline.streaming.landing import land_once, landed_rows
-from plumbline.workload.base import query, staged, table
+from plumbline.workload.base import calendar_sql, query, staged, table
 
 
 def scratch(spark: SparkSession) -> str:
@@ -223,3 +224,75 @@ def lands_once(spark: SparkSession, sf: str) -> DataFrame:
     second = land_once(landed_rows(spark, source, ["id", "event_type"]), target, checkpoint)
     landed = spark.read.parquet(target).agg(F.count_distinct("id").alias("linhas"))
     return landed.select("linhas", F.lit(first).cast("bigint").alias("primeira_vez"), F.lit(second).cast("bigint").alias("segunda_vez"))
+
+
+@query("src_04_text_with_file_and_year", "SELECT o_orderkey, o_orderpriority, year(o_orderdate) AS ano_arquivo_origem, TRUE AS numerada FROM {orders}")
+def text_with_file_and_year(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly folders read as text; year and file come from the path, the line from the position."""
+    path = scratch(spark)
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("ano"))
+    rows.repartition("ano").write.partitionBy("ano").option("sep", ";").option("header", True).csv(path)
+    read = delimited.read_delimited(spark, f"{path}/ano=*/*.csv", encoding=delimited.UTF8)
+    lined = runner.year_lineage(read, r"ano=(\d{4})")
+    return lined.select(
+        whole_number("o_orderkey").alias("o_orderkey"), "o_orderpriority", "ano_arquivo_origem", (F.col("linha_arquivo") >= 2).alias("numerada")
+    )
+
+
+PAGE_ROWS = 500
+
+
+@query(
+    "src_05_paged_json",
+    "SELECT CAST(o_orderkey AS VARCHAR) AS codigo_emenda, CAST(year(o_orderdate) AS VARCHAR) AS ano, o_totalprice AS valor_pago FROM {orders}",
+)
+def paged_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of at most 500 records, each one JSON list."""
+    path = scratch(spark)
+    record = {c: F.lit("x") for c in amendments.PAGE_COLUMNS} | {
+        "codigoEmenda": F.col("o_orderkey").cast("string"),
+        "ano": F.year("o_orderdate").cast("string"),
+        "valorPago": F.translate(F.format_number("o_totalprice", 2), ",.", ".,"),
+    }
+    numbered = table(spark, sf, "orders").withColumn("pagina_", F.concat(F.floor(F.col("o_orderkey") / PAGE_ROWS).cast("string"), F.lit(".json")))
+    pages = numbered.groupBy("pagina_").agg(F.to_json(F.collect_list(F.struct(*[c.alias(n) for n, c in record.items()]))).alias("value"))
+    pages.write.partitionBy("pagina_").text(path)
+    read = documents.read_pages(spark, path, amendments.PAGE_COLUMNS)
+    return amendments.silver_api_pages(read).select("codigo_emenda", "ano", "valor_pago")
+
+
+@query(
+    "src_10_periods_and_row_control",
+    """SELECT CAST(year(o_orderdate) AS VARCHAR) || '01' AS period, count(*) AS input_rows, count(CASE WHEN o_orderkey % 5 <> 0 THEN 1 END) AS output_rows
+    FROM {orders} WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1""",
+)
+def periods_and_row_control(spark: SparkSession, sf: str) -> DataFrame:
+    """One landed set per period; the period is in the name, rows in and out are counted per set."""
+    root = scratch(spark)
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.year("o_orderdate").alias("y"))
+    years = sorted(r["y"] for r in rows.select("y").distinct().collect())
+    paths = [f"{root}/{year}01_Compras.csv" for year in years]
+    for year, path in zip(years, paths, strict=True):
+        _write_text(rows.where(F.col("y") == year).drop("y"), path, delimited.UTF8)
+    read = delimited.read_delimited(spark, paths, encoding=delimited.UTF8)
+    # A set is a folder of part files here; its name is the parent of the file.
+    raw = read.withColumn(delimited.FILE, F.regexp_replace(delimited.FILE, "/[^/]+$", ""))
+    clean = delimited.in_periods(delimited.with_period_lineage(raw), "199601", "200001").where(whole_number("o_orderkey") % 5 != 0)
+    sets = raw.select(F.col(delimited.FILE).alias("file")).distinct().where(delimited.period_of("file").between("199601", "200001"))
+    return delimited.row_control(raw, clean, sets).select("period", "input_rows", "output_rows")
+
+
+@query(
+    "src_13_encoding_detection",
+    "SELECT 'cp1252' AS encoding, count(*) AS registros FROM {customer} UNION ALL SELECT 'utf-8-sig', count(*) FROM {customer}",
+)
+def encoding_detection(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows landed in two encodings, told apart by their bytes."""
+    found = [inventory.inventory(spark, _landed(spark, sf, e)) for e in (delimited.CP1252, delimited.UTF8)]
+    return found[0].unionByName(found[1]).groupBy("encoding").agg(F.sum("record_count").alias("registros"))
+
+
+query(
+    "cal_01_calendar",
+    calendar_sql("SELECT CAST(min(ts) AS DATE) AS lo, CAST(max(ts) AS DATE) AS hi FROM {events}"),
+)(lambda s, d: calendar(table(s, d, "events"), "ts"))

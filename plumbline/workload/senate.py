@@ -130,8 +130,8 @@ def silver_expenses(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("data", "yyyy-MM-dd").alias("data"),
         F.translate(F.format_number("valor_reembolsado", 2), ",.", ".,").alias("valor_reembolsado"),
         F.monotonically_increasing_id().alias("_line"),
-    )
-    return _drop_audit(recipe.silver_expenses(raw, ["_line"]))
+    ).withColumn("_split", F.shiftright("_line", 33))
+    return _drop_audit(recipe.silver_expenses(raw, "_split", "_line"))
 
 
 query(
@@ -143,9 +143,10 @@ query(
     lambda s, d: recipe.silver_companies(
         staged(
             s, d,
-            "SELECT 'n. ' || CAST(c_custkey AS STRING) AS codigo, lpad(CAST(c_custkey AS STRING), 14, '0') AS cnpj_cpf, c_name AS nome, c_custkey AS _line FROM {customer}",
+            "SELECT 'n. ' || CAST(c_custkey AS STRING) AS codigo, lpad(CAST(c_custkey AS STRING), 14, '0') AS cnpj_cpf, c_name AS nome, c_custkey AS _line, 1 AS _file FROM {customer}",
         ),
-        ["_line"],
+        "_file",
+        "_line",
     )
 )
 
