@@ -518,9 +518,8 @@ def date_checks(history: DataFrame) -> DataFrame:
         ("end_before_start", F.col("data_fim_vigencia") < F.col("data_inicio_vigencia")),
         ("negative_contract_duration", F.col("duracao_vigencia_dias") < 0),
     ]
-    return checks.rule_checks(
-        history, "contratos_historico", [{"check": name, "value": agg.count_where(rule)} for name, rule in rules]
-    )
+    counted = [{"check": name, "value": agg.count_where(rule)} for name, rule in rules]
+    return checks.rule_checks(history, "contratos_historico", counted, value_name="rows")
 
 
 def snapshot_checks(current: DataFrame) -> DataFrame:
@@ -529,26 +528,52 @@ def snapshot_checks(current: DataFrame) -> DataFrame:
         agg.rows().alias("_n"),
         agg.count_where(F.col("periodo_origem") != F.col("periodo_mais_recente")).alias("_stale"),
     )
-    return checks.rule_checks(
-        per_group,
+    one = per_group.agg(
+        agg.whole_total("_n").alias("_rows"),
+        agg.rows().alias("_groups"),
+        agg.count_where(F.col("_n") > 1).alias("_multiple"),
+        agg.whole_total("_stale").alias("_stale"),
+    )
+    none = F.lit(None).cast("bigint")
+    several, stale = F.col("_multiple") > 0, F.col("_stale") > 0
+    return _rows_of(
+        one,
         "contratos_atuais",
         [
-            {"check": "current_contract_groups", "value": agg.count_where(F.col("_n") > 1)},
-            {"check": "current_period_consistency", "value": F.sum("_stale"), "blocking": True},
+            {
+                "check": "current_contract_groups", "rows": F.col("_rows"), "distinct_keys": F.col("_groups"),
+                "multiple_record_groups": F.col("_multiple"), "severity": F.when(several, "warning").otherwise("info"), "approved": F.lit(True),
+            },
+            {
+                "check": "current_period_consistency", "rows": F.col("_stale"), "distinct_keys": none,
+                "multiple_record_groups": none, "severity": F.when(stale, "error").otherwise("info"), "approved": ~stale,
+            },
         ],
-    )
+    )
+
+
+def _rows_of(one: DataFrame, dataset: str, records: list[dict]) -> DataFrame:
+    """Check rows from the columns of a one-row profile."""
+    structs = [
+        F.struct(
+            F.lit(r["check"]).alias("check"), F.lit(dataset).alias("dataset"), *[c.alias(n) for n, c in r.items() if n != "check"]
+        )
+        for r in records
+    ]
+    return one.select(F.inline(F.array(*structs)))
 
 
 def item_checks(items: DataFrame) -> DataFrame:
     """DQ-07."""
-    return checks.rule_checks(
-        items,
-        "itens_contrato",
-        [
-            {"check": "special_contract_items", "column": "item_codigo_zero", "value": agg.count_where("item_codigo_zero")},
-            {"check": "special_contract_items", "column": "item_sigiloso", "value": agg.count_where("item_sigiloso")},
-        ],
+    one = items.agg(
+        agg.rows().alias("rows"),
+        agg.count_where("item_codigo_zero").alias("item_code_zero"),
+        agg.count_where("item_sigiloso").alias("confidential_items"),
     )
+    special = (F.col("item_code_zero") > 0) | (F.col("confidential_items") > 0)
+    record = {c: F.col(c) for c in one.columns}
+    level = F.when(special, "warning").otherwise("info")
+    return _rows_of(one, "itens_contrato", [{"check": "special_contract_items", **record, "severity": level, "approved": F.lit(True)}])
 
 
 def quality(tables: dict[str, DataFrame]) -> DataFrame:

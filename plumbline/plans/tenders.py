@@ -400,6 +400,7 @@ def date_checks(tenders: DataFrame) -> DataFrame:
             {"check": "result_before_opening", "value": agg.count_where(before("data_resultado_compra", "data_abertura"))},
             {"check": "negative_process_duration", "value": agg.count_where(F.col("duracao_processo_dias") < 0)},
         ],
+        value_name="rows",
     )
 
 
@@ -410,6 +411,7 @@ def winner_check(participants: DataFrame) -> DataFrame:
         participants,
         "participantes_licitacao",
         [{"check": "winner_without_identification", "value": agg.count_where(nameless), "blocking": True}],
+        value_name="rows",
     )
 
 

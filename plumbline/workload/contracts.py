@@ -350,7 +350,7 @@ _RULES = {
 def rules_sql(dataset: str, source: str, rules: dict[str, str]) -> str:
     """Non-blocking rules, one row each."""
     parts = [
-        f"""SELECT '{name}' AS "check", '{dataset}' AS dataset, CAST(NULL AS VARCHAR) AS "column", {cnt(rule)} AS value,
+        f"""SELECT '{name}' AS "check", '{dataset}' AS dataset, {cnt(rule)} AS rows,
       CASE WHEN {cnt(rule)} > 0 THEN 'warning' ELSE 'info' END AS severity, TRUE AS approved, CAST(NULL AS VARCHAR) AS message FROM src"""
         for name, rule in rules.items()
     ]
@@ -363,19 +363,16 @@ query("dq_05_contract_dates", rules_sql("contratos_historico", SILVER_CONTRACTS,
 query(
     "dq_06_snapshot_consistency",
     f"""WITH g AS (SELECT chave_grupo_contrato, count(*) AS n, {cnt("periodo_origem <> periodo_mais_recente")} AS stale FROM ({CURRENT}) GROUP BY 1)
-    SELECT 'current_contract_groups' AS "check", 'contratos_atuais' AS dataset, CAST(NULL AS VARCHAR) AS "column", {cnt("n > 1")} AS value,
-      CASE WHEN {cnt("n > 1")} > 0 THEN 'warning' ELSE 'info' END AS severity, TRUE AS approved, CAST(NULL AS VARCHAR) AS message FROM g
-    UNION ALL SELECT 'current_period_consistency', 'contratos_atuais', NULL, {bigint("sum(stale)")},
-      CASE WHEN sum(stale) > 0 THEN 'error' ELSE 'info' END, sum(stale) = 0, NULL FROM g""",
+    SELECT 'current_contract_groups' AS "check", 'contratos_atuais' AS dataset, {bigint("sum(n)")} AS rows, count(*) AS distinct_keys,
+      {cnt("n > 1")} AS multiple_record_groups, CASE WHEN {cnt("n > 1")} > 0 THEN 'warning' ELSE 'info' END AS severity, TRUE AS approved FROM g
+    UNION ALL SELECT 'current_period_consistency', 'contratos_atuais', {bigint("sum(stale)")}, NULL, NULL,
+      CASE WHEN sum(stale) > 0 THEN 'error' ELSE 'info' END, sum(stale) = 0 FROM g""",
 )(lambda s, d: recipe.snapshot_checks(current(s, d)))
 query(
     "dq_07_special_items",
-    f"""WITH src AS ({SILVER_ITEMS}) """
-    + " UNION ALL ".join(
-        f"""SELECT 'special_contract_items' AS "check", 'itens_contrato' AS dataset, '{c}' AS "column", {cnt(c)} AS value,
-      CASE WHEN {cnt(c)} > 0 THEN 'warning' ELSE 'info' END AS severity, TRUE AS approved, CAST(NULL AS VARCHAR) AS message FROM src"""
-        for c in ("item_codigo_zero", "item_sigiloso")
-    ),
+    f"""SELECT 'special_contract_items' AS "check", 'itens_contrato' AS dataset, count(*) AS rows, {cnt("item_codigo_zero")} AS item_code_zero,
+    {cnt("item_sigiloso")} AS confidential_items, CASE WHEN {cnt("item_codigo_zero OR item_sigiloso")} > 0 THEN 'warning' ELSE 'info' END AS severity,
+    TRUE AS approved FROM ({SILVER_ITEMS})""",
 )(lambda s, d: recipe.item_checks(items(s, d)))
 
 

@@ -178,7 +178,7 @@ query("dim_gd_07_tempo", calendar_sql(f"SELECT min(data_emissao) AS lo, max(data
 def _row(name: str, value: str, kind: str, note: str | None = None, positive: bool = False, source: str = "s") -> str:
     hit = f"{value} = 0" if positive else f"{value} > 0"
     fine = f"NOT ({hit})" if kind == "error" else "TRUE"
-    return f"""SELECT '{name}' AS "check", 'despesas' AS dataset, CAST(NULL AS VARCHAR) AS "column", CAST({value} AS BIGINT) AS value,
+    return f"""SELECT '{name}' AS "check", 'despesas' AS dataset, CAST({value} AS BIGINT) AS value,
     CASE WHEN {hit} THEN '{kind}' ELSE 'info' END AS severity, {fine} AS approved, {f"'{note}'" if note else "CAST(NULL AS VARCHAR)"} AS message FROM {source}"""
 
 

@@ -310,8 +310,8 @@ query(
 _NAMELESS = cnt("participante_vencedor AND NOT participante_identificado AND NOT participante_sigiloso")
 query(
     "dq_08_winner_without_identification",
-    f"""SELECT 'winner_without_identification' AS "check", 'participantes_licitacao' AS dataset, CAST(NULL AS VARCHAR) AS "column",
-    {_NAMELESS} AS value, CASE WHEN {_NAMELESS} > 0 THEN 'error' ELSE 'info' END AS severity, {_NAMELESS} = 0 AS approved,
+    f"""SELECT 'winner_without_identification' AS "check", 'participantes_licitacao' AS dataset,
+    {_NAMELESS} AS rows, CASE WHEN {_NAMELESS} > 0 THEN 'error' ELSE 'info' END AS severity, {_NAMELESS} = 0 AS approved,
     CAST(NULL AS VARCHAR) AS message FROM ({SILVER_PARTICIPANTS})""",
 )(lambda s, d: recipe.winner_check(participants(s, d)))
 query(
