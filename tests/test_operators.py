@@ -199,3 +199,24 @@ def test_measures(spark):
 
 def test_priority_dates():
     assert dt.date(2024, 12, 30).isocalendar().week == 1
+
+
+def test_hot_group_snapshot_and_dedup_equal_brute_force(spark):
+    """One group, and one null key, hold a third of the rows each."""
+    data = [(i, None if i % 3 == 0 else ("hot" if i % 3 == 1 else f"g{i % 17}"), f"2025{i % 12 + 1:02d}") for i in range(3000)]
+    df = spark.createDataFrame(data, "v int, g string, periodo_origem string")
+    newest: dict = {}
+    for _, g, p in data:
+        newest[g] = max(newest.get(g, ""), p)
+    expected = sorted((v, g, p, p) for v, g, p in data if g is not None and newest[g] == p)
+    for digits in (False, True):
+        got = dedup.latest_snapshot(df, "g", "periodo_origem", "ultimo", digits=digits)
+        assert sorted(map(tuple, got.collect())) == expected
+    kept = {r["g"]: r["periodo_origem"] for r in dedup.keep_latest(df, ["g"]).collect()}
+    assert kept == newest
+
+
+def test_source_numbers_are_consecutive(spark):
+    df = spark.range(0, 1000, 1, 5).select("id", F.monotonically_increasing_id().alias("p")).withColumn("s", F.shiftright("p", 33))
+    got = ranking.number_in_source_order(df, "n", "s", "p")
+    assert got.where("n <> id + 1").count() == 0 and got.count() == 1000
