@@ -256,7 +256,7 @@ def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = N
 def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -> DataFrame:
     """GLD-CT-02: one row per contract group from three pre-aggregated sides."""
     key = ["chave_grupo_contrato"]
-    groups = ranking.summarize(
+    groups = ranking.summarize_apart(
         contracts,
         key,
         {
@@ -264,7 +264,6 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "chave_registro_representativo": F.min("chave_registro_contrato"),
             "codigo_orgao_superior": _first("codigo_orgao_superior"),
             "nome_orgao_superior": _first("nome_orgao_superior"),
-            "quantidade_contratados_grupo": agg.n_present("codigo_contratado").cast("int"),
             "objeto_representativo": _first("objeto"),
             "modalidade_compra": _first("modalidade_compra"),
             "situacao_contrato": _first("situacao_contrato"),
@@ -275,6 +274,7 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "possui_contrato_sigiloso": agg.any_true("contrato_sigiloso"),
             "periodo_origem": F.max("periodo_origem"),
         },
+        {"quantidade_contratados_grupo": agg.n_present("codigo_contratado").cast("int")},
     ).withColumns(
         {
             "grupo_com_multiplos_registros": F.col("quantidade_registros_atuais") > 1,
