@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe
+from plumbline.llm import byte_bpe, exact_dedup, packing, shuffle_shards
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,9 +28,51 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on every document."""
+    return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight shards of a shuffled corpus, counts at most one apart."""
+    out = shuffle_shards.shard(documents(spark, sf_dir), 8)
+    text = F.coalesce("text", F.lit(""))
+    return out.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("bigint").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_pack_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 2048 ids."""
+    pieces = packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_exact_dedup": op4_exact_dedup,
+    "op9_shuffle_shards": op9_shuffle_shards,
+    "op10_pack_cut": op10_pack_cut,
 }
 
 #: The SQL each must agree with, where SQL can express it.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_exact_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, length(coalesce(text, '')) AS points,
+                   sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+            FROM documents
+        ), g AS (
+            SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY points DESC, doc_id) AS keep_id,
+                   count(*) OVER (PARTITION BY text_sha256) AS group_size
+            FROM d
+        )
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+    """,
+}
