@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, packing, shuffle_shards
+from plumbline.llm import byte_bpe, exact_dedup, packing, shuffle_shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document."""
+    out = simhash.near_groups(documents(spark, sf_dir))
+    return out.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict on every document."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -56,6 +62,7 @@ def op10_pack_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_pack_cut": op10_pack_cut,
