@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, packing, shuffle_shards, simhash
+from plumbline.llm import byte_bpe, exact_dedup, language, packing, shuffle_shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,19 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def fold(folds: int):
+    """crc32(doc_id as text) mod ``folds``."""
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two of three folds."""
+    docs = documents(spark, sf_dir)
+    samples = language.learn(docs.where(fold(3) != 1))
+    rows = docs.select("doc_id", "text", F.coalesce(fold(3) == 1, F.lit(False)).alias("held_out"))
+    return language.identify(rows, samples).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of a shuffled corpus, counts at most one apart."""
     out = shuffle_shards.shard(documents(spark, sf_dir), 8)
@@ -64,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_language": op8_language,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_pack_cut": op10_pack_cut,
 }
