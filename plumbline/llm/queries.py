@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, language, packing, shuffle_shards, simhash
+from plumbline.llm import byte_bpe, exact_dedup, language, neighbours, packing, shuffle_shards, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op7_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector, among all."""
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 def fold(folds: int):
     """crc32(doc_id as text) mod ``folds``."""
     return F.crc32(F.col("doc_id").cast("string")) % folds
@@ -77,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_collision_search": op7_collision_search,
     "op8_language": op8_language,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_pack_cut": op10_pack_cut,
