@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, language, neighbours, packing, shuffle_shards, simhash
+from plumbline.llm import byte_bpe, exact_dedup, language, neighbours, packing, shuffle_shards, simhash, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,12 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    out = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The component of every document."""
     out = simhash.near_groups(documents(spark, sf_dir))
@@ -80,6 +86,7 @@ def op10_pack_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_collision_search": op7_collision_search,
