@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, language, neighbours, packing, shuffle_shards, simhash, suffix_dedup
+from plumbline.llm import byte_bpe, exact_dedup, html_layout, language, neighbours, packing, quality, shuffle_shards, simhash, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,16 +45,31 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
-def op7_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The five nearest of every fiftieth vector, among all."""
-    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.pmod("vec_id", F.lit(50)) == 0)
-
-
 def fold(folds: int):
     """crc32(doc_id as text) mod ``folds``."""
     return F.crc32(F.col("doc_id").cast("string")) % folds
 
 
+def op5_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page as it is laid out."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html")
+    return html_layout.render_pages(pages, keep=["page_id"]).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score for every document, learned from four of five folds."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    weights = quality.learn(docs, labels.where(fold(5) != 0))
+    rows = docs.select("doc_id", "text", F.coalesce(fold(5) == 0, F.lit(False)).alias("held_out"))
+    return quality.classify(rows, weights).select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op7_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every fiftieth vector, among all."""
+    return neighbours.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.pmod("vec_id", F.lit(50)) == 0)
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two of three folds."""
     docs = documents(spark, sf_dir)
@@ -89,6 +104,8 @@ QUERIES: dict[str, Query] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_simhash": op3_simhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_html_layout": op5_html_layout,
+    "op6_quality": op6_quality,
     "op7_collision_search": op7_collision_search,
     "op8_language": op8_language,
     "op9_shuffle_shards": op9_shuffle_shards,
