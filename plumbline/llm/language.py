@@ -173,16 +173,16 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: s
     return tuple((name, "\n".join(joined[name])[:SAMPLE_CHARS]) for name in sorted(joined))
 
 
-def identify(docs: DataFrame, samples: Samples | Mapping[str, str], text: str = "text") -> DataFrame:
-    """All columns of ``docs`` with lang_pred (string) and score (double). Columns of these names raise a ValueError."""
+def identify(docs: DataFrame, samples: Samples | Mapping[str, str], text: str = "text", into: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """All columns of ``docs`` with the language (string) and its score (double) under the names ``into``, which must be new."""
     prepare(docs.sparkSession)
-    if {"lang_pred", "score"} & {c.lower() for c in docs.columns}:
-        raise ValueError("the input already has a column lang_pred or score")
+    if set(into) & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input already has a column {into[0]} or {into[1]}")
     if isinstance(samples, Mapping):
         samples = tuple(sorted(samples.items()))
     at = docs.columns.index(text)
-    names = [*docs.columns, "lang_pred", "score"]
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    names = [*docs.columns, *into]
+    schema = T.StructType([*docs.schema.fields, T.StructField(into[0], T.StringType()), T.StructField(into[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -195,12 +195,13 @@ def links(prints: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, radius: int = 4, text: str = "text", doc_id: str = "doc_id", row: str | None = None, tile: int = TILE) -> DataFrame:
-    """One row per document: doc_id, row, fingerprint (long), component_id, component_row (the smallest of each in reach)."""
+    """One row per document: doc_id, row, fingerprint (long), component_id (its smallest id) and keep_row (the row of that id)."""
     rows = stored(simhash(docs, text, doc_id, row), "prints")
-    nodes = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("least_row"))
-    nodes = stored(nodes, "nodes")
+    first = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "row")
+    nodes = stored(rows.groupBy("fingerprint").agg(F.min(first).alias("least")), "nodes")
     roots = components(links(nodes.select("fingerprint"), radius, tile)).withColumnRenamed("node", "fingerprint")
     rooted = nodes.join(roots, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"), F.min("least_row").alias("component_row"))
-    named = rooted.select("fingerprint", "root").join(least, "root").drop("root")
-    return rows.join(named, "fingerprint").select("doc_id", "row", "fingerprint", "component_id", "component_row")
+    least = rooted.groupBy("root").agg(F.min("least").alias("of_all"))
+    named = rooted.select("fingerprint", "root").join(least, "root")
+    named = named.select("fingerprint", F.col("of_all.doc_id").alias("component_id"), F.col("of_all.row").alias("keep_row"))
+    return rows.join(named, "fingerprint").select("doc_id", "row", "fingerprint", "component_id", "keep_row")

@@ -325,7 +325,7 @@ def _answers(texts: list[bytes], owner: np.ndarray, width: int, gram: int) -> tu
 
 
 def _removed(width: int):
-    fields = _schema(doc_id=_LONG, row=_LONG, n_bytes=_LONG, n_removed=_LONG, n_spans=_LONG, kept=_BYTES)
+    fields = _schema(doc_id=_LONG, row=_LONG, n_bytes=_LONG, n_removed=_LONG, n_spans=_LONG, kept=_BYTES, kept_text=T.StringType())
 
     def of(n: int, size: int, text: bytes, ends: bytes, ids: bytes, rows: bytes, placed: int | None, at: bytes, texts: bytes, strings: bytes, answers: list) -> pa.RecordBatch:
         data = pa.decompress(text, size, "zstd", asbytes=True) if size else b""
@@ -357,10 +357,15 @@ def _removed(width: int):
         begins[inner] = gone[inner]  # a span ends with its document
         spans_before = np.r_[0, np.cumsum(begins)]
         kept = np.frombuffer(data, np.uint8)[~gone]
+        # As text: a code point that lost a byte goes whole.
+        heads = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
+        broken = np.repeat(np.maximum.reduceat(gone, heads), np.diff(np.r_[heads, size])) if size else gone
+        lost = np.r_[0, np.cumsum(broken)]
+        kept_text = pa.Array.from_buffers(pa.string(), n, binary_array(np.frombuffer(data, np.uint8)[~broken], stops - lost[stops]).buffers())
         missing = owner == _MISSING
         kept_stops = stops - removed[stops]
         return pa.RecordBatch.from_arrays(
-            [pa.array(owner, mask=missing), pa.array(_unpack(rows, n, np.int64)), pa.array(np.diff(stops)), pa.array(np.diff(removed[stops])), pa.array(np.diff(spans_before[stops])), binary_array(kept, kept_stops)],
+            [pa.array(owner, mask=missing), pa.array(_unpack(rows, n, np.int64)), pa.array(np.diff(stops)), pa.array(np.diff(removed[stops])), pa.array(np.diff(spans_before[stops])), binary_array(kept, kept_stops), kept_text],
             names=fields.names,
         )
 
@@ -373,7 +378,7 @@ def _removed(width: int):
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, text: str = "text", doc_id: str = "doc_id", row: str | None = None, hot: int = HOT_CHUNKS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """One row per document: doc_id, row, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the bytes that stay)."""
+    """One row per document: doc_id, row, n_bytes, n_removed, n_spans (maximal removed runs), kept (binary: the bytes that stay), kept_text (the whole code points among them)."""
     prepare(docs.sparkSession)
     if not 1 <= gram <= width <= 200:
         raise ValueError("1 <= gram <= width <= 200")
