@@ -62,8 +62,3 @@ def first_by(c: Column | str, order: Column) -> Column:
 def first_present_by(c: Column | str, order: Column) -> Column:
     """First non-null value in a total order."""
     return F.min_by(col(c), F.when(col(c).isNotNull(), order))
-
-
-def most_frequent(c: Column | str) -> Column:
-    """Mode; ties go to the lowest value (AGG-14)."""
-    return F.mode(col(c), True)

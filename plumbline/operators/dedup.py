@@ -66,6 +66,16 @@ def canonical(df: DataFrame, key: str, attributes: list[str], name: str) -> Data
     return keep_first(counted, [key], order, total_order=True).drop("_times")
 
 
+def most_frequent(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """Mode of a column per key; ties go to the lowest value, a key without values keeps null (AGG-14).
+
+    Values are counted first, so a hot key's different values are never gathered in one task.
+    """
+    counted = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_times"))
+    order = [F.col(value).isNull(), F.col("_times").desc(), F.col(value).asc()]
+    return keep_first(counted, by, order, total_order=True).select(*by, value)
+
+
 def merge_by_priority(frames: list[DataFrame], key: str) -> DataFrame:
     """Rows of the earlier frame win per key (DDP-06)."""
     ranked = [f.withColumn("_source", F.lit(i)) for i, f in enumerate(frames)]

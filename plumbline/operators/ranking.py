@@ -1,10 +1,9 @@
 """Dense ranks, shares and surrogate numbers that scale.
 
 A window without PARTITION BY sends every row to one task, and a window by year sends a
-third of the rows there if one year is hot. So the aggregated frame is materialised, its
-rows are counted, and only a frame under a checked bound uses the plain window. Above it
-the distinct sort keys are range-partitioned, numbered inside each slice, shifted by the
-sizes of the slices before, and joined back.
+third of the rows there if one year is hot. So the distinct sort keys of the aggregated frame
+are range-partitioned, numbered inside each slice, shifted by the sizes of the slices before,
+and joined back. There is one plan for every size; ranks and numbers are bigint.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import EXACT, percentage
-from plumbline.runtime import materialize, small_rows
+from plumbline.runtime import join_small, materialize
 
 
 def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
@@ -49,19 +48,7 @@ def _ranged_rank(df: DataFrame, alias: str, value: str, by: list[str]) -> DataFr
     places = places.toDF(*[f"_k{i}" for i in range(len(keys))], "_rank")
     match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
     joined = df.join(places, match, "left")
-    return joined.select(*df.columns, F.col("_rank").cast("int").alias(alias))
-
-
-def _is_small(base: DataFrame) -> bool:
-    return base.count() <= small_rows(base.sparkSession)
-
-
-def _window_ranks(base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
-    def place(value: str) -> Column:
-        window = Window.partitionBy(*by).orderBy(F.col(value).desc_nulls_last())
-        return F.when(F.col(value).isNotNull(), F.dense_rank().over(window)).cast("int")
-
-    return base.withColumns({alias: place(value) for alias, value in ranks.items()})
+    return joined.select(*df.columns, F.col("_rank").alias(alias))
 
 
 def _ranged_ranks(base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
@@ -72,9 +59,7 @@ def _ranged_ranks(base: DataFrame, ranks: dict[str, str], by: list[str]) -> Data
 
 def add_ranks(df: DataFrame, ranks: dict[str, str], by: list[str] | None = None) -> DataFrame:
     """Dense rank, highest first, null unranked (WIN-01/02). ``ranks`` maps new column -> value column."""
-    base = materialize(df)
-    how = _window_ranks if _is_small(base) else _ranged_ranks
-    return how(base, ranks, by or [])
+    return _ranged_ranks(materialize(df), ranks, by or [])
 
 
 def add_share(df: DataFrame, value: str, by: list[str], total: str, share: str) -> DataFrame:
@@ -135,25 +120,32 @@ def concentration(
     rank: str,
 ) -> DataFrame:
     """Pair summary with each pair's share and rank inside its group."""
-    summary = materialize(summarize(df, keys, metrics))
-    if _is_small(summary):
-        group = Window.partitionBy(*by)
-        sums = F.coalesce(F.sum(F.col(value).cast(EXACT)).over(group), F.lit(0)).cast("double")
-        shared = summary.withColumn(total, sums).withColumn(share, percentage(value, total))
-        return _window_ranks(shared, {rank: value}, by)
-    shared = materialize(add_share(summary, value, by, total, share))
+    shared = materialize(add_share(materialize(summarize(df, keys, metrics)), value, by, total, share))
     return _ranged_ranks(shared, {rank: value}, by)
 
 
+def positions(df: DataFrame, number: str, order: list[Column]) -> DataFrame:
+    """The rows with their place 1..n in any total order (SRT-01/02), without one task that sorts them all."""
+    return _positions(materialize(df), [], order, number)
+
+
 def number_rows(df: DataFrame, number: str, order: list[str], start: int = 1) -> DataFrame:
     """Surrogate number over a total order of distinct rows (WIN-04)."""
-    base = materialize(df)
-    keys = [F.col(c).asc_nulls_first() for c in order]
-    if _is_small(base):
-        numbered = base.withColumn(number, F.row_number().over(Window.orderBy(*keys)))
-    else:
-        numbered = _positions(base, [], keys, number)
-    return numbered.withColumn(number, (F.col(number) + (start - 1)).cast("int")).select(number, *df.columns)
+    numbered = _positions(materialize(df), [], [F.col(c).asc_nulls_first() for c in order], number)
+    return numbered.withColumn(number, F.col(number) + (start - 1)).select(number, *df.columns)
+
+
+def _running_before(sizes: DataFrame, order: str, size: str) -> DataFrame:
+    """``_before``: the sum of ``size`` over the rows ahead in ``order``; only slice totals meet in one task."""
+    slices = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = materialize(sizes.repartitionByRange(slices, F.col(order).asc_nulls_first()).withColumn("_slice", F.spark_partition_id()))
+    totals = sliced.groupBy(F.col("_slice").alias("_s")).agg(F.sum(size).alias("_total"))
+    # One row per shuffle partition.
+    ahead = F.coalesce(F.sum("_total").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    inside = Window.partitionBy("_slice").orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    local = sliced.withColumn("_inside", F.coalesce(F.sum(size).over(inside), F.lit(0)))
+    both = local.join(totals.select("_s", ahead.alias("_ahead")), F.col("_slice") == F.col("_s"))
+    return both.select(*sizes.columns, (F.col("_ahead") + F.col("_inside")).alias("_before"))
 
 
 def number_in_source_order(df: DataFrame, number: str, segment: str, position: str) -> DataFrame:
@@ -163,8 +155,6 @@ def number_in_source_order(df: DataFrame, number: str, segment: str, position: s
     Only one row per segment is aggregated and joined back; the rows are not moved.
     """
     sizes = df.groupBy(F.col(segment).alias("_seg")).agg(F.count(F.lit(1)).alias("_size"), F.min(position).alias("_first"))
-    earlier = Window.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
-    shifts = sizes.select("_seg", (before - F.col("_first") + 1).alias("_shift"))
-    both = df.join(shifts, F.col(segment) == F.col("_seg"))
+    shifts = _running_before(sizes, "_seg", "_size").select("_seg", (F.col("_before") - F.col("_first") + 1).alias("_shift"))
+    both = join_small(df, shifts, F.col(segment) == F.col("_seg"))
     return both.withColumn(number, F.col(position) + F.col("_shift")).drop("_seg", "_shift")

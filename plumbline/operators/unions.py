@@ -4,22 +4,22 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Widening order used when the same column arrives with different types.
-_WIDTH = ("void", "boolean", "tinyint", "smallint", "int", "bigint", "double", "string")
-
-
-def _wider(a: str, b: str) -> str:
-    if a == b or b == "void":
+def _wider(frame: DataFrame, a: T.DataType, b: T.DataType) -> T.DataType:
+    """The type that holds both: text if one is text (landed columns drift to it), else Spark's own common type."""
+    if a == b or isinstance(b, T.NullType):
         return a
-    if a == "void":
+    if isinstance(a, T.NullType):
         return b
-    if a in _WIDTH and b in _WIDTH and "boolean" not in (a, b):
-        return _WIDTH[max(_WIDTH.index(a), _WIDTH.index(b))]
-    return "string"
+    atomic = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
+    if T.StringType() in (a, b) and not isinstance(a, atomic) and not isinstance(b, atomic):
+        return T.StringType()
+    both = frame.sparkSession.range(0).select(F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("c"))
+    return both.schema["c"].dataType
 
 
 def union_strict(frames: list[DataFrame]) -> DataFrame:
@@ -33,15 +33,14 @@ def union_strict(frames: list[DataFrame]) -> DataFrame:
 
 def union_relaxed(frames: list[DataFrame], allow_missing: bool = False) -> DataFrame:
     """Columns meet at their common wider type (SET-02); missing ones may become null (SET-03)."""
-    target: dict[str, str] = {}
+    target: dict[str, T.DataType] = {}
     for frame in frames:
         for field in frame.schema.fields:
-            kind = field.dataType.simpleString()
-            target[field.name] = _wider(target.get(field.name, kind), kind)
-    cast = [
-        f.select(*[F.col(c).cast(target[c]).alias(c) if f.schema[c].dataType.simpleString() != target[c] else F.col(c) for c in f.columns])
-        for f in frames
-    ]
+            try:
+                target[field.name] = _wider(frame, target.get(field.name, field.dataType), field.dataType)
+            except AnalysisException as error:
+                raise TypeError(f"{field.name}: {target[field.name].simpleString()} and {field.dataType.simpleString()} have no common type") from error
+    cast = [f.select(*[F.col(c).cast(target[c]).alias(c) if f.schema[c].dataType != target[c] else F.col(c) for c in f.columns]) for f in frames]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=allow_missing), cast)
 
 

@@ -9,7 +9,8 @@ from plumbline.functions import aggregates as agg
 from plumbline.functions.dates import brazilian_date
 from plumbline.functions.numbers import average_per, brazilian_decimal, brazilian_money, percentage, whole_number
 from plumbline.functions.text import city_of, header_name, snake_name, state_of, strip
-from plumbline.operators import dedup, dimensions, ranking, reconcile
+from plumbline.operators import checks, dedup, dimensions, ranking, reconcile
+from plumbline.operators.dedup import most_frequent
 from plumbline.operators.unions import union_relaxed
 from plumbline.sources.delimited import FILE, with_line_numbers
 
@@ -322,7 +323,7 @@ def dim_state(states: DataFrame, cities: DataFrame) -> DataFrame:
     """DIM-EM-05: the most frequent region per state."""
     rows = union_relaxed([states.select("uf", "regiao"), cities.select("uf", "regiao")])
     rows = dimensions.valid_keys(rows, "uf").select(F.upper(strip("uf")).alias("uf"), strip("regiao").alias("regiao"))
-    modes = rows.groupBy("uf").agg(agg.most_frequent("regiao").alias("regiao"))
+    modes = most_frequent(rows, ["uf"], "regiao")
     shown = F.when(F.col("uf") == MULTIPLE_STATES, "Múltiplas regiões").when(F.col("uf") == NATIONAL, "Nacional")
     return modes.withColumn("regiao", shown.otherwise(F.col("regiao")))
 
@@ -350,6 +351,16 @@ def dims(gold_tables: dict[str, DataFrame], as_of_year: int) -> dict[str, DataFr
 # ---------------------------------------------------------------- audits
 
 
+def quality(silver_tables: dict[str, DataFrame]) -> DataFrame:
+    """Every Silver table has rows and no missing year."""
+    suite = []
+    for name, df in sorted(silver_tables.items()):
+        if "ano_emenda" in df.columns:
+            suite.append(checks.expect(df, f"{name}_empty", F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)))
+            suite.append(checks.expect(df, f"{name}_year_null", agg.null_count("ano_emenda")))
+    return checks.suite(suite).withColumn("approved", F.col("passed"))
+
+
 def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, DataFrame]) -> DataFrame:
     """REC-05."""
     spent = reconcile.by_group(

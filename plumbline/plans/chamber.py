@@ -424,13 +424,11 @@ def orphan_check(
     return checks.expect(child, name, agg.rows(), severity=severity, details=details)
 
 
-def quality(gold_tables: dict[str, DataFrame], silver_approved: bool = True) -> DataFrame:
-    """DQ-13: 14 checks."""
+def quality(gold_tables: dict[str, DataFrame], silver_approved: bool, made_from_it: bool) -> DataFrame:
+    """DQ-13: 14 checks. The first two say what the manifests say of Silver, and of Gold's origin."""
     bills, votings, votes = (gold_tables[t] for t in ("fato_proposicoes", "fato_votacoes", "fato_votos"))
-    manifest = [
-        checks.expect(votings.sparkSession.range(1), name, F.max(F.lit(int(silver_approved))), expected=1)
-        for name in ("silver_manifest_approved", "gold_uses_approved_silver")
-    ]
+    found = {"silver_manifest_approved": silver_approved, "gold_uses_approved_silver": silver_approved and made_from_it}
+    manifest = [checks.expect(votings.sparkSession.range(1), name, F.max(F.lit(int(value))), expected=1) for name, value in found.items()]
     keys = [(bills, "fato_proposicoes_id", "id_proposicao"), (votings, "fato_votacoes_id", "id_votacao"), (votes, "fato_votos_chave", "chave_voto")]
     key_checks = [check(df, name, key) for df, name, key in keys for check in (_null_keys, _duplicate_keys)]
     to_voting = {
@@ -443,7 +441,7 @@ def quality(gold_tables: dict[str, DataFrame], silver_approved: bool = True) ->
     orphans.append(
         orphan_check(
             gold_tables["rel_proposicoes_autores"], bills, "autores_sem_proposicao", "id_proposicao", checks.WARNING,
-            "Relações de autoria de proposições ausentes no recorte são preservadas.",
+            "Autoria de proposição que não está nos anos lidos.",
         )
     )
     orphans.append(orphan_check(gold_tables["rel_proposicoes_temas"], bills, "temas_sem_proposicao", "id_proposicao"))

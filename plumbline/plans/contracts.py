@@ -228,7 +228,7 @@ def _first(column: str) -> Column:
 def _group_facts() -> dict[str, Column]:
     """Representative attributes and totals of a contract group, first by record key."""
     return {
-        "quantidade_registros_atuais": agg.rows().cast("int"),
+        "quantidade_registros_atuais": agg.rows().cast("bigint"),
         "numero_contrato": agg.first_by("numero_contrato", F.col("chave_registro_contrato")),
         **{c: _first(c) for c in ("codigo_orgao", "nome_orgao", "codigo_ug", "nome_ug")},
         "codigo_contratado_representativo": _first("codigo_contratado"),
@@ -241,14 +241,14 @@ def _group_facts() -> dict[str, Column]:
 
 def _term_counts() -> dict[str, Column]:
     return {
-        "quantidade_prorrogacoes": agg.count_where("termo_prorrogacao").cast("int"),
-        "quantidade_reajustes": agg.count_where("termo_reajuste").cast("int"),
-        "quantidade_alteracoes_quantitativas": agg.count_where("termo_alteracao_quantitativa").cast("int"),
+        "quantidade_prorrogacoes": agg.count_where("termo_prorrogacao").cast("bigint"),
+        "quantidade_reajustes": agg.count_where("termo_reajuste").cast("bigint"),
+        "quantidade_alteracoes_quantitativas": agg.count_where("termo_alteracao_quantitativa").cast("bigint"),
     }
 
 
 def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = None) -> DataFrame:
-    filled = {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in counts}
+    filled = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in counts}
     filled |= {c: F.coalesce(F.col(c), F.lit(0.0)) for c in amounts or []}
     return df.withColumns(filled)
 
@@ -274,7 +274,7 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "possui_contrato_sigiloso": agg.any_true("contrato_sigiloso"),
             "periodo_origem": F.max("periodo_origem"),
         },
-        {"quantidade_contratados_grupo": agg.n_present("codigo_contratado").cast("int")},
+        {"quantidade_contratados_grupo": agg.n_present("codigo_contratado").cast("bigint")},
     ).withColumns(
         {
             "grupo_com_multiplos_registros": F.col("quantidade_registros_atuais") > 1,
@@ -338,7 +338,7 @@ def _amounts() -> dict[str, Column]:
         "variacao_total": agg.total("variacao_valor_contrato"),
         "valor_medio_contrato": agg.mean("valor_final_compra"),
         "maior_valor_contrato": F.max("valor_final_compra"),
-        "quantidade_contratos_sigilosos": agg.count_where("contrato_sigiloso").cast("int"),
+        "quantidade_contratos_sigilosos": agg.count_where("contrato_sigiloso").cast("bigint"),
     }
 
 
@@ -462,7 +462,7 @@ def dim_contractor(contracts: DataFrame) -> DataFrame:
         ["codigo_contratado"],
         {
             "nome_contratado": F.max("nome_contratado"),
-            "quantidade_nomes_encontrados": agg.n_present("nome_contratado").cast("int"),
+            "quantidade_nomes_encontrados": agg.n_present("nome_contratado").cast("bigint"),
             "quantidade_contratos": agg.n_unique("chave_registro_contrato"),
             "quantidade_orgaos": agg.n_present("codigo_orgao"),
             "valor_final_total": agg.total("valor_final_compra"),

@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.operators.gates import GateError, approval, require_approved
+from plumbline.operators.gates import GateError, approval, landing_approval, require_approved
 from plumbline.plans import amendments, chamber, contracts, deputy_expenses, grants, senate, tenders
+from plumbline.runtime import materialize
 from plumbline.sources import delimited, documents, landing
 from plumbline.sources.tables import publish, read_dataset, read_manifest, write_dataset, write_manifest
 
@@ -40,11 +41,15 @@ def presentation_order(name: str, df: DataFrame) -> list | None:
     return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in keys.items()] or None
 
 
-def write_layer(tables: Tables, root: str, subject: str, layer: str, approved: bool = True, notes: list[str] | None = None) -> DataFrame:
-    """Write every table of a layer and its manifest."""
-    outputs = [write_dataset(df, root, name, order_by=presentation_order(name, df)) for name, df in tables.items()]
+def write_layer(
+    tables: Tables, root: str, subject: str, layer: str, approved: bool = True, notes: list[str] | None = None,
+    upstream: str | None = None, periods: tuple[str, str] | None = None, control: Callable[[], DataFrame] | None = None,
+) -> DataFrame:
+    """Write every table of a layer and its manifest. ``control`` is asked once the tables are stored."""
+    outputs = [write_dataset(df, root, name, csv=False, order_by=presentation_order(name, df)) for name, df in tables.items()]
     spark = next(iter(tables.values())).sparkSession
-    return write_manifest(spark, root, subject, layer, outputs, approved, notes)
+    rows = control() if control else None
+    return write_manifest(spark, root, subject, layer, outputs, approved, notes, upstream=upstream, periods=periods, control=rows)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str) -> Tables:
@@ -58,10 +63,25 @@ def write_checks(checks: DataFrame, root: str, name: str) -> DataFrame:
     return read_dataset(checks.sparkSession, root, name)
 
 
-def require_manifest(spark: SparkSession, root: str, layer: str) -> None:
-    verdict = read_manifest(spark, root, layer).agg(F.bool_and("approved").alias("ok")).first()
-    if not verdict["ok"]:
+def manifest_state(spark: SparkSession, root: str, layer: str) -> tuple[bool, str, str | None]:
+    """Of the newest run of a layer: approved, its id, and the run it was made from."""
+    row = read_manifest(spark, root, layer).agg(F.bool_and("approved").alias("ok"), F.max("run_id").alias("run"), F.max("upstream").alias("up")).first()
+    return bool(row["ok"]), row["run"], row["up"]
+
+
+def require_manifest(spark: SparkSession, root: str, layer: str) -> str:
+    """The id of the newest run of a layer; refuses one that was not approved."""
+    approved, run_id, _ = manifest_state(spark, root, layer)
+    if not approved:
         raise GateError(f"{layer} of {root} is not approved")
+    return run_id
+
+
+def require_landing(files: DataFrame) -> None:
+    """Bronze gate: refuses a landing with a file of no bytes (PIP-06)."""
+    verdict = landing_approval(files).first()
+    if not verdict["approved"]:
+        raise GateError(f"landing of {verdict['file_count']} files, {verdict['total_bytes']} bytes: a file is empty")
 
 
 # ---------------------------------------------------------------- silver
@@ -71,15 +91,13 @@ def _period_files(
     spark: SparkSession, bronze: str, entities: dict[str, str], builders: dict, first: str, last: str
 ) -> tuple[Tables, DataFrame]:
     files = landing.classify(landing.inventory(spark, bronze).drop("reason"), entities).where("reason is null")
-    files = files.where(F.col("periodo").between(first, last))
-    # One row per landed file: the control list of the run.
-    listed = files.select("entity", "file", "columns").collect()
+    files = materialize(files.where(F.col("periodo").between(first, last)))
+    require_landing(files)
+    # One row per layout, with its files: what a reader has to be told.
+    listed = files.where("columns is not null").groupBy("entity", "columns").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
     raw: Tables = {}
     for entity in builders:
-        layouts: dict[tuple[str, ...], list[str]] = {}
-        for row in listed:
-            if row["entity"] == entity and row["columns"]:
-                layouts.setdefault(tuple(row["columns"]), []).append(row["file"])
+        layouts = {tuple(row["columns"]): row["files"] for row in listed if row["entity"] == entity}
         if not layouts:
             raise FileNotFoundError(f"No landed file for {entity}")
         read = delimited.read_by_layout(spark, layouts)
@@ -87,14 +105,37 @@ def _period_files(
     return raw, files
 
 
+# The table that holds all rows of an entity, where it has another name.
+HISTORY = {"contratos": "contratos_historico"}
+
+
+def _file_control(files: DataFrame, raw: Tables, stored: Tables) -> DataFrame:
+    """Rows in and out per dataset and landed file (SRC-10); files without rows stay."""
+    out = None
+    for entity, table in raw.items():
+        mine = files.where(F.col("entity") == entity).select("file")
+        found = delimited.row_control_of(table, stored[entity], mine).withColumn("dataset", F.lit(HISTORY.get(entity, entity)))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+def _run_silver_periods(spark: SparkSession, bronze: str, silver: str, first: str, last: str, subject: str, entities: dict[str, str], recipe) -> DataFrame:
+    raw, files = _period_files(spark, bronze, entities, recipe.SILVER, first, last)
+    tables = recipe.silver(raw)
+
+    def control() -> DataFrame:
+        stored = {entity: read_dataset(spark, silver, HISTORY.get(entity, entity), ["arquivo_origem"]) for entity in raw}
+        return _file_control(files, raw, stored)
+
+    return write_layer(tables, silver, subject, "silver", periods=(first, last), control=control)
+
+
 def run_silver_contracts(spark: SparkSession, bronze: str, silver: str, first: str, last: str) -> DataFrame:
-    raw, _ = _period_files(spark, bronze, landing.CONTRACT_ENTITIES, contracts.SILVER, first, last)
-    return write_layer(contracts.silver(raw), silver, "contratos_federais", "silver")
+    return _run_silver_periods(spark, bronze, silver, first, last, "contratos_federais", landing.CONTRACT_ENTITIES, contracts)
 
 
 def run_silver_tenders(spark: SparkSession, bronze: str, silver: str, first: str, last: str) -> DataFrame:
-    raw, _ = _period_files(spark, bronze, landing.TENDER_ENTITIES, tenders.SILVER, first, last)
-    return write_layer(tenders.silver(raw), silver, "licitacoes_federais", "silver")
+    return _run_silver_periods(spark, bronze, silver, first, last, "licitacoes_federais", landing.TENDER_ENTITIES, tenders)
 
 
 def run_silver_history(spark: SparkSession, files: dict[str, str], silver: str, years: list[int]) -> DataFrame:
@@ -131,7 +172,7 @@ def run_silver_chamber(spark: SparkSession, bronze: str, silver: str) -> DataFra
         read = delimited.read_delimited(spark, f"{bronze}/dataset={dataset}/ano=*/*.csv", encoding=delimited.UTF8)
         raw = year_lineage(read, r"ano=(\d{4})")
         tables[dataset] = chamber.silver_dataset(raw, dataset)
-    outputs = [write_dataset(df, silver, name) for name, df in tables.items()]
+    outputs = [write_dataset(df, silver, name, csv=False) for name, df in tables.items()]
     for o in outputs:
         stored = read_dataset(spark, silver, o["dataset"], ["chave_registro"])
         preserved &= stored.groupBy("chave_registro").count().where("count > 1").isEmpty()
@@ -171,11 +212,15 @@ GOLD: dict[str, Callable[[Tables], Tables]] = {
     "senado_federal": senate.gold,
 }
 
+# Suites on Silver, asked before Gold is built.
 QUALITY: dict[str, Callable[[Tables], DataFrame]] = {
     "contratos": contracts.quality,
     "licitacoes": tenders.quality,
     "convenios": lambda silver: grants.quality(silver["convenios"]),
+    "emendas": amendments.quality,
 }
+# Domains whose suite needs Gold; it is asked before the dimensions are built.
+GOLD_QUALITY = ("proposicoes_votacoes", "senado_federal")
 
 RECONCILIATION: dict[str, Callable[[Tables, Tables], DataFrame]] = {
     "contratos": contracts.reconciliation,
@@ -189,10 +234,23 @@ RECONCILIATION: dict[str, Callable[[Tables, Tables], DataFrame]] = {
 
 # Name of the pass flag where a suite does not call it ``approved``.
 FLAGS = {"emendas": "reconciliado", "senado_federal": "passed"}
+QUALITY_FLAGS = {"proposicoes_votacoes": "passed", "senado_federal": "passed"}
 
 
-def run_quality(spark: SparkSession, domain: str, silver: str, years: list[int] | None = None) -> DataFrame:
+def run_quality(spark: SparkSession, domain: str, silver: str, years: list[int] | None = None, gold: str | None = None) -> DataFrame:
+    """The quality suite of any domain, stored. Chamber and Senate suites also look at Gold."""
     tables = read_layer(spark, silver, "silver")
+    if domain in GOLD_QUALITY:
+        if gold is None:
+            raise ValueError(f"The suite of {domain} looks at Gold: name its folder")
+        marts = read_layer(spark, gold, "gold")
+        if domain == "senado_federal":
+            found = senate.quality(tables, marts)
+        else:
+            approved, run_id, _ = manifest_state(spark, silver, "silver")
+            _, _, made_from = manifest_state(spark, gold, "gold")
+            found = chamber.quality(marts, approved, made_from == run_id)
+        return write_checks(found, f"{gold}/quality", f"validacao_gold_{domain}")
     if domain == "gastos_deputados":
         found = deputy_expenses.quality(tables["despesas"], years or [])
     else:
@@ -200,12 +258,18 @@ def run_quality(spark: SparkSession, domain: str, silver: str, years: list[int]
     return write_checks(found, f"{silver}/quality", f"validacao_silver_{domain}")
 
 
-def run_gold(spark: SparkSession, domain: str, silver: str, gold: str, quality: DataFrame | None = None) -> DataFrame:
-    """Refuses unless Silver, and the quality suite where the domain has one, are approved."""
-    require_manifest(spark, silver, "silver")
-    if quality is not None:
-        require_approved(quality, f"quality of {domain}")
-    return write_layer(GOLD[domain](read_layer(spark, silver, "silver")), gold, domain, "gold")
+def gate_quality(checks: DataFrame, domain: str) -> None:
+    if "severity" not in checks.columns:
+        checks = checks.withColumn("severity", F.lit("error"))
+    require_approved(checks, f"quality of {domain}", QUALITY_FLAGS.get(domain, "approved"), only_errors=domain in GOLD_QUALITY)
+
+
+def run_gold(spark: SparkSession, domain: str, silver: str, gold: str, years: list[int] | None = None) -> DataFrame:
+    """Refuses unless Silver is approved and its quality suite, which is run here, passes."""
+    upstream = require_manifest(spark, silver, "silver")
+    if domain not in GOLD_QUALITY:
+        gate_quality(run_quality(spark, domain, silver, years), domain)
+    return write_layer(GOLD[domain](read_layer(spark, silver, "silver")), gold, domain, "gold", upstream=upstream)
 
 
 def run_reconciliation(spark: SparkSession, domain: str, silver: str, gold: str) -> DataFrame:
@@ -224,8 +288,11 @@ def run_dimensions(
     spark: SparkSession, domain: str, silver: str, gold: str, checks: DataFrame,
     first: str | None = None, last: str | None = None, as_of_year: int | None = None,
 ) -> DataFrame:
-    """Refuses unless the reconciliation (or Senate quality) was approved."""
+    """Refuses unless Gold, its reconciliation and, where the suite looks at Gold, its quality are approved."""
+    upstream = require_manifest(spark, gold, "gold")
     gate_reconciliation(checks, domain)
+    if domain in GOLD_QUALITY:
+        gate_quality(run_quality(spark, domain, silver, gold=gold), domain)
     builders: dict[str, Callable[[], Tables]] = {
         "contratos": lambda: contracts.dims(read_dataset(spark, silver, "contratos_atuais"), first, last),
         "licitacoes": lambda: tenders.dims(read_layer(spark, silver, "silver")),
@@ -235,11 +302,18 @@ def run_dimensions(
         "proposicoes_votacoes": lambda: chamber.dims(read_layer(spark, gold, "gold")),
         "senado_federal": lambda: senate.dims(read_layer(spark, gold, "gold")),
     }
-    return write_layer(builders[domain](), f"{gold}/dimensions", domain, "dimensions")
+    return write_layer(builders[domain](), f"{gold}/dimensions", domain, "dimensions", upstream=upstream)
 
 
 def run_publish(spark: SparkSession, domain: str, gold: str, target: str, checks: DataFrame) -> DataFrame:
-    """Publish marts and dimensions with a catalog; refuses unless the checks were approved."""
+    """Publish marts and dimensions with a catalog; refuses unless both, and the checks, were approved.
+
+    Dimensions that were made from an earlier run of Gold are refused too.
+    """
+    run_id = require_manifest(spark, gold, "gold")
+    require_manifest(spark, f"{gold}/dimensions", "dimensions")
+    if manifest_state(spark, f"{gold}/dimensions", "dimensions")[2] != run_id:
+        raise GateError(f"dimensions of {domain} are older than its Gold")
     gate_reconciliation(checks, domain)
     marts = [r["dataset"] for r in read_manifest(spark, gold, "gold").select("dataset").collect()]
     dims = [r["dataset"] for r in read_manifest(spark, f"{gold}/dimensions", "dimensions").select("dataset").collect()]
@@ -250,4 +324,4 @@ def run_publish(spark: SparkSession, domain: str, gold: str, target: str, checks
     return catalog
 
 
-__all__ = [name for name in dir() if name.startswith("run_")] + ["approval", "write_layer", "read_layer", "gate_reconciliation"]
+__all__ = [name for name in dir() if name.startswith("run_")] + ["approval", "write_layer", "read_layer", "gate_quality", "gate_reconciliation"]

@@ -18,6 +18,7 @@ from plumbline.operators.measures import Measure
 from plumbline.operators.relationships import Relationship, validate
 from plumbline.operators.typing import retype_existing
 from plumbline.operators.unions import rename_if_absent, union_relaxed
+from plumbline.sources.delimited import FILE
 
 # Paths of the record arrays, typed columns, and the years a document date may have.
 SENATORS_AT = "ListaParlamentarEmExercicio.Parlamentares.Parlamentar"
@@ -80,8 +81,15 @@ def _audited(df: DataFrame, dataset: str, segment: str = SEGMENT, position: str
 
 
 def _placed(df: DataFrame) -> DataFrame:
-    """Source order of rows as read: the upper bits of the row id are the split, ids in it are consecutive."""
-    return df.withColumn(POSITION, F.monotonically_increasing_id()).withColumn(SEGMENT, F.shiftright(POSITION, 33))
+    """Source order of rows as read: documents by path, then the records as they stand in them.
+
+    A document is read by one task, so its row ids are consecutive. Rows that don't come from
+    documents count by split, the upper bits of the row id.
+    """
+    numbered = df.withColumn(POSITION, F.monotonically_increasing_id())
+    if FILE in df.columns:
+        return numbered.withColumnRenamed(FILE, SEGMENT)
+    return numbered.withColumn(SEGMENT, F.shiftright(POSITION, 33))
 
 
 def _flat(df: DataFrame) -> DataFrame:
@@ -106,6 +114,8 @@ def silver_votings(documents: DataFrame) -> DataFrame:
 def silver_votes(documents: DataFrame) -> DataFrame:
     """SLV-18: one row per vote, with the keys of its voting."""
     carry = {"codigo_sessao_votacao": "codigoSessaoVotacao", "codigo_materia": "codigoMateria", "data_sessao": "dataSessao"}
+    if FILE in documents.columns:
+        carry[FILE] = FILE
     return _audited(_placed(unnest(documents, "votos", carry)), "votos")
 
 
@@ -541,7 +551,7 @@ def validate_star(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def measure_registry() -> dict[str, Measure]:
-    """MSR-01..05: the 28 measures, by name."""
+    """MSR-01..05: the 28 measures, by name. The names are fixed values: reports refer to them."""
     spending, bills, votings, votes = "fato_gastos_senadores", "fato_materias", "fato_votacoes", "fato_votos"
     deputies = "fato_gastos_deputados"
     found: dict[str, Measure] = {}

@@ -176,7 +176,7 @@ def competition(tenders: DataFrame, participants: DataFrame, items: DataFrame) -
     both = tenders.join(ranking.summarize(participants, key, sides), key, "left").join(
         ranking.summarize(items, key, {**results, "valor_itens_vencedores": agg.total("valor_item")}), key, "left"
     )
-    filled = {c: F.coalesce(F.col(c), F.lit(0)).cast("int") for c in (*sides, *results)}
+    filled = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in (*sides, *results)}
     filled["valor_itens_vencedores"] = F.coalesce(F.col("valor_itens_vencedores"), F.lit(0.0))
     entrants = F.col("quantidade_participantes")
     return both.withColumns(filled).withColumns(
@@ -217,9 +217,9 @@ def ranking_agencies(tenders: DataFrame, competing: DataFrame) -> DataFrame:
             "media_participantes": agg.mean("quantidade_participantes", 4),
             # The state of an exact median is the distinct participant counts, not the tenders.
             "mediana_participantes": F.median("quantidade_participantes"),
-            "quantidade_baixa_competitividade": agg.count_where("baixa_competitividade").cast("int"),
-            "quantidade_participante_unico": agg.count_where("participante_unico").cast("int"),
-            "quantidade_licitacoes_sigilosas": agg.count_where("licitacao_sigilosa").cast("int"),
+            "quantidade_baixa_competitividade": agg.count_where("baixa_competitividade").cast("bigint"),
+            "quantidade_participante_unico": agg.count_where("participante_unico").cast("bigint"),
+            "quantidade_licitacoes_sigilosas": agg.count_where("licitacao_sigilosa").cast("bigint"),
         },
     )
     both = _low_competition_share(left.join(right, AGENCY, "left"))
@@ -256,7 +256,7 @@ def ranking_modalities(tenders: DataFrame, competing: DataFrame) -> DataFrame:
             "quantidade_orgaos": agg.n_present("codigo_orgao"),
             "valor_total_licitado": agg.total("valor_licitacao"),
             "valor_medio_licitacao": agg.mean("valor_licitacao"),
-            "quantidade_sigilosas": agg.count_where("licitacao_sigilosa").cast("int"),
+            "quantidade_sigilosas": agg.count_where("licitacao_sigilosa").cast("bigint"),
         },
     )
     right = ranking.summarize(
@@ -264,8 +264,8 @@ def ranking_modalities(tenders: DataFrame, competing: DataFrame) -> DataFrame:
         MODALITY,
         {
             "media_participantes": agg.mean("quantidade_participantes", 4),
-            "quantidade_baixa_competitividade": agg.count_where("baixa_competitividade").cast("int"),
-            "quantidade_participante_unico": agg.count_where("participante_unico").cast("int"),
+            "quantidade_baixa_competitividade": agg.count_where("baixa_competitividade").cast("bigint"),
+            "quantidade_participante_unico": agg.count_where("participante_unico").cast("bigint"),
         },
     )
     both = _low_competition_share(left.join(right, MODALITY, "left"))

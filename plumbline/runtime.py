@@ -4,18 +4,15 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-SMALL_ROWS_SETTING = "plumbline.smallRows"
-SMALL_ROWS_DEFAULT = 50_000
-
-
-def small_rows(spark: SparkSession) -> int:
-    """Largest row count one task may order on its own."""
-    return int(spark.conf.get(SMALL_ROWS_SETTING, str(SMALL_ROWS_DEFAULT)))
+# Rows of a side that holds a few numbers per file or split: about 64 MB when broadcast.
+MAP_SIDE_ROWS = 500_000
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder of the session; only a local master without one gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
@@ -31,7 +28,21 @@ def materialize(df: DataFrame) -> DataFrame:
     """Compute once, write to the shared checkpoint folder and cut the lineage.
 
     Rankings and surrogate keys read their input more than once; a reliable checkpoint
-    makes all reads see the same rows, also after an executor is lost.
+    makes all reads see the same rows, also after an executor is lost. The session setting
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` removes it once nothing refers to it.
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def join_small(df: DataFrame, small: DataFrame, on: Column) -> DataFrame:
+    """Inner join with a side of a row per file or split: map-side, so that ``df`` is not moved.
+
+    The side is computed first and its rows are counted; more than ``MAP_SIDE_ROWS`` would not
+    fit beside a task, and moving every row is not what the caller asked for, so that fails.
+    """
+    small = materialize(small)
+    rows = small.count()
+    if rows > MAP_SIDE_ROWS:
+        raise ValueError(f"{rows} files or splits are more than the {MAP_SIDE_ROWS} that a map-side join takes; land fewer, larger files")
+    return df.join(F.broadcast(small), on)

@@ -24,7 +24,8 @@ SETTINGS = {
 
 def build_session(app_name: str = "plumbline", master: str | None = None, **extra: str) -> SparkSession:
     """Create (or get) a session. ``master`` is given in tests only; a cluster sets its own."""
-    builder = SparkSession.builder.appName(app_name)
+    # Checkpoints go when nothing refers to them any more; the setting holds for a whole application.
+    builder = SparkSession.builder.appName(app_name).config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions.text import clean_text, header_name, null_tokens, snake_name
 from plumbline.operators.unions import union_relaxed
+from plumbline.runtime import join_small
 
 CP1252 = "windows-1252"
 UTF8 = "UTF-8"
@@ -22,11 +23,13 @@ def read_delimited(
     columns: list[str] | None = None,
     encoding: str = CP1252,
     strict: bool = True,
-    multi_line: bool = False,
+    breaks: bool = True,
 ) -> DataFrame:
     """``;`` file with a header, every column text (SRC-01, SRC-03, SRC-04).
 
     ``strict`` fails on a malformed row; otherwise short rows are padded and long ones cut.
+    A quoted value may hold line breaks, so a file is read from its start to its end by one
+    task. Only a source that is declared free of them (``breaks=False``) is split.
     Besides the data there are ``_file``, ``_split`` and ``_place_in_split`` for lineage.
     """
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
@@ -36,7 +39,7 @@ def read_delimited(
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", multi_line)
+        .option("multiLine", breaks)
         .option("enforceSchema", columns is None)
         .option("mode", "FAILFAST" if strict else "PERMISSIVE")
     )
@@ -64,11 +67,11 @@ def data_columns(df: DataFrame) -> list[str]:
 
 
 def with_line_numbers(df: DataFrame, name: str = "linha_arquivo", first: int = 2) -> DataFrame:
-    """Physical line number per file (EXP-28), also for files of many splits.
+    """Record number per file (EXP-28), also for files of many splits; without quoted line breaks it is the line.
 
-    Row ids are consecutive inside a split, so the place in the split is a subtraction. Only
-    one row per split is aggregated, shifted by the earlier splits of its file and joined
-    back; the rows themselves are neither shuffled nor sorted. Call it on a frame as read.
+    Row ids are consecutive inside a split, so the place in the split is a subtraction. The
+    shifts, one row per split, are computed first and joined map-side; the rows themselves are
+    neither shuffled nor sorted, or the call fails. Call it on a frame as read.
     """
     splits = df.groupBy(FILE, SPLIT).agg(F.count(F.lit(1)).alias("_size"), F.min(PLACE).alias("_first"))
     earlier = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
@@ -76,7 +79,7 @@ def with_line_numbers(df: DataFrame, name: str = "linha_arquivo", first: int = 2
     offsets = splits.select(
         F.col(FILE).alias("_f"), F.col(SPLIT).alias("_s"), (before - F.col("_first") + first).alias("_shift")
     )
-    both = df.join(offsets, (F.col(FILE) == F.col("_f")) & (F.col(SPLIT) == F.col("_s")))
+    both = join_small(df, offsets, (F.col(FILE) == F.col("_f")) & (F.col(SPLIT) == F.col("_s")))
     return both.withColumn(name, F.col(PLACE) + F.col("_shift")).drop("_f", "_s", "_shift", SPLIT, PLACE)
 
 
@@ -120,6 +123,11 @@ def row_control(raw: DataFrame, transformed: DataFrame, files: DataFrame) -> Dat
     )
 
 
+def row_control_of(raw: DataFrame, stored: DataFrame, files: DataFrame) -> DataFrame:
+    """``row_control`` of a table that carries its file of origin as ``arquivo_origem`` on both sides."""
+    return row_control(raw.select(F.col("arquivo_origem").alias(FILE)), stored, files)
+
+
 def read_mapped(
     spark: SparkSession,
     path: str,

@@ -1,4 +1,7 @@
-"""JSON sources: paged arrays and nested documents."""
+"""JSON sources: paged arrays and nested documents.
+
+A JSON document is read by one task from its start to its end, which bounds the size of a landed document.
+"""
 
 from __future__ import annotations
 
@@ -23,11 +26,15 @@ def read_pages(spark: SparkSession, folder: str, columns: list[str]) -> DataFram
 
 
 def read_nested(spark: SparkSession, path: str, at: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
-    """A JSON document; ``at`` is the dotted path of the record array (SRC-06)."""
+    """A JSON document; ``at`` is the dotted path of the record array (SRC-06).
+
+    ``_file`` says which document a record comes from; its records keep their order.
+    """
     reader = spark.read.option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.json(path)
+    file = F.col("_metadata.file_path").alias("_file")
     if at is None:
-        return df
-    return df.select(F.explode(at).alias("_record")).select("_record.*")
+        return df.select("*", file)
+    return df.select(F.explode(at).alias("_record"), file).select("_record.*", "_file")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.sources.delimited import file_name
 
-# A file above this size is not loaded as one value; it keeps its line fingerprint.
-WHOLE_FILE_BYTES = 256 * 1024 * 1024
+# The bytes that windows-1252 leaves undefined.
+UNDEFINED_1252 = "[\u0081\u008d\u008f\u0090\u009d]"
+# Line hashes are reduced by this prime, so that their sums by place stay exact in 38 digits.
+PRIME = 1_000_000_007
 
 # The entity names that occur in landed file names, accents and case removed.
 CONTRACT_ENTITIES = {
@@ -54,59 +58,94 @@ def classify(files: DataFrame, entities: dict[str, str]) -> DataFrame:
     )
 
 
+def _landed(spark: SparkSession) -> DataFrameReader:
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv")
+
+
+def _path(c: Column) -> Column:
+    """The path that an address stands for: ``a%20b`` is ``a b``."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def _files(spark: SparkSession, root: str) -> DataFrame:
-    return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    """Every landed file and its size; a file of no bytes is listed, but no reader returns anything of it."""
+    names = [unquote(f).replace("file:///", "file:/", 1) for f in _landed(spark).text(root).inputFiles()]
+    sizes = _landed(spark).format("binaryFile").load(root).select(_path(F.col("_metadata.file_path")).alias("file"), F.col("length").alias("_size"))
+    listed = spark.createDataFrame([(n,) for n in names], "file string").join(sizes, "file", "left")
+    return listed.select("file", F.coalesce("_size", F.lit(0)).cast("bigint").alias("file_size_bytes"))
+
+
+def _line_facts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Per file: content digest and encoding; and its first line. One splittable scan of raw bytes each."""
+    lines = _landed(spark).text(root).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    bytes_ = F.decode(F.col("value").cast("binary"), "ISO-8859-1")
+    digit = F.pmod(F.xxhash64("value"), F.lit(PRIME)).cast("decimal(38,0)")
+    splits = lines.groupBy("file", "_split").agg(
+        F.count(F.lit(1)).cast("decimal(38,0)").alias("n"),
+        F.sum(digit).alias("plain"),
+        F.sum((digit * F.col("_place")).cast("decimal(38,0)")).alias("placed"),
+        F.min("_place").cast("decimal(38,0)").alias("first"),
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"),
+        F.bool_and(~bytes_.rlike(UNDEFINED_1252)).alias("cp1252"),
+    )
+    # A line counts by its place in the file, whatever the splits: its split's earlier lines come on top.
+    earlier = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")
+    places = splits.withColumn("by_place", (F.col("placed") + shift * F.col("plain")).cast("decimal(38,0)"))
+    facts = places.groupBy("file").agg(
+        F.sha2(F.concat_ws(":", *[F.sum(c).cast("decimal(38,0)").cast("string") for c in ("n", "plain", "by_place")]), 256).alias("content_digest"),
+        F.when(F.bool_and("utf8"), "utf-8-sig").when(F.bool_and("cp1252"), "cp1252").otherwise("latin-1").alias("encoding"),
+    )
+    # Only lines of first splits enter, and one of each leaves its task.
+    text = (
+        F.when(F.is_valid_utf8("value"), F.col("value"))
+        .when(~bytes_.rlike(UNDEFINED_1252), F.decode(F.col("value").cast("binary"), "windows-1252"))
+        .otherwise(bytes_)
     )
+    heads = lines.where("_split = 0 and length(value) > 0").groupBy("file").agg(F.min_by(text, "_place").alias("_header"))
+    return facts.withColumn("file", _path(F.col("file"))), heads.withColumn("file", _path(F.col("file")))
 
 
-def inventory(spark: SparkSession, root: str, entities: dict[str, str] | None = None, encoding: str = "windows-1252") -> DataFrame:
-    """One row per file: size, digest, encoding, header, layout signature, records.
+def inventory(spark: SparkSession, root: str, entities: dict[str, str] | None = None) -> DataFrame:
+    """One row per file: size, content digest, encoding, header, layout signature, records.
 
-    Digest and encoding test load a file as one value, so they are limited by a checked
-    size; records, header and line fingerprint come from a splittable text scan.
+    The digest stands for the lines, their order and number (not the SHA-256 of the file's bytes), so it
+    has one definition for every size. Records are counted by the reader that will read them: a quoted
+    line break doesn't end one. The header is one line.
     """
     spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    listed = _files(spark, root).select(F.col("path").alias("file"), F.col("length").alias("file_size_bytes"))
-    digests = (
-        _files(spark, root)
-        .where(F.col("length") <= WHOLE_FILE_BYTES)
-        .select(
-            F.col("path").alias("file"),
-            F.sha2("content", 256).alias("sha256"),
-            F.when(F.is_valid_utf8(F.col("content").cast("string")), "utf-8-sig").otherwise("cp1252").alias("encoding"),
-        )
-    )
-    # Records are lines here, as in the default reader; blank lines are no records.
-    scan = (
-        spark.read.schema("line string")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("sep", "\u0001")
-        .option("quote", "")
-        .option("encoding", encoding)
+    listed = _files(spark, root)
+    facts, heads = _line_facts(spark, root)
+    records = (
+        _landed(spark)
+        .schema("c string")
+        .option("sep", ";")
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("multiLine", True)
+        .option("encoding", "ISO-8859-1")
         .csv(root)
-        .select("line", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
-                F.monotonically_increasing_id().alias("_place"))
-    )
-    # Numbers only, so that the aggregate hashes; the header line itself is joined back by its place.
-    lines = scan.groupBy("file").agg(
-        F.count(F.lit(1)).alias("_lines"),
-        F.sum(F.xxhash64("line").cast("decimal(20,0)")).cast("string").alias("line_fingerprint"),
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.count(F.lit(1)).alias("_records"))
+        .withColumn("file", _path(F.col("file")))
     )
-    first = scan.where("_split = 0").groupBy("file").agg(F.min("_place").alias("_place"))
-    headers = scan.join(first, ["file", "_place"]).select("file", F.col("line").alias("_header"))
     header = F.split(F.ltrim(F.regexp_replace("_header", "[\"\ufeff]", "")), ";")
+    empty = F.sha2(F.lit("0"), 256)
     out = (
-        listed.join(digests, "file", "left")
-        .join(lines, "file", "left")
-        .join(headers, "file", "left")
+        listed.join(facts, "file", "left")
+        .join(records, "file", "left")
+        .join(heads, "file", "left")
+        .withColumn("content_digest", F.coalesce("content_digest", empty))
+        .withColumn("encoding", F.coalesce("encoding", F.lit("utf-8-sig")))
         .withColumn("columns", header)
-        .withColumn("record_count", F.greatest(F.coalesce("_lines", F.lit(0)) - 1, F.lit(0)))
+        .withColumn("record_count", F.greatest(F.coalesce("_records", F.lit(0)) - 1, F.lit(0)))
         .withColumn("column_count", F.when(F.col("columns").isNotNull(), F.size("columns")).otherwise(0))
         .withColumn("layout_signature", F.sha2(F.concat_ws("|", F.coalesce("columns", F.array().cast("array<string>"))), 256))
         .withColumn("empty_file", F.col("record_count") == 0)
-        .drop("_lines", "_header")
+        .drop("_records", "_header")
     )
     return classify(out, entities) if entities else out
 

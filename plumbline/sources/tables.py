@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,23 +65,60 @@ def write_dataset(
 
 
 MANIFEST_SCHEMA = (
-    "subject string, layer string, dataset string, record_count bigint, column_count int, "
-    "columns array<string>, path string, approved boolean, notes array<string>"
+    "run_id string, subject string, layer string, dataset string, record_count bigint, column_count int, "
+    "columns array<string>, path string, approved boolean, notes array<string>, "
+    "upstream string, first_period string, last_period string, input_rows bigint, removed_rows bigint"
 )
+CONTROL_SCHEMA = "dataset string, file string, period string, input_rows bigint, output_rows bigint, run_id string"
+
+
+def new_run_id() -> str:
+    """Run ids sort by the time of the run."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
 def write_manifest(
-    spark: SparkSession, root: str, subject: str, layer: str, outputs: list[dict], approved: bool, notes: list[str] | None = None
-) -> DataFrame:
-    """Control rows of a run, one per dataset written (SNK-03)."""
-    rows = [(subject, layer, o["dataset"], o["record_count"], o["column_count"], o["columns"], o["path"], approved, notes or []) for o in outputs]
+    spark: SparkSession, root: str, subject: str, layer: str, outputs: list[dict], approved: bool, notes: list[str] | None = None,
+    run_id: str | None = None, upstream: str | None = None, periods: tuple[str, str] | None = None, control: DataFrame | None = None,
+) -> DataFrame:
+    """Control rows of a run, one per dataset written, added to those of earlier runs (SNK-03).
+
+    ``upstream`` is the run of the layer that was read. ``control`` has the rows in and out per dataset and
+    landed file (SRC-10): it is kept beside the manifest and gives its input and removed rows.
+    """
+    run_id = run_id or new_run_id()
+    first, last = periods or (None, None)
+    rows = [
+        (run_id, subject, layer, o["dataset"], o["record_count"], o["column_count"], o["columns"], o["path"], approved, notes or [], upstream, first, last, None, None)
+        for o in outputs
+    ]
     manifest = spark.createDataFrame(rows, MANIFEST_SCHEMA)
-    manifest.coalesce(1).write.mode("overwrite").json(f"{root}/_control/{layer}")
-    return manifest
+    if control is not None:
+        control.withColumn("run_id", F.lit(run_id)).write.mode("append").json(f"{root}/_control/{layer}_files")
+        read = read_file_control(spark, root, layer).groupBy("dataset").agg(F.sum("input_rows").alias("_in"))
+        manifest = manifest.join(read, "dataset", "left").select(
+            *[c for c in manifest.columns if c not in ("input_rows", "removed_rows")],
+            F.col("_in").alias("input_rows"),
+            (F.col("_in") - F.col("record_count")).alias("removed_rows"),
+        )
+    manifest.coalesce(1).write.mode("append").json(f"{root}/_control/{layer}")
+    return read_manifest(spark, root, layer)
+
+
+def _newest_run(df: DataFrame) -> DataFrame:
+    newest = df.agg(F.max("run_id").alias("r")).first()["r"]
+    return df.where(F.col("run_id") == newest)
+
+
+def read_manifest(spark: SparkSession, root: str, layer: str, all_runs: bool = False) -> DataFrame:
+    """Control rows of the newest run, or of all."""
+    found = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_control/{layer}")
+    return found if all_runs else _newest_run(found)
 
 
-def read_manifest(spark: SparkSession, root: str, layer: str) -> DataFrame:
-    return spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_control/{layer}")
+def read_file_control(spark: SparkSession, root: str, layer: str) -> DataFrame:
+    """Rows in and out per landed file of the newest run."""
+    return _newest_run(spark.read.schema(CONTROL_SCHEMA).json(f"{root}/_control/{layer}_files"))
 
 
 # What counts as a published mart, and the side folders that are not.

@@ -95,7 +95,7 @@ _GRANT_SOURCE = """
   SELECT l_orderkey * 8 + l_linenumber AS linha_arquivo, CAST((1995 + l_suppkey % 5) * 10000 + l_suppkey % 300 AS STRING) AS codigo_emenda,
     CAST(l_orderkey % 4000 AS STRING) AS numero_convenio, 'CONVENENTE ' || CAST(l_orderkey % 120 AS STRING) AS convenente,
     CAST(l_shipdate AS DATE) AS data_publicacao_convenio, l_extendedprice AS valor_convenio
-  FROM {lineitem} WHERE l_returnflag = 'A'"""
+  FROM {lineitem}"""
 
 
 @query(

@@ -26,24 +26,11 @@ _SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read once; a table of fewer files than cores is spread.
-
-    A file of one row group is one task however many rows it has, so on the small test
-    tables everything after the scan would run on one core. A table of many files is
-    left as its files are.
-    """
+    """A given table, as its files are. Its schema is read once."""
     path = f"{sf_dir}/{name}.parquet"
     if path not in _SCHEMAS:
         _SCHEMAS[path] = spark.read.parquet(path).schema
-    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if name in _SPREAD and len(df.inputFiles()) < cores:
-        return df.repartition(cores, _SPREAD[name])
-    return df
-
-
-# The fact-like tables and a column with many values.
-_SPREAD = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def staged(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
@@ -179,8 +166,9 @@ def first(x: str, order: str) -> str:
 
 
 def sha(*columns: str) -> str:
-    parts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in columns)
-    return f"sha256(concat_ws('|', {parts}))"
+    """Each part by its length and text, null by a sign of its own."""
+    parts = (f"coalesce(CAST(length(CAST({c} AS VARCHAR)) AS VARCHAR) || ':' || CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"sha256({' || '.join(parts)})"
 
 
 def has(x: str, *stems: str) -> str:

@@ -73,12 +73,12 @@ STAGE_TERMS = f"""
     CASE l_partkey % 5 WHEN 0 THEN 'PRORROGA o prazo' WHEN 1 THEN 'Reajuste anual' WHEN 2 THEN 'Acréscimo de itens'
       WHEN 3 THEN 'supressao e revisão' ELSE NULL END AS objeto,
     {_lineage("l_shipdate", "TermoAditivo")}
-  FROM {{lineitem}} WHERE l_returnflag = 'R'"""
+  FROM {{lineitem}}"""
 
 STAGE_APOSTILLES = f"""
   SELECT {_group("l_orderkey")}, CAST(l_linenumber AS STRING) AS numero_apostilamento, l_extendedprice AS valor_apostilamento,
     {_lineage("l_shipdate", "Apostilamento")}
-  FROM {{lineitem}} WHERE l_returnflag = 'N' AND l_linenumber = 1"""
+  FROM {{lineitem}}"""
 
 GROUP_KEY = "coalesce(codigo_ug, 'SEM_UG') || '|' || coalesce(numero_contrato, 'SEM_CONTRATO')"
 SILVER_CONTRACTS = f"""
@@ -380,7 +380,7 @@ def _quality(spark: SparkSession, sf: str) -> DataFrame:
     return recipe.quality({name: materialize(df) for name, df in silver_tables(spark, sf).items()})
 
 
-_NOTE = "Valor negativo preservado conforme publicado pela fonte."
+_NOTE = "Há valor abaixo de zero."
 
 
 def _neg(dataset: str, column: str, source: str, blocking: bool) -> str:

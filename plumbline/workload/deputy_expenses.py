@@ -188,15 +188,15 @@ _ROWS = [
     _row("expense_year_valid", cnt(f"ano_despesa NOT IN ({', '.join(map(str, YEARS))})"), "error"),
     _row("expense_month_valid", cnt("mes_despesa NOT BETWEEN 1 AND 12"), "error"),
     _row("movement_type_valid", cnt("tipo_movimento NOT IN ('DESPESA', 'ESTORNO_AEREO', 'ESTORNO_OU_AJUSTE')"), "error"),
-    _row("negative_net_rows", cnt("valor_liquido < 0"), "warning", "Valores negativos foram preservados como estornos ou ajustes."),
+    _row("negative_net_rows", cnt("valor_liquido < 0"), "warning", "Há líquidos abaixo de zero; seguem na tabela."),
     _row("negative_outside_airfare", cnt("valor_liquido < 0 AND codigo_tipo_despesa NOT IN (998, 999)"), "warning",
-         "Movimentos negativos fora das subcotas 998 e 999 devem ser auditados."),
+         "Líquido abaixo de zero em subcota que não é 998 nem 999: conferir."),
     _row("institutional_beneficiaries", cnt("tipo_beneficiario = 'LIDERANCA_OU_ORGAO'"), "warning",
-         "Lideranças partidárias e órgãos foram preservados separadamente."),
+         "Nem todo beneficiário é parlamentar."),
     _row("missing_issue_dates", "(count(*) - count(data_emissao))", "warning"),
     _row("missing_supplier_documents", "(count(*) - count(documento_fornecedor))", "warning"),
     _row("financially_inconsistent_rows", cnt("NOT financeiro_consistente"), "warning",
-         "Registros com diferença entre documento, glosa e líquido foram preservados."),
+         "Documento menos glosa difere do líquido nestas linhas."),
     _row("expense_key_unique", cnt("n > 1"), "error", source="k"),
     _row("record_count_matches_unique_keys", "sum(n - 1)", "error", source="k"),
 ]

@@ -9,7 +9,7 @@ from plumbline.functions import dates, keys, numbers, text
 from plumbline.functions.nested import flatten, unnest
 from plumbline.operators import dimensions, unions
 from plumbline.operators.typing import retype_existing
-from plumbline.workload.base import has, pct, query, staged, table
+from plumbline.workload.base import has, pct, query, sha, staged, table
 
 NBSP = " "
 
@@ -254,13 +254,11 @@ query(
     .select(keys.keyed(ug="SEM_UG", n="SEM_CONTRATO").alias("chave"))
     .distinct()
 )
-query(
-    "exp_21_content_hash",
-    "SELECT c_custkey, sha256(CAST(c_custkey AS VARCHAR) || '|' || coalesce(CASE WHEN c_custkey % 3 <> 0 THEN c_name END, '') || '|' || c_mktsegment) AS h FROM {customer}",
-)(
-    lambda s, d: (
-        lambda df: df.select("c_custkey", keys.content_hash(df, ["c_custkey", "nome", "ausente", "c_mktsegment"]).alias("h"))
-    )(table(s, d, "customer").withColumn("nome", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name"))))
+# Each customer twice; the two differ only in where a bar stands.
+_BARS = """SELECT c_custkey, 1 AS n, CASE WHEN c_custkey % 3 <> 0 THEN c_name || '|x' END AS nome, c_mktsegment AS segmento FROM {customer}
+    UNION ALL SELECT c_custkey, 2, CASE WHEN c_custkey % 3 <> 0 THEN c_name ELSE '' END, CASE WHEN c_custkey % 3 <> 0 THEN 'x|' ELSE '' END || c_mktsegment FROM {customer}"""
+query("exp_21_content_hash", f"SELECT c_custkey, n, {sha('c_custkey', 'nome', 'segmento')} AS h FROM ({_BARS})", wide=("n",))(
+    lambda s, d: (lambda df: df.select("c_custkey", "n", keys.content_hash(df, ["c_custkey", "nome", "ausente", "segmento"]).alias("h")))(staged(s, d, _BARS))
 )
 query(
     "exp_22_23_conditional_key",

@@ -28,10 +28,10 @@ def scratch(spark: SparkSession) -> str:
 
 
 def _write_text(df: DataFrame, path: str, encoding: str) -> None:
-    df.write.option("sep", ";").option("header", True).option("encoding", encoding).option("quoteAll", True).csv(path)
+    df.write.option("sep", ";").option("header", True).option("encoding", encoding).option("quoteAll", True).option("escape", '"').csv(path)
 
 
-_PEOPLE = """SELECT c_custkey AS codigo, 'São ' || c_name AS nome, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'Não' END AS situacao, c_acctbal AS valor FROM {customer}"""
+_PEOPLE = """SELECT c_custkey AS codigo, CASE WHEN c_custkey % 5 = 0 THEN 'São "' || c_name || '"' || chr(10) || 'linha dois; fim' ELSE 'São ' || c_name END AS nome, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'Não' END AS situacao, c_acctbal AS valor FROM {customer}"""
 
 
 def _landed(spark: SparkSession, sf: str, encoding: str) -> str:
@@ -53,16 +53,31 @@ def _typed(df: DataFrame) -> DataFrame:
 query("src_01_cp1252_delimited", _PEOPLE)(
     lambda s, d: _typed(delimited.normalized_headers(delimited.read_delimited(s, _landed(s, d, delimited.CP1252))))
 )
-query("src_03_tolerant_utf8_delimited", _PEOPLE)(
-    lambda s, d: _typed(delimited.normalized_headers(delimited.read_delimited(s, _landed(s, d, delimited.UTF8), encoding=delimited.UTF8, strict=False)))
+@query(
+    "src_03_tolerant_utf8_delimited",
+    _PEOPLE
+    + """ UNION ALL SELECT s_suppkey + 1000000, 'F ' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 2 = 1 THEN 'x' END,
+    CASE WHEN s_suppkey % 2 = 1 THEN 1.5 END FROM {supplier}""",
 )
+def tolerant(spark: SparkSession, sf: str) -> DataFrame:
+    """The people, and a file whose rows are too short or too long: padded with null, cut."""
+    path = _landed(spark, sf, delimited.UTF8)
+    lines = staged(
+        spark, sf,
+        """SELECT 'Código;Nome;Situação;Valor (R$)' AS value UNION ALL
+        SELECT CAST(s_suppkey + 1000000 AS STRING) || ';F ' || CAST(s_suppkey AS STRING) || CASE WHEN s_suppkey % 2 = 1 THEN ';x;1,50;sobra' ELSE '' END FROM {supplier}""",
+    )
+    lines.coalesce(1).write.mode("append").text(path)
+    return _typed(delimited.normalized_headers(delimited.read_delimited(spark, path, encoding=delimited.UTF8, strict=False)))
+
+
 query("src_07_snake_cased_utf8", _PEOPLE)(lambda s, d: _typed(delimited.read_snake_cased(s, _landed(s, d, delimited.UTF8))))
 
 
 @query(
     "src_02_14_mapped_history_file",
     """SELECT CAST(2000 + l_linenumber AS VARCHAR) || CAST(l_orderkey AS VARCHAR) AS codigo_emenda, CAST(NULL AS VARCHAR) AS favorecido,
-    CASE WHEN l_partkey % 2 = 0 THEN NULL ELSE 'Associação' END AS natureza_juridica, l_extendedprice AS valor FROM {lineitem} WHERE l_linenumber <= 2""",
+    CASE WHEN l_partkey % 2 = 0 THEN NULL ELSE 'Associação' END AS natureza_juridica, l_extendedprice AS valor FROM {lineitem}""",
 )
 def mapped_history(spark: SparkSession, sf: str) -> DataFrame:
     """A windows-1252 history file with its mandatory headers and three spellings of no value."""
@@ -70,7 +85,7 @@ def mapped_history(spark: SparkSession, sf: str) -> DataFrame:
     source = staged(
         spark, sf,
         """SELECT CAST(2000 + l_linenumber AS STRING) || CAST(l_orderkey AS STRING) AS codigo, CASE WHEN l_orderkey % 2 = 0 THEN 'S/I' ELSE 'Sem informação' END AS f,
-        CASE WHEN l_partkey % 2 = 0 THEN '' ELSE 'Associação' END AS nj, l_extendedprice AS v FROM {lineitem} WHERE l_linenumber <= 2""",
+        CASE WHEN l_partkey % 2 = 0 THEN '' ELSE 'Associação' END AS nj, l_extendedprice AS v FROM {lineitem}""",
     )
     filled = {h: F.lit("1") for h in headers} | {
         "Código da Emenda": F.col("codigo"),
@@ -110,13 +125,13 @@ query("exp_27_source_lineage", "SELECT count(*) AS linhas, TRUE AS com_arquivo F
 def nested_document(spark: SparkSession, sf: str) -> DataFrame:
     """Events as nested JSON records, read with a schema and drilled to the array."""
     path = scratch(spark)
-    events = table(spark, sf, "events").select(
-        F.struct(F.array(F.struct("event_id", F.from_json("props", "k int").alias("props"))).alias("Evento")).alias("Lista")
-    )
-    events.write.json(path)
-    read = spark.read.schema("Lista struct<Evento:array<struct<event_id:bigint,props:struct<k:int>>>>").json(path)
-    record = read.select(F.explode("Lista.Evento").alias("r"))
-    return record.select(F.col("r.event_id").alias("id"), F.col("r.props.k").alias("k"))
+    record = F.struct("event_id", F.from_json("props", "k int").alias("props"))
+    # A document holds a few thousand events and is a file of its own.
+    held = table(spark, sf, "events").groupBy(F.expr("event_id div 4000").alias("n")).agg(F.collect_list(record).alias("Evento"))
+    held.select("n", F.to_json(F.struct(F.struct("Evento").alias("Lista"))).alias("value")).write.partitionBy("n").text(path)
+    schema = "Lista struct<Evento:array<struct<event_id:bigint,props:struct<k:int>>>>"
+    record = documents.read_nested(spark, path, "Lista.Evento", schema)
+    return record.select(F.col("event_id").alias("id"), F.col("props.k").alias("k"))
 
 
 @query("src_08_09_dataset_columns", "SELECT c_custkey, c_mktsegment FROM {customer}")
@@ -145,14 +160,28 @@ def landing_inventory(spark: SparkSession, sf: str) -> DataFrame:
     found = inventory.inventory(spark, _landed(spark, sf, delimited.CP1252))
     return found.agg(
         F.sum("record_count").alias("registros"), F.max("column_count").alias("colunas"),
-        F.count_distinct("layout_signature").alias("layouts"), F.bool_and(F.length("sha256") == 64).alias("com_hash"),
+        F.count_distinct("layout_signature").alias("layouts"), F.bool_and(F.length("content_digest") == 64).alias("com_hash"),
         F.bool_and(F.col("file_size_bytes") > 0).alias("aprovado"),
     )
 
 
-query("pip_06_bronze_approval", "SELECT TRUE AS aprovado FROM {region} LIMIT 1")(
-    lambda s, d: landing_approval(inventory.inventory(s, _landed(s, d, delimited.UTF8))).select(F.col("approved").alias("aprovado"))
+@query(
+    "pip_06_bronze_approval",
+    """SELECT 'inteiro' AS caso, TRUE AS aprovado, count(*) AS registros FROM {customer} UNION ALL SELECT 'vazio', FALSE, count(*) FROM {supplier}""",
 )
+def bronze_approval(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole landing is approved; one with a file of no bytes is not."""
+    out = []
+    for case, name in (("inteiro", "customer"), ("vazio", "supplier")):
+        path = scratch(spark)
+        _write_text(table(spark, sf, name), path, delimited.UTF8)
+        if case == "vazio":
+            place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/empty.csv")
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place).close()
+        found = inventory.inventory(spark, path)
+        verdict = landing_approval(found).select(F.lit(case).alias("caso"), F.col("approved").alias("aprovado"))
+        out.append(verdict.join(found.agg(F.lit(case).alias("caso"), F.sum("record_count").alias("registros")), "caso"))
+    return out[0].unionByName(out[1])
 
 
 @query(

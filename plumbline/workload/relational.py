@@ -73,14 +73,14 @@ query(
 )
 query(
     "jon_07_full_outer_totals",
-    f"""WITH a AS (SELECT year(o_orderdate) AS ano, {tot("o_totalprice")} AS v FROM {{orders}} WHERE o_orderstatus = 'F' AND year(o_orderdate) < 2000 GROUP BY 1),
-    b AS (SELECT year(o_orderdate) AS ano, {tot("o_totalprice")} AS v FROM {{orders}} WHERE o_orderstatus = 'F' AND year(o_orderdate) > 1996 GROUP BY 1),
+    f"""WITH a AS (SELECT year(o_orderdate) AS ano, {tot("o_totalprice")} AS v FROM {{orders}} WHERE year(o_orderdate) < 2000 GROUP BY 1),
+    b AS (SELECT year(o_orderdate) AS ano, {tot("o_totalprice")} AS v FROM {{orders}} WHERE year(o_orderdate) > 1996 GROUP BY 1),
     j AS (SELECT coalesce(a.ano, b.ano) AS ano, coalesce(a.v, 0.0) AS x, coalesce(b.v, 0.0) AS y FROM a FULL JOIN b ON a.ano = b.ano)
     SELECT ano, 'o_totalprice' AS metrica, 'pedidos' AS dataset, x AS valor_silver, y AS valor_gold, round(y - x, 2) AS diferenca, abs(round(y - x, 2)) <= 0.01 AS reconciliado FROM j""",
 )(
     lambda s, d: (
         lambda f: reconcile.by_group(f.where("ano < 2000"), f.where("ano > 1996"), "ano", ["o_totalprice"], "pedidos")
-    )(orders(s, d).where("o_orderstatus = 'F'").withColumn("ano", F.year("o_orderdate").cast("bigint")))
+    )(orders(s, d).withColumn("ano", F.year("o_orderdate").cast("bigint")))
 )
 query(
     "jon_08_anti_join",
@@ -157,7 +157,7 @@ query(
     "agg_14_mode",
     f"""SELECT l_suppkey, l_returnflag AS moda FROM (SELECT l_suppkey, l_returnflag, count(*) AS n FROM ({L}) GROUP BY 1, 2)
     QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY n DESC, l_returnflag) = 1""",
-)(lambda s, d: ranking.summarize(lines(s, d), ["l_suppkey"], {"moda": agg.most_frequent("l_returnflag")}))
+)(lambda s, d: dedup.most_frequent(lines(s, d), ["l_suppkey"], "l_returnflag").withColumnRenamed("l_returnflag", "moda"))
 query(
     "agg_15_global_totals",
     f"SELECT {tot('valor')} AS soma, count(*) - count(valor) AS nulos, {nuni('fornecedor')} AS fornecedores FROM ({L})",
@@ -204,18 +204,16 @@ _PRICED = "SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE o_tot
 query(
     "hrd_1_ranged_global_rank",
     f"SELECT *, {rank('valor')} AS posicao, {rank('nota')} AS posicao_nota FROM ({_PRICED})",
-)(lambda s, d: ranking._ranged_ranks(materialize(staged(s, d, _PRICED)), {"posicao": "valor", "posicao_nota": "nota"}, []))
+)(lambda s, d: ranking.add_ranks(staged(s, d, _PRICED), {"posicao": "valor", "posicao_nota": "nota"}))
 query(
     "hrd_1_ranged_partitioned_rank",
     f"SELECT *, {rank('valor', 'grupo')} AS posicao, {rank('nota', 'grupo')} AS posicao_nota FROM ({_PRICED})",
-)(lambda s, d: ranking._ranged_ranks(materialize(staged(s, d, _PRICED)), {"posicao": "valor", "posicao_nota": "nota"}, ["grupo"]))
+)(lambda s, d: ranking.add_ranks(staged(s, d, _PRICED), {"posicao": "valor", "posicao_nota": "nota"}, ["grupo"]))
 query(
     "hrd_1_ranged_surrogate",
     "SELECT row_number() OVER (ORDER BY p_name, p_partkey) AS id, p_name, p_partkey FROM {part}",
 )(
-    lambda s, d: ranking._positions(
-        materialize(table(s, d, "part").select("p_name", "p_partkey")), [], [F.col("p_name").asc_nulls_first(), F.col("p_partkey").asc_nulls_first()], "id"
-    )
+    lambda s, d: ranking.number_rows(table(s, d, "part").select("p_name", "p_partkey"), "id", ["p_name", "p_partkey"])
 )
 query(
     "win_02_partitioned_dense_rank",
@@ -244,14 +242,26 @@ query("win_04_surrogate_number", "SELECT row_number() OVER (ORDER BY c_name) AS
 
 # ---------------------------------------------------------------- sorting, set operations, duplicates
 
-query("srt_01_mixed_directions", "SELECT o_orderstatus, o_orderkey, o_totalprice FROM {orders} WHERE o_totalprice > 400000")(
-    lambda s, d: table(s, d, "orders")
-    .where("o_totalprice > 400000")
-    .select("o_orderstatus", "o_orderkey", "o_totalprice")
-    .orderBy(F.col("o_orderstatus").asc_nulls_first(), F.col("o_totalprice").desc_nulls_first())
+query(
+    "srt_01_mixed_directions",
+    f"""SELECT situacao, o_orderkey, valor, row_number() OVER (ORDER BY situacao ASC NULLS FIRST, valor DESC NULLS FIRST, o_orderkey) AS posicao
+    FROM (SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderstatus END AS situacao, o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS valor FROM {{orders}})""",
+)(
+    lambda s, d: ranking.positions(
+        table(s, d, "orders").select(
+            F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderstatus")).alias("situacao"), "o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, F.col("o_totalprice")).alias("valor")
+        ),
+        "posicao",
+        [F.col("situacao").asc_nulls_first(), F.col("valor").desc_nulls_first(), F.col("o_orderkey")],
+    )
 )
-query("srt_02_nulls_last", f"SELECT cliente, max(o_totalprice) AS maior FROM ({O}) GROUP BY 1")(
-    lambda s, d: ranking.summarize(orders(s, d), ["cliente"], {"maior": F.max("o_totalprice")}).orderBy(F.col("cliente").desc_nulls_last())
+query(
+    "srt_02_nulls_last",
+    f"SELECT *, row_number() OVER (ORDER BY cliente DESC NULLS LAST) AS posicao FROM (SELECT cliente, max(o_totalprice) AS maior FROM ({O}) GROUP BY 1)",
+)(
+    lambda s, d: ranking.positions(
+        ranking.summarize(orders(s, d), ["cliente"], {"maior": F.max("o_totalprice")}), "posicao", [F.col("cliente").desc_nulls_last()]
+    )
 )
 query("srt_03_schema_frame", "SELECT o_orderkey, o_totalprice FROM {orders} LIMIT 0")(
     lambda s, d: table(s, d, "orders").select("o_orderkey", "o_totalprice").limit(0)
@@ -263,23 +273,29 @@ query("set_01_union_strict", "SELECT s_nationkey AS n FROM {supplier} UNION ALL
 )
 query(
     "set_02_union_relaxed",
-    "SELECT CAST(s_nationkey AS VARCHAR) AS k, CAST(s_suppkey AS DOUBLE) AS v FROM {supplier} UNION ALL SELECT c_name, c_acctbal FROM {customer}",
+    """SELECT CAST(s_nationkey AS VARCHAR) AS k, CAST(s_suppkey AS DOUBLE) AS v, s_acctbal AS m, CAST(DATE '2024-01-31' AS TIMESTAMP) AS t FROM {supplier}
+    UNION ALL SELECT c_name, c_acctbal, round(c_acctbal, 1), TIMESTAMP '2024-02-29 12:30:00' FROM {customer}""",
 )(
     lambda s, d: unions.union_relaxed(
         [
-            table(s, d, "supplier").select(F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v")),
-            table(s, d, "customer").select(F.col("c_name").alias("k"), F.col("c_acctbal").alias("v")),
+            table(s, d, "supplier").select(
+                F.col("s_nationkey").alias("k"), F.col("s_suppkey").alias("v"), F.col("s_acctbal").cast("decimal(18,2)").alias("m"), F.lit("2024-01-31").cast("date").alias("t")
+            ),
+            table(s, d, "customer").select(
+                F.col("c_name").alias("k"), F.col("c_acctbal").alias("v"), F.round("c_acctbal", 1).alias("m"), F.lit("2024-02-29 12:30:00").cast("timestamp_ntz").alias("t")
+            ),
         ]
     )
 )
 query(
     "set_03_union_diagonal",
-    "SELECT s_suppkey AS k, s_name AS nome, CAST(NULL AS VARCHAR) AS segmento FROM {supplier} UNION ALL SELECT c_custkey, NULL, c_mktsegment FROM {customer}",
+    """SELECT CAST(s_suppkey AS DOUBLE) AS k, s_name AS nome, CAST(NULL AS VARCHAR) AS segmento FROM {supplier}
+    UNION ALL SELECT CAST(c_custkey AS DOUBLE), NULL, c_mktsegment FROM {customer}""",
 )(
     lambda s, d: unions.union_relaxed(
         [
             table(s, d, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("nome")),
-            table(s, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segmento")),
+            table(s, d, "customer").select(F.col("c_custkey").cast("decimal(20,2)").alias("k"), F.col("c_mktsegment").alias("segmento")),
         ],
         allow_missing=True,
     )
@@ -323,7 +339,7 @@ query(
 query(
     "dq_17_missing_column_fails",
     """SELECT 'unique_key' AS "check", 'pedidos' AS dataset, 'ausente' AS "key", count(*) AS rows, 'error' AS severity, FALSE AS approved,
-    'Coluna de chave não encontrada: ausente' AS message FROM {orders}""",
+    'Sem a coluna-chave ausente' AS message FROM {orders}""",
 )(lambda s, d: checks.unique_key(table(s, d, "orders"), "pedidos", "ausente"))
 query(
     "rec_01_equal_within_tolerance",

@@ -11,22 +11,22 @@ from plumbline.operators.relationships import Relationship, propagate, validate
 from plumbline.plans import senate as recipe
 from plumbline.runtime import materialize
 from plumbline.workload import deputy_expenses
-from plumbline.workload.base import cnt, nuni, query, rank, staged, table, tot
+from plumbline.workload.base import cnt, nuni, query, rank, sha, staged, table, tot
 
 YEARS = (1998, 1999, 2000)
 
 # ---------------------------------------------------------------- nested documents (Spark only)
 
 DOC_SENATORS = """
-  SELECT named_struct('CodigoParlamentar', CAST(s_suppkey AS STRING), 'NomeParlamentar', ' SENADOR ' || CAST(s_suppkey AS STRING),
+  SELECT named_struct('CodigoParlamentar', CAST(CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey + 5000000 ELSE s_suppkey END AS STRING), 'NomeParlamentar', ' SENADOR ' || CAST(s_suppkey AS STRING),
       'NomeCompletoParlamentar', s_name, 'SiglaPartidoParlamentar', CASE WHEN s_suppkey % 8 = 0 THEN '' ELSE 'P' || CAST(s_suppkey % 8 AS STRING) END,
       'UfParlamentar', 'U' || CAST(s_nationkey AS STRING), 'SexoParlamentar', CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'M' END,
       'Telefones', array(CAST(s_suppkey * 3 AS STRING), CAST(s_suppkey * 7 AS STRING))) AS IdentificacaoParlamentar,
     named_struct('CodigoMandato', 'M' || CAST(s_suppkey + 500 AS STRING),
       'PrimeiraLegislaturaDoMandato', named_struct('NumeroLegislatura', '57', 'DataInicio', '2023-02-01', 'DataFim', 'sem data')) AS Mandato
-  FROM {supplier} WHERE s_suppkey % 3 <> 0"""
+  FROM {supplier}"""
 SENATORS = """
-  SELECT s_suppkey AS identificacao_parlamentar_codigo_parlamentar, 'SENADOR ' || CAST(s_suppkey AS STRING) AS identificacao_parlamentar_nome_parlamentar,
+  SELECT CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey + 5000000 ELSE s_suppkey END AS identificacao_parlamentar_codigo_parlamentar, 'SENADOR ' || CAST(s_suppkey AS STRING) AS identificacao_parlamentar_nome_parlamentar,
     s_name AS identificacao_parlamentar_nome_completo_parlamentar,
     CASE WHEN s_suppkey % 8 = 0 THEN NULL ELSE 'P' || CAST(s_suppkey % 8 AS STRING) END AS identificacao_parlamentar_sigla_partido_parlamentar,
     'U' || CAST(s_nationkey AS STRING) AS identificacao_parlamentar_uf_parlamentar,
@@ -35,7 +35,7 @@ SENATORS = """
     s_suppkey + 500 AS mandato_codigo_mandato, '57' AS mandato_primeira_legislatura_do_mandato_numero_legislatura,
     CAST('2023-02-01' AS DATE) AS mandato_primeira_legislatura_do_mandato_data_inicio,
     CAST(NULL AS DATE) AS mandato_primeira_legislatura_do_mandato_data_fim
-  FROM {supplier} WHERE s_suppkey % 3 <> 0"""
+  FROM {supplier}"""
 DOC_BILLS = """
   SELECT CAST(p_partkey AS STRING) AS Codigo, CAST(p_partkey % 100 AS STRING) AS Numero, CAST(2000 + p_size AS STRING) AS Ano,
     CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE p_brand END AS Sigla, 'Descricao ' || p_brand AS DescricaoIdentificacao,
@@ -138,7 +138,7 @@ query(
     "slv_20_empresas",
     """SELECT c_custkey AS codigo, lpad(CAST(c_custkey AS VARCHAR), 14, '0') AS cnpj_cpf, c_name AS nome, c_custkey + 1 AS linha_origem,
     'empresas_contratadas|' || CAST(c_custkey + 1 AS VARCHAR) AS chave_registro, 'empresas_contratadas' AS dataset,
-    sha256(CAST(c_custkey AS VARCHAR) || '|' || lpad(CAST(c_custkey AS VARCHAR), 14, '0') || '|' || c_name) AS hash_registro FROM {customer}""",
+    """ + sha("c_custkey", "lpad(CAST(c_custkey AS VARCHAR), 14, '0')", "c_name") + " AS hash_registro FROM {customer}",
 )(
     lambda s, d: recipe.silver_companies(
         staged(

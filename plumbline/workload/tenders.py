@@ -40,29 +40,32 @@ STAGE_TENDERS = f"""
     CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE o_totalprice END AS valor_licitacao,
     {_QUARTER.format("o_orderdate")} AS periodo_origem
   FROM {{orders}}"""
+# Some items and participants name a tender that isn't there.
+_ITEM_TENDER = "(CASE WHEN l_linestatus = 'F' THEN l_orderkey ELSE l_orderkey + 700000000 END)"
+_PARTICIPANT_TENDER = "(CASE WHEN l_orderkey % 13 <> 0 THEN l_orderkey ELSE l_orderkey + 800000000 END)"
 STAGE_ITEMS = f"""
-  SELECT {_parts("l_orderkey")}, {_agency("l_orderkey")},
+  SELECT {_parts(_ITEM_TENDER)}, {_agency(_ITEM_TENDER)},
     CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE CAST(l_linenumber AS STRING) END AS codigo_item_compra,
     'DESC ' || l_returnflag AS descricao, l_quantity AS quantidade_item,
     CASE WHEN l_partkey % 71 = 0 THEN NULL ELSE l_extendedprice END AS valor_item,
     CASE WHEN l_suppkey % 17 = 0 THEN '-11' WHEN l_suppkey % 19 = 0 THEN NULL ELSE CAST(l_suppkey AS STRING) END AS codigo_vencedor,
     CASE WHEN l_suppkey % 17 = 0 THEN 'Sigiloso' ELSE 'FORNECEDOR ' || CAST(l_suppkey AS STRING) END AS nome_vencedor,
     {_QUARTER.format("l_shipdate")} AS periodo_origem
-  FROM {{lineitem}} WHERE l_linestatus = 'F'"""
+  FROM {{lineitem}}"""
 STAGE_PARTICIPANTS = f"""
-  SELECT {_parts("l_orderkey")}, {_agency("l_orderkey")},
+  SELECT {_parts(_PARTICIPANT_TENDER)}, {_agency(_PARTICIPANT_TENDER)},
     CASE WHEN l_partkey % 61 = 0 THEN NULL WHEN l_linenumber = 7 THEN '0' ELSE CAST(l_linenumber AS STRING) END AS codigo_item_compra,
     'ITEM ' || l_linestatus AS descricao_item_compra,
     CASE WHEN l_partkey % 17 = 0 THEN '-11' WHEN l_partkey % 23 = 0 THEN NULL ELSE CAST(l_partkey % 500 AS STRING) END AS codigo_participante,
     CASE WHEN l_partkey % 17 = 0 THEN 'SIGILOSO' ELSE 'EMPRESA ' || CAST(l_partkey % 500 AS STRING) END AS nome_participante,
     CASE l_returnflag WHEN 'A' THEN 'Sim' WHEN 'R' THEN 'Não' ELSE NULL END AS flag_vencedor,
     {_QUARTER.format("l_shipdate")} AS periodo_origem
-  FROM {{lineitem}} WHERE l_orderkey % 13 <> 0"""
+  FROM {{lineitem}}"""
 STAGE_COMMITMENTS = f"""
   SELECT {_parts("l_orderkey")}, CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE 'E' || CAST(l_partkey AS STRING) END AS codigo_empenho,
     CAST(l_shipdate AS DATE) AS data_emissao_empenho, 'OBS ' || l_returnflag AS observacao_empenho, l_extendedprice AS valor_empenho_r,
     {_QUARTER.format("l_shipdate")} AS periodo_origem
-  FROM {{lineitem}} WHERE l_linenumber <= 2"""
+  FROM {{lineitem}}"""
 
 KEY = "coalesce(codigo_ug, 'SEM_UG') || '|' || coalesce(codigo_modalidade_compra, 'SEM_MODALIDADE') || '|' || coalesce(numero_licitacao, 'SEM_NUMERO')"
 ITEM_KEY = f"{KEY} || '|' || coalesce(codigo_item_compra, 'SEM_ITEM')"
@@ -285,7 +288,7 @@ query(
 _NEG = " UNION ALL ".join(
     f"""SELECT 'negative_values' AS "check", 'x' AS dataset, '{c}' AS "column", {cnt(f"{c} < 0")} AS negative_rows,
     CASE WHEN {cnt(f"{c} < 0")} > 0 THEN 'error' ELSE 'info' END AS severity, {cnt(f"{c} < 0")} = 0 AS approved,
-    CASE WHEN {cnt(f"{c} < 0")} > 0 THEN 'Valor negativo preservado conforme publicado pela fonte.' END AS message FROM s"""
+    CASE WHEN {cnt(f"{c} < 0")} > 0 THEN 'Há valor abaixo de zero.' END AS message FROM s"""
     for c in ("duracao_processo_dias", "valor_licitacao")
 )
 
@@ -293,7 +296,7 @@ _NEG = " UNION ALL ".join(
 @query(
     "dq_04_negative_values",
     f"""WITH s AS ({SILVER_TENDERS}) {_NEG}
-    UNION ALL SELECT 'negative_values', 'x', 'ausente', NULL, 'error', FALSE, 'Coluna não encontrada: ausente'""",
+    UNION ALL SELECT 'negative_values', 'x', 'ausente', NULL, 'error', FALSE, 'Sem a coluna ausente'""",
 )
 def negative_values(spark: SparkSession, sf: str) -> DataFrame:
     return checks.negative_values(tenders(spark, sf), "x", ["duracao_processo_dias", "valor_licitacao", "ausente"])
@@ -406,11 +409,16 @@ _TIES = {
 }
 
 
+# Items of tenders that aren't there are in the Silver total, and in no tender's.
+_NO_STRAYS = "NOT EXISTS (SELECT 1 FROM i WHERE chave_licitacao NOT IN (SELECT chave_licitacao FROM l))"
+
+
 @query(
     "rec_03_tenders",
     f"WITH l AS ({SILVER_TENDERS}), i AS ({SILVER_ITEMS}), w AS (SELECT * FROM i WHERE vencedor_identificado) "
     + " UNION ALL ".join(
-        f"""SELECT '{name}' AS "check", CAST(({sql}) AS DOUBLE) AS silver_value, TRUE AS approved""" for name, sql in _TIES.items()
+        f"""SELECT '{name}' AS "check", CAST(({sql}) AS DOUBLE) AS silver_value, {_NO_STRAYS if name == "valor_itens_concorrencia" else "TRUE"} AS approved"""
+        for name, sql in _TIES.items()
     ),
 )
 def reconcile_tenders(spark: SparkSession, sf: str) -> DataFrame:

@@ -57,7 +57,9 @@ def test_keys(spark):
     import hashlib
 
     got = [r[0] for r in df.select(keys.content_hash(df, ["ug", "zz", "n"])).collect()]
-    assert got[0] == hashlib.sha256(b"UG1|").hexdigest()
+    assert got[0] == hashlib.sha256(b"3:UG1-").hexdigest()
+    alike = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("", None), (None, ""), ("1:", "-")], "ug string, n string")
+    assert alike.select(keys.content_hash(alike, ["ug", "n"]).alias("h")).distinct().count() == 5
     assert df.select(keys.content_hash(df, ["zz"])).first()[0] == hashlib.sha256(b"").hexdigest()
 
 

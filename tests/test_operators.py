@@ -3,22 +3,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from plumbline.operators import checks, dedup, dimensions, gates, measures, ranking, reconcile, unions
 from plumbline.operators.relationships import Relationship, propagate, validate
-from plumbline.runtime import SMALL_ROWS_SETTING
 from tests.conftest import rows
 
 
-@pytest.fixture
-def ranged(spark):
-    """Force the distributed path."""
-    spark.conf.set(SMALL_ROWS_SETTING, "0")
-    yield
-    spark.conf.unset(SMALL_ROWS_SETTING)
-
-
 def test_latest_period_wins(spark):
     df = spark.createDataFrame([("a", "202501", 1), ("a", "202503", 2), ("b", "202502", 3)], "k string, periodo_origem string, v int")
     kept = dedup.keep_latest(df, ["k"])
@@ -53,12 +45,9 @@ EXPECTED = (
 )
 
 
-def test_dense_rank_small(spark):
-    assert ranks(spark) == EXPECTED
-
-
-def test_dense_rank_ranged(spark, ranged):
+def test_dense_rank(spark):
     assert ranks(spark) == EXPECTED
+    assert dict(ranking.add_ranks(spark.range(3), {"r": "id"}).dtypes)["r"] == "bigint"
 
 
 def test_ranged_rank_equals_window_with_one_hot_value(spark):
@@ -68,13 +57,18 @@ def test_ranged_rank_equals_window_with_one_hot_value(spark):
         F.when(F.col("id") % 3 == 1, F.lit(5.0)).otherwise((F.col("id") * 37 % 1999).cast("double")).alias("v"),
         "id",
     )
-    small = rows(ranking.add_ranks(df, {"r": "v", "q": "id"}, ["g"]))
-    spark.conf.set(SMALL_ROWS_SETTING, "10")
-    try:
-        large = rows(ranking.add_ranks(df, {"r": "v", "q": "id"}, ["g"]))
-    finally:
-        spark.conf.unset(SMALL_ROWS_SETTING)
-    assert small == large
+    window = Window.partitionBy("g")
+    want = df.withColumns({n: F.dense_rank().over(window.orderBy(F.desc(c))).cast("bigint") for n, c in (("r", "v"), ("q", "id"))})
+    assert rows(ranking.add_ranks(df, {"r": "v", "q": "id"}, ["g"])) == rows(want)
+
+
+def test_numbers_follow_segments_in_order(spark):
+    """Segments of very different sizes, rows dealt at random; positions start anywhere."""
+    sizes = [1, 500, 0, 3, 70, 1, 1]
+    data = [(f"f{i}", 1000 * i + 5 + j) for i, n in enumerate(sizes) for j in range(n)]
+    df = spark.createDataFrame(data, "seg string, pos long").repartition(5, "pos")
+    got = ranking.number_in_source_order(df, "n", "seg", "pos").collect()
+    assert {(r.seg, r.pos): r.n for r in got} == {key: i for i, key in enumerate(data, 1)}
 
 
 def concentrated(spark):
@@ -85,26 +79,16 @@ def concentrated(spark):
     return rows(out)
 
 
-def test_concentration_both_paths(spark):
-    small = concentrated(spark)
-    assert small == sorted(
+def test_concentration(spark):
+    assert concentrated(spark) == sorted(
         [("a", "x", 30.0, 40.0, 75.0, 1), ("a", "y", 10.0, 40.0, 25.0, 2), ("b", "x", 0.0, 0.0, None, 1), (None, "x", 5.0, 5.0, 100.0, 1)], key=str
     )
-    spark.conf.set(SMALL_ROWS_SETTING, "0")
-    try:
-        assert concentrated(spark) == small
-    finally:
-        spark.conf.unset(SMALL_ROWS_SETTING)
 
 
 def test_surrogates_are_stable(spark):
     df = spark.range(500).select(F.concat(F.lit("n"), F.col("id")).alias("nome"))
     a = rows(ranking.number_rows(df, "id", ["nome"]))
-    spark.conf.set(SMALL_ROWS_SETTING, "0")
-    try:
-        b = rows(ranking.number_rows(df.repartition(7), "id", ["nome"]))
-    finally:
-        spark.conf.unset(SMALL_ROWS_SETTING)
+    b = rows(ranking.number_rows(df.repartition(7), "id", ["nome"]))
     assert a == b and sorted(r[0] for r in a) == list(range(1, 501))
 
 
@@ -127,6 +111,12 @@ def test_unions(spark):
     with pytest.raises(ValueError, match="Schemas differ"):
         unions.union_strict([a, b])
     assert rows(unions.union_relaxed([a, b], allow_missing=True)) == [(1.0, "x"), (2.5, None)]
+    one = spark.sql("select 1.50bd as m, date'2024-01-31' as d, 7 as n")
+    two = spark.sql("select 2.25d as m, timestamp_ntz'2024-02-01 10:00:00' as d, 1.5bd as n")
+    kinds = dict(unions.union_relaxed([one, two]).dtypes)
+    assert (kinds["m"], kinds["d"], kinds["n"].startswith("decimal")) == ("double", "timestamp_ntz", True)
+    with pytest.raises(TypeError, match="no common type"):
+        unions.union_relaxed([spark.sql("select true as x"), spark.sql("select array(1) as x")])
     assert dict(unions.void_to_string(a.withColumn("n", F.lit(None))).dtypes)["n"] == "string"
 
 

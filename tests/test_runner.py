@@ -3,11 +3,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.operators.gates import GateError
 from plumbline.plans import amendments, chamber, contracts, deputy_expenses, runner, senate
+from plumbline.runtime import materialize
 from plumbline.sources import delimited
-from plumbline.sources.tables import read_dataset
+from plumbline.sources.tables import read_dataset, read_file_control, read_manifest
 from tests.conftest import rows
 
 
@@ -53,7 +55,7 @@ def test_contracts_end_to_end(spark, tmp_path, contract_files):
     runner.run_silver_contracts(spark, str(contract_files), silver, "202501", "202502")
     quality = runner.run_quality(spark, "contratos", silver)
     assert quality.where("not approved").count() == 0
-    runner.run_gold(spark, "contratos", silver, gold, quality)
+    runner.run_gold(spark, "contratos", silver, gold)
     summary = {r["numero_contrato"]: r for r in read_dataset(spark, gold, "contratos_atuais_resumo").collect()}
     c1 = summary["C1"]
     assert (c1["quantidade_registros_atuais"], c1["valor_final_total_grupo"], c1["quantidade_itens_identificados"]) == (2, 1500.5, 1)
@@ -67,6 +69,33 @@ def test_contracts_end_to_end(spark, tmp_path, contract_files):
     assert read_dataset(spark, f"{gold}/dimensions", "dim_tempo").count() == 59
     catalog = runner.run_publish(spark, "contratos", gold, pub, checks)
     assert catalog.where("ok").count() == 8 + 6
+    manifest = {r["dataset"]: r for r in read_manifest(spark, silver, "silver").collect()}
+    found = manifest["contratos_historico"]
+    assert (found["first_period"], found["last_period"], found["input_rows"], found["record_count"], found["removed_rows"]) == ("202501", "202502", 4, 4, 0)
+    assert (manifest["itens_contrato"]["input_rows"], manifest["itens_contrato"]["removed_rows"]) == (3, 0)
+    control = read_file_control(spark, silver, "silver").where("dataset = 'apostilamentos'")
+    assert rows(control.select("period", "input_rows", "output_rows")) == [("202502", 0, 0)]
+    # Gold is made anew: its dimensions are older, publishing is refused; and every run keeps its rows.
+    runner.run_gold(spark, "contratos", silver, gold)
+    assert read_manifest(spark, gold, "gold", all_runs=True).select("run_id").distinct().count() == 2
+    with pytest.raises(GateError, match="older"):
+        runner.run_publish(spark, "contratos", gold, pub, checks)
+
+
+def test_failed_quality_stops_gold(spark, tmp_path, contract_files):
+    silver = str(tmp_path / "silver")
+    put(contract_files / "202502_ItemCompra.csv", ITEM_HEADER, [["10", "ORG", "UG1", "Unidade", "C1", "77", "Item", "", "3", "x"]] * 1)
+    runner.run_silver_contracts(spark, str(contract_files), silver, "202501", "202502")
+    broken = read_dataset(spark, silver, "contratos_historico").withColumn("chave_registro_contrato", F.lit(None).cast("string"))
+    runner.write_layer({**runner.read_layer(spark, silver, "silver"), "contratos_historico": materialize(broken)}, f"{silver}2", "contratos_federais", "silver")
+    with pytest.raises(GateError, match="quality"):
+        runner.run_gold(spark, "contratos", f"{silver}2", str(tmp_path / "gold"))
+
+
+def test_an_empty_file_stops_silver(spark, tmp_path, contract_files):
+    (contract_files / "202502_Compras.csv").write_bytes(b"")
+    with pytest.raises(GateError, match="empty"):
+        runner.run_silver_contracts(spark, str(contract_files), str(tmp_path / "silver"), "202501", "202502")
 
 
 def test_corrupted_gold_is_rejected(spark, tmp_path, contract_files):
@@ -77,6 +106,7 @@ def test_corrupted_gold_is_rejected(spark, tmp_path, contract_files):
     marts["ranking_orgaos"] = marts["ranking_orgaos"].limit(0)
     checks = contracts.reconciliation(tables, marts)
     assert rows(checks.where("not approved").select("check")) == [("orgaos_ranking",)]
+    runner.run_gold(spark, "contratos", silver, gold)
     with pytest.raises(GateError):
         runner.run_dimensions(spark, "contratos", silver, gold, checks, "202501", "202502")
 
@@ -98,7 +128,7 @@ def test_tenders_end_to_end(spark, tmp_path):
     runner.run_silver_tenders(spark, str(land), silver, "202301", "202301")
     quality = runner.run_quality(spark, "licitacoes", silver)
     assert quality.where("not approved").count() == 0
-    runner.run_gold(spark, "licitacoes", silver, gold, quality)
+    runner.run_gold(spark, "licitacoes", silver, gold)
     one = read_dataset(spark, gold, "concorrencia_licitacoes").first()
     assert (one["quantidade_participantes"], one["quantidade_vencedores"], one["valor_itens_vencedores"], one["uf"]) == (2, 1, 100.0, "SP")
     checks = runner.run_reconciliation(spark, "licitacoes", silver, gold)
@@ -145,7 +175,7 @@ def test_deputy_expenses(spark, tmp_path):
     assert got == [(2, "DESPESA", "PARLAMENTAR", "2025|Ano-2025.csv|2"), (3, "ESTORNO_AEREO", "LIDERANCA_OU_ORGAO", "2025|Ano-2025.csv|3")]
     quality = runner.run_quality(spark, "gastos_deputados", silver, [2025])
     assert quality.count() == 13 and quality.where("not approved").count() == 0
-    runner.run_gold(spark, "gastos_deputados", silver, gold, quality)
+    runner.run_gold(spark, "gastos_deputados", silver, gold, [2025])
     checks = runner.run_reconciliation(spark, "gastos_deputados", silver, gold)
     assert checks.count() == 18 and checks.where("not approved").count() == 0
     runner.run_dimensions(spark, "gastos_deputados", silver, gold, checks)
@@ -180,11 +210,17 @@ def test_chamber_end_to_end(spark, tmp_path):
     author = read_dataset(spark, gold, "rel_proposicoes_autores").first()
     assert (author["categoria_autor"], author["sigla_uf_autor"]) == ("ÓRGÃO", "SP")
     marts = runner.read_layer(spark, gold, "gold")
-    assert chamber.quality(marts).where("not passed").count() == 0
+    assert chamber.quality(marts, True, True).where("not passed").count() == 0
+    assert chamber.quality(marts, True, False).where("not passed").count() == 1
+    assert runner.run_quality(spark, "proposicoes_votacoes", silver, gold=gold).where("not passed").count() == 0
     checks = runner.run_reconciliation(spark, "proposicoes_votacoes", silver, gold)
     assert checks.count() == 12 and checks.where("not approved").count() == 0
     runner.run_dimensions(spark, "proposicoes_votacoes", silver, gold, checks)
     assert read_dataset(spark, f"{gold}/dimensions", "dim_tempo").count() == 2
+    # Silver is read anew: Gold no longer comes from the newest run, so the suite stops the dimensions.
+    runner.run_silver_chamber(spark, str(tmp_path / "bronze"), silver)
+    with pytest.raises(GateError, match="quality"):
+        runner.run_dimensions(spark, "proposicoes_votacoes", silver, gold, checks)
 
 
 def test_senate_end_to_end(spark, tmp_path):

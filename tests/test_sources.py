@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators.gates import landing_approval
-from plumbline.plans import amendments
+from plumbline.plans import amendments, senate
 from plumbline.sources import delimited, documents, landing, tables
 from plumbline.streaming.landing import land_once, landed_rows
 from tests.conftest import rows
@@ -39,7 +39,7 @@ def test_line_numbers_over_several_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     spark.conf.set("spark.sql.files.openCostInBytes", "1000")
     try:
-        df = delimited.read_delimited(spark, [str(tmp_path / "x.csv"), str(tmp_path / "y.csv")], encoding=delimited.UTF8)
+        df = delimited.read_delimited(spark, [str(tmp_path / "x.csv"), str(tmp_path / "y.csv")], encoding=delimited.UTF8, breaks=False)
         assert df.select(delimited.SPLIT).distinct().count() > 3
         got = delimited.with_line_numbers(df)
         assert got.where(F.col("linha_arquivo") != F.col("id").cast("bigint") + 2).count() == 0
@@ -99,7 +99,25 @@ def test_json_pages(spark, tmp_path):
 
 def test_nested_document(spark, tmp_path):
     p = put(tmp_path / "d.json", "﻿" + json.dumps({"A": {"B": [{"x": 1}, {"x": 2}]}}))
-    assert rows(documents.read_nested(spark, p, "A.B")) == [(1,), (2,)]
+    read = documents.read_nested(spark, p, "A.B")
+    assert rows(read.select("x")) == [(1,), (2,)] and read.first()["_file"].endswith("/d.json")
+
+
+@pytest.mark.parametrize("pack", ["100", "100000000"])
+def test_nested_records_count_in_path_order(spark, tmp_path, pack):
+    """Two documents of unequal size: splits are packed by size, records count by path."""
+    for name, lo, n in (("a_2025", 0, 3), ("b_2026", 100, 400)):
+        put(tmp_path / f"{name}.json", json.dumps([{"codigoSessaoVotacao": lo + i, "votos": [{"codigoParlamentar": i}, {"codigoParlamentar": i + 1}]} for i in range(n)]))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", pack)
+    try:
+        read = documents.read_nested(spark, f"{tmp_path}/*.json", schema="codigoSessaoVotacao string, codigoMateria string, dataSessao string, votos array<struct<codigoParlamentar:string>>")
+        votings = {r["linha_origem"]: r["codigo_sessao_votacao"] for r in senate.silver_votings(read).collect()}
+        votes = {r["linha_origem"]: (r["codigo_sessao_votacao"], r["codigo_parlamentar"]) for r in senate.silver_votes(read).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    order = [*range(3), *range(100, 500)]
+    assert votings == dict(enumerate(order, 1))
+    assert votes == dict(enumerate(((c, c % 100 + 100 * (c // 100 - 1) * (c >= 100) + k) for c in order for k in (0, 1)), 1))
 
 
 def test_landing_inventory(spark, tmp_path):
@@ -112,9 +130,7 @@ def test_landing_inventory(spark, tmp_path):
     lic = by["202301_Licitação.csv"]
     assert (lic["entity"], lic["periodo"], lic["record_count"], lic["column_count"], lic["encoding"]) == ("licitacoes", "202301", 2, 2, "cp1252")
     assert lic["columns"] == ["Número", "Valor"]
-    import hashlib
-
-    assert lic["sha256"] == hashlib.sha256("Número;Valor\n1;2\n3;4\n".encode("cp1252")).hexdigest()
+    assert all(len(r["content_digest"]) == 64 and r["encoding"] for r in by.values())
     assert by["202302_ItemLicitação.csv"]["empty_file"] is True
     assert by["leiame.csv"]["reason"] == "nome_fora_do_padrao" and by["leiame.csv"]["encoding"] == "utf-8-sig"
     assert by["202302_Outro.csv"]["reason"] == "entidade_nao_reconhecida:Outro"
@@ -124,6 +140,52 @@ def test_landing_inventory(spark, tmp_path):
     assert landing_approval(found).first()["approved"] is True
 
 
+def test_inventory_counts_records_and_splits_change_nothing(spark, tmp_path):
+    put(tmp_path / "x" / "a b" / "202301_Licitação.csv", 'id;texto\n1;"linha um\nlinha dois"\n\n2;ok\n3;"a ""b"" c"\n', "utf-8")
+    put(tmp_path / "x" / "202302_Licitação.csv", "id;texto\n1;não\x81\n", "latin-1")
+    put(tmp_path / "x" / "202303_Licitação.csv", "")
+    put(tmp_path / "x" / "202304_Licitação.csv", "id;texto\n" + "".join(f"{i};é{i}\n" for i in range(5000)), "cp1252")
+    put(tmp_path / "x" / "202305_Licitação.csv", "id;texto\n" + "".join(f"{i};é{i}\n" for i in (1, 0, *range(2, 5000))), "cp1252")
+
+    def found():
+        return {r["file"]: r for r in landing.inventory(spark, str(tmp_path / "x")).collect()}
+
+    whole = found()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        split = found()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert whole == split
+    a, b, c, d, e = (whole[k] for k in sorted(whole, key=lambda f: f.split("/")[-1]))
+    assert [r["record_count"] for r in (a, b, c, d, e)] == [3, 1, 0, 5000, 5000]
+    assert [r["encoding"] for r in (a, b, c, d, e)] == ["utf-8-sig", "latin-1", "utf-8-sig", "cp1252", "cp1252"]
+    assert len({r["content_digest"] for r in (a, b, c, d, e)}) == 5
+    assert c["empty_file"] and c["file_size_bytes"] == 0 and a["columns"] == ["id", "texto"]
+    assert landing_approval(landing.inventory(spark, str(tmp_path / "x"))).first()["approved"] is False
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    p = put(tmp_path / "a.csv", 'id;texto\n1;"linha um\nlinha dois"\n2;ok\n')
+    for strict in (True, False):
+        read = delimited.with_line_numbers(delimited.read_delimited(spark, p, encoding=delimited.UTF8, strict=strict))
+        assert rows(read.select("id", "texto", "linha_arquivo")) == [("1", "linha um\nlinha dois", 2), ("2", "ok", 3)]
+
+
+def test_no_exchange_carries_lines(spark, tmp_path):
+    """Numbering and the inventory move counts and headers, never the lines."""
+    p = put(tmp_path / "x.csv", "id;texto\n" + "1;a\n" * 50)
+    numbered = delimited.with_line_numbers(delimited.read_delimited(spark, p, encoding=delimited.UTF8))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    facts, heads = landing._line_facts(spark, str(tmp_path))
+    for df in (facts, heads):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in text and "partial_" in text
+
+
 def test_write_read_publish(spark, tmp_path):
     root, out = str(tmp_path / "gold"), str(tmp_path / "pub")
     df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string").withColumn("vazio", F.lit(None))
