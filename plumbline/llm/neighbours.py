@@ -3,7 +3,7 @@
 Vectors are scaled to length 1, so the nearest by distance has the largest cosine. Every vector is projected
 on ``projections`` random lines; a block of vectors keeps one sorted array per line. A query looks in each
 array at the window around its own projection. The windows widen step by step (virtual rehashing: nothing is
-hashed anew, each step adds what the wider window adds on either side) and each vector counts the windows
+hashed anew, each step adds the windows' new ends in the sorted arrays) and each vector counts the windows
 that hold it. Vectors that reach the threshold are verified by their true cosine. A query ends in a block when
 a vector nearer than its k-th best so far would have reached the threshold already, but for a chance
 of 1 in 10 (``SURE`` standard deviations), or when the windows hold everything.
@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from plumbline.llm.cluster import prepare, stored
 
-PROJECTIONS = 128
+PROJECTIONS = 96
 #: Share of the windows that must hold a vector before it is verified.
 THRESHOLD = 0.5
 #: Each step widens the windows by this factor, from FIRST, in units of a projection's spread at distance 1.
-GROWTH, FIRST = 1.15, 0.02
+GROWTH, FIRST = 1.6, 0.15
 SURE = 1.3
 BLOCK, CHUNK = 8_192, 512
 
@@ -56,8 +56,16 @@ class Index:
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.lines = lines(vectors.shape[1], projections, seed)
         values = self.lines @ self.unit.T
-        self.order = np.argsort(values, axis=1, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(values, self.order, axis=1)
+        n = values.shape[1]
+        order = np.argsort(values, axis=1, kind="stable")
+        # All sorted arrays in one, each moved beyond the one before (a projection of a unit vector is at most its line's length).
+        self.apart = 4 * np.sqrt((self.lines * self.lines).sum(axis=1).max()) * np.arange(projections)
+        self.sorted = (np.take_along_axis(values, order, axis=1) + self.apart[:, None]).ravel()
+        self.first = n * np.arange(projections)
+        # Where each vector stands in each array: a window holds it if its place lies between the window's ends.
+        self.place = np.empty((projections, n), np.uint16 if n < 65_536 else np.uint32)
+        np.put_along_axis(self.place, order, np.broadcast_to(np.arange(n, dtype=self.place.dtype), order.shape), axis=1)
+        self.per_width = self.reach(1.0)
 
     def reach(self, width: float) -> float:
         """The distance within which a vector has reached the threshold, surely enough."""
@@ -74,45 +82,34 @@ class Index:
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the k best found, the query's own id left out."""
-        n, m = self.order.shape[1], len(self.lines)
+        m, n = self.place.shape
         need = int(np.ceil(THRESHOLD * m))
         length = np.sqrt((query * query).sum())
-        centre = self.lines @ (query / length)
-        middle = [int(np.searchsorted(row, c)) for row, c in zip(self.sorted, centre)]
-        low, high = list(middle), list(middle)
-        counts = np.zeros(n, np.int16)
-        found = np.zeros(n, bool)
-        found[self.ids == query_id] = True  # never a candidate
+        centre = self.lines @ (query / length) + self.apart
+        found = self.ids == query_id  # never a candidate
         best, best_ids = np.zeros(0), np.zeros(0, np.int64)
         width = FIRST
         while True:
-            for j in range(m):
-                row, order = self.sorted[j], self.order[j]
-                a = int(row.searchsorted(centre[j] - width, "left"))
-                b = int(row.searchsorted(centre[j] + width, "right"))
-                if a < low[j]:
-                    counts[order[a : low[j]]] += 1
-                    low[j] = a
-                if b > high[j]:
-                    counts[order[high[j] : b]] += 1
-                    high[j] = b
-            new = np.flatnonzero((counts >= need) & ~found)
+            low = np.clip(np.searchsorted(self.sorted, centre - width, "left") - self.first, 0, n)
+            high = np.clip(np.searchsorted(self.sorted, centre + width, "right") - self.first, 0, n)
+            kind = self.place.dtype
+            if n and (high - low < n).any():
+                inside = self.place - low.astype(kind)[:, None] < (high - low).astype(kind)[:, None]
+                reached = np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8 if m < 256 else np.uint32) >= need
+            else:
+                reached = np.ones(n, bool)
+            new = np.flatnonzero(reached & ~found)
             if len(new):
-                found[new] = True
+                found = found | reached
                 cosine = (self.vectors[new] * query).sum(axis=1) / (self.norms[new] * length)
                 best, best_ids = np.r_[best, cosine], np.r_[best_ids, self.ids[new]]
                 top = np.lexsort((best_ids, -best))[:k]
                 best, best_ids = best[top], best_ids[top]
-            if found.all() or len(best) == k and sqrt(max(0.0, 2 - 2 * best[-1])) <= self.reach_of(width):
+            # A vector's reach is in proportion to the width.
+            if found.all() or len(best) == k and sqrt(max(0.0, 2 - 2 * best[-1])) <= self.per_width * width:
                 return best_ids, best
             width *= GROWTH
 
-    def reach_of(self, width: float) -> float:
-        # Reach is in proportion to the width; solve once.
-        if not hasattr(self, "_reach"):
-            self._reach = self.reach(1.0)
-        return self._reach * width
-
 
 def _usable(vector: str) -> Column:
     """Not null, not zero, every component finite."""
