@@ -5,8 +5,8 @@ each, become global offsets by a prefix sum. Pass 2 adds the offset and cuts eac
 the width, without a shuffle; a piece that doesn't fill a sequence is a boundary record, and ``sequences``
 brings the pieces of a sequence together. Only the last sequence is short, so nothing else is padding.
 
-Words are split once the text is normalised and each distinct word goes through the tokenizer once per
-worker. That shortcut holds for texts of Latin letters and the signs among them; any other text, and any
+The tokenizer never joins what white space parts, so each distinct word goes through it once per worker and
+cache. That shortcut holds for texts of Latin letters and the signs among them; any other text, and any
 with a special token's string, goes through the tokenizer whole.
 
 A null or empty text is its end id alone. Rows that repeat an id are documents of their own. An empty table
@@ -16,9 +16,11 @@ cuts the same pieces again.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +32,13 @@ from pyspark.sql import types as T
 
 from plumbline.llm.cluster import binary_array, prepare, stored
 
-# Fixed value: the tokenizer file's own pattern for words.
+#: Texts with more than this take the tokenizer itself: letters of later blocks may be cased otherwise, and
+#: the separators from U+001C part words for str.split alone.
+OTHER = re.compile("[^\x00-\x1b\x20-\u024f\u2010-\u2026\u20ac]")
+#: The strings that the tokenizer file adds as special tokens.
+SPECIAL = ("<|startoftext|>", "<|endoftext|>")
+#: Fixed value: the tokenizer file's own pattern for words.
 WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Texts that are more than this take the tokenizer itself: letters of later blocks may be classed or cased otherwise.
-OTHER = regex.compile(r"[^\x00-ɏ‐-…€]|<\|(?:start|end)oftext\|>")
 CACHE_WORDS = 400_000
 #: Rows of partition totals that may be broadcast, 16 bytes each.
 BROADCAST_PARTS = 200_000
@@ -47,24 +52,43 @@ class WordTokenizer:
 
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         self.cache: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        #: Does an id end a word?
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def each(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of each word, from texts of many words: an id that ends a word parts them."""
+        out: dict[str, bytes] = {}
+        for i in range(0, len(words), 500):
+            part = words[i : i + 500]
+            ids = np.frombuffer(self.whole([" ".join(part)])[0], "<u4")
+            stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+            if len(stops) != len(part):
+                raise ValueError("the tokenizer joins or parts words otherwise")
+            data = ids.tobytes()
+            out.update(zip(part, (data[a:b] for a, b in pairwise([0, *stops]))))
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         cache = self.cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
         words: list[list[str] | None] = []
         for text in texts:
-            if OTHER.search(text):
+            if OTHER.search(text) or SPECIAL[0] in text or SPECIAL[1] in text:
                 words.append(None)
             else:
-                words.append(WORDS.findall(unicodedata.normalize("NFC", text).lower()))
-        missing = list({w for found in words if found for w in found}.difference(cache))
+                words.append(unicodedata.normalize("NFC", text).lower().split())
+        missing = list(set().union(*filter(None, words)).difference(cache))
         for i in range(0, len(missing), 10_000):
             part = missing[i : i + 10_000]
-            cache.update(zip(part, self.whole(part)))
+            cut = [WORDS.findall(x) for x in part]
+            known = self.each(list(set().union(*cut)))
+            cache.update((x, b"".join(map(known.__getitem__, found))) for x, found in zip(part, cut))
         return [b"".join(map(cache.__getitem__, found)) if found is not None else self.whole([text])[0] for text, found in zip(texts, words)]
 
 
