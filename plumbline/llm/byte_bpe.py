@@ -37,6 +37,8 @@ BLOCK = 64
 SHORT_PIECE = 48
 #: Pieces kept in a worker's cache before it starts anew.
 CACHE_PIECES = 400_000
+#: Bytes of text encoded at once, but for a longer text.
+SLICE_BYTES = 2 << 20
 
 
 def _machine() -> tuple[np.ndarray, np.ndarray]:
@@ -290,19 +292,27 @@ def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: Se
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())] + [T.StructField("piece_offsets", T.ArrayType(T.IntegerType()))] * offsets)
     kept = list(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batch: pa.RecordBatch) -> pa.RecordBatch:
         vocab = vocabulary(ranks_path)
+        data, ends = text_bytes(batch.column(len(kept)))
+        ids, places, counts = vocab.encode(data, ends)
+        sizes = np.array([len(x) for x in ids], np.int64)
+        joined = b"".join(ids)
+        decoded, at = vocab.decode(np.frombuffer(joined, "<u4").astype(np.int64))
+        id_ends = np.r_[0, np.cumsum(sizes)]
+        columns = [*(batch.column(i) for i in range(len(kept))), binary_array(joined, id_ends), binary_array(decoded, at[id_ends // 4])]
+        if offsets:
+            inside = places - np.repeat(ends[:-1], counts)
+            columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(inside.astype(np.int32))))
+        return pa.RecordBatch.from_arrays(columns, names=kept + new)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, ends = text_bytes(batch.column(len(kept)))
-            ids, places, counts = vocab.encode(data, ends)
-            sizes = np.array([len(x) for x in ids], np.int64)
-            joined = b"".join(ids)
-            decoded, at = vocab.decode(np.frombuffer(joined, "<u4").astype(np.int64))
-            id_ends = np.r_[0, np.cumsum(sizes)]
-            columns = [*(batch.column(i) for i in range(len(kept))), binary_array(joined, id_ends), binary_array(decoded, at[id_ends // 4])]
-            if offsets:
-                inside = places - np.repeat(ends[:-1], counts)
-                columns.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), pa.array(inside.astype(np.int32))))
-            yield pa.RecordBatch.from_arrays(columns, names=kept + new)
+            ends = text_bytes(batch.column(len(kept)))[1]
+            start = 0
+            while start < batch.num_rows:
+                stop = max(start + 1, int(np.searchsorted(ends, ends[start] + SLICE_BYTES, side="right")) - 1)
+                yield encoded(batch.slice(start, stop - start))
+                start = stop
 
     return docs.select(*kept, docs[text].alias("__text")).mapInArrow(run, schema)
