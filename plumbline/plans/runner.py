@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.operators.checks import suite, typed_columns
 from plumbline.operators.gates import GateError, approval, landing_approval, require_approved
 from plumbline.plans import amendments, chamber, contracts, deputy_expenses, grants, senate, tenders
 from plumbline.runtime import materialize
@@ -246,6 +247,9 @@ def run_quality(spark: SparkSession, domain: str, silver: str, years: list[int]
         marts = read_layer(spark, gold, "gold")
         if domain == "senado_federal":
             found = senate.quality(tables, marts)
+            # The offending rows themselves, beside the suite that counts them (SNK-06).
+            for name, rows in senate.audit_extracts(marts).items():
+                write_dataset(rows, f"{gold}/quality", name)
         else:
             approved, run_id, _ = manifest_state(spark, silver, "silver")
             _, _, made_from = manifest_state(spark, gold, "gold")
@@ -315,6 +319,12 @@ def run_publish(spark: SparkSession, domain: str, gold: str, target: str, checks
     if manifest_state(spark, f"{gold}/dimensions", "dimensions")[2] != run_id:
         raise GateError(f"dimensions of {domain} are older than its Gold")
     gate_reconciliation(checks, domain)
+    tables = read_layer(spark, gold, "gold") | read_layer(spark, f"{gold}/dimensions", "dimensions")
+    typed = suite([typed_columns(df, name) for name, df in tables.items()])
+    require_approved(typed, f"columns of {domain}")
+    if domain == "senado_federal":
+        star = write_checks(senate.validate_star(tables), f"{gold}/quality", "validacao_relacionamentos")
+        require_approved(star.withColumn("severity", F.lit("error")), "relationships of senado_federal")
     marts = [r["dataset"] for r in read_manifest(spark, gold, "gold").select("dataset").collect()]
     dims = [r["dataset"] for r in read_manifest(spark, f"{gold}/dimensions", "dimensions").select("dataset").collect()]
     catalog = publish(spark, domain, gold, target, marts, "gold").unionByName(

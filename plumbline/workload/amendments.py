@@ -268,9 +268,11 @@ query(
 
 # ---------------------------------------------------------------- audits
 
+# The authors' ranking lacks one year: its totals don't tie.
+_GAP = {"ranking_parlamentares": "ano_emenda % 5 = 3", "ranking_favorecidos": "FALSE"}
 _TIES = " UNION ALL ".join(
-    f"""SELECT ano_emenda, '{mart}' AS dataset, '{m}' AS metrica, {tot(m)} AS valor_silver, {tot(m)} AS valor_gold, 0.0::DOUBLE AS diferenca,
-    TRUE AS reconciliado FROM ({source}) GROUP BY 1"""
+    f"""SELECT *, round(valor_gold - valor_silver, 2) AS diferenca, abs(round(valor_gold - valor_silver, 2)) <= 0.01 AS reconciliado FROM (
+    SELECT ano_emenda, '{mart}' AS dataset, '{m}' AS metrica, {tot(m)} AS valor_silver, CASE WHEN {_GAP[mart]} THEN 0.0 ELSE {tot(m)} END AS valor_gold FROM ({source}) GROUP BY 1)"""
     for mart, source, metrics in (
         ("ranking_parlamentares", SILVER_AMENDMENTS, recipe.EXECUTED),
         ("ranking_favorecidos", SILVER_PAYMENTS, ["valor_recebido"]),
@@ -283,7 +285,7 @@ _TIES = " UNION ALL ".join(
 def reconcile_amendments(spark: SparkSession, sf: str) -> DataFrame:
     tables = {"emendas": materialize(amendments(spark, sf)), "favorecidos": materialize(payments(spark, sf))}
     marts = {
-        "ranking_parlamentares": recipe.ranking_authors(tables["emendas"], tables["favorecidos"]),
+        "ranking_parlamentares": recipe.ranking_authors(tables["emendas"], tables["favorecidos"]).where(f"NOT ({_GAP['ranking_parlamentares']})"),
         "ranking_favorecidos": recipe.ranking_beneficiaries(tables["favorecidos"]),
     }
     return recipe.reconciliation(tables, marts)

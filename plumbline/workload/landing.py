@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.numbers import brazilian_decimal, whole_number
+from plumbline.operators import dedup
 from plumbline.operators.dimensions import calendar
 from plumbline.operators.gates import landing_approval
 from plumbline.operators.unions import void_to_string
@@ -206,14 +207,22 @@ query("snk_02_void_columns", "SELECT r_regionkey, r_name, CAST(NULL AS VARCHAR)
 
 @query(
     "snk_03_manifest",
-    """SELECT 'nation' AS dataset, count(*) AS record_count, 3::BIGINT AS column_count, TRUE AS approved FROM {nation}
-    UNION ALL SELECT 'supplier', count(*), 4, TRUE FROM {supplier}""",
+    """SELECT 'nation' AS dataset, count(*) AS record_count, 3::BIGINT AS column_count, TRUE AS approved, CAST(NULL AS BIGINT) AS input_rows, CAST(NULL AS BIGINT) AS removed_rows,
+    '202501' AS first_period FROM {nation}
+    UNION ALL SELECT 'pedidos', count(DISTINCT o_custkey), 3, TRUE, count(*), count(*) - count(DISTINCT o_custkey), '202501' FROM {orders}""",
 )
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch(spark)
-    outputs = [tables.write_dataset(table(spark, sf, name), root, name, csv=False) for name in ("nation", "supplier")]
-    tables.write_manifest(spark, root, "dados", "silver", outputs, approved=True)
-    return tables.read_manifest(spark, root, "silver").select("dataset", "record_count", "column_count", "approved")
+    raw = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.concat(F.lit("dir/20250"), F.col("o_custkey") % 3 + 1, F.lit("_Pedidos.csv")).alias("arquivo_origem"))
+    latest = dedup.keep_first(raw, ["o_custkey"], [F.col("o_orderkey").desc()])
+    outputs = [tables.write_dataset(table(spark, sf, "nation"), root, "nation", csv=False), tables.write_dataset(latest, root, "pedidos", csv=False)]
+    files = raw.select(F.col("arquivo_origem").alias("file")).distinct()
+    control = delimited.row_control_of(raw, latest, files).withColumn("dataset", F.lit("pedidos"))
+    # An earlier run is kept beside the one that counts.
+    tables.write_manifest(spark, root, "dados", "silver", outputs[:1], approved=False)
+    tables.write_manifest(spark, root, "dados", "silver", outputs, approved=True, periods=("202501", "202503"), control=control)
+    columns = ["dataset", "record_count", "column_count", "approved", "input_rows", "removed_rows", "first_period"]
+    return tables.read_manifest(spark, root, "silver").select(*columns)
 
 
 @query("snk_04_partitioned_layout", "SELECT year(o_orderdate) AS ano, month(o_orderdate) AS mes, count(*) AS n FROM {orders} GROUP BY 1, 2")

@@ -341,6 +341,11 @@ query(
     """SELECT 'unique_key' AS "check", 'pedidos' AS dataset, 'ausente' AS "key", count(*) AS rows, 'error' AS severity, FALSE AS approved,
     'Sem a coluna-chave ausente' AS message FROM {orders}""",
 )(lambda s, d: checks.unique_key(table(s, d, "orders"), "pedidos", "ausente"))
+query(
+    "dq_17_void_column_fails",
+    """SELECT 'typed_column' AS "check", 'pedidos' AS dataset, c AS "column", CASE WHEN c = 'vazio' THEN 'error' ELSE 'info' END AS severity, c <> 'vazio' AS approved,
+    CASE WHEN c = 'vazio' THEN 'Sem tipo: vazio' END AS message FROM (SELECT unnest(['o_orderkey', 'o_totalprice', 'vazio']) AS c FROM (SELECT count(*) FROM {orders}))""",
+)(lambda s, d: checks.typed_columns(table(s, d, "orders").select("o_orderkey", "o_totalprice", F.lit(None).alias("vazio")), "pedidos"))
 query(
     "rec_01_equal_within_tolerance",
     f"""WITH t AS (SELECT {tot("o_totalprice")} AS v, count(*) AS n FROM {{orders}})

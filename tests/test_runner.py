@@ -266,6 +266,10 @@ def test_senate_end_to_end(spark, tmp_path):
     star = runner.read_layer(spark, gold, "gold") | dims
     verdicts = {r["name"]: r["approved"] for r in senate.validate_star(star).collect()}
     assert len(verdicts) == 14 and all(verdicts.values())
+    assert read_dataset(spark, f"{gold}/quality", "votacoes_sem_materia").count() == 0
+    assert rows(read_dataset(spark, f"{gold}/quality", "parlamentares_identificados_nos_votos", ["codigo_parlamentar"])) == [(5,), (6,)]
+    assert runner.run_publish(spark, "senado_federal", gold, str(tmp_path / "pub"), checks).where("not ok").count() == 0
+    assert read_dataset(spark, f"{gold}/quality", "validacao_relacionamentos").count() == 14
 
 
 def test_unapproved_silver_blocks_gold(spark, tmp_path):
