@@ -11,8 +11,8 @@ one symbol of each string per round; suffixes with a common prefix of ``width``
 smallest id in it goes back to where the strings came from.
 
 Steps, and what travels:
-1. Chunks (an Arrow batch of documents, compressed) are stored with the keys they hold, 8 bytes each.
-2. Keys meet by bucket; each chunk hears which of its keys another document shares.
+1. Chunks (an Arrow batch of documents, compressed) are stored.
+2. The keys they hold, 8 bytes each, meet by bucket; each chunk hears which of its keys another document shares.
 3. Each chunk sends the different strings of these keys with their smallest id: copies within a chunk travel once.
 4. Buckets answer with the smallest ids, run-length coded; equal strings of several chunks enter a collection once.
 5. Each chunk marks what is covered and cuts it out.
@@ -45,7 +45,9 @@ WIDTH, GRAM = 50, 20
 BUCKET_BYTES = 16 << 20
 HOT_CHUNKS = 1024
 #: Strings of a bucket enter collections of about this many symbols.
-COLLECTION = 8 << 20
+COLLECTION = 1 << 20
+#: Windows whose keys are made at once.
+SLICE = 1 << 15
 #: Windows that a run keeps; longer runs are cut.
 RUN = 31
 
@@ -91,27 +93,36 @@ def least_of(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def window_keys(signs: np.ndarray, width: int, gram: int) -> np.ndarray:
+    """The least gram hash of each ``width`` bytes; some thousand at a time, which a core's cache holds."""
+    out = np.empty(max(0, len(signs) - width + 1), np.uint64)
+    for start in range(0, len(out), SLICE):
+        part = signs[start : start + SLICE + width - 1].astype(np.uint64)
+        out[start : start + SLICE] = least_of(gram_hashes(part, gram), width - gram + 1)
+    return out
+
+
 def runs(data: bytes, ends: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
     """Key (last bit clear), first byte, windows and text of each run of windows with one key, RUN windows at most."""
-    windows = np.maximum(np.diff(ends) - width + 1, 0)
-    total = int(windows.sum())
-    if not total:
+    keys = window_keys(np.frombuffer(data, np.uint8), width, gram)
+    n = len(keys)
+    if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    keys = least_of(gram_hashes(np.frombuffer(data, np.uint8).astype(np.uint64), gram), width - gram + 1)
-    first = np.zeros(total, bool)
-    before = np.cumsum(windows) - windows
-    first[before[windows > 0]] = True
-    at = spans(ends[:-1], windows)
-    keys = keys[at]
-    first[1:] |= keys[1:] != keys[:-1]
+    # A run begins where the key changes, where a text begins, and where no whole window is left of it.
+    first = np.ones(n, bool)
+    first[1:] = keys[1:] != keys[:-1]
+    for edges in (ends[:-1], np.maximum(ends[1:] - width + 1, ends[:-1])):
+        first[edges[edges < n]] = True
     start = np.flatnonzero(first)
-    length = np.diff(np.r_[start, total])
+    length = np.diff(np.r_[start, n])
+    text = np.searchsorted(ends[1:], start, side="right")
+    whole = start + width <= ends[np.minimum(text + 1, len(ends) - 1)]
+    start, length = start[whole], length[whole]
     pieces = -(-length // RUN)
     number = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin = np.repeat(start, pieces) + number * RUN
     size = np.minimum(np.repeat(length, pieces) - number * RUN, RUN)
-    text = np.searchsorted(before + windows, begin, side="right")
-    return keys[begin] & ~_LAST, at[begin], size, text
+    return keys[begin] & ~_LAST, begin, size, np.searchsorted(ends[1:], begin, side="right")
 
 
 def _pack(array: np.ndarray) -> bytes:
@@ -128,8 +139,10 @@ def _schema(**fields: T.DataType) -> T.StructType:
 
 
 _LONG, _INT, _BYTES = T.LongType(), T.IntegerType(), T.BinaryType()
-#: Of a chunk: its documents (bucket null), or the keys it has in a bucket.
-_CHUNK = _schema(chunk=_LONG, bucket=_INT, n=_LONG, size=_LONG, text=_BYTES, ends=_BYTES, ids=_BYTES, rows=_BYTES, keys=_BYTES)
+#: A chunk's documents.
+_CHUNK = _schema(chunk=_LONG, n=_LONG, size=_LONG, text=_BYTES, ends=_BYTES, ids=_BYTES, rows=_BYTES)
+#: The keys that a chunk has in a bucket, and those that another document shares.
+_HELD = _schema(chunk=_LONG, bucket=_INT, keys=_BYTES)
 _KEYS = _schema(chunk=_LONG, keys=_BYTES)
 #: Of a chunk: where its strings stand (bucket null), or its different strings in a bucket.
 _STRINGS = _schema(chunk=_LONG, bucket=_INT, n=_LONG, text=_LONG, at=_BYTES, sizes=_BYTES, strings=_BYTES, owners=_BYTES)
@@ -159,30 +172,39 @@ def _by_bucket(bucket: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int
     return order, [(int(sorted_[a]), a, b) for a, b in zip(cuts, cuts[1:])]
 
 
-def _chunks(width: int, gram: int, buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 32
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    first = TaskContext.get().partitionId() << 32
 
-        def rows() -> Iterator[dict]:
-            for chunk, batch in enumerate((b for b in batches if b.num_rows), first):
-                data, ends = text_bytes(batch.column(2))
-                ids = batch.column(0).fill_null(_MISSING).to_numpy()
-                numbers = batch.column(1).to_numpy()
-                yield {"chunk": chunk, "n": len(ids), "size": len(data), "text": pa.compress(data, "zstd", asbytes=True), "ends": _pack(ends), "ids": _pack(ids), "rows": _pack(numbers)}
-                keys, _, _, text = runs(data, ends, width, gram)
-                order = np.lexsort((ids[text], keys))
-                keys, owner = keys[order], ids[text][order]
-                head = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
-                shared = ~head & np.r_[False, owner[1:] != owner[:-1]][: len(keys)]  # another document of this chunk has it
-                heads = np.flatnonzero(head)
-                if len(heads):
-                    keys = keys[heads] | np.maximum.reduceat(shared, heads).astype(np.uint64)
-                order, parts = _by_bucket((keys >> _LAST) % np.uint64(buckets))
-                keys = keys[order]
-                for bucket, a, b in parts:
-                    yield {"chunk": chunk, "bucket": bucket, "keys": keys[a:b].tobytes()}
-
-        yield from _batches(rows(), _CHUNK)
+    def rows() -> Iterator[dict]:
+        for chunk, batch in enumerate((b for b in batches if b.num_rows), first):
+            data, ends = text_bytes(batch.column(2))
+            ids = batch.column(0).fill_null(_MISSING).to_numpy()
+            yield {"chunk": chunk, "n": len(ids), "size": len(data), "text": pa.compress(data, "zstd", asbytes=True), "ends": _pack(ends), "ids": _pack(ids), "rows": _pack(batch.column(1).to_numpy())}
+
+    yield from _batches(rows(), _CHUNK)
+
+
+def _held(width: int, gram: int, buckets: int):
+    """The different keys of a chunk, by bucket; the last bit marks those that two of its documents have."""
+
+    def of(chunk: int, n: int, size: int, text: bytes, ends: bytes, ids: bytes) -> Iterator[dict]:
+        data = pa.decompress(text, size, "zstd", asbytes=True)
+        ids_ = _unpack(ids, n, np.int64)
+        keys, _, _, whose = runs(data, _unpack(ends, n + 1, np.int64), width, gram)
+        if not len(keys):
+            return
+        order = np.argsort(keys)
+        keys, owner = keys[order], ids_[whose[order]]
+        heads = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        shared = np.minimum.reduceat(owner, heads) != np.maximum.reduceat(owner, heads)
+        keys = keys[heads] | shared.astype(np.uint64)
+        order, parts = _by_bucket((keys >> _LAST) % np.uint64(buckets))
+        keys = keys[order]
+        for bucket, a, b in parts:
+            yield {"chunk": chunk, "bucket": bucket, "keys": keys[a:b].tobytes()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _batches((row for batch in batches for i in range(batch.num_rows) for row in of(*(c[i].as_py() for c in batch.columns))), _HELD)
 
     return run
 
@@ -324,6 +346,11 @@ def _answers(texts: list[bytes], owner: np.ndarray, width: int, gram: int) -> tu
     return np.bincount(whose[heads], minlength=len(texts)), np.diff(np.r_[heads, len(flat)]), flat[heads]
 
 
+def _before(marks: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """How many marks stand before each stop."""
+    return np.r_[np.int32(0), np.cumsum(marks, dtype=np.int32)][stops].astype(np.int64)
+
+
 def _removed(width: int):
     fields = _schema(doc_id=_LONG, row=_LONG, n_bytes=_LONG, n_removed=_LONG, n_spans=_LONG, kept=_BYTES, kept_text=T.StringType())
 
@@ -347,25 +374,25 @@ def _removed(width: int):
             low = np.repeat(begin, each) + before[run] - np.repeat(before[first[which]], each)
             goes = least[run] < np.repeat(owner[whose], each)
             low, high = low[goes], (low + sizes[run] + width - 1)[goes]
-            change += np.bincount(low, minlength=size + 1).astype(np.int32)
-            change -= np.bincount(high, minlength=size + 1).astype(np.int32)
-        gone = np.cumsum(change[:-1]) > 0
-        removed = np.r_[0, np.cumsum(gone)]
+            np.add.at(change, low, 1)
+            np.subtract.at(change, high, 1)
+        signs = np.frombuffer(data, np.uint8)
+        gone = np.cumsum(change, dtype=np.int32, out=change)[:-1] > 0
         begins = gone.copy()
         begins[1:] &= ~gone[:-1]
         inner = stops[:-1][stops[:-1] < size]
         begins[inner] = gone[inner]  # a span ends with its document
-        spans_before = np.r_[0, np.cumsum(begins)]
-        kept = np.frombuffer(data, np.uint8)[~gone]
+        removed, spans_before = _before(gone, stops), _before(begins, stops)
+        kept = signs[~gone]
         # As text: a code point that lost a byte goes whole.
-        heads = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
-        broken = np.repeat(np.maximum.reduceat(gone, heads), np.diff(np.r_[heads, size])) if size else gone
-        lost = np.r_[0, np.cumsum(broken)]
-        kept_text = pa.Array.from_buffers(pa.string(), n, binary_array(np.frombuffer(data, np.uint8)[~broken], stops - lost[stops]).buffers())
+        point = np.cumsum((signs & 0xC0) != 0x80, dtype=np.int32)
+        hurt = np.zeros(int(point[-1]) + 1 if size else 1, bool)
+        hurt[point[gone]] = True
+        broken = hurt[point]
+        kept_text = pa.Array.from_buffers(pa.string(), n, binary_array(signs[~broken], stops - _before(broken, stops)).buffers())
         missing = owner == _MISSING
-        kept_stops = stops - removed[stops]
         return pa.RecordBatch.from_arrays(
-            [pa.array(owner, mask=missing), pa.array(_unpack(rows, n, np.int64)), pa.array(np.diff(stops)), pa.array(np.diff(removed[stops])), pa.array(np.diff(spans_before[stops])), binary_array(kept, kept_stops), kept_text],
+            [pa.array(owner, mask=missing), pa.array(_unpack(rows, n, np.int64)), pa.array(np.diff(stops)), pa.array(np.diff(removed)), pa.array(np.diff(spans_before)), binary_array(kept, stops - removed), kept_text],
             names=fields.names,
         )
 
@@ -386,15 +413,15 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, text:
     buckets = max(1, -(-size // bucket_bytes))
     number = docs[row] if row else F.monotonically_increasing_id()
     rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), number.alias("row"), docs[text].alias("text"))
-    chunks = stored(rows.mapInArrow(_chunks(width, gram, buckets), _CHUNK), "chunks")
-    texts = chunks.where("bucket is null")
-    keys = chunks.where("bucket is not null").select("chunk", "keys", "bucket").repartitionById(buckets, F.col("bucket")).select("chunk", "keys")
+    chunks = stored(rows.mapInArrow(_chunks, _CHUNK), "chunks")
+    texts = chunks.select("chunk", "n", "size", "text", "ends", "ids")
+    keys = texts.mapInArrow(_held(width, gram, buckets), _HELD).repartitionById(buckets, F.col("bucket")).select("chunk", "keys")
     told = keys.mapInArrow(_shared(hot), _KEYS).groupBy("chunk").agg(F.collect_list("keys").alias("told"))
-    heard = texts.select("chunk", "n", "size", "text", "ends", "ids").join(told, "chunk")
+    heard = texts.join(told, "chunk")
     strings = stored(heard.mapInArrow(_strings(width, gram, buckets), _STRINGS), "strings")
     sent = strings.where("bucket is not null").select("chunk", "bucket", "n", "text", "sizes", "strings", "owners").repartitionById(buckets, F.col("bucket"))
     answers = sent.mapInArrow(_classes(width, gram), _ANSWER).groupBy("chunk").agg(F.collect_list(F.struct("bucket", "n", "n_strings", "counts", "sizes", "owners")).alias("answers"))
     places = strings.where("bucket is null").select("chunk", F.col("n").alias("placed"), "at", F.col("sizes").alias("texts"), "strings")
-    all_ = texts.select("chunk", "n", "size", "text", "ends", "ids", "rows").join(places, "chunk", "left").join(answers, "chunk", "left").drop("chunk")
+    all_ = chunks.join(places, "chunk", "left").join(answers, "chunk", "left").drop("chunk")
     run, fields = _removed(width)
     return all_.mapInArrow(run, fields)

@@ -20,7 +20,9 @@ def common_prefix(a, b):
 
 
 @pytest.mark.parametrize("on_disk", [False, True])
-def test_transform_and_common_prefixes(on_disk):
+@pytest.mark.parametrize("wide", [False, True])
+def test_transform_and_common_prefixes(on_disk, wide, monkeypatch):
+    monkeypatch.setattr(column_bwt, "PIECE", 7)
     rnd = random.Random(6)
     for _ in range(60):
         alphabet = rnd.choice([b"ab", b"abc", bytes(range(30))])
@@ -28,14 +30,14 @@ def test_transform_and_common_prefixes(on_disk):
         text, ends = b"".join(strings), np.cumsum([len(s) for s in strings])
         end_of = {q: e for s, e in zip([0, *ends], ends) for q in range(s, e)}
         starts = {s for s, e in zip([0, *ends], ends) if s < e}
-        with column_bwt.Piles(on_disk) as piles:
-            count = column_bwt.build(text, ends, piles)
-            columns = [np.concatenate(c) for c in zip(*(piles.get(i) for i in range(1, count)))] if count > 1 else [[], [], []]
-        got = [text[q : end_of[q]] for q in columns[2]]
+        with column_bwt.Columns(on_disk) as columns:
+            transform = column_bwt.Transform(text, ends, columns, wide)
+            place, entries = (np.array(x)[len(strings) :] for x in (transform.places(), transform.entries))
+        got = [text[q : end_of[q]] for q in place]
         assert got == sorted(text[q:e] for q, e in end_of.items())
-        assert list(columns[1]) == [common_prefix(a, b) for a, b in zip([b"", *got], got)]
+        assert (entries >> 8).tolist() == [common_prefix(a, b) for a, b in zip([b"", *got], got)]
         codes = {b: i for i, b in enumerate(sorted(set(text)), 1)}
-        assert [int(x) for x in columns[0]] == [0 if q in starts else codes[text[q - 1]] for q in columns[2]]
+        assert (entries & 255).tolist() == [0 if q in starts else codes[text[q - 1]] for q in place]
 
 
 def brute(rows, width):
