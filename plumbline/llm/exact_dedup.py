@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.cluster import prepare, stored, text_bytes
+from plumbline.llm.cluster import prepare, text_bytes
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SLOTS, KICKS = 4, 200
@@ -133,12 +133,12 @@ def _rank(points: int, doc_id: int | None, row: int) -> tuple:
 
 _MET = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("row", T.LongType()), T.StructField("points", T.LongType()), T.StructField("digest", T.BinaryType()), T.StructField("content", T.BinaryType()), T.StructField("n", T.LongType())]
-)
+)  # the best row of a text, and how many have it
 _GROUP = T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("keep_id", T.LongType()), T.StructField("keep_row", T.LongType()), T.StructField("group_size", T.LongType())])
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row for each document; one with content and count for each different text this task has met."""
+    """One row with content and count for each different text this task has met."""
     index, held = CuckooIndex(), 0
     schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("points", pa.int64()), ("digest", pa.binary()), ("content", pa.binary()), ("n", pa.int64())])
 
@@ -158,11 +158,9 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Code points: bytes that don't continue one.
         heads = np.r_[0, np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)]
         points = np.diff(heads[ends]).tolist()
-        digests = []
         for doc_id, row, count, start, end in zip(ids, rows, points, cuts, cuts[1:]):
             content = data[start:end].translate(None, BLANKS)
             digest = hashlib.sha256(content).digest()
-            digests.append(digest)
             rank = _rank(count, doc_id, row)
             entry = index.find(digest, content)
             if entry is None:
@@ -172,10 +170,6 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 entry[1] += 1
                 if _better(rank, entry[2]):
                     entry[2] = rank
-        n = len(digests)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(points, pa.int64()), pa.array(digests, pa.binary()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], schema=schema
-        )
         if held > CONTENT_BYTES:
             yield from met()
             index, held = CuckooIndex(), 0
@@ -216,12 +210,18 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
     """One row per document: doc_id, row, keep_id, group_size, kept, text_sha256 (of the normalised text).
 
-    ``row`` names a column that numbers the rows; without it they are numbered as the scan yields them.
+    ``row`` names a column that numbers the rows; without it they are numbered as the scan yields them. The rows are
+    read twice, so ``docs`` must yield the same both times, as a stored table does.
     """
     prepare(docs.sparkSession)
     number = docs[row] if row else F.monotonically_increasing_id()
-    met = stored(docs.select(docs[doc_id].cast("bigint").alias("doc_id"), number.alias("row"), docs[text].alias("text")).mapInArrow(_meet, _MET), "met")
-    texts = met.where("n is not null").repartition("digest").sortWithinPartitions("digest")
+    rows = docs.select(docs[doc_id].cast("bigint").alias("doc_id"), number.alias("row"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    texts = rows.mapInArrow(_meet, _MET).repartition("digest").sortWithinPartitions("digest")
     groups = texts.mapInArrow(_settle, _GROUP)
-    rows = met.where("n is null").select("doc_id", "row", "digest")
-    return rows.join(groups, "digest").select("doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    # A row's digest is cheaper to compute again than to keep beside the content.
+    normal = F.col("text")
+    for blank in BLANKS.decode():
+        normal = F.replace(normal, F.lit(blank), F.lit(""))
+    digests = rows.select("doc_id", "row", F.unhex(F.sha2(normal, 256)).alias("digest"))
+    verdicts = digests.join(groups, "digest")
+    return verdicts.select("doc_id", "row", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
