@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of rows that one Arrow batch hands to Python; long texts make batches of few rows.
-BATCH_BYTES = str(8 << 20)
+BATCH_BYTES = str(4 << 20)
 
 _shipped: set[str] = set()
 
@@ -60,7 +60,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    # What was shuffled on the way isn't needed once the rows are written.
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(cleanup)
+        else:
+            spark.conf.set(cleanup, before)
     context = spark.sparkContext
     place = context._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(place)
