@@ -86,9 +86,9 @@ class WordTokenizer:
         missing = list(set().union(*filter(None, words)).difference(cache))
         for i in range(0, len(missing), 10_000):
             part = missing[i : i + 10_000]
-            cut = [WORDS.findall(x) for x in part]
+            cut = [(x,) if x.isalpha() else WORDS.findall(x) for x in part]
             known = self.each(list(set().union(*cut)))
-            cache.update((x, b"".join(map(known.__getitem__, found))) for x, found in zip(part, cut))
+            cache.update((x, known[found[0]] if len(found) == 1 else b"".join(map(known.__getitem__, found))) for x, found in zip(part, cut))
         return [b"".join(map(cache.__getitem__, found)) if found is not None else self.whole([text])[0] for text, found in zip(texts, words)]
 
 
