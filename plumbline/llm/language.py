@@ -7,7 +7,8 @@ bits per sign. The language that needs least wins.
 
 All signs of a text count. So that arrays can step through many texts at once, parsing starts anew every
 ``LANE`` signs, which adds the same phrase for each language. Signs are lower-cased; what is no letter is
-one class, letters that no sample has are another and always end a phrase.
+one class, letters that no sample has are another and always end a phrase. Each letter of the samples is a class
+of its own, however many there are: transitions are kept sparsely.
 
 Learning: ``SAMPLE_ROWS`` rows per language, chosen by a hash of their id among those of at most
 ``SAMPLE_ROW_CHARS`` signs, whose text is joined up to ``SAMPLE_CHARS`` signs. These bounds are all that
@@ -21,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator, Mapping
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -33,16 +35,14 @@ from plumbline.llm.cluster import prepare, text_bytes
 
 SAMPLE_ROWS, SAMPLE_ROW_CHARS, SAMPLE_CHARS = 96, 8_192, 32_768
 LANE = 256
-#: Classes 0 (no letter) and 1 (letter of no sample), then the commonest letters of the samples.
-LETTERS_KEPT = 62
 #: Signs parsed at once.
 SIGNS = 2 << 20
 
 Samples = tuple[tuple[str, str], ...]
 
 
-def suffix_automaton(signs: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``signs``, state by sign; 0 is the root and stands for none."""
+def suffix_automaton(signs: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``signs`` by state; 0 is the root."""
     nexts: list[dict[int, int]] = [{}]
     link, length = [-1], [0]
     last = 0
@@ -69,11 +69,56 @@ def suffix_automaton(signs: list[int], width: int) -> np.ndarray:
                     at = link[at]
                 link[old] = link[new] = copy
         last = new
-    table = np.zeros((len(nexts), width), np.int32)
-    for state, to in enumerate(nexts):
-        if to:
-            table[state, list(to)] = list(to.values())
-    return table
+    return nexts
+
+
+def displaced(nexts: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a sparse table laid over one another: a state is its row's offset, the root's is 0.
+
+    At offset + sign stand the offset of the row that the place belongs to (-1: none) and the state it leads to.
+    No two rows have one offset, so a place of another row never counts. Room is that of the transitions and
+    one row, whatever the width.
+    """
+    offsets = [0] * len(nexts)
+    rows = sorted(range(1, len(nexts)), key=lambda state: -len(nexts[state]))
+    given, taken = 1, sum(1 << sign for sign in nexts[0])  # bits: offsets in use, places in use
+    single = len(rows)
+    for k, state in enumerate(rows):
+        if len(nexts[state]) < 2:
+            single = k
+            break
+        clash = given
+        for sign in nexts[state]:
+            clash |= taken >> sign
+        free = ~clash & (clash + 1)  # the lowest offset at which nothing clashes
+        offsets[state] = free.bit_length() - 1
+        given |= free
+        for sign in nexts[state]:
+            taken |= free << sign
+    # Rows of one transition, most of all, take the free places in turn.
+    used = set(offsets)
+    bits = bin(taken)[:1:-1]
+    places = (at for at in count(width) if at >= len(bits) or bits[at] == "0")
+    for state in rows[single:]:
+        sign = next(iter(nexts[state]), 0)
+        offset = next(places) - sign
+        while offset in used:
+            offset = next(places) - sign
+        used.add(offset)
+        offsets[state] = offset
+    owner = np.full(max(offsets) + width, -1, np.int32)
+    to = np.zeros(len(owner), np.int32)
+    for offset, row in zip(offsets, nexts):
+        for sign, state in row.items():
+            owner[offset + sign] = offset
+            to[offset + sign] = offsets[state]
+    return owner, to
+
+
+@lru_cache(1)
+def lower_cased() -> dict[int, str]:
+    """Of each letter its lower case, the first sign where that is several."""
+    return {point: chr(point).lower()[0] for point in np.flatnonzero(code_point_classes() == LETTER).tolist()}
 
 
 class Parser:
@@ -81,24 +126,17 @@ class Parser:
 
     def __init__(self, samples: Samples):
         self.languages = [name for name, _ in samples]
-        counts: dict[str, int] = {}
-        for _, text in samples:
-            for c in text.lower():
-                if c.isalpha():
-                    counts[c] = counts.get(c, 0) + 1
-        kept = sorted(counts, key=lambda c: (-counts[c], c))[:LETTERS_KEPT]
-        self.width = len(kept) + 2
-        lower = {c: i for i, c in enumerate(kept, 2)}
-        self.classes = np.where(code_point_classes() == LETTER, 1, 0).astype(np.uint8)
-        for c, number in lower.items():
-            self.classes[ord(c)] = number
-            if len(c.upper()) == 1:
-                self.classes[ord(c.upper())] = number
+        lower = lower_cased()
+        letters = sorted({lower[point] for _, text in samples for point in set(map(ord, text)) if point in lower})
+        # Classes 0 (no letter) and 1 (letter of no sample), then the letters of the samples.
+        numbers = {c: i for i, c in enumerate(letters, 2)}
+        self.width = len(letters) + 2
+        self.classes = np.zeros(0x110000, np.min_scalar_type(self.width))
+        self.classes[list(lower)] = [numbers.get(c, 1) for c in lower.values()]
         self.tables, self.costs = [], []
         for _, text in samples:
             points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-            # States are kept as the place of their row, so that a step is one addition and one look-up.
-            self.tables.append((suffix_automaton(self.classes[points].tolist(), self.width) * self.width).ravel())
+            self.tables.append(displaced(suffix_automaton(self.classes[points].tolist()), self.width))
             self.costs.append(math.log2(max(2, len(points))))
 
     def phrases(self, signs: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -110,10 +148,11 @@ class Parser:
         size = np.minimum(counts[owner] - number * LANE, LANE)
         order = np.argsort(-size, kind="stable")
         owner, start, size = owner[order], start[order], size[order]
-        grid = np.ascontiguousarray(np.r_[signs, np.zeros(LANE, np.uint8)][start[:, None] + np.arange(LANE)].T)
+        grid = np.ascontiguousarray(np.r_[signs, np.zeros(LANE, signs.dtype)][start[:, None] + np.arange(LANE)].T)
         active = np.searchsorted(-size, -np.arange(LANE), side="left")  # lanes longer than j
         out = np.zeros((len(self.languages), len(counts)))
-        for k, table in enumerate(self.tables):
+        for k, (of, leads) in enumerate(self.tables):
+            begin = np.where(of[: self.width] == 0, leads[: self.width], 0)  # the root's row
             state = np.zeros(len(owner), np.int32)
             ended = np.ones(len(owner), np.int32)  # the phrase that the lane's end cuts off
             for j in range(LANE):
@@ -121,10 +160,10 @@ class Parser:
                 if not n:
                     break
                 sign = grid[j, :n]
-                to = table[state[:n] + sign]
-                fails = to == 0
+                at = state[:n] + sign
+                fails = of[at] != state[:n]
                 ended[:n] += fails
-                state[:n] = np.where(fails, table[sign], to)
+                state[:n] = np.where(fails, begin[sign], leads[at])
             out[k] = np.bincount(owner, ended, len(counts))
         return out
 

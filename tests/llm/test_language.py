@@ -32,6 +32,24 @@ def test_parsing_is_longest_match():
         assert got[k].tolist() == [plain_phrases(s.tobytes(), known) for s in signs]
 
 
+def test_every_letter_of_the_samples_counts():
+    rnd = random.Random(5)
+    alphabets = {"cs": [chr(c) for c in (*range(ord("a"), ord("z") + 1), *range(0x3B1, 0x3C2), *range(0x430, 0x450))], "hy": [chr(c) for c in range(0x561, 0x587)], "ka": [chr(c) for c in range(0x10D0, 0x10F1)], "zh": [chr(c) for c in range(0x4E00, 0x4F00)]}
+    words = {name: [[rnd.choice(letters) for _ in range(2 + k % 5)] for k in range(60)] for name, letters in alphabets.items()}
+    text = lambda name, n: " ".join("".join(words[name][k % 60]) for k in range(n))
+    samples = tuple((name, text(name, 5000 if name == "cs" else 60)) for name in sorted(alphabets))
+    parser = language.Parser(samples)
+    letters = sorted({c for _, sample in samples for c in sample if c != " "})
+    classes = [int(parser.classes[ord(c)]) for c in letters]
+    assert len(letters) > 250 and len(set(classes)) == len(letters) and min(classes) == 2
+    assert [int(parser.classes[ord(c)]) for c in " 7ก가"] == [0, 0, 1, 1]
+    assert parser.classes[ord("A")] == parser.classes[ord("a")] and parser.classes[ord("Ա")] == parser.classes[ord("ա")]
+    for name in alphabets:
+        data = text(name, 40).encode()
+        named, score = parser.predict(data, np.array([0, len(data)]))
+        assert named == [name] and score[0] > 0.5
+
+
 def test_long_texts_are_parsed_whole():
     samples = (("x", "abcabcabd" * 40), ("y", "ddcddcdda" * 40))
     parser = language.Parser(samples)
