@@ -5,6 +5,9 @@ item, cell, row or option where its like begins, text between rows moves into th
 tags without a start are ignored, open elements end with the page. Visibility rules drop what a browser
 would not show: scripts, styles, the head, templates, hidden and closed elements, and what a ``style``
 attribute or a simple rule (tag, class or id) of a style sheet hides; a visible part of an invisible one shows.
+Style sheets and ``@media`` blocks count where they hold for every screen. What depends on a screen's width or
+on another condition (``@supports``, ``@container``) or a scope doesn't count, so it hides nothing. The text of formulas,
+drawings and image maps shows, but for what a drawing only defines (``defs``, ``symbol``) for ``use`` elsewhere.
 
 What is visible is laid out as lines: blocks start lines, spaced ones (paragraphs, headings, lists, tables,
 quotations) stand apart by one empty line; white space folds except in preformatted text; list items get
@@ -34,13 +37,21 @@ DEEP, WIDE = 200, 60
 
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
-RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+#: What may hold a brace or semicolon in a style sheet without being one, then those.
+CSS_MARK = re.compile(r"\\.|\"(?:[^\"\\\n]|\\.)*\"?|'(?:[^'\\\n]|\\.)*'?|url\(\s*[^\s\"')][^)]*\)|[{};]", re.S | re.I)
+MEDIUM = re.compile(r"(?:(only|not)\s+)?([a-z-]+)(\s+and\s.*)?", re.S)
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 
 # Element names by what HTML says of them.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes textarea title plaintext".split())
-HIDDEN = frozenset("head script style template noscript title meta link iframe object audio video canvas svg math datalist noembed noframes map rp".split())
+HIDDEN = frozenset("head script style template noscript title meta link iframe object audio video canvas datalist noembed noframes rp annotation annotation-xml".split())
+#: Elements of a drawing that show what is in them, and parts of its texts that don't show.
+DRAWN = frozenset("svg g a switch".split())
+SILENT = frozenset("desc metadata".split())
+#: Parts of formulas that show their first part only, and those whose parts are set apart by blanks.
+ONE_SHOWN = frozenset("maction semantics".split())
+APART = frozenset("mfrac mtable mtr mlabeledtr".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table ul xmp listing caption".split()
 )
@@ -89,6 +100,11 @@ def tree(page: str) -> Node:
         if found:
             del stack[found:]
 
+    def foreign() -> bool:
+        """Is the open element one of a drawing or formula?"""
+        inner = next((x.tag for x in reversed(stack) if x.tag in ("svg", "math", "foreignobject", "desc", "annotation-xml")), "")
+        return inner in ("svg", "math")
+
     def add_text(text: str) -> None:
         if text:
             stack[-1].children.append(html.unescape(text) if "&" in text else text)
@@ -100,6 +116,11 @@ def tree(page: str) -> Node:
             break
         add_text(page[at : found.start()])
         at = found.end()
+        if page.startswith("<![CDATA[", found.start()) and foreign():
+            stop = page.find("]]>", found.start())
+            stack[-1].children.append(page[found.start() + 9 : stop if stop >= 0 else n])
+            at = stop + 3 if stop >= 0 else n
+            continue
         end, start, attributes = found.group(1), found.group(2), found.group(3)
         if end:
             end = end.lower()
@@ -140,7 +161,7 @@ def tree(page: str) -> Node:
                 stack.pop()
             node = Node(tag, values)
             stack[-1].children.append(node)
-            if tag in VOID:
+            if tag in VOID or attributes.endswith("/") and (tag in ("svg", "math") or foreign()):
                 continue
             if tag in RAW:
                 stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>])|\Z", re.I).search(page, at)
@@ -149,8 +170,6 @@ def tree(page: str) -> Node:
                     node.children.append(html.unescape(text) if tag in ("title", "textarea") else text)
                 close_at = page.find(">", stop.start())
                 at = n if stop.start() == n or close_at < 0 else close_at + 1
-            elif attributes.endswith("/") and tag in ("svg", "math", "path", "circle", "rect", "use"):
-                continue
             elif len(stack) < DEEP:
                 stack.append(node)
             else:
@@ -168,6 +187,47 @@ def _style(attributes: dict[str, str]) -> dict[str, str]:
     return out
 
 
+def on_screen(media: str) -> bool:
+    """Does a list of media queries hold for every screen?"""
+    if not media.strip():
+        return True
+    for query in media.lower().split(","):
+        found = MEDIUM.fullmatch(query.strip())
+        if found:
+            kind, bound = found.group(2) in ("all", "screen"), found.group(3)
+            if not kind if found.group(1) == "not" else kind and not bound:
+                return True
+    return False
+
+
+def declarations(css: str) -> Iterator[tuple[str, str]]:
+    """Selectors and one declaration of theirs each, of all that holds on every screen."""
+    css = re.sub(r"/\*.*?(?:\*/|\Z)", " ", css, flags=re.S)
+    blocks: list[tuple[str | None, bool]] = [(None, True)]  # open blocks: the selectors that they set, do they hold
+    start = 0
+    for mark in CSS_MARK.finditer(css + "}"):
+        if mark.group() not in ("{", "}", ";"):
+            continue
+        selectors, holds = blocks[-1]
+        head = css[start : mark.start()].strip()
+        if selectors is None:
+            head = re.sub(r"^(?:(?:<!--|-->)\s*)+", "", head)
+        if mark.group() == "{":
+            if head.startswith("@"):
+                name, condition = re.fullmatch(r"@([\w-]*)(.*)", head, re.S).groups()
+                blocks.append((selectors, holds and (name.lower() == "layer" or name.lower() == "media" and on_screen(condition))))
+            else:
+                blocks.append((head, holds) if selectors is None else ("", False))  # a rule in a rule is no simple one
+        elif selectors is None and not head.startswith("@") and (mark.group() == ";" or len(blocks) == 1):
+            continue  # no end: part of the selectors that follow
+        else:
+            if selectors is not None and holds and not head.startswith("@"):
+                yield selectors, head
+            if mark.group() == "}" and len(blocks) > 1:
+                blocks.pop()
+        start = mark.end()
+
+
 class Sheet:
     """The simple rules of a page's style sheets: what they set of display and visibility."""
 
@@ -176,8 +236,8 @@ class Sheet:
         stack = [root]
         while stack:
             node = stack.pop()
-            if node.tag == "style":
-                for selectors, body in RULE.findall(re.sub(r"/\*.*?\*/", " ", "".join(c for c in node.children if isinstance(c, str)), flags=re.S)):
+            if node.tag == "style" and on_screen(node.attributes.get("media", "")):
+                for selectors, body in declarations("".join(c for c in node.children if isinstance(c, str))):
                     found = {k: v for k, v in _style({"style": body}).items() if k in ("display", "visibility", "white-space")}
                     for selector in selectors.split(","):
                         if found and re.fullmatch(r"[.#]?[\w-]+", selector.strip()):
@@ -271,6 +331,8 @@ class Renderer:
         style = self.sheet.of(node)
         out = node.tag in HIDDEN or style.get("display") == "none" or "hidden" in node.attributes and "display" not in style
         out = out or node.tag == "input" or node.tag == "dialog" and "open" not in node.attributes
+        if node.tag == "mphantom":
+            visible = False
         if style.get("visibility") in ("hidden", "collapse", "visible"):
             visible = style["visibility"] == "visible"
         return not out, visible, style
@@ -301,6 +363,14 @@ class Renderer:
             if not laid or closed and child.tag != "summary":
                 continue
             tag, display = child.tag, style.get("display", "")
+            if tag in SILENT and node.tag in ("text", "tspan", "textpath"):
+                continue
+            if node.tag in ONE_SHOWN and child is not next(c for c in node.children if isinstance(c, Node)):
+                break
+            if node.tag in APART:
+                out.space = True
+            if tag == "math" and child.attributes.get("display", "").lower() == "block":
+                display = display or "block"
             spaces = style.get("white-space", "")
             keeps = tag in ("pre", "textarea", "xmp", "listing") or spaces.startswith("pre") or exact and spaces not in ("normal", "nowrap")
             if tag == "br":
@@ -313,6 +383,8 @@ class Renderer:
                         out.gap = max(out.gap, 1)
             elif tag == "wbr" or tag in ("img", "embed", "area"):
                 pass
+            elif tag == "svg":
+                self.drawing(out, child, seen)
             elif tag == "select":
                 options = list(_inside(child, "option"))
                 for option in [c for c in options if "selected" in c.attributes] or options[:1]:
@@ -360,6 +432,28 @@ class Renderer:
                 out.end(gap)
             else:
                 self.into(out, child, seen, keeps)
+        if node.tag in APART:
+            out.space = True
+
+    def drawing(self, out: Lines, node: Node, visible: bool) -> None:
+        """The texts of a drawing, in their order, set apart by blanks."""
+        for child in node.children:
+            if isinstance(child, str) or child.tag not in DRAWN and child.tag not in ("text", "foreignobject"):
+                continue
+            laid, seen, style = self.shown(child, visible)
+            # Attributes say the same where no style does.
+            if not laid or "display" not in style and child.attributes.get("display", "") == "none":
+                continue
+            if "visibility" not in style and "visibility" in child.attributes:
+                seen = child.attributes["visibility"] == "visible"
+            if child.tag in DRAWN:
+                self.drawing(out, child, seen)
+            else:
+                out.space = True
+                self.into(out, child, seen, False)
+                out.space = True
+            if node.tag == "switch":
+                break  # shows one of its parts
 
     def table(self, table: Node, visible: bool) -> list[str]:
         """Captions, then the rows with their cells in columns, then what doesn't belong between rows."""

@@ -46,6 +46,29 @@ def test_layout(page):
     assert html_layout.render(page) == PAGES[page]
 
 
+SHOWN = {
+    # Style sheets count where they hold for every screen.
+    "<style>@media print { .nav, .note {display:none} } b {visibility:hidden}</style><p class=nav>n</p><p class=note>m</p><b>no</b>yes": "n\n\nm\n\nyes",
+    "<style>@media (max-width:600px) {.a {display:none}} @supports (display:grid) {.a {display:none}} @container (width > 9px) {.a {display:none}}</style><i class=a>yes</i>": "yes",
+    "<style>@media screen { .a {display:none} @media print {.b {display:none}} } @layer x { .c {display:none} }</style><i class=a>no</i><i class=b>yes</i><i class=c>no</i>": "yes",
+    "<style>@media not print {.a {display:none}} @media print, screen {.b {display:none}} @media screen and (min-width:1px) {.c {display:none}} @media not screen {.d {display:none}}</style><i class=a>no</i><i class=b>no</i><i class=c>c</i><i class=d>d</i>": "cd",
+    "<style media=print>.a {display:none}</style><style media='screen, print'>.b {display:none}</style><i class=a>yes</i><i class=b>no</i>": "yes",
+    "<style>@import 'a;b{c'; .a {background:url(data:x;y{z);display:none} .b {content:'}';display:none} .c {color:red; .d {display:none} @media print {display:none}}</style><i class=a>no</i><i class=b>no</i><i class=c>c</i><i class=d>d</i>": "cd",
+    "<style>@font-face {src:url(y)} @keyframes k {from {display:none}} p {display:none}</style><p>no</p>yes": "yes",
+    # Formulas, drawings, image maps.
+    "see <math><mi>a</mi><mo>+</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><mi>b</mi></math> here": "see a+ 1 2 b here",
+    "<math><semantics><mi>x</mi><annotation encoding=tex>no</annotation></semantics><mphantom>no</mphantom></math>": "x",
+    "a <svg><title>no</title><defs><text>no</text></defs>no<line x1=0 /><g><text>Sales<tspan> 2024</tspan><desc>no</desc></text><text>Costs</text></g><text display=none>no</text></svg> b": "a Sales 2024 Costs b",
+    "<svg><foreignObject><p>in</p></foreignObject><text><![CDATA[1 > 0]]></text></svg>": "in\n\n1 > 0",
+    "<map name=m><area href=x><a href=y>North</a> South</map>": "North South",
+}
+
+
+@pytest.mark.parametrize("page", SHOWN)
+def test_shown_on_a_screen(page):
+    assert html_layout.render(page) == SHOWN[page]
+
+
 class Words(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
