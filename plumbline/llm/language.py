@@ -10,9 +10,9 @@ All signs of a text count. So that arrays can step through many texts at once, p
 one class, letters that no sample has are another and always end a phrase. Each letter of the samples is a class
 of its own, however many there are: transitions are kept sparsely.
 
-Learning: ``SAMPLE_ROWS`` rows per language, chosen by a hash of their id among those of at most
-``SAMPLE_ROW_CHARS`` signs, whose text is joined up to ``SAMPLE_CHARS`` signs. These bounds are all that
-limits what is learned; every text is parsed whole. A null text or one without a letter gives ``und`` and
+Learning: ``SAMPLE_ROWS`` rows per language, chosen by a hash of their id, whose text is joined up to
+``SAMPLE_CHARS`` signs; of a row of over ``SAMPLE_ROW_CHARS`` signs a piece of so many, at a place by a hash of
+its id. These bounds are all that limits what is learned; every text is parsed whole. A null text or one without a letter gives ``und`` and
 score 0; so does any text if no language was learned. Ties go to the first language by name. Rows that repeat
 an id are rows of their own. Rows without an id or language teach nothing but are predicted.
 """
@@ -199,12 +199,14 @@ def parser(samples: Samples) -> Parser:
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id") -> Samples:
     """A bounded sample of text per language, by name: all that the driver sees of the corpus."""
-    rows = labelled.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & (F.length(text) > 0) & (F.length(text) <= SAMPLE_ROW_CHARS))
+    rows = labelled.where(F.col(lang).isNotNull() & F.col(doc_id).isNotNull() & (F.length(text) > 0))
     rows = rows.select(F.col(doc_id).alias("d"), F.col(lang).alias("l"), F.xxhash64(F.lit(8), doc_id).alias("h"))
     order = Window.partitionBy("l").orderBy("h", "d")
     chosen = rows.withColumn("r", F.row_number().over(order)).where(f"r <= {SAMPLE_ROWS}").select("d", "l", "r")
     # SAMPLE_ROWS rows of a few bytes for each language.
-    texts = labelled.select(F.col(doc_id).alias("d"), F.col(lang).alias("l"), F.col(text).alias("t")).where(F.length("t") <= SAMPLE_ROW_CHARS)
+    spare = F.greatest(F.length(text) - SAMPLE_ROW_CHARS, F.lit(0))
+    piece = F.substring(text, (1 + F.pmod(F.xxhash64(F.lit(9), doc_id), spare + 1)).cast("int"), F.lit(SAMPLE_ROW_CHARS))
+    texts = labelled.where(F.length(text) > 0).select(F.col(doc_id).alias("d"), F.col(lang).alias("l"), piece.alias("t"))
     found = texts.join(F.broadcast(chosen), ["d", "l"]).groupBy("l", "r").agg(F.min("t").alias("t")).collect()
     joined: dict[str, list[str]] = {}
     for row in sorted(found, key=lambda x: (x.l, x.r)):

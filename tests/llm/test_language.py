@@ -68,6 +68,20 @@ def test_query_accuracy(spark):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def test_long_rows_teach(spark):
+    rnd = random.Random(6)
+    long = ["".join(rnd.choices("abcde ", k=3 * language.SAMPLE_ROW_CHARS)) for _ in range(9)]
+    rows = [*((i, t, "long") for i, t in enumerate(long)), *((i, "vwxyz zyx wv " * 9, "short") for i in range(20, 40))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    samples = dict(language.learn(df))
+    assert dict(language.learn(df.repartition(7))) == samples and set(samples) == {"long", "short"}
+    pieces = samples["long"].split("\n")
+    assert len(samples["long"]) == language.SAMPLE_CHARS and {len(p) for p in pieces[:-1]} == {language.SAMPLE_ROW_CHARS}
+    places = [t.find(p) for p in pieces for t in long if p in t]
+    assert len(places) == len(pieces) and len(set(places)) > 1 and max(places) <= 2 * language.SAMPLE_ROW_CHARS + (language.SAMPLE_ROW_CHARS - len(pieces[-1]))
+    assert {r.lang_pred for r in language.identify(df.where("lang = 'long'"), samples).collect()} == {"long"}
+
+
 def test_awkward(spark):
     df = frame(spark, [*AWKWARD, "12 34 !!", "ÉTÉ"])
     samples = language.learn(df)
