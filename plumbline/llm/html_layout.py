@@ -15,8 +15,8 @@ bullets or numbers and hang; the cells of a table stand in columns, padded to th
 ``WIDE`` signs, spans kept.
 
 Pages are rows of their own: no shuffle, nothing shared. A null or empty page gives an empty text. Other columns
-are ignored unless named in ``keep``. Nesting deeper than ``DEEP`` elements is read on at that depth, so no
-page exhausts the stack. Text is never cut.
+are ignored unless named in ``keep``. Elements may nest to any depth: open ones are kept in lists, none on Python's
+stack. Text is never cut.
 """
 
 from __future__ import annotations
@@ -24,7 +24,10 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Generator, Iterator, Sequence
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,7 +36,7 @@ from pyspark.sql import types as T
 
 from plumbline.llm.cluster import prepare
 
-DEEP, WIDE = 200, 60
+WIDE = 60
 
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
@@ -88,22 +91,31 @@ def tree(page: str) -> Node:
     page = page.replace("\r\n", "\n").replace("\r", "\n").replace("\0", "")
     root = Node("#page", {})
     stack, at, n = [root], 0, len(page)
+    places: dict[str, list[int]] = defaultdict(list)  # of the open elements by tag, so that depth costs no search
+
+    def end_from(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop().tag].pop()
+
+    def last(tags: set[str] | frozenset[str]) -> int:
+        """Place of the innermost open element of ``tags``, 0 if there is none."""
+        return max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
 
     def close(tags: set[str] | frozenset[str], until: set[str] | frozenset[str]) -> None:
         """End the highest open element of ``tags`` that lies inside the nearest of ``until``, and all in it."""
-        found = None
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in until:
-                break
-            if stack[i].tag in tags:
-                found = i
-        if found:
-            del stack[found:]
+        if not any(places.get(tag) for tag in tags):
+            return
+        fence, found = last(until), len(stack)
+        for tag in tags:
+            held = places[tag]
+            i = bisect_right(held, fence)
+            if i < len(held):
+                found = min(found, held[i])
+        end_from(found)
 
     def foreign() -> bool:
         """Is the open element one of a drawing or formula?"""
-        inner = next((x.tag for x in reversed(stack) if x.tag in ("svg", "math", "foreignobject", "desc", "annotation-xml")), "")
-        return inner in ("svg", "math")
+        return last({"svg", "math"}) > last({"foreignobject", "desc", "annotation-xml"})
 
     def add_text(text: str) -> None:
         if text:
@@ -132,18 +144,15 @@ def tree(page: str) -> Node:
                 fence = frozenset() if end in ("table", "html", "body") else {"table"} if end in TABLE_PARTS else {"td", "th", "caption", "table"} if end in BLOCKS else {"td", "th", "caption", "table", *({"p"} if end != "p" else ())} - {end}
                 if end in ("html", "body"):
                     continue  # what follows still belongs to the page
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == end:
-                        del stack[i:]
-                        break
-                    if stack[i].tag in fence:
-                        break
+                found = last({end})
+                if found and found >= last(fence):
+                    end_from(found)
         elif start:
             tag = start.lower()
             if tag in ENDS_PARAGRAPH:
                 close({"p"}, {"td", "th", "caption", "table", "button"})
             if tag in HEADINGS and stack[-1].tag in HEADINGS:
-                stack.pop()
+                end_from(len(stack) - 1)
             if tag in IMPLIED:
                 close(*IMPLIED[tag])
             values = {}
@@ -155,10 +164,10 @@ def tree(page: str) -> Node:
             if tag == "body" or tag == "html":
                 # One of each; the head ends where the body begins.
                 close({"head"}, frozenset())
-                if any(x.tag == tag for x in stack):
+                if places[tag]:
                     continue
             elif stack[-1].tag == "head" and tag not in HIDDEN and tag not in ("base", "basefont", "bgsound"):
-                stack.pop()
+                end_from(len(stack) - 1)
             node = Node(tag, values)
             stack[-1].children.append(node)
             if tag in VOID or attributes.endswith("/") and (tag in ("svg", "math") or foreign()):
@@ -170,11 +179,9 @@ def tree(page: str) -> Node:
                     node.children.append(html.unescape(text) if tag in ("title", "textarea") else text)
                 close_at = page.find(">", stop.start())
                 at = n if stop.start() == n or close_at < 0 else close_at + 1
-            elif len(stack) < DEEP:
-                stack.append(node)
             else:
-                # Too deep: what follows becomes a neighbour, hidden things stay hidden by their own end.
-                stack[-1] = node if node.tag in HIDDEN else stack[-1]
+                places[tag].append(len(stack))
+                stack.append(node)
     return root
 
 
@@ -317,13 +324,30 @@ def _number(attributes: dict[str, str], name: str, default: int, least: int, mos
     return min(most, max(least, int(found.group(1)))) if found else default
 
 
+#: Yields the steps that it waits for, is sent what they return.
+Steps = Generator["Steps", Any, Any]
+
+
+def run_steps(first: Steps) -> Any:
+    """What ``first`` returns; steps that wait for others are kept in a list."""
+    waiting, result = [first], None
+    while waiting:
+        try:
+            waiting.append(waiting[-1].send(result))
+            result = None
+        except StopIteration as end:
+            waiting.pop()
+            result = end.value
+    return result
+
+
 class Renderer:
     def __init__(self, root: Node):
         self.sheet = Sheet(root)
         self.root = root
 
     def text(self) -> str:
-        lines = self.block(self.root, True, False)
+        lines = run_steps(self.block(self.root, True, False))
         return "\n".join(line.rstrip(" ") for line in lines)
 
     def shown(self, node: Node, visible: bool) -> tuple[bool, bool, dict[str, str]]:
@@ -337,14 +361,14 @@ class Renderer:
             visible = style["visibility"] == "visible"
         return not out, visible, style
 
-    def block(self, node: Node, visible: bool, exact: bool) -> list[str]:
+    def block(self, node: Node, visible: bool, exact: bool) -> Steps:
         """The lines of what is in a node."""
         out = Lines()
-        self.into(out, node, visible, exact)
+        yield self.into(out, node, visible, exact)
         out.end()
         return out.done
 
-    def into(self, out: Lines, node: Node, visible: bool, exact: bool) -> None:
+    def into(self, out: Lines, node: Node, visible: bool, exact: bool) -> Steps:
         number = _number(node.attributes, "start", 1, -(10**9), 10**9)
         step = 1
         if node.tag == "ol" and "reversed" in node.attributes:
@@ -384,14 +408,14 @@ class Renderer:
             elif tag == "wbr" or tag in ("img", "embed", "area"):
                 pass
             elif tag == "svg":
-                self.drawing(out, child, seen)
+                yield self.drawing(out, child, seen)
             elif tag == "select":
                 options = list(_inside(child, "option"))
                 for option in [c for c in options if "selected" in c.attributes] or options[:1]:
-                    self.into(out, option, seen, False)
+                    yield self.into(out, option, seen, False)
             elif tag == "table" and display in ("", "table", "inline-table"):
                 out.end(1)
-                out.put(self.table(child, seen))
+                out.put((yield self.table(child, seen)))
                 out.end(1)
             elif tag == "li" or display == "list-item":
                 marker = "- "
@@ -400,17 +424,18 @@ class Renderer:
                     marker = f"{number}. "
                     number += step
                 out.end()
-                lines = self.block(child, seen, False)
+                lines = yield self.block(child, seen, False)
                 if lines:
                     out.put([marker + lines[0], *(" " * len(marker) + x if x else "" for x in lines[1:])])
             elif tag in ("blockquote", "dd"):
                 gap = 1 if tag == "blockquote" else 0
                 out.end(gap)
-                out.put(["    " + x if x else "" for x in self.block(child, seen, False)])
+                lines = yield self.block(child, seen, False)
+                out.put(["    " + x if x else "" for x in lines])
                 out.end(gap)
             elif keeps and tag in BLOCKS or tag in ("pre", "xmp", "listing"):
                 out.end(1)
-                text = self.block(child, seen, True)
+                text = yield self.block(child, seen, True)
                 while text and not text[0].strip():
                     text.pop(0)
                 while text and not text[-1].strip():
@@ -420,7 +445,7 @@ class Renderer:
             elif tag == "q":
                 if seen:
                     out.flow("“")
-                self.into(out, child, seen, exact)
+                yield self.into(out, child, seen, exact)
                 if seen:
                     out.space = False
                     out.flow("”")
@@ -428,14 +453,14 @@ class Renderer:
                 # Lists in a list don't stand apart.
                 gap = 1 if tag in SPACED and not (tag in ("ul", "ol", "menu", "dir") and node.tag == "li") else 0
                 out.end(gap)
-                self.into(out, child, seen, keeps)
+                yield self.into(out, child, seen, keeps)
                 out.end(gap)
             else:
-                self.into(out, child, seen, keeps)
+                yield self.into(out, child, seen, keeps)
         if node.tag in APART:
             out.space = True
 
-    def drawing(self, out: Lines, node: Node, visible: bool) -> None:
+    def drawing(self, out: Lines, node: Node, visible: bool) -> Steps:
         """The texts of a drawing, in their order, set apart by blanks."""
         for child in node.children:
             if isinstance(child, str) or child.tag not in DRAWN and child.tag not in ("text", "foreignobject"):
@@ -447,15 +472,15 @@ class Renderer:
             if "visibility" not in style and "visibility" in child.attributes:
                 seen = child.attributes["visibility"] == "visible"
             if child.tag in DRAWN:
-                self.drawing(out, child, seen)
+                yield self.drawing(out, child, seen)
             else:
                 out.space = True
-                self.into(out, child, seen, False)
+                yield self.into(out, child, seen, False)
                 out.space = True
             if node.tag == "switch":
                 break  # shows one of its parts
 
-    def table(self, table: Node, visible: bool) -> list[str]:
+    def table(self, table: Node, visible: bool) -> Steps:
         """Captions, then the rows with their cells in columns, then what doesn't belong between rows."""
         captions, rows, last, loose = [], [], [], Lines()
         parts: list[tuple[Node, bool, list]] = [(table, visible, rows)]
@@ -470,7 +495,7 @@ class Renderer:
                 if not laid:
                     continue
                 if child.tag == "caption":
-                    captions += self.block(child, shows, False)
+                    captions += yield self.block(child, shows, False)
                 elif child.tag in ("tbody", "thead", "tfoot"):
                     held = last if child.tag == "tfoot" else to
                     self._rows(child, shows, held, strays)
@@ -482,9 +507,9 @@ class Renderer:
                     to[-1][0].children.append(child)
                 elif child.tag not in ("colgroup", "col"):
                     strays.children.append(child)
-            self.into(loose, strays, seen, False)
+            yield self.into(loose, strays, seen, False)
         loose.end()
-        return captions + loose.done + self._grid(rows + last)
+        return captions + loose.done + (yield self._grid(rows + last))
 
     def _rows(self, part: Node, visible: bool, to: list, strays: Node) -> None:
         for child in part.children:
@@ -503,7 +528,7 @@ class Renderer:
             else:
                 strays.children.append(child)
 
-    def _grid(self, rows: list[tuple[Node, bool]]) -> list[str]:
+    def _grid(self, rows: list[tuple[Node, bool]]) -> Steps:
         taken: dict[int, int] = {}  # column: rows that a cell above still covers
         laid_rows: list[list[tuple[int, int, list[str], bool]]] = []
         for row, visible in rows:
@@ -524,7 +549,7 @@ class Renderer:
                 across = _number(cell.attributes, "colspan", 1, 1, 1000)
                 down = _number(cell.attributes, "rowspan", 1, 0, 65534) or 65534
                 right = "right" in (cell.attributes.get("align", "").lower(), style.get("text-align", ""))
-                cells.append((column, across, self.block(cell, seen, False), right))
+                cells.append((column, across, (yield self.block(cell, seen, False)), right))
                 for c in range(column, column + across):
                     taken[c] = max(taken.get(c, 0), down)
                 column += across
@@ -560,12 +585,14 @@ class Renderer:
 
 
 def _inside(node: Node, tag: str) -> Iterator[Node]:
-    for child in node.children:
+    rest = node.children[::-1]
+    while rest:
+        child = rest.pop()
         if isinstance(child, Node):
             if child.tag == tag:
                 yield child
             elif child.tag == "optgroup":
-                yield from _inside(child, tag)
+                rest += child.children[::-1]
 
 
 def render(page: str | None) -> str:

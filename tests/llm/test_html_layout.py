@@ -69,6 +69,17 @@ def test_shown_on_a_screen(page):
     assert html_layout.render(page) == SHOWN[page]
 
 
+def test_depth_changes_nothing():
+    wrap = lambda page, n, tag="div": f"<{tag}>" * n + page + f"</{tag}>" * n
+    for n in (300, 60_000):
+        assert html_layout.render(wrap("a<span style='display:none'>no</span><ol><li>b<li>c</ol><pre> d\n  e</pre>", n)) == "a\n\n1. b\n2. c\n\n d\n  e"
+        assert html_layout.render("<div hidden>" + wrap("no", n) + "no</div>yes") == "yes"
+        assert html_layout.render("<p>" + wrap("x", n, "b") + "<div>y") == "x\n\ny"
+        assert html_layout.render(wrap("<table><tr><td>long<td>b<tr><td>c<td>d</table>", n, "section")) == "long  b\nc     d"
+    assert html_layout.render("<ul><li>x" * 400).split("\n")[-1] == "  " * 399 + "- x"
+    assert html_layout.render("<table><tr><td>" * 3000 + "in") == "in"
+
+
 class Words(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
