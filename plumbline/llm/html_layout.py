@@ -11,8 +11,7 @@ drawings and image maps shows, but for what a drawing only defines (``defs``, ``
 
 What is visible is laid out as lines: blocks start lines, spaced ones (paragraphs, headings, lists, tables,
 quotations) stand apart by one empty line; white space folds except in preformatted text; list items get
-bullets or numbers and hang; the cells of a table stand in columns, padded to the widest cell of up to
-``WIDE`` signs, spans kept.
+bullets or numbers and hang; the cells of a table stand in columns, padded to the widest cell, spans kept.
 
 Pages are rows of their own: no shuffle, nothing shared. A null or empty page gives an empty text. Other columns
 are ignored unless named in ``keep``. Elements may nest to any depth: open ones are kept in lists, none on Python's
@@ -36,8 +35,6 @@ from pyspark.sql import types as T
 
 from plumbline.llm.cluster import prepare
 
-WIDE = 60
-
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'=<>`]+)))?")
 #: What may hold a brace or semicolon in a style sheet without being one, then those.
@@ -559,8 +556,7 @@ class Renderer:
         for cells in laid_rows:
             for column, across, lines, _ in cells:
                 if across == 1:
-                    fits = [w for w in map(width_of, lines) if w <= WIDE]
-                    widths[column] = max(widths.get(column, 0), *fits, 0)
+                    widths[column] = max(widths.get(column, 0), *map(width_of, lines), 0)
         # Columns that hold no text take no room.
         place, at = {}, 0
         for column in sorted(widths):

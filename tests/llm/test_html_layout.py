@@ -69,6 +69,13 @@ def test_shown_on_a_screen(page):
     assert html_layout.render(page) == SHOWN[page]
 
 
+def test_wide_cells_are_aligned():
+    long, longer = "word " * 20 + "end", "word " * 90 + "end"
+    page = f"<table><tr><td>{long}<td>a<td align=right>1<tr><td>{longer}<td>bb<td align=right>22<tr><td>x<td>c<td align=right>3</table>"
+    width = len(longer)
+    assert html_layout.render(page) == "\n".join([f"{long:{width}}  a    1", f"{longer}  bb  22", f"{'x':{width}}  c    3"])
+
+
 def test_depth_changes_nothing():
     wrap = lambda page, n, tag="div": f"<{tag}>" * n + page + f"</{tag}>" * n
     for n in (300, 60_000):
