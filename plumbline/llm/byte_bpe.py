@@ -257,10 +257,18 @@ class Vocabulary:
         ends = np.searchsorted(at, offsets)
         return [b"".join(ids[a:b]) for a, b in pairwise(ends.tolist())], at, np.diff(ends)
 
-    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of all ids, and the place of each id in them with the end last."""
+    def decode(self, ids: np.ndarray, pieces: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ``size`` bytes of all ids, and the place of each id in them with the end last.
+
+        ``pieces`` are the byte offsets that encoding retained: the bytes of a piece lie at its offset, or it is a ValueError.
+        """
         lengths = self.lengths[ids]
-        return self.flat[spans(self.starts[ids], lengths)], np.r_[0, np.cumsum(lengths)]
+        at = np.r_[0, np.cumsum(lengths)]
+        begins = np.zeros(size + 1, bool)
+        begins[at[at <= size]] = True
+        if at[-1] != size or len(pieces) and (pieces[0] != 0 or not begins[pieces].all()):
+            raise ValueError("the ids don't decode to the pieces that were encoded")
+        return self.flat[spans(self.starts[ids], lengths)], at
 
 
 NONE = np.int64(1) << 62
@@ -281,7 +289,8 @@ def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: Se
     """Encode each text and decode it again.
 
     Returns the ``keep`` columns and ``ids`` (binary, little-endian unsigned 32-bit integers), ``decoded``
-    (binary) and, with ``offsets``, ``piece_offsets`` (array of int: the byte where each piece begins).
+    (binary; the offsets of the pieces are checked on the way) and, with ``offsets``, ``piece_offsets`` (array of
+    int: the byte where each piece begins).
     ``ranks_path`` must name a file that every executor has. Names of ``keep`` that clash with the new
     columns raise a ValueError.
     """
@@ -298,7 +307,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: Se
         ids, places, counts = vocab.encode(data, ends)
         sizes = np.array([len(x) for x in ids], np.int64)
         joined = b"".join(ids)
-        decoded, at = vocab.decode(np.frombuffer(joined, "<u4").astype(np.int64))
+        decoded, at = vocab.decode(np.frombuffer(joined, "<u4").astype(np.int64), places, len(data))
         id_ends = np.r_[0, np.cumsum(sizes)]
         columns = [*(batch.column(i) for i in range(len(kept))), binary_array(joined, id_ends), binary_array(decoded, at[id_ends // 4])]
         if offsets:

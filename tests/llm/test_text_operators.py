@@ -69,6 +69,19 @@ def test_bpe_awkward_rows_and_offsets(spark):
         byte_bpe.encode_decode(df, RANKS, keep=("doc_id", "ids"))
 
 
+def test_bpe_decoding_checks_the_offsets():
+    vocab, text = byte_bpe.vocabulary(RANKS), "It's unbelievably 1,234  words é 😀".encode()
+    (ids,), places, _ = vocab.encode(text, np.array([0, len(text)]))
+    ids = np.frombuffer(ids, "<u4").astype(np.int64)
+    decoded, at = vocab.decode(ids, places, len(text))
+    assert decoded.tobytes() == text and set(places.tolist()) <= set(at.tolist())
+    inside = next(i for i in range(len(text)) if i not in set(at.tolist()))
+    for wrong in ((ids[:-1], places, len(text)), (ids, np.r_[places, inside], len(text)), (ids, places[1:], len(text)), (ids[::-1], places, len(text))):
+        with pytest.raises(ValueError):
+            vocab.decode(*wrong)
+    assert vocab.decode(ids[:0], places[:0], 0)[0].tobytes() == b""
+
+
 def equal_groups(rows):
     groups = defaultdict(list)
     for doc_id, text in rows:
