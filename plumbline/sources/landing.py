@@ -109,29 +109,33 @@ def _line_facts(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return facts.withColumn("file", _path(F.col("file"))), heads.withColumn("file", _path(F.col("file")))
 
 
-def inventory(spark: SparkSession, root: str, entities: dict[str, str] | None = None) -> DataFrame:
-    """One row per file: size, content digest, encoding, header, layout signature, records.
-
-    The digest stands for the lines, their order and number (not the SHA-256 of the file's bytes), so it
-    has one definition for every size. Records are counted by the reader that will read them: a quoted
-    line break doesn't end one. The header is one line.
-    """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    listed = _files(spark, root)
-    facts, heads = _line_facts(spark, root)
-    records = (
+def _records(spark: SparkSession, root: str, breaks: bool) -> DataFrame:
+    """The file of each record, headers included; split where the source is declared free of line breaks."""
+    read = (
         _landed(spark)
         .schema("c string")
         .option("sep", ";")
         .option("quote", '"')
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", breaks)
         .option("encoding", "ISO-8859-1")
         .csv(root)
-        .groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("_records"))
-        .withColumn("file", _path(F.col("file")))
     )
+    return read.select(F.col("_metadata.file_path").alias("file"))
+
+
+def inventory(spark: SparkSession, root: str, entities: dict[str, str] | None = None, breaks: bool = True) -> DataFrame:
+    """One row per file: size, content digest, encoding, header, layout signature, records.
+
+    The digest stands for the lines, their order and number (not the SHA-256 of the file's bytes), so it
+    has one definition for every size. Records are counted by the reader that will read them: a quoted
+    line break doesn't end one, so each file passes through one task; only a landing that is declared free
+    of them (``breaks=False``, as for ``read_delimited``) is split. The header is one line.
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    listed = _files(spark, root)
+    facts, heads = _line_facts(spark, root)
+    records = _records(spark, root, breaks).groupBy("file").agg(F.count(F.lit(1)).alias("_records")).withColumn("file", _path(F.col("file")))
     header = F.split(F.ltrim(F.regexp_replace("_header", "[\"\ufeff]", "")), ";")
     empty = F.sha2(F.lit("0"), 256)
     out = (

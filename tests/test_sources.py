@@ -167,6 +167,23 @@ def test_inventory_counts_records_and_splits_change_nothing(spark, tmp_path):
     assert landing_approval(landing.inventory(spark, str(tmp_path / "x"))).first()["approved"] is False
 
 
+def test_inventory_splits_files_without_line_breaks(spark, tmp_path):
+    put(tmp_path / "x" / "202301_Licitação.csv", "id;texto\n" + "".join(f'{i};"é ""{i}"""\n' for i in range(5000)), "cp1252")
+    put(tmp_path / "x" / "202302_Licitação.csv", "id;texto\r\n1;a\r\n\r\n2;b")
+    put(tmp_path / "x" / "202303_Licitação.csv", "")
+    root = str(tmp_path / "x")
+    found = lambda **how: sorted(landing.inventory(spark, root, **how).collect(), key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert found(breaks=False) == found() and sorted(r["record_count"] for r in found(breaks=False)) == [0, 2, 5000]
+        tasks = {b: landing._records(spark, root, b).select("file", F.spark_partition_id().alias("p")).distinct().groupBy("file").count().agg(F.max("count")).first()[0] for b in (True, False)}
+        assert tasks[True] == 1 and tasks[False] > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_quoted_line_breaks(spark, tmp_path):
     p = put(tmp_path / "a.csv", 'id;texto\n1;"linha um\nlinha dois"\n2;ok\n')
     for strict in (True, False):
