@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import byte_bpe, exact_dedup, html_layout, language, neighbours, packing, quality, shuffle_shards, simhash, suffix_dedup
+from plumbline.llm import byte_bpe, centroids, exact_dedup, html_layout, language, line_dedup, merkle, neighbours, oracles, packing, quality, shuffle_shards, simhash, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,6 +100,30 @@ def op10_pack_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the lines of earlier ones."""
+    out = line_dedup.drop_repeats(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op12_hilbert_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every vector after five rounds from 40 drawn centroids."""
+    out = centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    numbers = F.array_join(F.transform("centroid", lambda x: x.cast("string")), ",")
+    return out.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", F.sha2(numbers, 256).alias("centroid_sha256"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, witness and root of every document; a third of the texts are tampered with before they are verified."""
+    tampered = F.when(fold(3) == 0, F.translate("text", UPPER, UPPER.lower())).otherwise(F.col("text"))
+    out = merkle.manifest(documents(spark, sf_dir), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id", claimed={"text": tampered})
+    shown = {c: F.lower(F.hex(c)) for c in ("leaf", "subroot", "root", "proof", "folded")}
+    return out.select(
+        F.col("id").alias("doc_id"), shown["leaf"].alias("leaf"), shown["subroot"].alias("subroot"), shown["root"].alias("root"),
+        shown["proof"].alias("proof_sha256"), shown["folded"].alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -110,10 +135,14 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8_language,
     "op9_shuffle_shards": op9_shuffle_shards,
     "op10_pack_cut": op10_pack_cut,
+    "op11_line_dedup": op11_line_dedup,
+    "op12_hilbert_centroids": op12_hilbert_centroids,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 #: The SQL each must agree with, where SQL can express it.
 ORACLES: dict[str, str] = {
+    **oracles.ORACLES,
     "op4_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS points,
