@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a side that holds a few numbers per file or split: about 64 MB when broadcast.
+# Rows of a side that holds a few numbers per file or split: about 64 MB when broadcast. More are not broadcast.
 MAP_SIDE_ROWS = 500_000
 
 
@@ -35,14 +35,15 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def join_small(df: DataFrame, small: DataFrame, on: Column) -> DataFrame:
-    """Inner join with a side of a row per file or split: map-side, so that ``df`` is not moved.
+def bounded(small: DataFrame) -> DataFrame:
+    """A side of a row per file or split, computed once; broadcast by the joins that use it if its rows were counted and are few.
 
-    The side is computed first and its rows are counted; more than ``MAP_SIDE_ROWS`` would not
-    fit beside a task, and moving every row is not what the caller asked for, so that fails.
+    Beyond ``MAP_SIDE_ROWS`` it stays a partitioned table and the join that uses it moves rows; the result is the same.
     """
     small = materialize(small)
-    rows = small.count()
-    if rows > MAP_SIDE_ROWS:
-        raise ValueError(f"{rows} files or splits are more than the {MAP_SIDE_ROWS} that a map-side join takes; land fewer, larger files")
-    return df.join(F.broadcast(small), on)
+    return F.broadcast(small) if small.count() <= MAP_SIDE_ROWS else small
+
+
+def join_small(df: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """Join with a side of a row per file or split: map-side where the side is few rows, so that ``df`` is not moved."""
+    return df.join(bounded(small), on, how)

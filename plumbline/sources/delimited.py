@@ -6,16 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plumbline.functions.text import clean_text, header_name, null_tokens, snake_name
 from plumbline.operators.unions import union_relaxed
 from plumbline.runtime import join_small
+from plumbline.sources import records
+from plumbline.sources.records import FILE, PLACE, SPLIT
 
 CP1252 = "windows-1252"
 UTF8 = "UTF-8"
-FILE, SPLIT, PLACE = "_file", "_split", "_place_in_split"
-
 
 def read_delimited(
     spark: SparkSession,
@@ -27,31 +26,14 @@ def read_delimited(
 ) -> DataFrame:
     """``;`` file with a header, every column text (SRC-01, SRC-03, SRC-04).
 
-    ``strict`` fails on a malformed row; otherwise short rows are padded and long ones cut.
-    A quoted value may hold line breaks, so a file is read from its start to its end by one
-    task. Only a source that is declared free of them (``breaks=False``) is split.
+    ``strict`` fails on a broken record: ragged, undecodable, or a quote that is never closed. Otherwise short rows are
+    padded, long ones cut, and the line of an open quote is a row by itself; ``records.read_records`` tells which they are.
+    Files are read in splits; only those where a quote is open behind a line are put together from their lines, and a
+    source that is declared free of line breaks (``breaks=False``) never is.
     Besides the data there are ``_file``, ``_split`` and ``_place_in_split`` for lineage.
     """
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    reader = (
-        spark.read.option("sep", ";")
-        .option("header", True)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", breaks)
-        .option("enforceSchema", columns is None)
-        .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-    )
-    if columns:
-        reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    df = reader.csv(paths)
-    return df.select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(SPLIT),
-        F.monotonically_increasing_id().alias(PLACE),
-    )
+    found = records.read_records(spark, paths, columns, encoding, breaks)
+    return records.checked(found) if strict else found.drop(records.REASON, records.RAW)
 
 
 def read_by_layout(

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from plumbline.sources.delimited import file_name
+from plumbline.sources.records import UNDEFINED_1252
 
-# The bytes that windows-1252 leaves undefined.
-UNDEFINED_1252 = "[\u0081\u008d\u008f\u0090\u009d]"
 # Line hashes are reduced by this prime, so that their sums by place stay exact in 38 digits.
 PRIME = 1_000_000_007
 

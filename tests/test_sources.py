@@ -1,13 +1,16 @@
 """Readers, writers, inventory and the landing stream on real files."""
 
 import json
+import random
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators.gates import landing_approval
 from plumbline.plans import amendments, senate
-from plumbline.sources import delimited, documents, landing, tables
+from plumbline import runtime
+from plumbline.sources import delimited, documents, landing, records, tables
 from plumbline.streaming.landing import land_once, landed_rows
 from tests.conftest import rows
 
@@ -33,20 +36,131 @@ def test_strict_reader_fails_on_ragged_rows(spark, tmp_path):
     assert rows(loose.select("a", "b")) == [("1", "2"), ("3", "4")]
 
 
-def test_line_numbers_over_several_splits(spark, tmp_path):
+@contextmanager
+def splits_of(spark, size):
+    """Files are cut into splits of so many bytes."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("few", [2, 500_000])
+def test_line_numbers_over_several_splits(spark, tmp_path, monkeypatch, few):
+    """Also where there are more splits than a map-side join takes."""
+    monkeypatch.setattr(runtime, "MAP_SIDE_ROWS", few)
     for name, n in (("x", 4000), ("y", 10)):
         put(tmp_path / f"{name}.csv", "id;texto\n" + "".join(f"{i};{'z' * 50}\n" for i in range(n)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
-    try:
+    with splits_of(spark, "20000"):
         df = delimited.read_delimited(spark, [str(tmp_path / "x.csv"), str(tmp_path / "y.csv")], encoding=delimited.UTF8, breaks=False)
         assert df.select(delimited.SPLIT).distinct().count() > 3
         got = delimited.with_line_numbers(df)
         assert got.where(F.col("linha_arquivo") != F.col("id").cast("bigint") + 2).count() == 0
         assert got.count() == 4010
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def plain_records(text):
+    """(number, text, unclosed) of each record, by walking through the lines."""
+    lines, out, held, stray = text.split("\n"), [], None, False
+
+    def walk(line, inside):
+        """Is a quote open behind the line, and does one close a value of an earlier line amid text?"""
+        i, amid, first = 0, False, inside
+        while True:
+            if inside:
+                while True:
+                    i = line.find('"', i)
+                    if i < 0:
+                        return True, amid
+                    if line[i + 1 : i + 2] != '"':
+                        break
+                    i += 2
+                amid = amid or first and line[i + 1 : i + 2] not in ("", ";")
+                first = False
+            i = line.find(";", i)
+            if i < 0:
+                return False, amid
+            inside = line[i + 1 : i + 2] == '"'
+            i += 2 if inside else 1
+            first = first and inside
+
+    begun = None
+    for n, line in enumerate(lines):
+        if held is None:
+            if not line.strip():
+                continue
+            # A separator before the line makes its first field like any other.
+            if walk(";" + line, False)[0]:
+                held, stray, begun = [line], False, n
+            else:
+                out.append((line, False))
+        else:
+            held.append(line)
+            still, amid = walk(line, True)
+            stray = stray or amid
+            if not still:
+                out.append(("\n".join(held), stray))
+                held = None
+    if held is not None:
+        out += [(line, walk(";" + line, False)[0]) for line in lines[begun:] if line.strip()]
+    return [(i, *r) for i, r in enumerate(out, 1)]
+
+
+@pytest.mark.parametrize("size", ["7", "64", "100000"])
+def test_records_are_put_together_whatever_the_splits(spark, tmp_path, size):
+    rnd, want = random.Random(int(size)), set()
+    for f in range(40):
+        text = "x" * rnd.randint(0, 9) + "\n" + "\n".join("".join(rnd.choices(["a", ";", '"', '""', '";"', " "], [4, 4, 2, 1, 1, 1], k=rnd.randint(0, 6))) for _ in range(rnd.randint(0, 25)))
+        name = put(tmp_path / f"{f}.csv", text)
+        want |= {(name, *r) for r in plain_records(text)}
+    with splits_of(spark, size):
+        found = records._assembled(records._lines(spark, str(tmp_path)))
+        got = {(r["_file"].removeprefix("file:"), r["record"], r["value"], r["unclosed"]) for r in found.collect()}
+    assert got == want and sum(x[3] for x in want) > 10
+
+
+def broken(tmp_path):
+    """A file with records of every kind; what is read of it."""
+    text = 'id;texto\n1;"linha um\n\nlinha ""dois"""\n\n2\n3;c;sobra\n4;b\u0081\n5;"aberto\n6;x\n7;"y;z\n8;"fim"\n'
+    return put(tmp_path / "b.csv", text, "latin-1"), [
+        ("1", 'linha um\n\nlinha "dois"', 2, None, None), ("2", None, 3, "ragged", "2"), ("3", "c", 4, "ragged", "3;c;sobra"), ("4", "b\ufffd", 5, "undecodable", "4;b\ufffd"),
+        ("5", None, 6, "unclosed_quote", '5;"aberto\n6;x\n7;"y;z'), ("8", "fim", 7, None, None),
+    ]
+
+
+def test_broken_records_are_told(spark, tmp_path):
+    p, want = broken(tmp_path)
+    found = records.read_records(spark, p)
+    got = sorted(tuple(r) for r in found.select("id", F.when(F.col("id") != "5", F.col("texto")), "_place_in_split", "_reason", "_raw").collect())
+    assert got == want
+    assert records.accepted(found).count() + records.rejected(found).count() == 6
+    for reason in ("ragged", "undecodable", "unclosed_quote"):
+        with pytest.raises(Exception, match=rf"Malformed record \({reason}\)"):
+            records.checked(found.where(F.col("_reason") == reason)).collect()
+    assert delimited.read_delimited(spark, p, strict=False).count() == 6
+
+
+def test_a_quote_that_is_never_closed_costs_its_line_only(spark, tmp_path):
+    p = put(tmp_path / "a.csv", 'id;texto\n1;a\n2;"aberto\n\n3;c\n4;d\n')
+    with pytest.raises(Exception, match="unclosed_quote"):
+        delimited.read_delimited(spark, p, encoding=delimited.UTF8).collect()
+    for breaks in (True, False):
+        found = records.read_records(spark, p, encoding=delimited.UTF8, breaks=breaks)
+        assert rows(records.accepted(found).select("id", "texto")) == [("1", "a"), ("3", "c"), ("4", "d")]
+        assert rows(records.rejected(found).select("id", "_reason", "_raw")) == [("2", "unclosed_quote", '2;"aberto')]
+        lined = delimited.with_line_numbers(found)
+        assert rows(lined.select("id", "linha_arquivo")) == [("1", 2), ("2", 3), ("3", 4), ("4", 5)]
+
+
+def test_headers_must_name_the_columns(spark, tmp_path):
+    for name, text in (("a", "id;texto\n1;x\n"), ("b", 'id;texto\n1;"x\ny"\n')):
+        p = put(tmp_path / f"{name}.csv", text)
+        assert delimited.read_delimited(spark, p, ["ID", "texto"], delimited.UTF8).count() == 1
+        with pytest.raises(Exception, match="(?i)header"):
+            delimited.read_delimited(spark, p, ["outro", "texto"], delimited.UTF8).collect()
 
 
 def test_mapped_history_file(spark, tmp_path):
