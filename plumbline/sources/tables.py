@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.unions import void_to_string
+from plumbline.runtime import materialize
+from plumbline.sources import records
 
 
 def dataset_path(root: str, name: str) -> str:
@@ -64,6 +66,29 @@ def write_dataset(
     }
 
 
+def rejects_path(root: str, name: str) -> str:
+    return f"{root}/{name}/rejected"
+
+
+def write_accepted(found: DataFrame, root: str, name: str, run_id: str, **how) -> dict:
+    """Records without a reason against them as a dataset; the others beside it, with reason, raw text and place (SNK-07).
+
+    The rejected ones of every run are kept, by run. What is stored tells how many there were: ``rejected_count``.
+    """
+    found = materialize(found)
+    stats = write_dataset(records.accepted(found).drop(records.FILE, records.SPLIT, records.PLACE), root, name, **how)
+    seen = Observation(f"reject_{name}")
+    refused = records.rejected(found).select(F.lit(run_id).alias("run_id"), records.FILE, records.SPLIT, records.PLACE, records.REASON, records.RAW)
+    refused.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(rejects_path(root, name))
+    return stats | {"rejected_count": int(seen.get["n"])}
+
+
+def read_rejects(spark: SparkSession, root: str, name: str, all_runs: bool = False) -> DataFrame:
+    """What the newest run rejected, or what all did."""
+    found = spark.read.parquet(rejects_path(root, name))
+    return found if all_runs else _newest_run(found)
+
+
 MANIFEST_SCHEMA = (
     "run_id string, subject string, layer string, dataset string, record_count bigint, column_count int, "
     "columns array<string>, path string, approved boolean, notes array<string>, "

@@ -17,8 +17,9 @@ from plumbline.operators.gates import landing_approval
 from plumbline.operators.unions import void_to_string
 from plumbline.plans import amendments, runner
 from plumbline.runtime import ensure_checkpoint_dir
-from plumbline.sources import delimited, documents, tables
+from plumbline.sources import delimited, documents, records, tables
 from plumbline.sources import landing as inventory
+from plumbline.sources.tables import new_run_id
 from plumbline.streaming.landing import land_once, landed_rows
 from plumbline.workload.base import calendar_sql, query, staged, table
 
@@ -54,22 +55,77 @@ def _typed(df: DataFrame) -> DataFrame:
 query("src_01_cp1252_delimited", _PEOPLE)(
     lambda s, d: _typed(delimited.normalized_headers(delimited.read_delimited(s, _landed(s, d, delimited.CP1252))))
 )
-@query(
-    "src_03_tolerant_utf8_delimited",
-    _PEOPLE
-    + """ UNION ALL SELECT s_suppkey + 1000000, 'F ' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 2 = 1 THEN 'x' END,
-    CASE WHEN s_suppkey % 2 = 1 THEN 1.5 END FROM {supplier}""",
-)
-def tolerant(spark: SparkSession, sf: str) -> DataFrame:
-    """The people, and a file whose rows are too short or too long: padded with null, cut."""
-    path = _landed(spark, sf, delimited.UTF8)
+BROKEN = """
+    UNION ALL SELECT s_suppkey + 1000000, 'F ' || CAST(s_suppkey AS VARCHAR), CASE WHEN s_suppkey % 2 = 1 THEN 'x' END, CASE WHEN s_suppkey % 2 = 1 THEN 1.5 END, 'ragged' FROM {supplier}
+    UNION ALL SELECT n_nationkey + 2000000, 'ok', 'x', 1.0, NULL FROM {nation}
+    UNION ALL SELECT n_nationkey + 3000000, 'b�', 'x', 1.0, 'undecodable' FROM {nation}
+    UNION ALL SELECT n_nationkey + 4000000, 'aberto', NULL, NULL, 'unclosed_quote' FROM {nation}
+    UNION ALL SELECT n_nationkey + 5000000, 'fim', 'y', 2.0, NULL FROM {nation}"""
+
+
+def _broken(spark: SparkSession, sf: str) -> list[str]:
+    """The people, rows that are too short or too long, and a file for each nation with a quote that is never closed and a byte that is no UTF-8."""
+    path, torn = _landed(spark, sf, delimited.UTF8), scratch(spark)
     lines = staged(
         spark, sf,
         """SELECT 'Código;Nome;Situação;Valor (R$)' AS value UNION ALL
         SELECT CAST(s_suppkey + 1000000 AS STRING) || ';F ' || CAST(s_suppkey AS STRING) || CASE WHEN s_suppkey % 2 = 1 THEN ';x;1,50;sobra' ELSE '' END FROM {supplier}""",
     )
     lines.coalesce(1).write.mode("append").text(path)
-    return _typed(delimited.normalized_headers(delimited.read_delimited(spark, path, encoding=delimited.UTF8, strict=False)))
+    files = table(spark, sf, "nation").select(
+        "n_nationkey",
+        F.concat(
+            F.lit("Código;Nome;Situação;Valor (R$)\n"), F.col("n_nationkey") + 2000000, F.lit(";ok;x;1,00\n"), F.col("n_nationkey") + 3000000, F.lit(";b"),
+            F.unhex(F.lit("E9")).cast("string"), F.lit(";x;1,00\n"), F.col("n_nationkey") + 4000000, F.lit(';"aberto\n\n'), F.col("n_nationkey") + 5000000, F.lit(";fim;y;2,00"),
+        ).alias("value"),
+    )
+    files.repartition("n_nationkey").write.partitionBy("n_nationkey").text(torn)
+    return [path, f"{torn}/n_nationkey=*"]
+
+
+@query("src_03_tolerant_utf8_delimited", _PEOPLE.replace(" FROM {customer}", ", CAST(NULL AS VARCHAR) AS motivo FROM {customer}") + BROKEN)
+def tolerant(spark: SparkSession, sf: str) -> DataFrame:
+    """Every record that was landed, and what is wrong with it: short ones are padded with null, long ones cut, none is lost."""
+    found = records.read_records(spark, _broken(spark, sf), encoding=delimited.UTF8)
+    typed = delimited.normalized_headers(found.drop(delimited.SPLIT, delimited.PLACE, records.RAW).withColumnRenamed(records.REASON, "motivo"))
+    return typed.select(whole_number("codigo").alias("codigo"), "nome", "situacao", brazilian_decimal("valor_r").alias("valor"), "motivo")
+
+
+@query(
+    "snk_07_rejected_records",
+    """SELECT motivo, count(*) AS registros, count(DISTINCT codigo) AS distintos FROM (
+        SELECT c_custkey AS codigo, CAST(NULL AS VARCHAR) AS nome, CAST(NULL AS VARCHAR) AS situacao, c_acctbal AS valor, CAST(NULL AS VARCHAR) AS motivo FROM {customer}"""
+    + BROKEN
+    + ") GROUP BY 1",
+)
+def rejected_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted records as a dataset, rejected ones beside it with their reason; read back, they are all that was landed."""
+    root = scratch(spark)
+    found = records.read_records(spark, _broken(spark, sf), encoding=delimited.UTF8)
+    tables.write_accepted(found, root, "pessoas", new_run_id())
+    code = F.substring_index(records.RAW, ";", 1)
+    stored = tables.read_dataset(spark, root, "pessoas").select(F.lit(None).cast("string").alias("motivo"), F.col("`Código`").alias("codigo"))
+    refused = tables.read_rejects(spark, root, "pessoas").select(F.col(records.REASON).alias("motivo"), code.alias("codigo"))
+    return stored.unionByName(refused).groupBy("motivo").agg(F.count(F.lit(1)).alias("registros"), F.count_distinct("codigo").alias("distintos"))
+
+
+@query(
+    "src_01_strict_refuses",
+    """SELECT 'inteiro' AS caso, count(*) AS lidos FROM {customer} UNION ALL SELECT unnest(['ragged', 'undecodable', 'unclosed_quote']), NULL""",
+)
+def strict_refuses(spark: SparkSession, sf: str) -> DataFrame:
+    """Strict reading of whole files gives all rows; of a landing with a record of one broken kind it fails and names the kind."""
+    whole = delimited.read_delimited(spark, _landed(spark, sf, delimited.CP1252))
+    out = whole.agg(F.lit("inteiro").alias("caso"), F.count(F.lit(1)).alias("lidos"))
+    found = records.read_records(spark, _broken(spark, sf), encoding=delimited.UTF8)
+    for kind in (records.RAGGED, records.UNDECODABLE, records.UNCLOSED):
+        mine = records.checked(found.where(F.coalesce(F.col(records.REASON), F.lit(kind)) == kind))
+        try:
+            lidos, caso = mine.count(), kind
+        except Exception as error:
+            lidos, caso = None, next((k for k in (records.RAGGED, records.UNDECODABLE, records.UNCLOSED) if f"({k})" in str(error)), "?")
+        out = out.unionByName(spark.createDataFrame([(caso, lidos)], "caso string, lidos bigint"))
+    return out
 
 
 query("src_07_snake_cased_utf8", _PEOPLE)(lambda s, d: _typed(delimited.read_snake_cased(s, _landed(s, d, delimited.UTF8))))
