@@ -1,9 +1,9 @@
 """Dense ranks, shares and surrogate numbers that scale.
 
 A window without PARTITION BY sends every row to one task, and a window by year sends a
-third of the rows there if one year is hot. So the distinct sort keys of the aggregated frame
-are range-partitioned, numbered inside each slice, shifted by the sizes of the slices before,
-and joined back. There is one plan for every size; ranks and numbers are bigint.
+third of the rows there if one year is hot. So the different values of all measures of an
+aggregated frame are dealt to slices by value, numbered inside each slice, shifted by the sizes of
+the slices before, and joined back. There is one plan for every size; ranks and numbers are bigint.
 """
 
 from __future__ import annotations
@@ -22,44 +22,90 @@ def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
 
-def _positions(distinct: DataFrame, by: list[str], order: list[Column], number: str) -> DataFrame:
-    """Number the rows of each ``by`` group 1..n in ``order`` without gathering a group in one task."""
-    slices = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = distinct.repartitionByRange(slices, *[F.col(c).asc_nulls_first() for c in by], *order)
+def _positions(rows: DataFrame, order: list[Column], number: str) -> DataFrame:
+    """Number the rows 1..n in ``order`` without gathering them in one task."""
+    slices = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # Written once, so that the slice number of a row can never change.
-    sliced = materialize(ranged.withColumn("_slice", F.spark_partition_id()))
+    sliced = materialize(rows.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()))
+    # One row per slice.
+    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = F.broadcast(sizes.select(F.col("_slice").alias("_s"), before.alias("_before")))
+    local = sliced.withColumn("_place", F.row_number().over(Window.partitionBy("_slice").orderBy(*order)))
+    both = local.join(offsets, F.col("_slice") == F.col("_s"))
+    return both.select(*rows.columns, (F.col("_before") + F.col("_place")).alias(number))
 
-    sizes = sliced.groupBy(*by, "_slice").agg(F.count(F.lit(1)).alias("_size"))
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*by, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
 
-    inside = Window.partitionBy(*by, "_slice").orderBy(*order)
-    local = sliced.withColumn("_place", F.row_number().over(inside))
-    both = local.join(offsets, _same(local, offsets, [*by, "_slice"]))
-    return both.select(
-        *[local[c] for c in distinct.columns], (F.col("_before") + F.col("_place")).alias(number)
-    )
+# Sketch entries per measure; slices are uneven by about their inverse.
+SKETCH = 2_000
+
 
+def _stacked(base: DataFrame, values: list[str], by: list[str], keep: list[str]) -> tuple[DataFrame, list[str], list[str]]:
+    """One row per value that is there: ``_m`` (which measure), the group, the value in the column of its type; names of group and value columns."""
+    types = list(dict.fromkeys(base.schema[v].dataType for v in values))
+    groups, names = [f"_k{i}" for i in range(len(by))], [f"_v{i}" for i in range(len(types))]
 
-def _ranged_rank(df: DataFrame, alias: str, value: str, by: list[str]) -> DataFrame:
-    keys = [*by, value]
-    distinct = df.where(F.col(value).isNotNull()).select(*keys).distinct()
-    places = _positions(distinct, by, [F.col(value).desc()], "_rank")
-    places = places.toDF(*[f"_k{i}" for i in range(len(keys))], "_rank")
-    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
-    joined = df.join(places, match, "left")
-    return joined.select(*df.columns, F.col("_rank").alias(alias))
+    def entry(m: int, value: str) -> Column:
+        held = [(F.col(value) if base.schema[value].dataType == t else F.lit(None).cast(t)).alias(n) for t, n in zip(types, names, strict=True)]
+        return F.struct(F.lit(m).alias("_m"), *held)
 
+    entries = F.array(*[entry(m, v) for m, v in enumerate(values)])
+    rows = base.select(*keep, *[F.col(c).alias(g) for c, g in zip(by, groups, strict=True)], F.explode(entries).alias("_e"))
+    rows = rows.select(*keep, *groups, "_e.*")
+    return rows.where(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])), groups, names
 
-def _ranged_ranks(base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
-    for alias, value in ranks.items():
-        base = _ranged_rank(base, alias, value, by)
-    return base
+
+def _ranks(base: DataFrame, values: list[str], by: list[str]) -> DataFrame:
+    """The dense rank of every different value of every measure in its group, all in one numbering.
+
+    Values are dealt to slices by boundaries from a sketch, so neither a measure nor a hot group is one window partition: a
+    rank is a place in a slice plus the different values in the slices of the group that are higher.
+    """
+    slices = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = [i / slices for i in range(1, slices)]
+    # Some numbers per measure. They are literals of the plan, so that every read of it cuts alike.
+    sketch = base.agg(*[F.percentile_approx(F.col(v).cast("double"), parts, SKETCH).alias(f"b{m}") for m, v in enumerate(values)]).first() if parts else None
+    rows, groups, names = _stacked(base, values, by, [])
+    different = rows.distinct()
+    # Equal values have equal approximations, and greater ones no smaller.
+    approx = F.coalesce(*[F.col(n).cast("double") for n in names])
+    slice_ = F.lit(0)
+    for m in range(len(values)):
+        bounds = sorted(set(sketch[f"b{m}"] or [])) if sketch else []
+        if bounds:
+            slice_ = F.when(F.col("_m") == m, F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b > approx))).otherwise(slice_)
+    keys = ["_m", *groups]
+    sliced = different.withColumn("_slice", slice_)
+    local = sliced.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*[F.col(n).desc() for n in names])))
+    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sliced.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select(*keys, "_slice", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    both = local.join(offsets, _same(local, offsets, [*keys, "_slice"]))
+    return both.select(*[local[c] for c in [*keys, *names]], (F.col("_before") + F.col("_place")).cast("bigint").alias("_rank"))
+
+
+def _with_ranks(df: DataFrame, base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
+    """``df`` with the ranks of the values in ``base``, which is stored; ``df`` is ``base``, or, for one rank, has its values."""
+    found = _ranks(base, list(ranks.values()), by)
+    if len(ranks) == 1:
+        (alias, value), *_ = ranks.items()
+        on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.col(value) == F.col("_v0"))
+        return df.join(found, on, "left").select(*df.columns, F.col("_rank").alias(alias))
+    # Rows of a stored frame keep their places.
+    placed = df.withColumn("_row", F.monotonically_increasing_id())
+    rows, groups, names = _stacked(placed, list(ranks.values()), by, ["_row"])
+    joined = rows.join(found, _same(rows, found, ["_m", *groups, *names])).select("_row", rows["_m"].alias("_n"), "_rank")
+    wide = joined.groupBy("_row").agg(*[F.max(F.when(F.col("_n") == m, F.col("_rank"))).alias(alias) for m, alias in enumerate(ranks)])
+    return placed.join(wide, "_row", "left").select(*df.columns, *ranks)
 
 
 def add_ranks(df: DataFrame, ranks: dict[str, str], by: list[str] | None = None) -> DataFrame:
-    """Dense rank, highest first, null unranked (WIN-01/02). ``ranks`` maps new column -> value column."""
-    return _ranged_ranks(materialize(df), ranks, by or [])
+    """Dense rank, highest first, null unranked (WIN-01/02). ``ranks`` maps new column -> value column.
+
+    The frame is stored once; all ranks come from one numbering of its different values.
+    """
+    base = materialize(df)
+    return _with_ranks(base, base, ranks, by or [])
 
 
 def add_share(df: DataFrame, value: str, by: list[str], total: str, share: str) -> DataFrame:
@@ -120,18 +166,18 @@ def concentration(
     rank: str,
 ) -> DataFrame:
     """Pair summary with each pair's share and rank inside its group."""
-    shared = materialize(add_share(materialize(summarize(df, keys, metrics)), value, by, total, share))
-    return _ranged_ranks(shared, {rank: value}, by)
+    base = materialize(summarize(df, keys, metrics))
+    return _with_ranks(add_share(base, value, by, total, share), base, {rank: value}, by)
 
 
 def positions(df: DataFrame, number: str, order: list[Column]) -> DataFrame:
     """The rows with their place 1..n in any total order (SRT-01/02), without one task that sorts them all."""
-    return _positions(materialize(df), [], order, number)
+    return _positions(df, order, number)
 
 
 def number_rows(df: DataFrame, number: str, order: list[str], start: int = 1) -> DataFrame:
     """Surrogate number over a total order of distinct rows (WIN-04)."""
-    numbered = _positions(materialize(df), [], [F.col(c).asc_nulls_first() for c in order], number)
+    numbered = _positions(df, [F.col(c).asc_nulls_first() for c in order], number)
     return numbered.withColumn(number, F.col(number) + (start - 1)).select(number, *df.columns)
 
 
