@@ -14,7 +14,8 @@ Steps, and what travels:
 1. Chunks (an Arrow batch of documents, compressed) are stored.
 2. The keys they hold, 8 bytes each, meet by bucket; each chunk hears which of its keys another document shares.
 3. Each chunk sends the different strings of these keys with their smallest id: copies within a chunk travel once.
-4. Buckets answer with the smallest ids, run-length coded; equal strings of several chunks enter a collection once.
+4. Buckets answer with the smallest ids, run-length coded. Windows whose hash no other string has are answered at once; of the
+   strings the rest, each piece once, enters a collection.
 5. Each chunk marks what is covered and cuts it out.
 
 A key that more than ``hot`` chunks share (a passage in very many documents, whose edges differ) is dealt by the
@@ -322,30 +323,70 @@ def _classes(width: int, gram: int):
     return run
 
 
+def _twice(joined: bytes, sizes: np.ndarray, width: int) -> np.ndarray:
+    """For each window of each string, whether another string may have it: equal windows have equal hashes."""
+    windows = sizes - width + 1
+    whose = np.repeat(np.arange(len(sizes), dtype=np.uint64), windows)
+    starts = spans(np.cumsum(sizes) - sizes, windows)
+    signs, hashes = np.frombuffer(joined, np.uint8), np.empty(len(starts), np.uint64)
+    for low in range(0, len(signs) - width + 1, SLICE):
+        part = gram_hashes(signs[low : low + SLICE + width - 1].astype(np.uint64), width)
+        i, j = np.searchsorted(starts, (low, low + len(part)))
+        hashes[i:j] = part[starts[i:j] - low]
+    # The upper bits of the hash above the string's number: neighbours of one hash and two numbers are found by one sort.
+    bits = np.uint64(max(1, int(len(sizes)).bit_length()))
+    hashes >>= bits
+    pairs = np.sort(hashes << bits | whose)
+    above = pairs >> bits
+    shared = np.unique(above[1:][(above[1:] == above[:-1]) & (pairs[1:] != pairs[:-1])])
+    return shared[np.minimum(np.searchsorted(shared, hashes), len(shared) - 1)] == hashes if len(shared) else np.zeros(len(hashes), bool)
+
+
 def _answers(texts: list[bytes], owner: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of equal least owners: how many each string has, windows of each, owner of each.
 
-    Collections are made of whole keys: the least gram of a string's first window says which.
+    A window whose hash no other string has is its own owner's. What is left of the strings, each piece once, enters collections,
+    which are made of whole keys: the least gram of a piece's first window says which.
     """
-    total = sum(map(len, texts))
-    parts = -(-total // COLLECTION)
-    windows = np.array([len(s) - width + 1 for s in texts], np.int64)
-    if parts <= 1:
-        flat = least_owner(texts, owner, width)
-    else:
-        heads = b"".join(s[:width] for s in texts)
-        key, _, _, _ = runs(heads, np.arange(0, len(heads) + 1, width), width, gram)
-        where = np.cumsum(windows) - windows
-        flat = np.empty(int(windows.sum()), np.int64)
-        order, cuts = _by_bucket((key >> np.uint64(20)) % np.uint64(parts))
-        for _, a, b in cuts:
-            mine = order[a:b]
-            flat[spans(where[mine], windows[mine])] = least_owner([texts[i] for i in mine.tolist()], owner[mine], width)
+    sizes = np.array([len(s) for s in texts], np.int64)
+    windows = sizes - width + 1
     whose = np.repeat(np.arange(len(texts)), windows)
+    flat = owner[whose]
+    maybe = _twice(b"".join(texts), sizes, width)
+    if maybe.any():
+        # Pieces: runs of such windows within a string.
+        edges = np.flatnonzero(np.r_[True, (whose[1:] != whose[:-1]) | (maybe[1:] != maybe[:-1]), True])
+        first, stop = edges[:-1][maybe[edges[:-1]]], edges[1:][maybe[edges[:-1]]]
+        text = whose[first]
+        at = first - (np.cumsum(windows) - windows)[text]
+        cut = [texts[t][a : a + n] for t, a, n in zip(text.tolist(), at.tolist(), (stop - first + width - 1).tolist())]
+        number: dict[bytes, int] = {}
+        which = np.fromiter((number.setdefault(s, len(number)) for s in cut), np.int64, len(cut))
+        least = np.full(len(number), _MISSING)
+        np.minimum.at(least, which, owner[text])
+        found, begin = _least_windows(list(number), least, width, gram)
+        flat[spans(first, stop - first)] = found[spans(begin[which], stop - first)]
     heads = np.flatnonzero(np.r_[True, (flat[1:] != flat[:-1]) | (whose[1:] != whose[:-1])])
     return np.bincount(whose[heads], minlength=len(texts)), np.diff(np.r_[heads, len(flat)]), flat[heads]
 
 
+def _least_windows(texts: list[bytes], owner: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least owner of each window, string by string, and where each string's begin."""
+    parts = -(-sum(map(len, texts)) // COLLECTION)
+    windows = np.array([len(s) - width + 1 for s in texts], np.int64)
+    where = np.cumsum(windows) - windows
+    if parts <= 1:
+        return least_owner(texts, owner, width), where
+    heads = b"".join(s[:width] for s in texts)
+    key, _, _, _ = runs(heads, np.arange(0, len(heads) + 1, width), width, gram)
+    flat = np.empty(int(windows.sum()), np.int64)
+    order, cuts = _by_bucket((key >> np.uint64(20)) % np.uint64(parts))
+    for _, a, b in cuts:
+        mine = order[a:b]
+        flat[spans(where[mine], windows[mine])] = least_owner([texts[i] for i in mine.tolist()], owner[mine], width)
+    return flat, where
+
+
 def _before(marks: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """How many marks stand before each stop."""
     return np.r_[np.int32(0), np.cumsum(marks, dtype=np.int32)][stops].astype(np.int64)
