@@ -15,7 +15,7 @@ from plumbline.operators.gates import GateError, approval, landing_approval, req
 from plumbline.plans import amendments, chamber, contracts, deputy_expenses, grants, senate, tenders
 from plumbline.runtime import materialize
 from plumbline.sources import delimited, documents, landing
-from plumbline.sources.tables import publish, read_dataset, read_manifest, write_dataset, write_manifest
+from plumbline.sources.tables import new_run_id, publish, read_dataset, read_manifest, write_catalog, write_dataset, write_manifest
 
 Tables = dict[str, DataFrame]
 
@@ -44,18 +44,23 @@ def presentation_order(name: str, df: DataFrame) -> list | None:
 
 def write_layer(
     tables: Tables, root: str, subject: str, layer: str, approved: bool = True, notes: list[str] | None = None,
-    upstream: str | None = None, periods: tuple[str, str] | None = None, control: Callable[[], DataFrame] | None = None,
+    upstream: str | None = None, periods: tuple[str, str] | None = None, control: Callable[[Tables], DataFrame] | None = None,
 ) -> DataFrame:
-    """Write every table of a layer and its manifest. ``control`` is asked once the tables are stored."""
-    outputs = [write_dataset(df, root, name, csv=False, order_by=presentation_order(name, df)) for name, df in tables.items()]
+    """Write every table of a layer to folders of this run, then its manifest, which commits them all.
+
+    A run that fails on the way leaves the layer as it was. ``control`` is asked for the rows in and out once the tables
+    are stored, and is handed them.
+    """
+    run_id = new_run_id()
+    outputs = [write_dataset(df, root, name, csv=False, order_by=presentation_order(name, df), run_id=run_id) for name, df in tables.items()]
     spark = next(iter(tables.values())).sparkSession
-    rows = control() if control else None
-    return write_manifest(spark, root, subject, layer, outputs, approved, notes, upstream=upstream, periods=periods, control=rows)
+    rows = control({o["dataset"]: spark.read.parquet(o["path"]) for o in outputs}) if control else None
+    return write_manifest(spark, root, subject, layer, outputs, approved, notes, run_id=run_id, upstream=upstream, periods=periods, control=rows)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str) -> Tables:
-    names = [r["dataset"] for r in read_manifest(spark, root, layer).select("dataset").collect()]
-    return {name: read_dataset(spark, root, name) for name in names}
+    """The tables of the newest run that was committed."""
+    return {r["dataset"]: spark.read.parquet(r["path"]) for r in read_manifest(spark, root, layer).select("dataset", "path").collect()}
 
 
 def write_checks(checks: DataFrame, root: str, name: str) -> DataFrame:
@@ -124,9 +129,8 @@ def _run_silver_periods(spark: SparkSession, bronze: str, silver: str, first: st
     raw, files = _period_files(spark, bronze, entities, recipe.SILVER, first, last)
     tables = recipe.silver(raw)
 
-    def control() -> DataFrame:
-        stored = {entity: read_dataset(spark, silver, HISTORY.get(entity, entity), ["arquivo_origem"]) for entity in raw}
-        return _file_control(files, raw, stored)
+    def control(stored: Tables) -> DataFrame:
+        return _file_control(files, raw, {entity: stored[HISTORY.get(entity, entity)].select("arquivo_origem") for entity in raw})
 
     return write_layer(tables, silver, subject, "silver", periods=(first, last), control=control)
 
@@ -173,11 +177,12 @@ def run_silver_chamber(spark: SparkSession, bronze: str, silver: str) -> DataFra
         read = delimited.read_delimited(spark, f"{bronze}/dataset={dataset}/ano=*/*.csv", encoding=delimited.UTF8)
         raw = year_lineage(read, r"ano=(\d{4})")
         tables[dataset] = chamber.silver_dataset(raw, dataset)
-    outputs = [write_dataset(df, silver, name, csv=False) for name, df in tables.items()]
+    run_id = new_run_id()
+    outputs = [write_dataset(df, silver, name, csv=False, run_id=run_id) for name, df in tables.items()]
     for o in outputs:
-        stored = read_dataset(spark, silver, o["dataset"], ["chave_registro"])
+        stored = spark.read.parquet(o["path"]).select("chave_registro")
         preserved &= stored.groupBy("chave_registro").count().where("count > 1").isEmpty()
-    return write_manifest(spark, silver, "proposicoes_votacoes", "silver", outputs, preserved)
+    return write_manifest(spark, silver, "proposicoes_votacoes", "silver", outputs, preserved, run_id=run_id)
 
 
 def run_silver_senate(spark: SparkSession, bronze: str, silver: str) -> DataFrame:
@@ -327,11 +332,11 @@ def run_publish(spark: SparkSession, domain: str, gold: str, target: str, checks
         require_approved(star.withColumn("severity", F.lit("error")), "relationships of senado_federal")
     marts = [r["dataset"] for r in read_manifest(spark, gold, "gold").select("dataset").collect()]
     dims = [r["dataset"] for r in read_manifest(spark, f"{gold}/dimensions", "dimensions").select("dataset").collect()]
-    catalog = publish(spark, domain, gold, target, marts, "gold").unionByName(
-        publish(spark, domain, f"{gold}/dimensions", target, dims, "dimension")
+    publication = new_run_id()
+    catalog = publish(spark, domain, gold, target, marts, "gold", publication).unionByName(
+        publish(spark, domain, f"{gold}/dimensions", target, dims, "dimension", publication)
     )
-    write_dataset(catalog.coalesce(1), target, f"catalogo_{domain}")
-    return catalog
+    return write_catalog(catalog, target, domain, publication)
 
 
 __all__ = [name for name in dir() if name.startswith("run_")] + ["approval", "write_layer", "read_layer", "gate_quality", "gate_reconciliation"]

@@ -201,10 +201,14 @@ def read_records(spark: SparkSession, paths: str | list[str], columns: list[str]
         # No error may be told of a line here whose file is put together: the mark comes with the join, so checks stay behind it.
         apart = records.join(opened, mine, "left").withColumn(CORRUPT, F.when(F.col("_f").isNull(), F.col(CORRUPT)))
         records = apart.where("_f is null").drop("_f").unionByName(whole)
-    garbled = F.exists(F.array(*data), lambda v: F.coalesce(v.contains(REPLACED), F.lit(False)))
+    # Tied to the row's place, the reason is no fact about its columns that the optimizer could restate: after renaming n columns
+    # it would do so in 2**n ways.
+    garbled = F.exists(F.array(*data), lambda v: F.coalesce(v.contains(REPLACED), F.lit(False))) & (F.monotonically_increasing_id() >= 0)
     reason = F.when(F.col("_unclosed"), UNCLOSED).when(F.col(CORRUPT).isNotNull(), RAGGED).when(garbled, UNDECODABLE)
-    raw = F.when(reason.isNotNull(), F.coalesce(F.col(CORRUPT), F.array_join(F.array(*[F.coalesce(c, F.lit("")) for c in data]), ";")))
-    return records.select(*data, FILE, SPLIT, PLACE, reason.alias(REASON), raw.alias(RAW))
+    told = records.withColumn(REASON, reason)
+    raw = F.when(F.col(REASON).isNotNull(), F.coalesce(F.col(CORRUPT), F.array_join(F.array(*[F.coalesce(c, F.lit("")) for c in data]), ";")))
+    raw = F.when(F.monotonically_increasing_id() >= 0, raw)
+    return told.select(*data, FILE, SPLIT, PLACE, REASON, raw.alias(RAW))
 
 
 def accepted(records: DataFrame) -> DataFrame:

@@ -13,13 +13,32 @@ from plumbline.runtime import materialize
 from plumbline.sources import records
 
 
-def dataset_path(root: str, name: str) -> str:
-    return f"{root}/{name}/parquet"
+def dataset_path(root: str, name: str, run_id: str | None = None) -> str:
+    """Where a dataset lies; of a layer run, in a folder of the run's own."""
+    return f"{root}/{name}/runs/{run_id}/parquet" if run_id else f"{root}/{name}/parquet"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def current_path(spark: SparkSession, root: str, name: str) -> str:
+    """Where the newest committed run wrote a dataset, or its plain folder if no run did.
+
+    A run counts once its manifest is there, which is written last and as one file: tables of a run that failed are not seen.
+    """
+    if _exists(spark, f"{root}/_control"):
+        rows = spark.read.schema(MANIFEST_SCHEMA).json(f"{root}/_control/*/").where((F.col("dataset") == name) & F.col("path").isNotNull())
+        found = rows.agg(F.max_by("path", "run_id").alias("path")).first()["path"]
+        if found:
+            return found
+    return dataset_path(root, name)
 
 
 def read_dataset(spark: SparkSession, root: str, name: str, columns: list[str] | None = None) -> DataFrame:
     """A dataset of a layer (SRC-08), optionally some columns (SRC-09). Absence raises."""
-    df = spark.read.parquet(dataset_path(root, name))
+    df = spark.read.parquet(current_path(spark, root, name))
     return df.select(*columns) if columns else df
 
 
@@ -39,11 +58,13 @@ def write_dataset(
     csv: bool = True,
     order_by: list | None = None,
     partition_by: list[str] | None = None,
+    run_id: str | None = None,
 ) -> dict:
     """Parquet (zstd) and optionally ``;`` CSV; counts are observed while writing (SNK-01/02/04).
 
     ``order_by`` clusters the files: rows are range-partitioned by the presentation order and
-    sorted inside each file, so reading the files in name order gives the sorted table.
+    sorted inside each file, so reading the files in name order gives the sorted table. With ``run_id`` the
+    files go to a folder of that run, which readers see once its manifest is written.
     """
     seen = Observation(f"write_{name}")
     out = void_to_string(df)
@@ -52,11 +73,11 @@ def write_dataset(
     writer = out.observe(seen, F.count(F.lit(1)).alias("record_count")).write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    path = dataset_path(root, name)
+    path = dataset_path(root, name, run_id)
     writer.parquet(path)
     if csv:
         stored = df.sparkSession.read.parquet(path).select(*out.columns)
-        stored.write.mode("overwrite").option("sep", ";").option("header", True).csv(f"{root}/{name}/csv")
+        stored.write.mode("overwrite").option("sep", ";").option("header", True).csv(path.removesuffix("parquet") + "csv")
     return {
         "dataset": name,
         "record_count": int(seen.get["record_count"]),
@@ -146,6 +167,27 @@ def read_file_control(spark: SparkSession, root: str, layer: str) -> DataFrame:
     return _newest_run(spark.read.schema(CONTROL_SCHEMA).json(f"{root}/_control/{layer}_files"))
 
 
+def sweep(spark: SparkSession, root: str, layer: str, keep: int = 2) -> list[str]:
+    """Remove the folders of runs of a layer but for its ``keep`` newest ones and any that has no manifest yet but began later.
+
+    Returns the run ids whose folders went. What failed runs left goes with them.
+    """
+    runs = read_manifest(spark, root, layer, all_runs=True).select("run_id", "dataset").distinct()
+    # A row per run and dataset: some thousand at most.
+    known = [(r["run_id"], r["dataset"]) for r in runs.collect()]
+    newest = sorted({run for run, _ in known})[-keep:]
+    hadoop, gone = spark._jvm.org.apache.hadoop.fs, set()
+    for name in sorted({d for _, d in known}):
+        place = hadoop.Path(f"{root}/{name}/runs")
+        files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in files.listStatus(place) if files.exists(place) else []:
+            run = status.getPath().getName()
+            if run not in newest and run < newest[-1]:
+                files.delete(status.getPath(), True)
+                gone.add(run)
+    return sorted(gone)
+
+
 # What counts as a published mart, and the side folders that are not.
 MART_PREFIXES = ("fato_", "ranking_", "resumo_", "relacionamento_", "rel_", "agg_")
 SIDE_FOLDERS = ("dimensions", "quality", "reconciliation")
@@ -161,8 +203,9 @@ def find_marts(spark: SparkSession, gold_root: str) -> list[str]:
     )
     parts = F.split("path", "/")
     kept = files.select(parts.alias("p")).where(~F.arrays_overlap("p", F.array(*[F.lit(s) for s in SIDE_FOLDERS])))
-    # …/<dataset>/parquet/part-0.parquet
-    names = kept.select(F.element_at("p", -3).alias("dataset")).distinct()
+    # …/<dataset>/parquet/part-0.parquet, or …/<dataset>/runs/<run>/parquet/part-0.parquet
+    name = F.when(F.element_at("p", -4) == "runs", F.element_at("p", -5)).otherwise(F.element_at("p", -3))
+    names = kept.where(F.size("p") > 5).select(name.alias("dataset")).distinct()
     starts = [F.col("dataset").startswith(prefix) for prefix in MART_PREFIXES]
     chosen = starts[0]
     for s in starts[1:]:
@@ -178,16 +221,31 @@ def published_name(domain: str, dataset: str) -> str:
 CATALOG_SCHEMA = "domain string, category string, dataset string, table string, rows bigint, cols int, path string, ok boolean"
 
 
-def publish(spark: SparkSession, domain: str, source_root: str, target_root: str, datasets: list[str], category: str) -> DataFrame:
-    """Copy datasets to the published area under their table name; returns catalog rows (SNK-05)."""
+def publish(spark: SparkSession, domain: str, source_root: str, target_root: str, datasets: list[str], category: str, run_id: str | None = None) -> DataFrame:
+    """Copy datasets to the published area under their table name; returns catalog rows (SNK-05).
+
+    With ``run_id`` tables go to folders of that run: what is published changes when ``write_catalog`` stores their rows.
+    """
     rows = []
     for dataset in datasets:
         table = published_name(domain, dataset)
-        stats = write_dataset(read_dataset(spark, source_root, dataset), f"{target_root}/{domain}", table)
+        stats = write_dataset(read_dataset(spark, source_root, dataset), f"{target_root}/{domain}", table, run_id=run_id)
         rows.append((domain, category, dataset, table, stats["record_count"], stats["column_count"], stats["path"], stats["record_count"] > 0))
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
+def write_catalog(catalog: DataFrame, target_root: str, domain: str, run_id: str) -> DataFrame:
+    """Commit a publication: its rows are added as one file, and from then on they are the domain's catalog."""
+    rows = catalog.select(F.lit(run_id).alias("run_id"), *catalog.columns)
+    rows.coalesce(1).write.mode("append").json(f"{target_root}/_catalog/{domain}")
+    return read_catalog(catalog.sparkSession, target_root, domain)
+
+
+def read_catalog(spark: SparkSession, target_root: str, domain: str) -> DataFrame:
+    """What is published of a domain: tables and where they lie."""
+    return _newest_run(spark.read.schema(f"run_id string, {CATALOG_SCHEMA}").json(f"{target_root}/_catalog/{domain}")).drop("run_id")
+
+
 def update_catalog(existing: DataFrame, new: DataFrame, domain: str, category: str) -> DataFrame:
     """Replace the rows of one domain and category, keep the others."""
     other = existing.where(~((F.col("domain") == domain) & (F.col("category") == category)))

@@ -256,6 +256,31 @@ def write_dataset(spark: SparkSession, sf: str) -> DataFrame:
     return per_flag.unionByName(observed).unionByName(csv.select(F.lit("csv").alias("l_returnflag"), "n"))
 
 
+@query(
+    "snk_01_versioned_commit",
+    """SELECT 'primeira' AS momento, 'pedidos' AS tabela, count(*) AS n FROM {orders} UNION ALL SELECT 'primeira', 'clientes', count(*) FROM {customer}
+    UNION ALL SELECT 'após falha', 'pedidos', count(*) FROM {orders} UNION ALL SELECT 'após falha', 'clientes', count(*) FROM {customer}
+    UNION ALL SELECT 'segunda', 'pedidos', count(CASE WHEN o_custkey % 2 = 0 THEN 1 END) FROM {orders} UNION ALL SELECT 'segunda', 'clientes', count(CASE WHEN c_custkey % 2 = 0 THEN 1 END) FROM {customer}""",
+)
+def versioned_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """A layer is what its newest committed run wrote: a run that dies between two tables changes nothing, the next one both."""
+    root = scratch(spark)
+    whole = {"pedidos": table(spark, sf, "orders"), "clientes": table(spark, sf, "customer")}
+    halves = {"pedidos": whole["pedidos"].where("o_custkey % 2 = 0"), "clientes": whole["clientes"].where("c_custkey % 2 = 0")}
+    dies = halves | {"clientes": halves["clientes"].withColumn("c_name", F.raise_error(F.lit("lost")).cast("string"))}
+    out = None
+    for moment, tables_ in (("primeira", whole), ("após falha", dies), ("segunda", halves)):
+        try:
+            runner.write_layer(tables_, root, "dados", "silver")
+        except Exception:
+            if moment != "após falha":
+                raise
+        for name, df in runner.read_layer(spark, root, "silver").items():
+            seen = df.agg(F.lit(moment).alias("momento"), F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("n"))
+            out = seen if out is None else out.unionByName(seen)
+    return out
+
+
 query("snk_02_void_columns", "SELECT r_regionkey, r_name, CAST(NULL AS VARCHAR) AS vazio FROM {region}", wide=("r_regionkey",))(
     lambda s, d: void_to_string(table(s, d, "region").withColumn("vazio", F.lit(None)))
 )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions import aggregates as agg
-from plumbline.operators import checks, dedup, gates, ranking, reconcile, unions
+from plumbline.operators import checks, dedup, gates, quantiles, ranking, reconcile, unions
 from plumbline.runtime import materialize
 from plumbline.workload.base import bigint, cnt, mean, npres, nuni, pct, query, rank, staged, table, tot
 
@@ -119,19 +119,39 @@ query(
     f"""SELECT l_suppkey, {mean("valor")} AS media, median(l_quantity) AS mediana, min(valor) AS menor, max(valor) AS maior, min(l_shipdate) AS primeiro,
     max(l_shipdate) AS ultimo FROM ({L}) GROUP BY 1""",
 )(
-    lambda s, d: ranking.summarize(
-        lines(s, d),
-        ["l_suppkey"],
-        {
-            "media": agg.mean("valor"),
-            "mediana": F.median("l_quantity"),
-            "menor": F.min("valor"),
-            "maior": F.max("valor"),
-            "primeiro": F.min("l_shipdate"),
-            "ultimo": F.max("l_shipdate"),
-        },
-    )
+    lambda s, d: quantiles.with_median(
+        ranking.summarize(
+            lines(s, d),
+            ["l_suppkey"],
+            {
+                "media": agg.mean("valor"),
+                "menor": F.min("valor"),
+                "maior": F.max("valor"),
+                "primeiro": F.min("l_shipdate"),
+                "ultimo": F.max("l_shipdate"),
+            },
+        ),
+        lines(s, d), ["l_suppkey"], "l_quantity", "mediana",
+    )
 )
+query(
+    "agg_09_exact_median",
+    """SELECT 'tudo' AS grupo, median(l_extendedprice) AS mediana FROM {lineitem}
+    UNION ALL SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'terço' WHEN l_orderkey % 97 = 1 THEN NULL ELSE l_returnflag END, median(CASE WHEN l_linenumber < 7 THEN l_extendedprice END)
+    FROM {lineitem} GROUP BY 1""",
+)(lambda s, d: _medians(s, d))
+
+
+def _medians(spark: SparkSession, sf: str) -> DataFrame:
+    """The median of one group of all rows, and of groups one of which has a third of them."""
+    rows = table(spark, sf, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, "terço").when(F.col("l_orderkey") % 97 != 1, F.col("l_returnflag")).alias("grupo"),
+        "l_extendedprice", F.when(F.col("l_linenumber") < 7, F.col("l_extendedprice")).alias("parte"),
+    )
+    whole = quantiles.exact_median(rows.withColumn("grupo", F.lit("tudo")), ["grupo"], "l_extendedprice", "mediana")
+    return whole.unionByName(quantiles.with_median(rows.select("grupo").distinct(), rows, ["grupo"], "parte", "mediana"))
+
+
 _POS = "l_partkey * 1000000 + l_suppkey * 100 + l_linenumber"
 query(
     "agg_11_13_first_and_any",

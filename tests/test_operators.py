@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plumbline.operators import checks, dedup, dimensions, gates, measures, ranking, reconcile, unions
+from plumbline.operators import checks, dedup, dimensions, gates, measures, quantiles, ranking, reconcile, unions
 from plumbline.operators.relationships import Relationship, propagate, validate
 from tests.conftest import rows
 
@@ -62,6 +62,33 @@ def test_ranged_rank_equals_window_with_one_hot_value(spark):
     assert rows(ranking.add_ranks(df, {"r": "v", "q": "id"}, ["g"])) == rows(want)
 
 
+def test_ranks_of_several_types_come_from_one_numbering(spark):
+    df = spark.range(500).select(
+        (F.col("id") % 4).cast("string").alias("g"), (F.col("id") * 7 % 50).alias("whole"), F.when(F.col("id") % 9 > 0, F.col("id") * 3.5 % 77).alias("real"),
+        (F.col("id") % 13).cast("decimal(20,3)").alias("exact"), F.lit(None).cast("double").alias("none"),
+    )
+    window = Window.partitionBy("g")
+    names = {"a": "whole", "b": "real", "c": "exact", "d": "none"}
+    want = df.withColumns({n: F.when(F.col(c).isNotNull(), F.dense_rank().over(window.orderBy(F.desc_nulls_last(c))).cast("bigint")) for n, c in names.items()})
+    got = ranking.add_ranks(df, names, ["g"])
+    assert got.columns == want.columns and rows(got) == rows(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+@pytest.mark.parametrize("slices", [1, 3, 50])
+def test_exact_median(spark, slices):
+    df = spark.range(3001).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 > 3, F.concat(F.lit("g"), F.col("id") % 5)).alias("g"),
+        F.when(F.col("id") % 7 > 0, F.when(F.col("id") % 2 == 0, 5.0).otherwise((F.col("id") * 37 % 1009).cast("double"))).alias("v"),
+        (F.col("id") % 2).alias("h"),
+    ).unionByName(spark.createDataFrame([("empty", None, 0)], "g string, v double, h bigint"))
+    for by in (["g"], ["g", "h"]):
+        want = df.groupBy(*by).agg(F.median("v").alias("m"))
+        assert rows(quantiles.with_median(df.select(*by).distinct(), df, by, "v", "m", slices)) == rows(want)
+    assert rows(quantiles.exact_median(df.withColumn("g", F.lit(1)), ["g"], "v", "m", slices)) == rows(df.groupBy(F.lit(1).alias("g")).agg(F.median("v")))
+
+
 def test_numbers_follow_segments_in_order(spark):
     """Segments of very different sizes, rows dealt at random; positions start anywhere."""
     sizes = [1, 500, 0, 3, 70, 1, 1]

@@ -9,7 +9,7 @@ from plumbline.operators.gates import GateError
 from plumbline.plans import amendments, chamber, contracts, deputy_expenses, runner, senate
 from plumbline.runtime import materialize
 from plumbline.sources import delimited
-from plumbline.sources.tables import read_dataset, read_file_control, read_manifest
+from plumbline.sources.tables import find_marts, new_run_id, publish, read_catalog, read_dataset, read_file_control, read_manifest, sweep, write_catalog
 from tests.conftest import rows
 
 
@@ -290,3 +290,36 @@ def test_period_row_control_keeps_empty_files(spark, contract_files):
 def test_a_missing_entity_is_reported(spark, contract_files):
     with pytest.raises(FileNotFoundError, match="termos_aditivos"):
         runner._period_files(spark, str(contract_files), runner.landing.CONTRACT_ENTITIES, contracts.SILVER, "202501", "202501")
+
+
+def test_a_layer_changes_only_when_its_run_is_committed(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    layer = lambda n: {"a": spark.range(n), "b": spark.range(2 * n)}
+    sizes = lambda: {name: df.count() for name, df in runner.read_layer(spark, root, "silver").items()}
+    runner.write_layer(layer(3), root, "x", "silver")
+    dies = layer(5) | {"b": spark.range(9).withColumn("id", F.raise_error(F.lit("lost")).cast("bigint"))}
+    with pytest.raises(Exception, match="lost"):
+        runner.write_layer(dies, root, "x", "silver")
+    held = read_dataset(spark, root, "a")
+    assert sizes() == {"a": 3, "b": 6} and held.count() == 3
+    for n in (7, 8):
+        runner.write_layer(layer(n), root, "x", "silver")
+    # Readers of an earlier run go on until it is swept.
+    assert sizes() == {"a": 8, "b": 16} and read_dataset(spark, root, "b").count() == 16 and held.count() == 3
+    gone = sweep(spark, root, "silver")
+    assert len(gone) == 2 and len(list((tmp_path / "silver" / "a" / "runs").iterdir())) == 2 and sizes() == {"a": 8, "b": 16}
+    assert sweep(spark, root, "silver") == []
+
+
+def test_publication_is_committed_by_its_catalog(spark, tmp_path):
+    gold, target = str(tmp_path / "gold"), str(tmp_path / "pub")
+    for n in (2, 4):
+        runner.write_layer({"ranking_x": spark.range(n), "rascunho": spark.range(1)}, gold, "d", "gold")
+        assert find_marts(spark, gold) == ["ranking_x"]
+        run = new_run_id()
+        write_catalog(publish(spark, "d", gold, target, ["ranking_x"], "gold", run), target, "d", run)
+        shown = read_catalog(spark, target, "d").first()
+        assert (shown["table"], shown["rows"], spark.read.parquet(shown["path"]).count()) == ("d_ranking_x", n, n)
+    # Tables alone, without a catalog, are not published.
+    publish(spark, "d", gold, target, ["rascunho"], "gold", new_run_id())
+    assert read_catalog(spark, target, "d").count() == 1
