@@ -178,6 +178,18 @@ def check_pieces(pieces, texts, width):
     assert full >= len(fills) - 1 and sorted(fills) == list(range(len(fills)))
 
 
+def test_packing_words_agree_with_the_library_for_every_letter():
+    """Words are split and lowered by Arrow where that is what the tokenizer does."""
+    import pyarrow as pa
+
+    points = [chr(c) for c in (*range(0x300), *range(0x2000, 0x2070), 0x20AC, 0x212B, 0x3000, 0x1F600)]
+    texts = [t for c in points for t in (f"Ab{c}cD {c} {c}{c}e1{c}2", f" {c}x\n\n{c}'S don{c}t  ")] + [None, "", "<|endoftext|> a", "<|startoftext|>", "<| endoftext |>"]
+    words = packing.WordTokenizer(WORDS)
+    ids, n = words.encode(pa.array(texts, pa.large_string()), 1)
+    want = [words.whole([t or ""])[0] + b"\1\0\0\0" for t in texts]
+    assert ids.tobytes() == b"".join(want) and n.tolist() == [len(x) // 4 for x in want]
+
+
 def test_packing_query(spark, sf):
     check_pieces(packing.pack(documents(spark, sf), WORDS).collect(), texts_of(documents(spark, sf)), 2048)
 
