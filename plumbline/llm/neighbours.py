@@ -8,9 +8,9 @@ that hold it. Vectors that reach the threshold are verified by their true cosine
 a vector nearer than its k-th best so far would have reached the threshold already, but for a chance
 of 1 in 10 (``SURE`` standard deviations), or when the windows hold everything.
 
-The index covers every row: blocks of bounded size, dealt by a hash of the id, in tasks of a block
-and a chunk of queries. Blocks return their k best for each query; a ranking with a per-task limit
-joins them. Queries are a stated set against all rows, in blocks; nothing is broadcast or collected but
+The index covers every row: blocks of bounded size, dealt by a hash of the id. A block stays in its task, where its index is
+built once, and the queries come to it in chunks (of very many queries, several tasks have a copy of the block). Blocks return
+their k best for each query; a ranking with a per-task limit joins them. Queries are a stated set against all rows, in blocks; nothing is broadcast or collected but
 the number of vectors of each length. Measured recall is in the README.
 
 Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without an id.
@@ -38,12 +38,21 @@ THRESHOLD = 0.5
 GROWTH, FIRST = 1.6, 0.15
 SURE = 1.3
 BLOCK, CHUNK = 8_192, 512
+#: Chunks of queries that come to one copy of a block.
+GROUP = 32
 
 
 def lines(length: int, projections: int, seed: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64([seed, length])).standard_normal((projections, length))
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two, so that its largest component is between a half and one: squares of very small or large
+    components neither vanish nor overflow, and a cosine has the same bits as without."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, initial=0))
+    return np.ldexp(vectors, -exponent[:, None])
+
+
 def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]
 
@@ -52,6 +61,7 @@ class Index:
     """The sorted projections of a block of unit vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, projections: int = PROJECTIONS, seed: int = 11):
+        vectors = scaled(vectors)
         self.ids, self.vectors, self.unit = ids, vectors, unit(vectors)
         self.norms = np.sqrt((vectors * vectors).sum(axis=1))
         self.lines = lines(vectors.shape[1], projections, seed)
@@ -82,6 +92,7 @@ class Index:
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and cosines of the k best found, the query's own id left out."""
+        query = scaled(query[None])[0]
         m, n = self.place.shape
         need = int(np.ceil(THRESHOLD * m))
         length = np.sqrt((query * query).sum())
@@ -129,12 +140,21 @@ def nearest(table: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
         return spark.createDataFrame([], schema).select("query_id", F.lit(1).alias("rank"), "vec_id", "score")
     blocks_of = F.create_map(*[F.lit(x) for d in sorted(sizes) for x in (d, sizes[d][0])])
     chunks_of = F.create_map(*[F.lit(x) for d in sorted(sizes) for x in (d, sizes[d][1])])
-    held = F.collect_list(F.struct("vec_id", "v"))
+    held = F.collect_list(F.struct("vec_id", "v")).alias("held")
     dealt = F.xxhash64(F.lit(seed), "vec_id")
-    blocks = rows.withColumn("b", F.pmod(dealt, blocks_of[F.col("d")]).cast("int")).groupBy("d", "b").agg(held.alias("block"))
-    asked = rows.where("asks").withColumn("c", F.pmod(dealt, chunks_of[F.col("d")]).cast("int")).groupBy("d", "c").agg(held.alias("chunk"))
-    pairs = asked.withColumn("b", F.explode(F.sequence(F.lit(0), blocks_of[F.col("d")] - 1))).join(blocks, ["d", "b"]).select("block", "chunk")
-    pairs = pairs.repartition(max(1, sum(b * c for b, c in sizes.values())))
+    blocks = rows.withColumn("b", F.pmod(dealt, blocks_of[F.col("d")]).cast("int")).groupBy("d", "b").agg(held)
+    asked = rows.where("asks").withColumn("c", F.pmod(dealt, chunks_of[F.col("d")]).cast("int")).groupBy("d", "c").agg(held)
+    # A task has one block and the chunks of a group: its block comes first, then they pass by one after another.
+    groups, first, tasks = {}, {}, 0
+    for d in sorted(sizes):
+        groups[d], first[d] = -(-sizes[d][1] // GROUP), tasks
+        tasks += sizes[d][0] * groups[d]
+    of = lambda numbers: F.create_map(*[F.lit(x) for d in sorted(numbers) for x in (d, numbers[d])])[F.col("d")]
+    task = (of(first) + F.col("b") * of(groups) + F.col("g")).cast("int").alias("task")
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    blocks = blocks.withColumn("g", each(of(groups))).select(task, F.lit(-1).alias("c"), "held")
+    chunks = asked.withColumn("g", F.expr(f"c div {GROUP}")).withColumn("b", each(blocks_of[F.col("d")])).select(task, "c", "held")
+    pairs = blocks.unionByName(chunks).repartitionById(tasks, F.col("task")).sortWithinPartitions("task", "c")
 
     def arrays(column: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray]:
         found = column[i].values
@@ -143,10 +163,14 @@ def nearest(table: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
         return ids, vectors.reshape(len(ids), -1)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = held = None
         for batch in batches:
-            for i in range(batch.num_rows):
-                index = Index(*arrays(batch.column(0), i), projections, seed)
-                for query_id, query in zip(*arrays(batch.column(1), i)):
+            for i, (task_, chunk) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+                if chunk < 0:
+                    index, held = Index(*arrays(batch.column(2), i), projections, seed), task_
+                if chunk < 0 or held != task_:  # a block without vectors has nothing to find
+                    continue
+                for query_id, query in zip(*arrays(batch.column(2), i)):
                     ids, scores = index.search(int(query_id), query, k)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), query_id)), pa.array(ids, pa.int64()), pa.array(scores, pa.float64())], names=["query_id", "vec_id", "score"])
 

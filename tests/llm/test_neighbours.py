@@ -1,6 +1,7 @@
 """Neighbours against brute force: exact scores, order, and recall."""
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from plumbline.llm import neighbours, queries
 
@@ -69,3 +70,23 @@ def test_many_copies(spark):
     df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
     rows = neighbours.nearest(df, df.vec_id % 50 == 0, block=90).collect()
     assert recall(rows, np.arange(600), vectors, range(0, 600, 50)) >= 0.95
+
+
+def test_very_small_and_large_components(spark):
+    """Squares of these vanish or overflow; they take part all the same, and the search ends."""
+    import random
+
+    rnd = random.Random(8)
+    data = [(i, [rnd.gauss(0, 1) * 10.0 ** (200 if i % 3 == 0 else -200 if i % 3 == 1 else 0) for _ in range(8)]) for i in range(90)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(df, F.col("vec_id") % 10 == 0, block=25, chunk=2).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    units = {i: np.array(v) / np.abs(v).max() for i, v in data}
+    units = {i: v / np.sqrt((v * v).sum()) for i, v in units.items()}
+    for q in range(0, 90, 10):
+        best = sorted(((-round(float(units[q] @ units[i]), 9), i) for i in units if i != q))[:5]
+        found = sorted(got[q])
+        assert [r for r, _, _ in found] == [1, 2, 3, 4, 5]
+        assert len({i for _, i, _ in found} & {i for _, i in best}) >= 3
+        assert all(abs(s - float(units[q] @ units[i])) < 1e-8 for _, i, s in found)
