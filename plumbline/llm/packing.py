@@ -42,14 +42,14 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 #: Letters, and signs of ASCII that may stand behind them.
 SHAPE = r"^(?P<letters>\p{L}+)(?P<signs>[!-/:-@\[-`{-~]*)$"
 #: Words that a worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 #: Bytes of a part that is merged beside others; a longer one goes through the tokenizer.
 LONG_WORD = 64
 NONE = np.int32(1 << 30)
 #: Words that are merged at once.
 SOME = 8_192
 #: Bytes of text whose words are split and numbered at once.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 8 << 20
 #: Rows of partition totals that may be broadcast, 16 bytes each.
 BROADCAST_PARTS = 200_000
 
