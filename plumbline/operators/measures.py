@@ -79,3 +79,33 @@ def evaluate(star: dict[str, DataFrame], measures: list[Measure], by: list[str]
         return reduce(meet, [keyed(t) for t in per_table]).drop("_member")
     one = [t.withColumn("_one", F.lit(1)) for t in per_table]
     return reduce(lambda a, b: a.join(b, "_one"), one).drop("_one")
+
+
+LEVEL = "nivel"
+
+
+def evaluate_sets(star: dict[str, DataFrame], measures: list[Measure], sets: list[list[str]]) -> DataFrame:
+    """Evaluate measures under several groupings in one pass per fact table (MSR-06); ``[]`` is the total.
+
+    ``nivel`` tells which grouping a row is of: a bit per attribute, first attribute first, set where the row is over all of its
+    members. So the blank member (null, bit clear) is never taken for a subtotal (null, bit set).
+    """
+    attributes = list(dict.fromkeys(a for s in sets for a in s))
+    names = [F.col(a) for a in attributes]
+    per_table: list[DataFrame] = []
+    for table in dict.fromkeys(m.table for m in measures):
+        aggregates = [m.build(None).alias(m.name) for m in measures if m.table == table]
+        grouped = star[table].groupingSets([[F.col(a) for a in s] for s in sets], *names)
+        per_table.append(grouped.agg(F.grouping_id(*names).alias(LEVEL), *aggregates))
+
+    def meet(a: DataFrame, b: DataFrame) -> DataFrame:
+        keys = [LEVEL, *attributes]
+        other = b.withColumnsRenamed({k: f"_b_{k}" for k in keys})
+        on = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_b_{k}")) for k in keys])
+        both = a.join(other, on, "full")
+        # A row that one side lacks has no level there, which no row has.
+        mine = F.col(LEVEL).isNotNull()
+        filled = {k: F.when(mine, F.col(k)).otherwise(F.col(f"_b_{k}")) for k in keys}
+        return both.select(*[c.alias(k) for k, c in filled.items()], *[c for c in both.columns if c not in keys and not c.startswith("_b_")])
+
+    return reduce(meet, per_table)

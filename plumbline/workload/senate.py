@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators import checks, dimensions, measures
-from plumbline.operators.measures import evaluate
+from plumbline.operators.measures import evaluate, evaluate_sets
 from plumbline.operators.relationships import Relationship, propagate, validate
 from plumbline.plans import senate as recipe
 from plumbline.runtime import materialize
@@ -490,6 +490,30 @@ def measures_by_party(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate(star, chosen, by=["sigla_partido"])
 
 
+@query(
+    "msr_06_grouping_sets",
+    _WITH + f""", x AS ({DIM_SENATOR}),
+    a AS (SELECT sigla_partido, sigla_uf, GROUPING_ID(sigla_partido, sigla_uf) AS nivel, {_M_EXPENSES} FROM e LEFT JOIN x ON e.cod_senador = x.id_senador
+      GROUP BY GROUPING SETS ((sigla_partido, sigla_uf), (sigla_partido), (sigla_uf), ())),
+    c AS (SELECT x.sigla_partido, x.sigla_uf, GROUPING_ID(x.sigla_partido, x.sigla_uf) AS nivel, {_M_VOTES} FROM o LEFT JOIN x ON o.codigo_parlamentar = x.id_senador
+      GROUP BY GROUPING SETS ((x.sigla_partido, x.sigla_uf), (x.sigla_partido), (x.sigla_uf), ()))
+    SELECT CASE WHEN a.nivel IS NOT NULL THEN a.sigla_partido ELSE c.sigla_partido END AS sigla_partido, CASE WHEN a.nivel IS NOT NULL THEN a.sigla_uf ELSE c.sigla_uf END AS sigla_uf,
+      coalesce(a.nivel, c.nivel) AS nivel, a.* EXCLUDE (sigla_partido, sigla_uf, nivel), c.* EXCLUDE (sigla_partido, sigla_uf, nivel)
+    FROM a FULL JOIN c ON a.sigla_partido IS NOT DISTINCT FROM c.sigla_partido AND a.sigla_uf IS NOT DISTINCT FROM c.sigla_uf AND a.nivel = c.nivel""",
+)
+def measures_by_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Two facts by party and state, by each alone and in total, each fact read once."""
+    dim = materialize(dim_senator(spark, sf))
+    links = {
+        "fato_gastos_senadores": Relationship("senador_gastos", "fato_gastos_senadores", "cod_senador", "dim_senador", "id_senador"),
+        "fato_votos": Relationship("senador_votos", "fato_votos", "codigo_parlamentar", "dim_senador", "id_senador"),
+    }
+    attributes = ["sigla_partido", "sigla_uf"]
+    star = {name: propagate(_star(spark, sf)[name].drop(*attributes), dim, rel, attributes) for name, rel in links.items()}
+    chosen = [m for m in recipe.measure_registry().values() if m.table in star]
+    return evaluate_sets(star, chosen, [attributes, *[[a] for a in attributes], []])
+
+
 query(
     "msr_05_conditional_distinct",
     _WITH + f"""SELECT periodo_votacao, {_PASSED} AS aprovadas, {_HELD} AS realizadas FROM v GROUP BY 1""",
