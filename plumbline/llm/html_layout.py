@@ -272,7 +272,7 @@ class Lines:
 
     def __init__(self):
         self.done: list[str] = []
-        self.open = ""
+        self.open: list[str] = []  # parts of the last line, joined when it ends
         self.gap = 0  # empty lines owed before the next line
         self.space = False  # a folded blank is owed before the next word
 
@@ -283,15 +283,15 @@ class Lines:
                 self.space = True
             if part:
                 if self.space and self.open:
-                    self.open += " "
-                self.open += part
+                    self.open.append(" ")
+                self.open.append(part)
                 self.space = False
 
     def end(self, gap: int = 0) -> None:
         if self.open:
             self._owed()
-            self.done.append(self.open.rstrip(" "))
-            self.open = ""
+            self.done.append("".join(self.open).rstrip(" "))
+            self.open = []
         self.space = False
         self.gap = max(self.gap, gap)
 
@@ -309,11 +309,12 @@ class Lines:
 
     def exactly(self, text: str) -> None:
         first, *rest = text.split("\n")
-        self.open += first
+        if first:
+            self.open.append(first)
         for line in rest:
             self._owed()
-            self.done.append(self.open)
-            self.open = line
+            self.done.append("".join(self.open))
+            self.open = [line] if line else []
 
 
 def _number(attributes: dict[str, str], name: str, default: int, least: int, most: int) -> int:

@@ -123,3 +123,18 @@ def test_awkward(spark):
     assert html_layout.render_pages(df.limit(0)).count() == 0
     with pytest.raises(ValueError):
         html_layout.render_pages(df, keep=["page_id", "text"])
+
+
+def test_a_long_paragraph_takes_time_in_proportion():
+    import time
+
+    from plumbline.llm import html_layout
+
+    def seconds(words):
+        begin = time.perf_counter()
+        text = html_layout.render("<p>" + "word " * words + "</p><pre>" + "line\n" * words + "</pre>")
+        assert text.count("word") == words and text.count("line") == words
+        return time.perf_counter() - begin
+
+    seconds(2_000)
+    assert seconds(400_000) < 60 * max(0.02, seconds(20_000))
