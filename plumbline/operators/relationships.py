@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.aggregates import rows
 from plumbline.operators.checks import orphan_rows
+from plumbline.operators.links import Link, counted_keys, described
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,25 @@ def validate(rel: Relationship, fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
+def validate_all(rels: list[Relationship], tables: dict[str, DataFrame]) -> DataFrame:
+    """``validate`` for many relationships (DQ-16): each table is read once, all keys move in one shuffle."""
+    found = counted_keys(tables, [Link(r.to_table, r.to_column, r.from_table, r.from_column) for r in rels])
+    facts = [
+        dict(
+            name=r.name, from_table=r.from_table, from_column=r.from_column, to_table=r.to_table, to_column=r.to_column,
+            from_dtype=tables[r.from_table].schema[r.from_column].dataType.simpleString(),
+            to_dtype=tables[r.to_table].schema[r.to_column].dataType.simpleString(), orphans_allowed=r.allow_orphans,
+        )
+        for r in rels
+    ]
+    fine = (F.col("repeated_keys") == 0) & ((F.col("orphan_rows") == 0) | F.col("orphans_allowed"))
+    return described(found, facts).select(
+        "name", "from_table", "from_column", "to_table", "to_column", "from_dtype", "to_dtype", "orphan_rows",
+        F.col("repeated_keys").alias("duplicate_to_key_groups"), "orphans_allowed",
+        (fine & (F.col("from_dtype") == F.col("to_dtype"))).alias("approved"),
+    )
+
+
 def propagate(fact: DataFrame, dim: DataFrame, rel: Relationship, attributes: list[str]) -> DataFrame:
     """Bring dimension attributes to the fact; unmatched rows fall to the blank member (MSR-06)."""
     side = dim.select(F.col(rel.to_column).alias("_to"), *attributes)

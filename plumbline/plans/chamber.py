@@ -11,6 +11,7 @@ from plumbline.functions.keys import content_hash, joined, keyed, or_label
 from plumbline.functions.numbers import filled_sum, whole_number
 from plumbline.functions.text import boolean_word, camel_name, clean_text, extract, fold_vote, strip, title_of
 from plumbline.operators import checks, dedup, dimensions, ranking, reconcile
+from plumbline.operators.links import Link, counted_keys, described
 from plumbline.operators.typing import retype_existing
 from plumbline.operators.unions import existing, rename_if_absent, union_relaxed
 
@@ -406,15 +407,6 @@ def dims(gold_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- audits
 
 
-def _null_keys(df: DataFrame, name: str, key: str) -> DataFrame:
-    value = agg.null_count(key) if key in df.columns else agg.rows()
-    return checks.expect(df, f"{name}_null", value)
-
-
-def _duplicate_keys(df: DataFrame, name: str, key: str) -> DataFrame:
-    return checks.expect(checks.duplicate_groups(df, [key]), f"{name}_duplicate_groups", agg.rows())
-
-
 def orphan_check(
     child: DataFrame, parent: DataFrame, name: str, key: str, severity: str = checks.ERROR, details: str = ""
 ) -> DataFrame:
@@ -426,26 +418,61 @@ def orphan_check(
 
 def quality(gold_tables: dict[str, DataFrame], silver_approved: bool, made_from_it: bool) -> DataFrame:
     """DQ-13: 14 checks. The first two say what the manifests say of Silver, and of Gold's origin."""
-    bills, votings, votes = (gold_tables[t] for t in ("fato_proposicoes", "fato_votacoes", "fato_votos"))
+    votings = gold_tables["fato_votacoes"]
     found = {"silver_manifest_approved": silver_approved, "gold_uses_approved_silver": silver_approved and made_from_it}
     manifest = [checks.expect(votings.sparkSession.range(1), name, F.max(F.lit(int(value))), expected=1) for name, value in found.items()]
-    keys = [(bills, "fato_proposicoes_id", "id_proposicao"), (votings, "fato_votacoes_id", "id_votacao"), (votes, "fato_votos_chave", "chave_voto")]
-    key_checks = [check(df, name, key) for df, name, key in keys for check in (_null_keys, _duplicate_keys)]
-    to_voting = {
-        "votos_sem_votacao": "fato_votos",
-        "orientacoes_sem_votacao": "rel_votacoes_orientacoes",
-        "objetos_sem_votacao": "rel_votacoes_objetos",
-        "relacoes_proposicoes_sem_votacao": "rel_votacoes_proposicoes",
-    }
-    orphans = [orphan_check(gold_tables[t], votings, name, "id_votacao") for name, t in to_voting.items()]
-    orphans.append(
-        orphan_check(
-            gold_tables["rel_proposicoes_autores"], bills, "autores_sem_proposicao", "id_proposicao", checks.WARNING,
-            "Autoria de proposição que não está nos anos lidos.",
-        )
-    )
-    orphans.append(orphan_check(gold_tables["rel_proposicoes_temas"], bills, "temas_sem_proposicao", "id_proposicao"))
-    return checks.suite([*manifest, *key_checks, *orphans])
+    unique = {"fato_proposicoes_id": ("fato_proposicoes", "id_proposicao"), "fato_votacoes_id": ("fato_votacoes", "id_votacao"), "fato_votos_chave": ("fato_votos", "chave_voto")}
+    voting, bill = ("fato_votacoes", "id_votacao"), ("fato_proposicoes", "id_proposicao")
+    beyond = "Autoria de proposição que não está nos anos lidos."
+    points = [
+        ("votos_sem_votacao", "fato_votos", *voting, checks.ERROR, ""),
+        ("orientacoes_sem_votacao", "rel_votacoes_orientacoes", *voting, checks.ERROR, ""),
+        ("objetos_sem_votacao", "rel_votacoes_objetos", *voting, checks.ERROR, ""),
+        ("relacoes_proposicoes_sem_votacao", "rel_votacoes_proposicoes", *voting, checks.ERROR, ""),
+        ("autores_sem_proposicao", "rel_proposicoes_autores", *bill, checks.WARNING, beyond),
+        ("temas_sem_proposicao", "rel_proposicoes_temas", *bill, checks.ERROR, ""),
+    ]
+    return checks.suite([*manifest, *_key_checks(gold_tables, unique, points)])
+
+
+def _key_checks(tables: dict[str, DataFrame], unique: dict[str, tuple[str, str]], points: list[tuple[str, str, str, str, str, str]]) -> list[DataFrame]:
+    """Null keys, repeated keys (null among them) and orphans of all tables in one pass (DQ-03); tables without their key are looked at alone."""
+
+    def there(table: str, key: str) -> bool:
+        return key in tables[table].columns
+
+    links, facts, alone = [], [], []
+    for name, (table, key) in unique.items():
+        if there(table, key):
+            links.append(Link(table, key))
+            facts.append(dict(check=name, kind="unique", level=checks.ERROR, note=""))
+        else:
+            alone += [checks.expect(tables[table], f"{name}_null", agg.rows()), checks.expect(tables[table], f"{name}_duplicate_groups", agg.rows())]
+    for name, child, parent, key, level, note in points:
+        if there(child, key) and there(parent, key):
+            links.append(Link(parent, key, child, key))
+            facts.append(dict(check=name, kind="orphans", level=level, note=note))
+        else:
+            alone.append(orphan_check(tables[child], tables[parent], name, key, level, note))
+    if not links:
+        return alone
+    found = described(counted_keys(tables, links), facts)
+
+    def row(suffix: str, value: Column) -> Column:
+        return F.struct(F.concat("check", F.lit(suffix)).alias("name"), value.cast("bigint").alias("value"))
+
+    repeated = F.col("repeated_keys") + (F.col("to_nulls") > 1).cast("int")
+    questions = F.when(
+        F.col("kind") == "unique", F.array(row("_null", F.col("to_nulls")), row("_duplicate_groups", repeated))
+    ).otherwise(F.array(row("", F.col("orphan_rows"))))
+    asked = found.select(F.inline(questions), "level", "note")
+    return [
+        asked.select(
+            "name", "value", F.lit(0).cast("bigint").alias("expected"), (F.col("value") == 0).alias("passed"),
+            F.col("level").alias("severity"), F.col("note").alias("details"),
+        ),
+        *alone,
+    ]
 
 
 def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, DataFrame]) -> DataFrame:

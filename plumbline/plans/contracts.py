@@ -579,17 +579,22 @@ def item_checks(items: DataFrame) -> DataFrame:
 def quality(tables: dict[str, DataFrame]) -> DataFrame:
     """DQ-14 for contracts."""
     history, current = tables["contratos_historico"], tables["contratos_atuais"]
-    items, terms, apostilles = tables["itens_contrato"], tables["termos_aditivos"], tables["apostilamentos"]
+    items, apostilles = tables["itens_contrato"], tables["apostilamentos"]
     group = "chave_grupo_contrato"
     return checks.suite(
         [
-            checks.unique_key(history, "contratos_historico", "chave_registro_contrato"),
-            checks.unique_key(current, "contratos_atuais", "chave_registro_contrato"),
-            checks.unique_key(items, "itens_contrato", "chave_item_contrato"),
-            checks.unique_key(terms, "termos_aditivos", "chave_termo_aditivo"),
-            checks.reference(current, history, "contratos_atuais", "contratos_historico", "chave_registro_contrato"),
-            checks.reference(items, history, "itens_contrato", "contratos_historico", group),
-            checks.reference(terms, history, "termos_aditivos", "contratos_historico", group),
+            checks.key_checks(
+                tables,
+                unique=[
+                    ("contratos_historico", "chave_registro_contrato"), ("contratos_atuais", "chave_registro_contrato"),
+                    ("itens_contrato", "chave_item_contrato"), ("termos_aditivos", "chave_termo_aditivo"),
+                ],
+                references=[
+                    ("contratos_atuais", "contratos_historico", "chave_registro_contrato", "chave_registro_contrato", checks.ERROR),
+                    ("itens_contrato", "contratos_historico", group, group, checks.ERROR),
+                    ("termos_aditivos", "contratos_historico", group, group, checks.ERROR),
+                ],
+            ),
             checks.negative_values(history, "contratos_historico", ["valor_inicial_compra", "valor_final_compra"]),
             checks.negative_values(
                 items, "itens_contrato", ["quantidade_item", "valor_item", "valor_total_item_calculado"], checks.WARNING

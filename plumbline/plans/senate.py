@@ -15,7 +15,7 @@ from plumbline.functions.numbers import brazilian_decimal, digits_number, filled
 from plumbline.functions.text import clean_text, digits_only, document_kind, strip, title_of
 from plumbline.operators import checks, dedup, dimensions, measures, ranking, reconcile
 from plumbline.operators.measures import Measure
-from plumbline.operators.relationships import Relationship, validate
+from plumbline.operators.relationships import Relationship, validate_all
 from plumbline.operators.typing import retype_existing
 from plumbline.operators.unions import rename_if_absent, union_relaxed
 from plumbline.sources.delimited import FILE
@@ -545,9 +545,8 @@ RELATIONSHIPS = [
 
 
 def validate_star(star: dict[str, DataFrame]) -> DataFrame:
-    """DQ-16 over all relationships."""
-    found = [validate(r, star[r.from_table], star[r.to_table]) for r in RELATIONSHIPS]
-    return checks.suite(found)
+    """DQ-16 over all relationships, each table of the star read once."""
+    return validate_all(RELATIONSHIPS, star)
 
 
 def measure_registry() -> dict[str, Measure]:

@@ -450,16 +450,19 @@ def quality(tables: dict[str, DataFrame]) -> DataFrame:
     key = "chave_licitacao"
     return checks.suite(
         [
-            checks.unique_key(tenders, "licitacoes", key),
-            checks.unique_key(items, "itens_licitacao", "chave_item_vencedor"),
-            checks.unique_key(participants, "participantes_licitacao", "chave_participacao"),
-            checks.unique_key(commitments, "empenhos_relacionados", "chave_empenho_licitacao"),
-            checks.reference(items, tenders, "itens_licitacao", "licitacoes", key),
-            checks.reference(participants, tenders, "participantes_licitacao", "licitacoes", key),
-            checks.reference(
-                participants, items, "participantes_licitacao", "itens_licitacao", "chave_item_licitacao", severity=checks.WARNING
+            checks.key_checks(
+                tables,
+                unique=[
+                    ("licitacoes", key), ("itens_licitacao", "chave_item_vencedor"), ("participantes_licitacao", "chave_participacao"),
+                    ("empenhos_relacionados", "chave_empenho_licitacao"),
+                ],
+                references=[
+                    ("itens_licitacao", "licitacoes", key, key, checks.ERROR),
+                    ("participantes_licitacao", "licitacoes", key, key, checks.ERROR),
+                    ("participantes_licitacao", "itens_licitacao", "chave_item_licitacao", "chave_item_licitacao", checks.WARNING),
+                    ("empenhos_relacionados", "licitacoes", key, key, checks.ERROR),
+                ],
             ),
-            checks.reference(commitments, tenders, "empenhos_relacionados", "licitacoes", key),
             checks.negative_values(tenders, "licitacoes", ["valor_licitacao"]),
             checks.negative_values(items, "itens_licitacao", ["quantidade_item", "valor_item", "valor_total_item_calculado"]),
             checks.negative_values(commitments, "empenhos_relacionados", ["valor_empenho_r"]),

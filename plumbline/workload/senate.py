@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import checks, dimensions, measures
 from plumbline.operators.measures import evaluate, evaluate_sets
-from plumbline.operators.relationships import Relationship, propagate, validate
+from plumbline.operators.relationships import Relationship, propagate, validate, validate_all
 from plumbline.plans import senate as recipe
 from plumbline.runtime import materialize
 from plumbline.workload import deputy_expenses
@@ -410,15 +410,25 @@ def _link_sql(name: str, fact: str, column: str, dim: str, key: str, loose: bool
     {repeated} = 0 AND ({orphans} = 0 OR {loose}) AS approved"""
 
 
-@query("dq_16_relationships", _WITH + f", x AS ({DIM_SENATOR}) " + " UNION ALL ".join(_link_sql(*link) for link in _LINKS))
-def relationships(spark: SparkSession, sf: str) -> DataFrame:
-    star = {
+_DQ_16 = _WITH + f", x AS ({DIM_SENATOR}) " + " UNION ALL ".join(_link_sql(*link) for link in _LINKS)
+
+
+def _linked(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    return {
         "fato_votacoes": votings(spark, sf), "fato_votos": votes(spark, sf), "fato_gastos": expenses(spark, sf),
         "dim_materia": recipe.dim_bill(bills(spark, sf)), "dim_senador": dim_senator(spark, sf),
     }
+
+
+@query("dq_16_relationships", _DQ_16)
+def relationships(spark: SparkSession, sf: str) -> DataFrame:
+    star = _linked(spark, sf)
     return checks.suite([validate(Relationship(*link), star[link[1]], star[link[3]]) for link in _LINKS])
 
 
+query("dq_16_stacked_relationships", _DQ_16)(lambda s, d: validate_all([Relationship(*link) for link in _LINKS], _linked(s, d)))
+
+
 def _star(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     return {
         "fato_gastos_senadores": expenses(spark, sf), "fato_materias": bills(spark, sf), "fato_votacoes": votings(spark, sf),

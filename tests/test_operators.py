@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plumbline.operators import checks, dedup, dimensions, gates, measures, quantiles, ranking, reconcile, unions
+from plumbline.operators import checks, dedup, dimensions, gates, measures, quantiles, ranking, reconcile, relationships, unions
 from plumbline.operators.relationships import Relationship, propagate, validate
 from tests.conftest import rows
 
@@ -237,3 +237,34 @@ def test_source_numbers_are_consecutive(spark):
     df = spark.range(0, 1000, 1, 5).select("id", F.monotonically_increasing_id().alias("p")).withColumn("s", F.shiftright("p", 33))
     got = ranking.number_in_source_order(df, "n", "s", "p")
     assert got.where("n <> id + 1").count() == 0 and got.count() == 1000
+
+
+def test_stacked_keys_agree_with_single_checks(spark):
+    child = spark.createDataFrame([(1, "a", 1.0), (1, "b", -0.0), (2, None, None), (None, "c", 0.0), (9, "a", 2.0)], "k int, s string, d double")
+    parent = spark.createDataFrame([(1, "a", 0.0), (1, "b", 1.0), (None, "x", 1.0), (None, None, None)], "k int, s string, d double")
+    none = spark.createDataFrame([], "k int, s string, d double")
+    tables = {"child": child, "parent": parent, "none": none}
+    columns = ["check", "dataset", "key", "rows", "distinct_keys", "duplicates", "null_keys", "source_dataset", "target_dataset", "source_key", "target_key", "missing_keys", "severity", "approved", "message"]
+    pairs = [("child", "parent", c) for c in ("k", "s", "d")] + [("parent", "child", "s"), ("child", "none", "k"), ("none", "parent", "k")]
+    stacked = checks.key_checks(tables, [(t, c) for t in tables for c in ("k", "s", "d", "absent")], [(a, b, c, c, level) for a, b, c in pairs for level in ("error", "warning")])
+    single = [checks.unique_key(tables[t], t, c) for t in tables for c in ("k", "s", "d", "absent")]
+    single += [checks.reference(tables[a], tables[b], a, b, c, severity=level) for a, b, c in pairs for level in ("error", "warning")]
+    assert rows(stacked.select(columns)) == rows(checks.suite(single).select(columns))
+    rels = [relationships.Relationship(f"{a}_{b}_{c}_{loose}", a, c, b, c, loose) for a, b, c in pairs for loose in (True, False)]
+    found = relationships.validate_all(rels, tables)
+    assert rows(found) == rows(checks.suite([relationships.validate(r, tables[r.from_table], tables[r.to_table]) for r in rels]))
+    plan = relationships.validate_all(rels, tables)._jdf.queryExecution().executedPlan().toString()
+    # One scan of each table, whatever the number of links; no join.
+    assert "Join" not in plan and plan.count("Scan ExistingRDD") == 3
+
+
+def test_keys_of_two_types(spark):
+    tables = {
+        "n": spark.createDataFrame([(1,), (2,), (3,)], "k int"),
+        "b": spark.createDataFrame([(1,), (2,)], "k bigint"),
+        "s": spark.createDataFrame([("1",), ("02",), ("x",)], "k string"),
+    }
+    rel = lambda a, b: relationships.Relationship(a + b, a, "k", b, "k")
+    found = relationships.validate_all([rel("n", "b"), rel("n", "s"), rel("s", "n")], tables)
+    assert rows(found.select("name", "orphan_rows", "from_dtype", "to_dtype", "approved")) == [
+        ("nb", 1, "int", "bigint", False), ("ns", 2, "int", "string", False), ("sn", 2, "string", "int", False)]
