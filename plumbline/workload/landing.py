@@ -20,6 +20,7 @@ from plumbline.runtime import ensure_checkpoint_dir
 from plumbline.sources import delimited, documents, records, tables
 from plumbline.sources import landing as inventory
 from plumbline.sources.tables import new_run_id
+from plumbline.streaming import snapshots
 from plumbline.streaming.landing import land_once, landed_rows
 from plumbline.workload.base import calendar_sql, query, staged, table
 
@@ -345,6 +346,34 @@ def lands_once(spark: SparkSession, sf: str) -> DataFrame:
     return landed.select("linhas", F.lit(first).cast("bigint").alias("primeira_vez"), F.lit(second).cast("bigint").alias("segunda_vez"))
 
 
+_ORDERED = "SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m') AS periodo FROM {orders}"
+
+
+def _followed(spark: SparkSession, sf: str, group: list[str], merge: snapshots.Merge) -> DataFrame:
+    """Orders land in two sets, newer keys first; each is merged by a run of its own, and a third run finds nothing."""
+    source, landed, target, checkpoint = (scratch(spark) for _ in range(4))
+    rows = table(spark, sf, "orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyyMM").alias("periodo"))
+
+    def typed(df: DataFrame) -> DataFrame:
+        return df.select(F.col("o_orderkey").cast("bigint").alias("o_orderkey"), F.col("o_custkey").cast("bigint").alias("o_custkey"), "periodo")
+
+    for part in (F.col("o_orderkey") % 3 > 0, F.col("o_orderkey") % 3 == 0, F.lit(False)):
+        rows.where(part).write.mode("append").option("sep", ";").option("header", True).csv(source)
+        snapshots.land(landed_rows(spark, source, rows.columns), landed, checkpoint)
+        snapshots.follow(spark, landed, target, group, merge, typed)
+    return snapshots.read_snapshot(spark, target)
+
+
+query("ddp_05_incremental_snapshot", f"SELECT * FROM ({_ORDERED}) QUALIFY periodo = max(periodo) OVER (PARTITION BY o_custkey)", wide=("o_orderkey", "o_custkey"))(
+    lambda s, d: _followed(s, d, ["o_custkey"], snapshots.latest_period("o_custkey", "periodo"))
+)
+query(
+    "ddp_01_incremental_latest",
+    f"SELECT * FROM ({_ORDERED}) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY periodo DESC, o_orderkey DESC) = 1",
+    wide=("o_orderkey", "o_custkey"),
+)(lambda s, d: _followed(s, d, ["o_custkey"], snapshots.latest_row(["o_custkey"], [F.col("periodo").desc(), F.col("o_orderkey").desc()])))
+
+
 @query("src_04_text_with_file_and_year", "SELECT o_orderkey, o_orderpriority, year(o_orderdate) AS ano_arquivo_origem, TRUE AS numerada FROM {orders}")
 def text_with_file_and_year(spark: SparkSession, sf: str) -> DataFrame:
     """Yearly folders read as text; year and file come from the path, the line from the position."""

@@ -11,6 +11,7 @@ from plumbline.operators.gates import landing_approval
 from plumbline.plans import amendments, senate
 from plumbline import runtime
 from plumbline.sources import delimited, documents, landing, records, tables
+from plumbline.streaming import snapshots
 from plumbline.streaming.landing import land_once, landed_rows
 from tests.conftest import rows
 
@@ -352,3 +353,56 @@ def test_each_file_lands_once(spark, tmp_path):
     put(tmp_path / "src" / "b.csv", "k;v\n3;z\n")
     assert land_once(landed_rows(spark, src, ["k", "v"]), out, ck) == 1
     assert spark.read.parquet(out).count() == 3
+
+
+def _follow(spark, folder, n):
+    merge = snapshots.latest_period("g", "p")
+    return snapshots.follow(spark, f"{folder}/landed", f"{folder}/state{n}", ["g"], merge, lambda df: df.selectExpr("g", "p", "int(v) AS v"), buckets=8)
+
+
+def test_incremental_snapshot_equals_one_run(spark, tmp_path):
+    landed = lambda: landed_rows(spark, str(tmp_path / "in"), ["g", "p", "v"])
+    land = lambda: snapshots.land(landed(), str(tmp_path / "landed"), str(tmp_path / "check"))
+    sets = [
+        # A hot group, a group in all sets, a late period, repeated rows, no group, no period.
+        [("hot", "202501", i) for i in range(50)] + [("a", "202501", 1), ("b", "202502", 2), ("b", "202502", 2), (None, "202501", 3), ("n", None, 4)],
+        [("a", "202502", 5), ("a", "202502", 5), ("b", "202501", 6), ("hot", "202501", 50)],
+        [],
+        [("a", "202502", 7), ("c", "202503", 8)],
+    ]
+    for i, rows_ in enumerate(sets):
+        spark.createDataFrame(rows_, "g string, p string, v int").coalesce(1).write.mode("append").option("sep", ";").option("header", True).csv(str(tmp_path / "in"))
+        assert land() == len(rows_)
+        touched = _follow(spark, tmp_path, 1)
+        assert (touched == 0) == (not rows_) and _follow(spark, tmp_path, 1) == 0
+    wanted = sorted([("a", "202502", v) for v in (5, 5, 7)] + [("b", "202502", 2)] * 2 + [("c", "202503", 8)] + [("hot", "202501", i) for i in range(51)])
+    assert sorted(map(tuple, snapshots.read_snapshot(spark, str(tmp_path / "state1")).collect())) == wanted
+    _follow(spark, tmp_path, 2)
+    assert sorted(map(tuple, snapshots.read_snapshot(spark, str(tmp_path / "state2")).collect())) == wanted
+    # Buckets that the last run did not touch stay where an earlier run wrote them.
+    held = snapshots._state(spark, str(tmp_path / "state1"))[1]
+    assert len(set(held.values())) > 1 and len(set(snapshots._state(spark, str(tmp_path / "state2"))[1].values())) == 1
+
+
+def test_failed_and_replayed_runs_change_nothing(spark, tmp_path):
+    def land(rows_):
+        spark.createDataFrame(rows_, "g string, p string, v int").coalesce(1).write.mode("append").option("sep", ";").option("header", True).csv(str(tmp_path / "in"))
+        return snapshots.land(landed_rows(spark, str(tmp_path / "in"), ["g", "p", "v"]), str(tmp_path / "landed"), str(tmp_path / "check"))
+
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_snapshot(spark, str(tmp_path / "state1"))
+    land([("a", "1", 1)])
+    _follow(spark, tmp_path, 1)
+    shown = lambda: sorted(map(tuple, snapshots.read_snapshot(spark, str(tmp_path / "state1")).collect()))
+    land([("a", "1", 2), ("b", "1", 3)])
+    with pytest.raises(Exception, match="lost"):
+        snapshots.follow(spark, str(tmp_path / "landed"), str(tmp_path / "state1"), ["g"], lambda df: df.withColumn("v", F.raise_error(F.lit("lost")).cast("int")),
+                         lambda df: df.selectExpr("g", "p", "int(v) AS v"), buckets=8)
+    assert shown() == [("a", "1", 1)]
+    # The stream forgets that it finished its last batch and does it again.
+    last = max((tmp_path / "check" / "commits").glob("[0-9]*"), key=lambda f: int(f.name))
+    for gone in (last, last.with_name(f".{last.name}.crc")):
+        gone.unlink()
+    land([])
+    assert _follow(spark, tmp_path, 1) > 0
+    assert shown() == [("a", "1", 1), ("a", "1", 2), ("b", "1", 3)]
