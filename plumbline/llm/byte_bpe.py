@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from plumbline.llm.cluster import binary_array, prepare, spans, text_bytes
+from plumbline.llm.cluster import binary_array, fresh, prepare, spans, text_bytes
 
 # Classes of code points. The first five come from Unicode, the rest from what follows.
 LETTER, NUMBER, SIGN, INNER, LAST_SPACE, LAST_OTHER, END_SPACE, SHORT, LONG = range(9)
@@ -296,8 +296,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: Se
     """
     prepare(docs.sparkSession)
     new = ["ids", "decoded", *["piece_offsets"] * offsets]
-    if set(new) & set(keep):
-        raise ValueError(f"columns {sorted(set(new) & set(keep))} would come twice")
+    twice = {c.lower() for c in keep} & set(new)
+    if twice:
+        raise ValueError(f"columns {sorted(twice)} would come twice")
     schema = T.StructType([docs.schema[c] for c in keep] + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.BinaryType())] + [T.StructField("piece_offsets", T.ArrayType(T.IntegerType()))] * offsets)
     kept = list(keep)
 
@@ -324,4 +325,4 @@ def encode_decode(docs: DataFrame, ranks_path: str, text: str = "text", keep: Se
                 yield encoded(batch.slice(start, stop - start))
                 start = stop
 
-    return docs.select(*kept, docs[text].alias("__text")).mapInArrow(run, schema)
+    return docs.select(*kept, docs[text].alias(*fresh(kept, "__text"))).mapInArrow(run, schema)

@@ -8,6 +8,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -77,6 +78,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names that no column of ``taken`` has, whatever its case: those wanted, with underscores added where needed."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_bytes(column: pa.Array) -> tuple[bytes, np.ndarray]:
     """All texts of a string column as one byte string, and the offsets of each; null is empty."""
     column = column.fill_null("").cast(pa.large_string())

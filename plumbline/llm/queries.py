@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import byte_bpe, centroids, exact_dedup, html_layout, language, line_dedup, merkle, neighbours, oracles, packing, quality, shuffle_shards, simhash, suffix_dedup
+from plumbline.llm.cluster import fresh
 
 Query = Callable[[SparkSession, str], DataFrame]
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,15 +82,17 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_shuffle_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards of a shuffled corpus, counts at most one apart."""
-    out = shuffle_shards.shard(documents(spark, sf_dir), 8)
+    docs = documents(spark, sf_dir)
+    shard, slot = fresh(docs.columns, "shard", "slot")
+    out = shuffle_shards.shard(docs, 8, into=(shard, slot))
     text = F.coalesce("text", F.lit(""))
     return out.select(
         "doc_id",
         (F.octet_length(text) + 1).cast("bigint").alias("size"),
         F.crc32(text).alias("text_crc32"),
         F.lit("rows").alias("law"),
-        "shard",
-        "slot",
+        F.col(shard).alias("shard"),
+        F.col(slot).alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
 

@@ -8,8 +8,8 @@ record number p of it goes to shard p mod n, slot p div n, so that counts differ
 The number of buckets follows the bytes of the table; only one row per bucket is gathered to number the
 buckets' records. The same seed and rows give the same shards on any cluster, and a lost task writes the
 same rows again. Null text: size 1. Null ids are shuffled like others. Rows that are alike in id and text
-share a bucket and are interchangeable. An empty table gives no rows. Other columns travel along; columns
-named shard or slot in the input raise a ValueError.
+share a bucket and are interchangeable. An empty table gives no rows. Other columns travel along, whatever their
+names; those of the two new columns are ``into``, and raise a ValueError if the input has one of them already.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.llm.cluster import prepare, stored
+from plumbline.llm.cluster import fresh, prepare, stored
 
 #: Bytes of text that one bucket aims at.
 BUCKET_BYTES = 24 << 20
@@ -38,16 +38,20 @@ def fisher_yates(n: int, seed: tuple[int, ...]) -> list[int]:
     return order
 
 
-def shard(docs: DataFrame, shards: int, seed: int = 7, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """The rows of ``docs`` with ``shard`` (int, from 0) and ``slot`` (long, gapless from 0 in each shard)."""
+def shard(
+    docs: DataFrame, shards: int, seed: int = 7, doc_id: str = "doc_id", text: str = "text", bucket_bytes: int = BUCKET_BYTES,
+    into: tuple[str, str] = ("shard", "slot"),
+) -> DataFrame:
+    """The rows of ``docs`` with their shard (int, from 0) and slot (long, gapless from 0 in each shard), named ``into``."""
     spark = prepare(docs.sparkSession)
-    if {"shard", "slot"} & {c.lower() for c in docs.columns}:
-        raise ValueError("the input already has a column shard or slot")
+    if {c.lower() for c in into} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"the input already has a column {into[0]} or {into[1]}")
+    bucket_c, at_c, n_c, start_c, place_c = fresh([*docs.columns, *into], "__bucket", "__at", "__n", "__start", "__p")
     size = docs.agg(F.sum(F.coalesce(F.octet_length(text), F.lit(0)) + 64).alias("s")).first()["s"] or 0
     buckets = max(1, -(-size // bucket_bytes))
     bucket = F.pmod(F.xxhash64(F.lit(seed), docs[doc_id], docs[text]), F.lit(buckets)).cast("int")
-    scattered = docs.withColumn("__bucket", bucket).repartitionById(buckets, F.col("__bucket"))
-    schema = T.StructType([*docs.schema.fields, T.StructField("__bucket", T.IntegerType()), T.StructField("__at", T.LongType())])
+    scattered = docs.withColumn(bucket_c, bucket).repartitionById(buckets, F.col(bucket_c))
+    schema = T.StructType([*docs.schema.fields, T.StructField(bucket_c, T.IntegerType()), T.StructField(at_c, T.LongType())])
     id_at, text_at = docs.columns.index(doc_id), docs.columns.index(text)
 
     def shuffle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,12 +69,13 @@ def shard(docs: DataFrame, shards: int, seed: int = 7, doc_id: str = "doc_id", t
             for i in range(0, len(order), 1024):
                 rows = part.take(pa.array(order[i : i + 1024])).combine_chunks()
                 at = pa.array(np.arange(i, i + rows.num_rows, dtype=np.int64))
-                yield from rows.append_column("__at", at).to_batches()
+                yield from rows.append_column(at_c, at).to_batches()
 
     written = stored(scattered.mapInArrow(shuffle, schema), "shuffled")
-    counts = written.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = counts.select("__bucket", before.alias("__start"))
+    counts = written.groupBy(bucket_c).agg(F.count(F.lit(1)).alias(n_c))
+    before = F.coalesce(F.sum(n_c).over(Window.orderBy(bucket_c).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(bucket_c, before.alias(start_c))
     # One row per bucket, thus a few bytes for each 24 MB of text: small beside any task's share of them.
-    numbered = written.join(F.broadcast(starts) if buckets <= 200_000 else starts, "__bucket").withColumn("__p", F.col("__start") + F.col("__at"))
-    return numbered.select(*docs.columns, F.pmod("__p", F.lit(shards)).cast("int").alias("shard"), F.expr(f"__p div {int(shards)}").alias("slot"))
+    numbered = written.join(F.broadcast(starts) if buckets <= 200_000 else starts, bucket_c).withColumn(place_c, F.col(start_c) + F.col(at_c))
+    shard_of, slot_of = F.pmod(place_c, F.lit(shards)).cast("int"), F.call_function("div", F.col(place_c), F.lit(int(shards)))
+    return numbered.select(*docs.columns, shard_of.alias(into[0]), slot_of.alias(into[1]))

@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import byte_bpe, exact_dedup, packing, queries, shuffle_shards
 from tests.llm.common import AWKWARD, documents, frame, texts_of
@@ -147,6 +148,28 @@ def test_shards_query(spark, sf):
     for r in rows:
         data = texts[r.doc_id].encode()
         assert (r["size"], r.text_crc32, r.law, r.grown_shard) == (len(data) + 1, zlib.crc32(data), "rows", None)
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert sorted(slots) == list(range(8)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_clashing_names(spark):
+    names = ["__bucket", "__at", "__n", "__start", "__p", "__P_", "__text", "shard", "Slot"]
+    df = frame(spark, AWKWARD).select("doc_id", "text", *[F.lit(i).alias(c) for i, c in enumerate(names)])
+    with pytest.raises(ValueError, match="already"):
+        shuffle_shards.shard(df, 3)
+    dealt = shuffle_shards.shard(df, 3, into=("part", "place"))
+    assert dealt.columns == [*df.columns, "part", "place"]
+    rows = dealt.collect()
+    assert sorted(str(tuple(r)[:-2]) for r in rows) == sorted(str(tuple(r)) for r in df.collect())
+    assert sorted((r.place, r.part) for r in rows) == [divmod(i, 3) for i in range(len(rows))]
+    kept = byte_bpe.encode_decode(df, RANKS, keep=["doc_id", *names])
+    assert kept.columns[: len(names) + 1] == ["doc_id", *names]
+    assert sorted(str((r.doc_id, bytes(r.decoded))) for r in kept.collect()) == sorted(str((r.doc_id, (r.text or "").encode())) for r in df.collect())
+    with pytest.raises(ValueError, match="twice"):
+        byte_bpe.encode_decode(df.withColumn("IDS", F.lit(1)), RANKS, keep=["IDS"])
 
 
 def check_pieces(pieces, texts, width):
