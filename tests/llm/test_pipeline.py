@@ -8,6 +8,7 @@ import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import tokenizers
+from pyspark.sql import functions as F
 
 from plumbline.llm import language
 from tests.llm.common import AWKWARD, documents, frame
@@ -106,3 +107,12 @@ def test_empty(spark, sf):
         assert docs.count() == 0
     docs = documents(spark, sf).limit(0).unionByName(frame(spark, [None, "", "12"]).select("doc_id", "text", "lang", "source", "n_chars"))
     assert staged(spark, corpus_pipeline.stored(docs, "letterless"))[0].count() == 0
+
+
+def test_clashing_names(spark):
+    extra = ["language", "Score", "row_", "kept", "removed", "__text", "lang_pred", "shard", "digest"]
+    docs = frame(spark, ["the first text of some words", "the first text  of some words", "another text of other words", None])
+    wide = corpus_pipeline.stored(docs.select("*", *[F.lit(i).alias(c) for i, c in enumerate(extra)]), "clashing")
+    *stages, pieces = staged(spark, wide)
+    assert all(got.columns == wide.columns for got in stages) and pieces.count() > 0
+    assert [tuple(r)[-len(extra) :] for r in stages[-1].collect()] == [tuple(range(len(extra)))] * 2
