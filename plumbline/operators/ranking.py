@@ -85,18 +85,19 @@ def _ranks(base: DataFrame, values: list[str], by: list[str]) -> DataFrame:
 
 
 def _with_ranks(df: DataFrame, base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
-    """``df`` with the ranks of the values in ``base``, which is stored; ``df`` is ``base``, or, for one rank, has its values."""
+    """``df`` with the ranks of the values in ``base``, which is stored; ``df`` is ``base``, or, for one rank, has its values.
+
+    For several ranks its rows have a stored number ``_row``, which goes.
+    """
     found = _ranks(base, list(ranks.values()), by)
     if len(ranks) == 1:
         (alias, value), *_ = ranks.items()
         on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.col(value) == F.col("_v0"))
         return df.join(found, on, "left").select(*df.columns, F.col("_rank").alias(alias))
-    # Rows of a stored frame keep their places.
-    placed = df.withColumn("_row", F.monotonically_increasing_id())
-    rows, groups, names = _stacked(placed, list(ranks.values()), by, ["_row"])
+    rows, groups, names = _stacked(df, list(ranks.values()), by, ["_row"])
     joined = rows.join(found, _same(rows, found, ["_m", *groups, *names])).select("_row", rows["_m"].alias("_n"), "_rank")
     wide = joined.groupBy("_row").agg(*[F.max(F.when(F.col("_n") == m, F.col("_rank"))).alias(alias) for m, alias in enumerate(ranks)])
-    return placed.join(wide, "_row", "left").select(*df.columns, *ranks)
+    return df.join(wide, "_row", "left").select(*[c for c in df.columns if c != "_row"], *ranks)
 
 
 def add_ranks(df: DataFrame, ranks: dict[str, str], by: list[str] | None = None) -> DataFrame:
@@ -104,7 +105,7 @@ def add_ranks(df: DataFrame, ranks: dict[str, str], by: list[str] | None = None)
 
     The frame is stored once; all ranks come from one numbering of its different values.
     """
-    base = materialize(df)
+    base = materialize(df.withColumn("_row", F.monotonically_increasing_id()) if len(ranks) > 1 else df)
     return _with_ranks(base, base, ranks, by or [])
 
 

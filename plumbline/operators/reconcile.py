@@ -17,8 +17,14 @@ MONEY_TOLERANCE = 0.05
 
 def side(df: DataFrame, values: dict[str, Column], which: str) -> DataFrame:
     """One (check, value) row per aggregate; ``which`` is ``silver`` or ``gold``."""
-    one = df.agg(*[v.cast("double").alias(k) for k, v in values.items()])
-    pairs = [F.struct(F.lit(k).alias("check"), F.lit(which).alias("_side"), F.col(k).alias("_value")) for k in values]
+    return sides(df, {which: values})
+
+
+def sides(df: DataFrame, values: dict[str, dict[str, Column]]) -> DataFrame:
+    """As ``side``, for what both layers take from one table: it is aggregated once."""
+    named = {f"{which}_{k}": (k, which, v) for which, checks in values.items() for k, v in checks.items()}
+    one = df.agg(*[v.cast("double").alias(name) for name, (_, _, v) in named.items()])
+    pairs = [F.struct(F.lit(k).alias("check"), F.lit(which).alias("_side"), F.col(name).alias("_value")) for name, (k, which, _) in named.items()]
     return one.select(F.inline(F.array(*pairs)))
 
 

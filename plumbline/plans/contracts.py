@@ -649,20 +649,21 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
             "silver",
         ),
         reconcile.side(gold_tables["contratos_atuais_detalhe"], {"contratos_fisicos": agg.rows()}, "gold"),
-        reconcile.side(
+        reconcile.sides(
             summary,
             {
-                "grupos_contrato": agg.rows(),
-                "grupos_unicos_resumo": group_count,
-                "valor_inicial_contratos": agg.total("valor_inicial_total_grupo"),
-                "valor_final_contratos": agg.total("valor_final_total_grupo"),
-                "variacao_valor_contratos": agg.total("variacao_total_grupo"),
-                "valor_itens_identificados": agg.total("valor_total_itens_identificados"),
-                "valor_itens_codigo_zero": agg.total("valor_total_itens_codigo_zero"),
+                "gold": {
+                    "grupos_contrato": agg.rows(),
+                    "grupos_unicos_resumo": group_count,
+                    "valor_inicial_contratos": agg.total("valor_inicial_total_grupo"),
+                    "valor_final_contratos": agg.total("valor_final_total_grupo"),
+                    "variacao_valor_contratos": agg.total("variacao_total_grupo"),
+                    "valor_itens_identificados": agg.total("valor_total_itens_identificados"),
+                    "valor_itens_codigo_zero": agg.total("valor_total_itens_codigo_zero"),
+                },
+                "silver": {"grupos_unicos_resumo": agg.rows()},
             },
-            "gold",
         ),
-        reconcile.side(summary, {"grupos_unicos_resumo": agg.rows()}, "silver"),
         reconcile.side(
             coded,
             {

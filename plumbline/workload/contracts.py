@@ -463,9 +463,18 @@ _TIES = {
     ),
 )
 def reconcile_contracts(spark: SparkSession, sf: str) -> DataFrame:
-    """Items and terms exist for groups without a contract record too; those are left out, as in a clean source."""
-    tables = {name: materialize(df) for name, df in silver_tables(spark, sf).items()}
-    groups = tables["contratos_atuais"].select("chave_grupo_contrato").distinct()
-    for name in ("itens_contrato", "termos_aditivos"):
-        tables[name] = tables[name].join(groups, "chave_grupo_contrato", "left_semi")
+    """Items and terms exist for groups without a contract record too; those are left out, as in a clean source.
+
+    Stored are the columns that the marts and their checks read.
+    """
+    found = silver_tables(spark, sf)
+    key = "chave_grupo_contrato"
+    current = materialize(found["contratos_atuais"].drop("hash_conteudo_contrato", "fundamento_legal", "arquivo_origem", "ano_origem", "mes_origem"))
+    groups = current.select(key).distinct()
+    read = {
+        "itens_contrato": [key, "codigo_item_compra", "chave_item_contrato", "item_codigo_zero", "item_sigiloso", "valor_total_item_calculado", "periodo_origem"],
+        "termos_aditivos": [key, "chave_termo_aditivo", "data_publicacao", "termo_prorrogacao", "termo_reajuste", "termo_alteracao_quantitativa"],
+    }
+    tables = {name: materialize(found[name].select(*columns).join(groups, key, "left_semi")) for name, columns in read.items()}
+    tables["contratos_atuais"] = current
     return recipe.reconciliation(tables, recipe.gold(tables)).select("check", "silver_value", "approved")
