@@ -69,6 +69,11 @@ def test_both_sides_of_a_table_come_from_one_aggregation(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
+def test_suites_store_nothing(spark, sf, kept, name):
+    assert catalog.QUERIES[name](spark, sf).count() > 0
+    assert kept == []
+
+
 def test_contract_reconciliation_stores_what_it_reads(spark, sf, kept):
     catalog.QUERIES["rec_02_contracts"](spark, sf)
     assert len(kept) == 3
