@@ -282,27 +282,39 @@ def dim_year(frames: list[DataFrame], as_of_year: int) -> DataFrame:
 
 
 def _canonical_with_years(df: DataFrame, key: str, attributes: list[str], name: str, counted: bool = True) -> DataFrame:
-    """Most frequent attributes per key, with first and last year (JON-06)."""
-    best = dedup.canonical(df, key, attributes, name)
-    facts = {"primeiro_ano_emenda": F.min("ano_emenda"), "ultimo_ano_emenda": F.max("ano_emenda")}
+    """Most frequent attributes per key, with first and last year (JON-06); ties as in ``dedup.canonical``.
+
+    Rows are counted per key and attributes once; both the attributes and the years of a key come from these counts.
+    """
+    facts = {"_times": agg.rows(), "_first": F.min("ano_emenda"), "_last": F.max("ano_emenda")}
+    counts = ranking.summarize(df, [key, *attributes], facts)
+    # The least of these has the most rows, then the lower name; nulls come first.
+    place = F.struct((-F.col("_times")).alias("_times"), name, *[a for a in attributes if a != name])
+    found = {"_best": F.min(place), "primeiro_ano_emenda": F.min("_first"), "ultimo_ano_emenda": F.max("_last")}
     if counted:
-        facts["quantidade_registros_origem"] = agg.rows()
-    return best.join(ranking.summarize(df, [key], facts), key, "left")
+        found["quantidade_registros_origem"] = F.sum("_times")
+    one = ranking.summarize(counts, [key], found)
+    return one.select(key, *[F.col(f"_best.{a}").alias(a) for a in attributes], *[c for c in found if c != "_best"])
 
 
 def _trimmed(df: DataFrame, key: str, attributes: list[str]) -> DataFrame:
     return dimensions.valid_keys(df, key).withColumns({c: strip(c) for c in (key, *attributes)})
 
 
+def pair_keys(beneficiaries: DataFrame) -> DataFrame:
+    """The keys of ``author_beneficiary``, without its amounts, shares and ranks."""
+    return beneficiaries.select("ano_emenda", *AUTHOR, *BENEFICIARY).distinct()
+
+
 def dim_author(authors: DataFrame, pairs: DataFrame) -> DataFrame:
-    """DIM-EM-02."""
+    """DIM-EM-02. Of both marts only the keys are read."""
     columns = ["ano_emenda", *AUTHOR]
     rows = union_relaxed([authors.select(columns), pairs.select(columns)])
     return _canonical_with_years(_trimmed(rows, AUTHOR[0], AUTHOR[1:]), AUTHOR[0], AUTHOR[1:], AUTHOR[1])
 
 
 def dim_beneficiary(beneficiaries: DataFrame, pairs: DataFrame) -> DataFrame:
-    """DIM-EM-03."""
+    """DIM-EM-03. Of both marts only the keys are read."""
     columns = ["ano_emenda", *BENEFICIARY]
     rows = union_relaxed([beneficiaries.select(columns), pairs.select(columns)])
     key, attributes = BENEFICIARY[0], BENEFICIARY[1:]

@@ -217,8 +217,16 @@ def _canonical_sql(source: str, key: str, attributes: list[str], name: str, coun
   SELECT c.* EXCLUDE (n), m.* EXCLUDE ({key}) FROM c JOIN m USING ({key})"""
 
 
-def _pairs(s: SparkSession, d: str) -> DataFrame:
-    return recipe.author_beneficiary(payments(s, d))
+def _author_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """From the keys of both marts: their measures and ranks aren't asked for."""
+    authors = amendments(spark, sf).select("ano_emenda", *recipe.AUTHOR).distinct()
+    return recipe.dim_author(authors, recipe.pair_keys(payments(spark, sf)))
+
+
+def _beneficiary_dimension(spark: SparkSession, sf: str) -> DataFrame:
+    """The keys of the pairs are stored; those of the beneficiaries' ranking are among them."""
+    pairs = materialize(recipe.pair_keys(payments(spark, sf)))
+    return recipe.dim_beneficiary(pairs.select("ano_emenda", *recipe.BENEFICIARY).distinct(), pairs)
 
 
 query(
@@ -229,7 +237,7 @@ query(
         ["nome_autor_emenda"],
         "nome_autor_emenda",
     ),
-)(lambda s, d: recipe.dim_author(recipe.ranking_authors(amendments(s, d), payments(s, d)), _pairs(s, d)))
+)(_author_dimension)
 query(
     "dim_em_03_favorecido",
     _canonical_sql(
@@ -238,7 +246,7 @@ query(
         recipe.BENEFICIARY[1:],
         "favorecido",
     ),
-)(lambda s, d: recipe.dim_beneficiary(recipe.ranking_beneficiaries(payments(s, d)), _pairs(s, d)))
+)(_beneficiary_dimension)
 query("dim_em_04_funcao", f"SELECT codigo_funcao, min(nome_funcao) AS nome_funcao FROM ({RANK_FUNCTIONS}) GROUP BY 1")(
     lambda s, d: recipe.dim_function(recipe.ranking_functions(amendments(s, d)))
 )

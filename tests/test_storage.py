@@ -78,3 +78,11 @@ def test_contract_reconciliation_stores_what_it_reads(spark, sf, kept):
     catalog.QUERIES["rec_02_contracts"](spark, sf)
     assert len(kept) == 3
     assert not any(c.startswith("hash_") or c == "arquivo_origem" for columns in kept for c in columns)
+
+
+def test_dimensions_of_keys_rank_nothing(spark, sf, monkeypatch, name):
+    def unasked(*_, **__):
+        raise AssertionError("ranks aren't asked for")
+
+    monkeypatch.setattr(amendments_plan.ranking, "_ranks", unasked)
+    assert catalog.QUERIES[name](spark, sf).count() > 0
