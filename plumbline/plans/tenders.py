@@ -486,37 +486,42 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
 
     header = tenders.select("chave_licitacao", "codigo_orgao_superior", "nome_orgao_superior")
     pairs = winners.select("chave_licitacao", "codigo_orgao", "nome_orgao", "codigo_vencedor", "nome_vencedor").distinct()
-    won = agg.total("valor_item")
+    won_by_someone = agg.total("valor_item", F.col("vencedor_identificado"))
     sides = [
-        reconcile.side(
+        reconcile.sides(
             tenders,
             {
-                "quantidade_licitacoes": agg.rows(),
-                "chaves_licitacao_unicas_silver": agg.rows(),
-                "valor_total_licitacoes": agg.total("valor_licitacao"),
-                "ranking_modalidades_quantidade": agg.rows(),
-                "ranking_modalidades_valor": agg.total("valor_licitacao"),
-                "ranking_orgaos_quantidade": agg.rows(),
-                "ranking_orgaos_valor": agg.total("valor_licitacao"),
-                "ranking_uf_quantidade": agg.count_where(with_state),
-                "ranking_uf_valor": agg.total("valor_licitacao", with_state),
+                "silver": {
+                    "quantidade_licitacoes": agg.rows(),
+                    "chaves_licitacao_unicas_silver": agg.rows(),
+                    "valor_total_licitacoes": agg.total("valor_licitacao"),
+                    "ranking_modalidades_quantidade": agg.rows(),
+                    "ranking_modalidades_valor": agg.total("valor_licitacao"),
+                    "ranking_orgaos_quantidade": agg.rows(),
+                    "ranking_orgaos_valor": agg.total("valor_licitacao"),
+                    "ranking_uf_quantidade": agg.count_where(with_state),
+                    "ranking_uf_valor": agg.total("valor_licitacao", with_state),
+                },
+                "gold": {"chaves_licitacao_unicas_silver": agg.n_unique("chave_licitacao")},
             },
-            "silver",
         ),
-        reconcile.side(tenders, {"chaves_licitacao_unicas_silver": agg.n_unique("chave_licitacao")}, "gold"),
-        reconcile.side(competing, {"chaves_licitacao_unicas_gold": agg.rows()}, "silver"),
-        reconcile.side(
+        reconcile.sides(
             competing,
             {
-                "quantidade_licitacoes": agg.rows(),
-                "chaves_licitacao_unicas_gold": agg.n_unique("chave_licitacao"),
-                "valor_total_licitacoes": agg.total("valor_licitacao"),
-                "valor_itens_concorrencia": agg.total("valor_itens_vencedores"),
+                "silver": {"chaves_licitacao_unicas_gold": agg.rows()},
+                "gold": {
+                    "quantidade_licitacoes": agg.rows(),
+                    "chaves_licitacao_unicas_gold": agg.n_unique("chave_licitacao"),
+                    "valor_total_licitacoes": agg.total("valor_licitacao"),
+                    "valor_itens_concorrencia": agg.total("valor_itens_vencedores"),
+                },
             },
-            "gold",
         ),
-        reconcile.side(items, {"valor_itens_concorrencia": won}, "silver"),
-        reconcile.side(winners, {"valor_itens_fornecedores": won, "valor_itens_relacionamento": won}, "silver"),
+        reconcile.side(
+            items,
+            {"valor_itens_concorrencia": agg.total("valor_item"), "valor_itens_fornecedores": won_by_someone, "valor_itens_relacionamento": won_by_someone},
+            "silver",
+        ),
         distinct(winners, ["codigo_vencedor", "nome_vencedor", "chave_item_licitacao"], "quantidade_itens_fornecedores"),
         distinct(
             winners,

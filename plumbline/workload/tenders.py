@@ -423,5 +423,14 @@ _NO_STRAYS = "NOT EXISTS (SELECT 1 FROM i WHERE chave_licitacao NOT IN (SELECT c
     ),
 )
 def reconcile_tenders(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {name: materialize(df) for name, df in silver_tables(spark, sf).items()}
+    """Stored are the columns that several marts and checks read; participants are read by one."""
+    tables = silver_tables(spark, sf)
+    read = {
+        "licitacoes": ["chave_licitacao", *recipe.AGENCY, *recipe.MODALITY, "codigo_ug", "valor_licitacao", "licitacao_sigilosa", "uf", "municipio"],
+        "itens_licitacao": [
+            "chave_licitacao", "chave_item_licitacao", "codigo_item_compra", "codigo_orgao", "nome_orgao", "codigo_vencedor", "nome_vencedor",
+            "vencedor_identificado", "valor_item",
+        ],
+    }
+    tables |= {name: materialize(tables[name].select(*columns)) for name, columns in read.items()}
     return recipe.reconciliation(tables, recipe.gold(tables)).select("check", "silver_value", "approved")

@@ -69,6 +69,7 @@ def test_both_sides_of_a_table_come_from_one_aggregation(spark):
     assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
 
 
+@pytest.mark.parametrize("name", ["dq_14_contracts_suite", "dq_14_tenders_suite"])
 def test_suites_store_nothing(spark, sf, kept, name):
     assert catalog.QUERIES[name](spark, sf).count() > 0
     assert kept == []
@@ -80,6 +81,12 @@ def test_contract_reconciliation_stores_what_it_reads(spark, sf, kept):
     assert not any(c.startswith("hash_") or c == "arquivo_origem" for columns in kept for c in columns)
 
 
+def test_tender_reconciliation_stores_what_it_reads(spark, sf, kept):
+    catalog.QUERIES["rec_03_tenders"](spark, sf)
+    assert sorted(len(columns) for columns in kept) == [9, 12]
+
+
+@pytest.mark.parametrize("name", ["dim_em_02_autor", "dim_em_03_favorecido"])
 def test_dimensions_of_keys_rank_nothing(spark, sf, monkeypatch, name):
     def unasked(*_, **__):
         raise AssertionError("ranks aren't asked for")
