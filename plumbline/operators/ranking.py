@@ -130,11 +130,11 @@ def ranked_summary(
     derived: dict[str, Column] | None = None,
     by: list[str] | None = None,
 ) -> DataFrame:
-    """groupBy -> aggregates -> ratios -> ranks: the shape most marts share."""
+    """groupBy -> aggregates -> ratios -> ranks: the shape most marts share. Without ranks nothing is stored."""
     summary = summarize(df, keys, metrics)
     if derived:
         summary = summary.withColumns(derived)
-    return add_ranks(summary, ranks, by)
+    return add_ranks(summary, ranks, by) if ranks else summary
 
 
 def summarize(df: DataFrame, keys: list[str], metrics: dict[str, Column]) -> DataFrame:
