@@ -161,17 +161,25 @@ def silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def competition(tenders: DataFrame, participants: DataFrame, items: DataFrame) -> DataFrame:
-    """GLD-LC-01: each tender with its participants and winners, both sides pre-aggregated."""
+    """GLD-LC-01: each tender with its participants and winners, both sides pre-aggregated.
+
+    A tender has few lines: they move once, before they are counted, and meet the tender where they are.
+    """
     key = ["chave_licitacao"]
+    entrant, winner, item = F.col("codigo_participante"), F.when(F.col("vencedor_identificado"), F.col("codigo_vencedor")), F.col("codigo_item_compra")
+    # A participant's row that won, if there is one, stands for the participant.
+    won = F.col("participante_vencedor").desc_nulls_last()
+    participants = ranking.together(participants, key, {"_entrant": entrant, "_item": item}, {"_entrant": won})
+    items = ranking.together(items, key, {"_winner": winner, "_item": item})
     sides = {
-        "quantidade_participantes": agg.n_present("codigo_participante"),
-        "quantidade_vencedores": agg.n_present("codigo_participante", F.col("participante_vencedor")),
-        "quantidade_itens_disputados": agg.n_present("codigo_item_compra"),
+        "quantidade_participantes": agg.count_where(F.col("_entrant") & entrant.isNotNull()),
+        "quantidade_vencedores": agg.count_where(F.col("_entrant") & entrant.isNotNull() & F.col("participante_vencedor")),
+        "quantidade_itens_disputados": agg.count_where(F.col("_item") & item.isNotNull()),
         "quantidade_participacoes_sigilosas": agg.count_where("participante_sigiloso"),
     }
     results = {
-        "quantidade_itens_resultado": agg.n_present("codigo_item_compra"),
-        "quantidade_fornecedores_vencedores": agg.n_present("codigo_vencedor", F.col("vencedor_identificado")),
+        "quantidade_itens_resultado": agg.count_where(F.col("_item") & item.isNotNull()),
+        "quantidade_fornecedores_vencedores": agg.count_where(F.col("_winner") & winner.isNotNull()),
     }
     both = tenders.join(ranking.summarize(participants, key, sides), key, "left").join(
         ranking.summarize(items, key, {**results, "valor_itens_vencedores": agg.total("valor_item")}), key, "left"

@@ -1,5 +1,8 @@
 """What queries move and store: marts are read for what is asked of them, rows of a group move once."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from plumbline.operators import ranking
 from plumbline.workload import catalog, deputy_expenses
 
@@ -16,3 +19,35 @@ def test_expense_reconciliation_stores_and_ranks_nothing(spark, sf, monkeypatch)
     assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
     # The given lines hold repeated keys.
     assert {r.check for r in found.collect() if not r.approved} <= {"chaves_despesa_unicas"}
+
+
+def moved(spark, df):
+    """The exchanges of a plan whose sides are too large to be broadcast."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+@pytest.fixture
+def large(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_lines_of_a_tender_move_once(spark, sf, large):
+    # Participants, items and tenders, one exchange each.
+    assert moved(spark, catalog.QUERIES["gld_lc_01_concorrencia_licitacoes"](spark, sf)) == 3
+
+
+def test_amendments_of_an_agreement_move_once(spark, sf, large):
+    # Once for the staging, once for the fact.
+    assert moved(spark, catalog.QUERIES["gld_cv_01_fato_convenios"](spark, sf)) == 2
+
+
+def test_flags_count_different_values(spark):
+    rows = "VALUES ('a', 'x', true), ('a', 'x', NULL), ('a', 'x', false), ('a', NULL, true), ('a', NULL, false), (NULL, 'x', false), (NULL, 'y', true)"
+    df = spark.sql(f"SELECT * FROM {rows} AS t(k, v, won)").repartition(5)
+    flagged = ranking.together(df, ["k"], {"_v": F.col("v")}, {"_v": F.col("won").desc_nulls_last()})
+    found = flagged.where("_v").groupBy("k").agg(F.count("*").alias("n"), F.count("v").alias("present"), F.count_if(F.col("won") & F.col("v").isNotNull()).alias("won"))
+    assert {r.k: (r.n, r.present, r.won) for r in found.collect()} == {"a": (2, 1, 1), None: (2, 2, 1)}
