@@ -201,18 +201,20 @@ def silver(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # ---------------------------------------------------------------- gold
 
 
-def current_items(items: DataFrame) -> DataFrame:
+def current_items(items: DataFrame, by_group: bool = False) -> DataFrame:
     """GLD-CT-01: latest period per logical item; zero-code items are kept as physical rows.
 
-    Rows without an item code are neither, and leave, as the two filters demand.
+    Rows without an item code are neither, and leave, as the two filters demand. ``by_group`` is for readers that go on by
+    contract group: the items of a group, which are few, are in one partition then.
     """
     known = items.where(F.col("item_codigo_zero").isNotNull()).withColumn(
         "chave_logica_item", joined("chave_grupo_contrato", or_label("codigo_item_compra", ""))
     )
     coded = ~F.col("item_codigo_zero")
     current = dedup.latest_snapshot(
-        known, "chave_logica_item", "periodo_origem", "periodo_mais_recente_item", where=coded, digits=True
-    )
+        known, "chave_logica_item", "periodo_origem", "periodo_mais_recente_item", where=coded, digits=True,
+        within="chave_grupo_contrato" if by_group else None,
+    )
     return current.withColumns(
         {
             "criterio_selecao_item": F.when(coded, "codigo_item").otherwise("registro_fisico_codigo_zero"),
@@ -307,8 +309,11 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "quantidade_itens_sigilosos": F.sum("_secret"),
         },
     )
+    term = F.col("chave_termo_aditivo")
     term_side = ranking.summarize(
-        terms, key, {"quantidade_termos_aditivos": agg.n_present("chave_termo_aditivo"), **_term_counts()}
+        ranking.together(terms, key, {"_term": term}),
+        key,
+        {"quantidade_termos_aditivos": agg.count_where(F.col("_term") & term.isNotNull()), **_term_counts()},
     )
     both = groups.join(item_side, key, "left").join(term_side, key, "left")
     filled = _zero_filled(

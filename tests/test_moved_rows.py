@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.operators import ranking
+from plumbline.operators import dedup, ranking
 from plumbline.workload import catalog, deputy_expenses
 
 
@@ -51,3 +51,24 @@ def test_flags_count_different_values(spark):
     flagged = ranking.together(df, ["k"], {"_v": F.col("v")}, {"_v": F.col("won").desc_nulls_last()})
     found = flagged.where("_v").groupBy("k").agg(F.count("*").alias("n"), F.count("v").alias("present"), F.count_if(F.col("won") & F.col("v").isNotNull()).alias("won"))
     assert {r.k: (r.n, r.present, r.won) for r in found.collect()} == {"a": (2, 1, 1), None: (2, 2, 1)}
+
+
+def test_lines_of_a_contract_group_move_once(spark, sf, large):
+    # Items and terms once each; contracts: newest periods, records, picks and two for a distinct count.
+    plan = catalog.QUERIES["gld_ct_02_contratos_atuais_resumo"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 2
+    assert "chave_logica_item" not in "".join(line for line in plan.split("\n") if "Exchange" in line)
+
+
+def test_snapshot_within_a_group_keeps_the_same_rows(spark):
+    rows = "VALUES ('g', 'a', '202501', true), ('g', 'a', '202502', true), ('g', 'b', '202501', false), ('g', 'b', '202502', true), ('g', NULL, '202503', true), (NULL, 'a', '202501', true), ('h', 'c', NULL, true)"
+    df = spark.sql(f"SELECT * FROM {rows} AS t(g, k, p, w)")
+    for where in (None, F.col("w")):
+        apart = dedup.latest_snapshot(df.where("NOT (k = 'a' AND g IS NULL)"), "k", "p", "latest", where, True)
+        close = dedup.latest_snapshot(df.where("NOT (k = 'a' AND g IS NULL)"), "k", "p", "latest", where, True, "g")
+        assert sorted(map(str, apart.collect())) == sorted(map(str, close.collect())) and close.columns == apart.columns
+
+
+def test_yearly_reconciliation_ranks_nothing(spark, sf, monkeypatch):
+    monkeypatch.setattr(ranking, "materialize", unasked)
+    assert catalog.QUERIES["rec_05_amendments_by_year"](spark, sf).count() > 0
