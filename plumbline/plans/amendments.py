@@ -149,7 +149,7 @@ def _totals(columns: list[str]) -> dict[str, Column]:
     return {c: agg.total(c) for c in columns}
 
 
-def ranking_authors(amendments: DataFrame, beneficiaries: DataFrame) -> DataFrame:
+def ranking_authors(amendments: DataFrame, beneficiaries: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-EM-01."""
     keys = ["ano_emenda", *AUTHOR]
     spent = ranking.summarize(
@@ -184,10 +184,10 @@ def ranking_authors(amendments: DataFrame, beneficiaries: DataFrame) -> DataFram
         "posicao_valor_pago": "valor_pago",
         "posicao_percentual_pago": "percentual_pago",
     }
-    return ranking.add_ranks(both, ranks, ["ano_emenda"])
+    return ranking.add_ranks(both, ranks, ["ano_emenda"]) if ranked else both
 
 
-def ranking_beneficiaries(beneficiaries: DataFrame) -> DataFrame:
+def ranking_beneficiaries(beneficiaries: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-EM-02."""
     return ranking.ranked_summary(
         beneficiaries,
@@ -198,7 +198,7 @@ def ranking_beneficiaries(beneficiaries: DataFrame) -> DataFrame:
             "quantidade_meses_recebimento": agg.n_unique("ano_mes"),
             "valor_recebido": agg.total("valor_recebido"),
         },
-        {"posicao_valor_recebido": "valor_recebido"},
+        {"posicao_valor_recebido": "valor_recebido"} if ranked else {},
         by=["ano_emenda"],
     )
 

@@ -291,10 +291,12 @@ _TIES = " UNION ALL ".join(
 
 @query("rec_05_amendments_by_year", _TIES)
 def reconcile_amendments(spark: SparkSession, sf: str) -> DataFrame:
-    tables = {"emendas": materialize(amendments(spark, sf)), "favorecidos": materialize(payments(spark, sf))}
+    """Of the rankings only the totals of a year are read, not the ranks. Payments are parsed once: stored is what is read of them."""
+    paid = materialize(payments(spark, sf).select("ano_emenda", *recipe.AUTHOR, *recipe.BENEFICIARY, "codigo_emenda", "ano_mes", "valor_recebido"))
+    tables = {"emendas": amendments(spark, sf), "favorecidos": paid}
     marts = {
-        "ranking_parlamentares": recipe.ranking_authors(tables["emendas"], tables["favorecidos"]).where(f"NOT ({_GAP['ranking_parlamentares']})"),
-        "ranking_favorecidos": recipe.ranking_beneficiaries(tables["favorecidos"]),
+        "ranking_parlamentares": recipe.ranking_authors(tables["emendas"], tables["favorecidos"], ranked=False).where(f"NOT ({_GAP['ranking_parlamentares']})"),
+        "ranking_favorecidos": recipe.ranking_beneficiaries(tables["favorecidos"], ranked=False),
     }
     return recipe.reconciliation(tables, marts)
 
