@@ -2,7 +2,7 @@
 
 None of these gathers a whole group in one task: top-1 windows are cut down per map
 task before the shuffle (WindowGroupLimit), and snapshots use a pre-aggregated maximum
-per group joined back, where AQE may split a hot group.
+per group joined back, where AQE may split a hot group. The exception is a snapshot ``within`` small groups, on request.
 """
 
 from __future__ import annotations
