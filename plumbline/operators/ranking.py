@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plumbline.functions.numbers import EXACT, percentage
 from plumbline.runtime import join_small, materialize
@@ -55,6 +56,20 @@ def _stacked(base: DataFrame, values: list[str], by: list[str], keep: list[str])
     return rows.where(reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names])), groups, names
 
 
+def _ahead(bounds: list[float], value: Column, equal: bool = False) -> Column:
+    """How many of the bounds are greater than a value (or equal to it): a search by halves, not a comparison with each."""
+    if not bounds:
+        return F.lit(0)
+    falling = F.array(*[F.lit(b) for b in sorted(bounds, reverse=True)])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+
+    def halved(found: Column, step: Column) -> Column:
+        bound = F.get(falling, found + step - 1)
+        return F.when(bound >= value if equal else bound > value, found + step).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), halved)
+
+
 def _ranks(base: DataFrame, values: list[str], by: list[str]) -> DataFrame:
     """The dense rank of every different value of every measure in its group, all in one numbering.
 
@@ -73,7 +88,7 @@ def _ranks(base: DataFrame, values: list[str], by: list[str]) -> DataFrame:
     for m in range(len(values)):
         bounds = sorted(set(sketch[f"b{m}"] or [])) if sketch else []
         if bounds:
-            slice_ = F.when(F.col("_m") == m, F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b > approx))).otherwise(slice_)
+            slice_ = F.when(F.col("_m") == m, _ahead(bounds, approx)).otherwise(slice_)
     keys = ["_m", *groups]
     sliced = different.withColumn("_slice", slice_)
     local = sliced.withColumn("_place", F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(*[F.col(n).desc() for n in names])))
@@ -84,16 +99,48 @@ def _ranks(base: DataFrame, values: list[str], by: list[str]) -> DataFrame:
     return both.select(*[local[c] for c in [*keys, *names]], (F.col("_before") + F.col("_place")).cast("bigint").alias("_rank"))
 
 
+def _with_rank(df: DataFrame, base: DataFrame, alias: str, value: str, by: list[str]) -> DataFrame:
+    """One rank: the rows of ``df`` move once, to the slice of their value, and are numbered there; of ``base`` only a count per slice is joined.
+
+    A value of more than a slice's share of the rows, as the sketch has it, is a slice by itself, and its rows, like those without a value,
+    are dealt to many tasks: the first place is all that slice has.
+    """
+    partitions = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = partitions if by else 4 * partitions
+    parts = [i / slices for i in range(1, slices)]
+    # Some numbers, literals of the plan, so that every read of it cuts alike.
+    found = base.agg(F.percentile_approx(F.col(value).cast("double"), parts, SKETCH)).first()[0] if parts else None
+    bounds = sorted(found or [])
+    kind = base.schema[value].dataType
+    # Values whose approximation is the value: only these may share a place.
+    exact = isinstance(kind, (T.DoubleType, T.FloatType, T.IntegerType, T.ShortType, T.ByteType, T.LongType))
+    often = sorted({b for a, b in zip(bounds, bounds[1:]) if a == b and exact and not (isinstance(kind, T.LongType) and abs(b) >= 2**53)})
+    approx = F.col(value).cast("double")
+    slice_ = (_ahead(sorted(set(bounds)), approx) + _ahead(often, approx, equal=True)).alias("_slice")
+    dealt = F.col(value).isNull() | approx.isin(often) if often else F.col(value).isNull()
+    deal = F.when(dealt, F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(partitions))).otherwise(F.lit(0)).alias("_deal")
+    inside = Window.partitionBy(*by, "_slice", "_deal").orderBy(F.col(value).desc())
+    local = df.select("*", slice_, deal).withColumn("_place", F.dense_rank().over(inside))
+    groups = [f"_k{i}" for i in range(len(by))]
+    valued = base.where(F.col(value).isNotNull()).select(*[F.col(c).alias(g) for c, g in zip(by, groups, strict=True)], F.col(value).alias("_v"), slice_)
+    sizes = valued.groupBy(*groups, F.col("_slice").alias("_s")).agg(F.count_distinct("_v").alias("_size"))
+    earlier = Window.partitionBy(*groups).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per group and slice.
+    offsets = sizes.select(*groups, "_s", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(g)) for c, g in zip(by, groups, strict=True)], F.col("_slice") == F.col("_s"))
+    rank = F.when(F.col(value).isNotNull(), F.col("_before") + F.col("_place")).cast("bigint")
+    return join_small(local, offsets, on, "left").select(*df.columns, rank.alias(alias))
+
+
 def _with_ranks(df: DataFrame, base: DataFrame, ranks: dict[str, str], by: list[str]) -> DataFrame:
     """``df`` with the ranks of the values in ``base``, which is stored; ``df`` is ``base``, or, for one rank, has its values.
 
     For several ranks its rows have a stored number ``_row``, which goes.
     """
-    found = _ranks(base, list(ranks.values()), by)
     if len(ranks) == 1:
         (alias, value), *_ = ranks.items()
-        on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)], F.col(value) == F.col("_v0"))
-        return df.join(found, on, "left").select(*df.columns, F.col("_rank").alias(alias))
+        return _with_rank(df, base, alias, value, by)
+    found = _ranks(base, list(ranks.values()), by)
     rows, groups, names = _stacked(df, list(ranks.values()), by, ["_row"])
     joined = rows.join(found, _same(rows, found, ["_m", *groups, *names])).select("_row", rows["_m"].alias("_n"), "_rank")
     wide = joined.groupBy("_row").agg(*[F.max(F.when(F.col("_n") == m, F.col("_rank"))).alias(alias) for m, alias in enumerate(ranks)])
@@ -112,13 +159,13 @@ def add_ranks(df: DataFrame, ranks: dict[str, str], by: list[str] | None = None)
 def add_share(df: DataFrame, value: str, by: list[str], total: str, share: str) -> DataFrame:
     """Group total and each row's share of it in percent (WIN-03).
 
-    The total is pre-aggregated and joined, so a hot group is never one window partition.
+    The total is pre-aggregated, counted and joined, map-side if it is few rows: a hot group is never one window partition, and rows don't move.
     """
     sums = df.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(by)]).agg(
         F.coalesce(F.sum(F.col(value).cast(EXACT)), F.lit(0)).cast("double").alias(total)
     )
     match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(by)])
-    both = df.join(sums, match, "left").select(*df.columns, total)
+    both = join_small(df, sums, match, "left").select(*df.columns, total)
     return both.withColumn(share, percentage(value, total))
 
 
@@ -141,14 +188,17 @@ def summarize(df: DataFrame, keys: list[str], metrics: dict[str, Column]) -> Dat
     return df.groupBy(*keys).agg(*[metric.alias(name) for name, metric in metrics.items()])
 
 
-def together(df: DataFrame, keys: list[str], differing: dict[str, Column], first: dict[str, Column] | None = None) -> DataFrame:
+def together(
+    df: DataFrame, keys: list[str], differing: dict[str, Column], first: dict[str, Column] | None = None, near: list[str] | None = None
+) -> DataFrame:
     """The rows of a group in one partition, with a flag per name that is true for one row of each different value in a group.
 
     Counting flags counts different values (null as one of them) without a copy of the rows per count: rows move once, and a join by
     ``keys`` moves nothing more. ``first`` says which row of a value has the flag. For groups of few rows, of which partial sums would merge
-    next to nothing: a group's rows are sorted by one task, on disk if need be.
+    next to nothing: a group's rows are sorted by one task, on disk if need be. ``near`` names those of the keys by which rows move; if ``df``
+    was moved by them before, nothing moves.
     """
-    rows = df.repartition(*keys)
+    rows = df.repartition(*(near or keys))
     for name, value in differing.items():
         order = (first or {}).get(name, value)
         rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys, value).orderBy(order)) == 1)

@@ -99,8 +99,12 @@ BENEFICIARY_GRAIN = [
 ]
 
 
-def silver_beneficiaries(raw: DataFrame, years: list[int]) -> DataFrame:
-    """SLV-13: payments collapsed to one row per beneficiary, amendment and month (AGG-18)."""
+def silver_beneficiaries(raw: DataFrame, years: list[int], near: list[str] | None = None) -> DataFrame:
+    """SLV-13: payments collapsed to one row per beneficiary, amendment and month (AGG-18).
+
+    ``near`` names columns of the grain by which a mart groups these rows: payments move by them once, and the mart moves nothing. Of a
+    beneficiary's payments an amendment and a month hold one or two, so partial sums before that would merge next to nothing.
+    """
     month = whole_number("ano_mes", "int")
     typed = raw.withColumn("ano_emenda", _year_of_code()).where(F.col("ano_emenda").isin(years))
     typed = typed.withColumns({"ano_mes": month, "valor_recebido": brazilian_money("valor_recebido")}).withColumns(
@@ -109,6 +113,8 @@ def silver_beneficiaries(raw: DataFrame, years: list[int]) -> DataFrame:
             "mes_recebimento": F.substring(F.col("ano_mes").cast("string"), 5, 2).try_cast("tinyint"),
         }
     )
+    if near:
+        typed = typed.repartition(*near)
     return ranking.summarize(typed, BENEFICIARY_GRAIN, {"valor_recebido": agg.total("valor_recebido")})
 
 
@@ -187,20 +193,30 @@ def ranking_authors(amendments: DataFrame, beneficiaries: DataFrame, ranked: boo
     return ranking.add_ranks(both, ranks, ["ano_emenda"]) if ranked else both
 
 
+# Those keys of the two marts of payments by which rows move.
+NEAR_BENEFICIARY = ["ano_emenda", "codigo_favorecido", "favorecido"]
+NEAR_PAIR = [*NEAR_BENEFICIARY, "codigo_autor_emenda"]
+
+
 def ranking_beneficiaries(beneficiaries: DataFrame, ranked: bool = True) -> DataFrame:
-    """GLD-EM-02."""
-    return ranking.ranked_summary(
-        beneficiaries,
-        ["ano_emenda", *BENEFICIARY],
-        {
-            "quantidade_emendas": agg.n_unique("codigo_emenda"),
-            "quantidade_autores": agg.n_present("codigo_autor_emenda"),
-            "quantidade_meses_recebimento": agg.n_unique("ano_mes"),
-            "valor_recebido": agg.total("valor_recebido"),
-        },
-        {"posicao_valor_recebido": "valor_recebido"} if ranked else {},
-        by=["ano_emenda"],
-    )
+    """GLD-EM-02. Of a beneficiary's payments one is flagged per amendment, author and month: rows move once, without a copy per distinct count."""
+    keys = ["ano_emenda", *BENEFICIARY]
+    rows = beneficiaries
+    counts = {
+        "quantidade_emendas": agg.n_unique("codigo_emenda"),
+        "quantidade_autores": agg.n_present("codigo_autor_emenda"),
+        "quantidade_meses_recebimento": agg.n_unique("ano_mes"),
+    }
+    if ranked:
+        different = {f"_{c}": F.col(c) for c in ("codigo_emenda", "codigo_autor_emenda", "ano_mes")}
+        rows = ranking.together(beneficiaries, keys, different, near=NEAR_BENEFICIARY)
+        counts = {
+            "quantidade_emendas": agg.count_where("_codigo_emenda"),
+            "quantidade_autores": agg.count_where(F.col("_codigo_autor_emenda") & F.col("codigo_autor_emenda").isNotNull()),
+            "quantidade_meses_recebimento": agg.count_where("_ano_mes"),
+        }
+    ranks = {"posicao_valor_recebido": "valor_recebido"} if ranked else {}
+    return ranking.ranked_summary(rows, keys, {**counts, "valor_recebido": agg.total("valor_recebido")}, ranks, by=["ano_emenda"])
 
 
 def _place_ranking(df: DataFrame, keys: list[str], distincts: dict[str, str]) -> DataFrame:

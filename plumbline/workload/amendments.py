@@ -69,8 +69,8 @@ def _payments_text(spark: SparkSession, sf: str) -> DataFrame:
     return as_text(staged(spark, sf, STAGE_PAYMENTS), pad=False)
 
 
-def payments(spark: SparkSession, sf: str) -> DataFrame:
-    return recipe.silver_beneficiaries(_payments_text(spark, sf), YEARS)
+def payments(spark: SparkSession, sf: str, near: list[str] | None = None) -> DataFrame:
+    return recipe.silver_beneficiaries(_payments_text(spark, sf), YEARS, near)
 
 
 _GRAIN = "codigo_emenda, codigo_municipio_ibge, codigo_funcao, codigo_subfuncao, codigo_programa, codigo_acao, codigo_plano_orcamentario"
@@ -190,11 +190,11 @@ PAIRS = f"""
     {rank("valor_recebido", "ano_emenda, codigo_autor_emenda")} AS posicao_favorecido_por_autor FROM s"""
 
 query("gld_em_01_ranking_parlamentares", RANK_AUTHORS)(lambda s, d: recipe.ranking_authors(amendments(s, d), payments(s, d)))
-query("gld_em_02_ranking_favorecidos", RANK_BENEFICIARIES)(lambda s, d: recipe.ranking_beneficiaries(payments(s, d)))
+query("gld_em_02_ranking_favorecidos", RANK_BENEFICIARIES)(lambda s, d: recipe.ranking_beneficiaries(payments(s, d, recipe.NEAR_BENEFICIARY)))
 query("gld_em_03_ranking_uf", RANK_STATES)(lambda s, d: recipe.ranking_states(amendments(s, d)))
 query("gld_em_04_ranking_municipios", RANK_CITIES)(lambda s, d: recipe.ranking_cities(amendments(s, d)))
 query("gld_em_05_ranking_funcoes", RANK_FUNCTIONS)(lambda s, d: recipe.ranking_functions(amendments(s, d)))
-query("gld_em_06_relacionamento_autor_favorecido", PAIRS)(lambda s, d: recipe.author_beneficiary(payments(s, d)))
+query("gld_em_06_relacionamento_autor_favorecido", PAIRS)(lambda s, d: recipe.author_beneficiary(payments(s, d, recipe.NEAR_PAIR)))
 
 # ---------------------------------------------------------------- dimensions
 

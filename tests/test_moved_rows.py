@@ -53,6 +53,47 @@ def test_flags_count_different_values(spark):
     assert {r.k: (r.n, r.present, r.won) for r in found.collect()} == {"a": (2, 1, 1), None: (2, 2, 1)}
 
 
+@pytest.fixture
+def stored(monkeypatch):
+    """The frames that rankings store."""
+    frames, store = [], ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df: frames.append(df) or store(df))
+    return frames
+
+
+@pytest.mark.parametrize("name", ["gld_em_02_ranking_favorecidos", "gld_em_06_relacionamento_autor_favorecido"])
+def test_payments_move_once(spark, sf, large, stored, name):
+    # For the payments' own rows and for the mart's; no copies per distinct count.
+    catalog.QUERIES[name](spark, sf)
+    assert moved(spark, stored[0]) == 1 and "Expand" not in stored[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_of_one_rank_move_once(spark, large):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") % 7).alias("g"), (F.col("id") % 100).cast("double").alias("v"))
+    found = ranking.add_ranks(df, {"r": "v"}, ["g"])
+    assert moved(spark, found) == 1
+
+
+@pytest.mark.parametrize("kind", ["double", "bigint", "decimal(20,2)", "int"])
+def test_one_rank_with_frequent_and_absent_values(spark, kind):
+    """Half of the rows share a value, a fifth have none: ranks are those of a window."""
+    v = "CASE WHEN id % 2 = 0 THEN 5 WHEN id % 5 = 0 THEN NULL WHEN id % 7 = 0 THEN 6 ELSE id % 41 END"
+    df = spark.range(4000).selectExpr("id", "CASE WHEN id % 3 < 2 THEN NULL ELSE id % 6 END AS g", f"CAST({v} AS {kind}) AS v").repartition(6)
+    for by in (["g"], []):
+        part = "PARTITION BY g " if by else ""
+        asked = df.selectExpr("id", "g", "v", f"CASE WHEN v IS NOT NULL THEN CAST(dense_rank() OVER ({part}ORDER BY v DESC NULLS LAST) AS BIGINT) END AS r")
+        found = ranking.add_ranks(df, {"r": "v"}, by)
+        assert sorted(map(str, found.collect())) == sorted(map(str, asked.collect()))
+    assert ranking.add_ranks(df.where("false"), {"r": "v"}, ["g"]).count() == 0
+
+
+def test_frequent_and_absent_values_are_dealt(spark):
+    """No task numbers all rows of a value that half of them have, nor all rows without one."""
+    df = spark.range(8000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 0D WHEN id % 4 = 1 THEN NULL ELSE CAST(id AS DOUBLE) END AS v")
+    plan = ranking.add_ranks(df, {"r": "v"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "pmod(xxhash64" in plan and "_deal" in plan
+
+
 def test_lines_of_a_contract_group_move_once(spark, sf, large):
     # Items and terms once each; contracts: newest periods, records, picks and two for a distinct count.
     plan = catalog.QUERIES["gld_ct_02_contratos_atuais_resumo"](spark, sf)._jdf.queryExecution().executedPlan().toString()
