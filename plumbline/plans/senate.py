@@ -208,25 +208,29 @@ def _spent() -> dict[str, Column]:
     return {"quantidade_despesas": agg.rows(), "valor_total": F.round(agg.total("valor_gasto"), 2)}
 
 
+def _place(value: str, ranked: bool) -> dict[str, str]:
+    return {"posicao": value} if ranked else {}
+
+
 SUPPLIER = "cpf_cnpj_fornecedor_normalizado"
 
 
-def ranking_senators_spending(expenses: DataFrame) -> DataFrame:
+def ranking_senators_spending(expenses: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-SN-05."""
     metrics = {**_spent(), "quantidade_fornecedores": agg.n_unique(SUPPLIER)}
-    return ranking.ranked_summary(expenses, ["cod_senador", "nome_senador"], metrics, {"posicao": "valor_total"})
+    return ranking.ranked_summary(expenses, ["cod_senador", "nome_senador"], metrics, _place("valor_total", ranked))
 
 
-def ranking_suppliers(expenses: DataFrame) -> DataFrame:
+def ranking_suppliers(expenses: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-SN-06."""
     metrics = {**_spent(), "quantidade_senadores": agg.n_unique("cod_senador")}
-    return ranking.ranked_summary(expenses, [SUPPLIER, "nome_fornecedor"], metrics, {"posicao": "valor_total"})
+    return ranking.ranked_summary(expenses, [SUPPLIER, "nome_fornecedor"], metrics, _place("valor_total", ranked))
 
 
-def ranking_types(expenses: DataFrame) -> DataFrame:
+def ranking_types(expenses: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-SN-07."""
     metrics = {**_spent(), "quantidade_senadores": agg.n_unique("cod_senador")}
-    return ranking.ranked_summary(expenses, ["tipo_despesa"], metrics, {"posicao": "valor_total"})
+    return ranking.ranked_summary(expenses, ["tipo_despesa"], metrics, _place("valor_total", ranked))
 
 
 def _vote_counts() -> dict[str, Column]:
@@ -234,23 +238,23 @@ def _vote_counts() -> dict[str, Column]:
     return {name: agg.count_where(F.col("categoria_voto") == category) for name, category in names.items()}
 
 
-def ranking_senators_votes(votes: DataFrame) -> DataFrame:
+def ranking_senators_votes(votes: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-SN-08."""
     return ranking.ranked_summary(
         votes,
         ["codigo_parlamentar", "nome_parlamentar", "sigla_partido_parlamentar", "sigla_uf_parlamentar"],
         {"quantidade_votos": agg.rows(), "quantidade_votacoes": agg.n_unique("codigo_sessao_votacao"), **_vote_counts()},
-        {"posicao": "quantidade_votos"},
+        _place("quantidade_votos", ranked),
     )
 
 
-def ranking_parties(votes: DataFrame) -> DataFrame:
+def ranking_parties(votes: DataFrame, ranked: bool = True) -> DataFrame:
     """GLD-SN-09."""
     return ranking.ranked_summary(
         votes.withColumn("sigla_partido", or_label("sigla_partido_parlamentar", "SEM_PARTIDO")),
         ["sigla_partido"],
         {"quantidade_senadores": agg.n_unique("codigo_parlamentar"), "quantidade_votos": agg.rows(), **_vote_counts()},
-        {"posicao": "quantidade_votos"},
+        _place("quantidade_votos", ranked),
     )
 
 
@@ -282,7 +286,8 @@ def monthly_activity(votings: DataFrame) -> DataFrame:
     )
 
 
-def gold(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def gold(silver_tables: dict[str, DataFrame], ranked: bool = True) -> dict[str, DataFrame]:
+    """All marts; without ranks for a reader of their totals."""
     votings, votes = fact_votings(silver_tables["votacoes"]), fact_votes(silver_tables["votos"])
     expenses = fact_expenses(silver_tables["ceaps"])
     return {
@@ -292,11 +297,11 @@ def gold(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "fato_gastos_senadores": expenses,
         "dim_senadores_base": silver_tables["senadores"],
         "dim_empresas_contratadas_base": silver_tables["empresas_contratadas"],
-        "ranking_senadores_gastos": ranking_senators_spending(expenses),
-        "ranking_fornecedores_ceaps": ranking_suppliers(expenses),
-        "ranking_tipos_despesa_ceaps": ranking_types(expenses),
-        "ranking_senadores_votos": ranking_senators_votes(votes),
-        "ranking_partidos_votos": ranking_parties(votes),
+        "ranking_senadores_gastos": ranking_senators_spending(expenses, ranked),
+        "ranking_fornecedores_ceaps": ranking_suppliers(expenses, ranked),
+        "ranking_tipos_despesa_ceaps": ranking_types(expenses, ranked),
+        "ranking_senadores_votos": ranking_senators_votes(votes, ranked),
+        "ranking_partidos_votos": ranking_parties(votes, ranked),
         "resumo_gastos_mensal": monthly_spending(expenses),
         "resumo_atividade_mensal": monthly_activity(votings),
     }
@@ -466,17 +471,21 @@ def quality(silver_tables: dict[str, DataFrame], gold_tables: dict[str, DataFram
     sides = []
     for name, fact in counted.items():
         sides.append(reconcile.side(silver_tables[name], {f"{name}_silver_gold": agg.rows()}, "silver"))
-        sides.append(reconcile.side(fact, {f"{name}_silver_gold": agg.rows()}, "gold"))
+        asked = {"gold": {f"{name}_silver_gold": agg.rows()}}
+        if name == "votacoes":
+            asked["silver"] = {"quantidade_votacoes_resumo": agg.rows()}
+        sides.append(reconcile.sides(fact, asked))
     sides += [
         reconcile.side(
             silver_tables["ceaps"],
             {"ceaps_silver_gold": agg.rows(), "valor_ceaps_silver_gold": _expense_total("valor_reembolsado")},
             "silver",
         ),
-        reconcile.side(expenses, {"ceaps_silver_gold": agg.rows(), "valor_ceaps_silver_gold": spent}, "gold"),
-        reconcile.side(expenses, dict.fromkeys(marts, spent), "silver"),
+        reconcile.sides(
+            expenses,
+            {"gold": {"ceaps_silver_gold": agg.rows(), "valor_ceaps_silver_gold": spent}, "silver": dict.fromkeys(marts, spent)},
+        ),
         *[reconcile.side(gold_tables[t], {name: _expense_total("valor_total")}, "gold") for name, t in marts.items()],
-        reconcile.side(votings, {"quantidade_votacoes_resumo": agg.rows()}, "silver"),
         reconcile.side(
             gold_tables["resumo_atividade_mensal"],
             {"quantidade_votacoes_resumo": agg.whole_total("quantidade_votacoes")},

@@ -345,15 +345,16 @@ def dim_time(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gold(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """For audits, which read rows and totals of the marts, not the ranks; each reader takes the columns it needs, so nothing is stored."""
     silver = {
         "materias": staged(spark, sf, BILLS),
         "votacoes": staged(spark, sf, VOTINGS),
-        "votos": materialize(staged(spark, sf, VOTES)),
-        "ceaps": materialize(staged(spark, sf, EXPENSES)),
+        "votos": staged(spark, sf, VOTES),
+        "ceaps": staged(spark, sf, EXPENSES),
         "senadores": senators(spark, sf),
         "empresas_contratadas": table(spark, sf, "customer"),
     }
-    return silver, recipe.gold(silver)
+    return silver, recipe.gold(silver, ranked=False)
 
 
 def _tie(name: str, sql: str, severity: str = "error", zero: bool = False) -> str:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import dedup, ranking
-from plumbline.workload import catalog, deputy_expenses
+from plumbline.workload import catalog, deputy_expenses, senate
 
 
 def unasked(*_, **__):
@@ -113,3 +113,11 @@ def test_snapshot_within_a_group_keeps_the_same_rows(spark):
 def test_yearly_reconciliation_ranks_nothing(spark, sf, monkeypatch):
     monkeypatch.setattr(ranking, "materialize", unasked)
     assert catalog.QUERIES["rec_05_amendments_by_year"](spark, sf).count() > 0
+
+
+def test_senate_audit_stores_and_ranks_nothing(spark, sf, monkeypatch):
+    monkeypatch.setattr(ranking, "materialize", unasked)
+    monkeypatch.setattr(senate, "materialize", unasked)
+    found = catalog.QUERIES["rec_08_senate_tie_out"](spark, sf)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert found.count() == 16
