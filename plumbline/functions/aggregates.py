@@ -33,6 +33,11 @@ def total(c: Column | str, where: Column | None = None) -> Column:
     return F.coalesce(exact_total(c, where), F.lit(0).cast("decimal(38,8)")).cast("double")
 
 
+def added_total(c: Column | str) -> Column:
+    """The total of exact totals of parts of a group."""
+    return F.coalesce(F.sum(col(c)), F.lit(0).cast("decimal(38,8)")).cast("double")
+
+
 def whole_total(c: Column | str) -> Column:
     return F.coalesce(F.sum(col(c)), F.lit(0)).cast("bigint")
 

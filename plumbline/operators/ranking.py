@@ -220,6 +220,29 @@ def summarize_apart(
     return wide.join(narrow, match).select(*wide.columns, *distincts)
 
 
+def _hashed(keys: list[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys], *[F.col(k).isNull() for k in keys])
+
+
+def count_apart(summary: DataFrame, df: DataFrame, keys: list[str], different: dict[str, str]) -> DataFrame:
+    """``summary``, a row per key of ``df``, with the different values (null as one of them) of a column per name, each aggregated apart.
+
+    A distinct count of many values moves a row per value, and several of them copy every row. Here such a row is a value and a hash of its
+    key instead of the whole key. The hash may stand for the key as no two keys of the summary share one, which is looked up first; else the keys
+    themselves are used, with the same result. Values add up per task before they move, so a hot key is many tasks.
+    """
+    base = materialize(summary.withColumn("_hash", _hashed(keys)))
+    apart = base.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty()
+    by = ["_hash"] if apart else keys
+    rows, both = df.withColumn("_hash", _hashed(keys)), base
+    for i, (name, value) in enumerate(different.items()):
+        groups = {k: f"_k{i}_{j}" for j, k in enumerate(by)}
+        values = rows.select(*[F.col(k).alias(g) for k, g in groups.items()], F.col(value).alias("_v")).distinct()
+        counts = values.groupBy(*groups.values()).agg(F.count(F.lit(1)).alias(name))
+        both = both.join(counts, reduce(lambda a, b: a & b, [base[k].eqNullSafe(counts[g]) for k, g in groups.items()]))
+    return both.select(*summary.columns, *different)
+
+
 def concentration(
     df: DataFrame,
     keys: list[str],

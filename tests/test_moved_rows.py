@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import dedup, ranking
+from plumbline.plans import deputy_expenses as expenses
 from plumbline.plans import grants as agreements
 from plumbline.workload import catalog, deputy_expenses, grants, senate
 
@@ -145,3 +146,25 @@ def test_agreements_suite_counts_kinds(spark):
         "multi_emenda_contracts": (1, "warning", True), "emenda_convenio_unique": (3, "error", False), "exact_duplicates": (2, "error", False),
     }
     assert [(r.check, r.value) for r in agreements.quality(df.where("false")).collect() if not r.approved] == [("dataset_not_empty", 0)]
+
+
+def test_suppliers_lines_are_not_copied_per_count(spark, sf, large, stored):
+    found = catalog.QUERIES["gld_gd_05_ranking_fornecedores"](spark, sf)
+    # Parties and states alone are counted by copies, of added-up lines; a document moves with a hash of its supplier.
+    *_, counted = stored
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and "xxhash64" in plan
+    unranked = expenses.ranking_suppliers(deputy_expenses.fact(spark, sf), ranked=False)
+    assert sorted(map(str, found.drop("posicao_valor_liquido").collect())) == sorted(map(str, unranked.collect()))
+
+
+@pytest.mark.parametrize("shared", [False, True])
+def test_counts_apart_with_null_keys_and_shared_hashes(spark, monkeypatch, shared):
+    """Keys that share a hash are told apart, null is a key and a value."""
+    if shared:
+        monkeypatch.setattr(ranking, "_hashed", lambda keys: F.lit(7).cast("bigint"))
+    rows = "VALUES ('a', NULL, 'x', 1), ('a', NULL, 'x', 2), ('a', NULL, NULL, 2), (NULL, 'a', 'y', 3), (NULL, 'a', 'z', 3), (NULL, NULL, NULL, NULL), ('a', 'a', 'x', NULL)"
+    df = spark.sql(f"SELECT * FROM {rows} AS t(k, l, v, w)").repartition(5)
+    found = ranking.count_apart(ranking.summarize(df, ["k", "l"], {"n": F.count("*")}), df, ["k", "l"], {"nv": "v", "nw": "w"})
+    assert {(r.k, r.l): (r.n, r.nv, r.nw) for r in found.collect()} == {("a", None): (3, 2, 2), (None, "a"): (2, 2, 1), (None, None): (1, 1, 1), ("a", "a"): (1, 1, 1)}
+    assert found.columns == ["k", "l", "n", "nv", "nw"]
