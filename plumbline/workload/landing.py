@@ -395,16 +395,16 @@ PAGE_ROWS = 500
     "SELECT CAST(o_orderkey AS VARCHAR) AS codigo_emenda, CAST(year(o_orderdate) AS VARCHAR) AS ano, o_totalprice AS valor_pago FROM {orders}",
 )
 def paged_json(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages of at most 500 records, each one JSON list."""
+    """Pages of at most 500 records, each one JSON list and one file; all in one folder, as a folder per page would be made, renamed and listed one by one."""
     path = scratch(spark)
     record = {c: F.lit("x") for c in amendments.PAGE_COLUMNS} | {
         "codigoEmenda": F.col("o_orderkey").cast("string"),
         "ano": F.year("o_orderdate").cast("string"),
         "valorPago": F.translate(F.format_number("o_totalprice", 2), ",.", ".,"),
     }
-    numbered = table(spark, sf, "orders").withColumn("pagina_", F.concat(F.floor(F.col("o_orderkey") / PAGE_ROWS).cast("string"), F.lit(".json")))
-    pages = numbered.groupBy("pagina_").agg(F.to_json(F.collect_list(F.struct(*[c.alias(n) for n, c in record.items()]))).alias("value"))
-    pages.write.partitionBy("pagina_").text(path)
+    page = F.floor(F.col("o_orderkey") / PAGE_ROWS).alias("page")
+    pages = table(spark, sf, "orders").groupBy(page).agg(F.to_json(F.collect_list(F.struct(*[c.alias(n) for n, c in record.items()]))).alias("value"))
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(f"{path}/pagina_todas.json")
     read = documents.read_pages(spark, path, amendments.PAGE_COLUMNS)
     return amendments.silver_api_pages(read).select("codigo_emenda", "ano", "valor_pago")
 

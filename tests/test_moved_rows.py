@@ -1,11 +1,15 @@
 """What queries move and store: marts are read for what is asked of them, rows of a group move once."""
 
+import json
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import dedup, ranking
 from plumbline.plans import deputy_expenses as expenses
 from plumbline.plans import grants as agreements
+from plumbline.sources import documents
 from plumbline.workload import catalog, deputy_expenses, grants, senate
 
 
@@ -168,3 +172,16 @@ def test_counts_apart_with_null_keys_and_shared_hashes(spark, monkeypatch, share
     found = ranking.count_apart(ranking.summarize(df, ["k", "l"], {"n": F.count("*")}), df, ["k", "l"], {"nv": "v", "nw": "w"})
     assert {(r.k, r.l): (r.n, r.nv, r.nw) for r in found.collect()} == {("a", None): (3, 2, 2), (None, "a"): (2, 2, 1), (None, None): (1, 1, 1), ("a", "a"): (1, 1, 1)}
     assert found.columns == ["k", "l", "n", "nv", "nw"]
+
+
+def test_pages_are_files_of_one_folder(spark, sf, monkeypatch):
+    """A page is a file of at most 500 records; no folder is made, renamed and listed for each."""
+    read, folders = documents.read_pages, []
+    monkeypatch.setattr(documents, "read_pages", lambda spark, folder, columns: folders.append(folder) or read(spark, folder, columns))
+    found = catalog.QUERIES["src_05_paged_json"](spark, sf).count()
+    (folder,) = (Path(f.removeprefix("file:")) for f in folders)
+    assert len([p for p in folder.rglob("*") if p.is_dir()]) == 1
+    pages = [json.loads(p.read_text()) for p in folder.rglob("part-*")]
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    assert len(pages) == orders.select(F.floor(F.col("o_orderkey") / 500)).distinct().count() > 1
+    assert max(map(len, pages)) <= 500 and sum(map(len, pages)) == orders.count() == found
