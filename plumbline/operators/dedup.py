@@ -47,13 +47,14 @@ def latest_snapshot(
     ``where`` limits which rows compete; the others pass through with their own period.
     ``digits`` says that a text period is ``yyyyMM``: it is compared as a number, because a
     maximum of numbers is hash-aggregated while a maximum of text has to be sorted. ``within`` names a column of which
-    ``group`` is a part and by which the rows are needed next: they move once, by it, and small groups are compared where they are.
+    ``group`` is a part, or ``group`` itself, by which the rows are needed next: they move once, by it, and small groups are compared where they are.
     """
     value = F.col(period).cast("int") if digits else F.col(period)
     if within is not None:
         asked = F.col(group).isNotNull() if where is None else F.col(group).isNotNull() & where
-        newest = F.max(F.when(asked, value)).over(Window.partitionBy(within, group))
-        both = df.repartition(within).withColumn("_newest", newest)
+        newest = F.max(F.when(asked, value)).over(Window.partitionBy(*dict.fromkeys([within, group])))
+        # The window itself moves rows by its whole group, but not by a part of it.
+        both = (df if within == group else df.repartition(within)).withColumn("_newest", newest)
         current = F.col(group).isNotNull() & (value == F.col("_newest"))
         return both.where(current if where is None else ~where | current).drop("_newest").withColumn(latest, F.col(period))
     competing = df if where is None else df.where(where)

@@ -189,16 +189,17 @@ def summarize(df: DataFrame, keys: list[str], metrics: dict[str, Column]) -> Dat
 
 
 def together(
-    df: DataFrame, keys: list[str], differing: dict[str, Column], first: dict[str, Column] | None = None, near: list[str] | None = None
-) -> DataFrame:
+    df: DataFrame, keys: list[str], differing: dict[str, Column], first: dict[str, Column] | None = None, near: list[str] | None = None,
+    moved: bool = False,
+) -> DataFrame:
     """The rows of a group in one partition, with a flag per name that is true for one row of each different value in a group.
 
     Counting flags counts different values (null as one of them) without a copy of the rows per count: rows move once, and a join by
     ``keys`` moves nothing more. ``first`` says which row of a value has the flag. For groups of few rows, of which partial sums would merge
     next to nothing: a group's rows are sorted by one task, on disk if need be. ``near`` names those of the keys by which rows move; if ``df``
-    was moved by them before, nothing moves.
+    was moved by them before, nothing moves. ``moved`` says that a group's rows are in one partition already.
     """
-    rows = df.repartition(*(near or keys))
+    rows = df if moved else df.repartition(*(near or keys))
     for name, value in differing.items():
         order = (first or {}).get(name, value)
         rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*keys, value).orderBy(order)) == 1)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions import aggregates as agg
 from plumbline.functions.dates import brazilian_date, days_between
-from plumbline.functions.keys import content_hash, joined, keyed, or_label
+from plumbline.functions.keys import content_hash, joined, keyed, keyed_again, lighter, or_label
 from plumbline.functions.numbers import brazilian_decimal, percentage
 from plumbline.functions.text import clean_text, contains_any
 from plumbline.operators import checks, dedup, dimensions, ranking, reconcile
@@ -108,10 +108,11 @@ def derive_items(typed: DataFrame) -> DataFrame:
             "item_sigiloso": contains_any("descricao_item_compra", "sigilo")
             | contains_any("descricao_complementar_item_compra", "sigilo"),
         }
-    ).withColumn(
-        "chave_item_contrato",
-        joined("chave_grupo_contrato", or_label("codigo_item_compra", "SEM_ITEM"), "hash_conteudo_item"),
-    )
+    ).withColumn("chave_item_contrato", joined(*_ahead_of_item_hash(), "hash_conteudo_item"))
+
+
+def _ahead_of_item_hash() -> list[Column | str]:
+    return ["chave_grupo_contrato", or_label("codigo_item_compra", "SEM_ITEM")]
 
 
 def silver_items(raw: DataFrame) -> DataFrame:
@@ -138,10 +139,11 @@ def derive_terms(typed: DataFrame) -> DataFrame:
             "termo_reajuste": contains_any("objeto", "reajuste", "repactua", "revisao", "revisão"),
             "termo_alteracao_quantitativa": contains_any("objeto", "acrescimo", "acréscimo", "supressao", "supressão"),
         }
-    ).withColumn(
-        "chave_termo_aditivo",
-        joined("chave_grupo_contrato", or_label("numero_termo_aditivo", "SEM_TERMO"), "hash_conteudo_termo"),
-    )
+    ).withColumn("chave_termo_aditivo", joined(*_ahead_of_term_hash(), "hash_conteudo_termo"))
+
+
+def _ahead_of_term_hash() -> list[Column | str]:
+    return ["chave_grupo_contrato", or_label("numero_termo_aditivo", "SEM_TERMO")]
 
 
 def silver_terms(raw: DataFrame) -> DataFrame:
@@ -176,11 +178,17 @@ def deduplicated(df: DataFrame, key: str) -> DataFrame:
     return dedup.keep_latest(df, [key])
 
 
-def current_contracts(history: DataFrame) -> DataFrame:
-    """All records of each group's latest period (DDP-05, JON-02)."""
-    snapshot = dedup.latest_snapshot(
-        history, "chave_grupo_contrato", "periodo_origem", "periodo_mais_recente", digits=True
-    )
+def current_contracts(history: DataFrame, by_group: bool = False) -> DataFrame:
+    """All records of each group's latest period (DDP-05, JON-02).
+
+    ``by_group`` is for readers that go on by contract group: its records, which are few, are in one partition then. Of the record key
+    the hash moves, as bytes.
+    """
+    group, record = "chave_grupo_contrato", ("chave_registro_contrato", "hash_conteudo_contrato")
+    rows = lighter(history, *record) if by_group else history
+    snapshot = dedup.latest_snapshot(rows, group, "periodo_origem", "periodo_mais_recente", digits=True, within=group if by_group else None)
+    if by_group:
+        snapshot = keyed_again(snapshot, *record, group, text=True).select(*history.columns, "periodo_mais_recente")
     return snapshot.withColumn("registro_periodo_atual", F.lit(True))
 
 
@@ -205,16 +213,18 @@ def current_items(items: DataFrame, by_group: bool = False) -> DataFrame:
     """GLD-CT-01: latest period per logical item; zero-code items are kept as physical rows.
 
     Rows without an item code are neither, and leave, as the two filters demand. ``by_group`` is for readers that go on by
-    contract group: the items of a group, which are few, are in one partition then.
+    contract group: the items of a group, which are few, are in one partition then, and their keys are bytes.
     """
-    known = items.where(F.col("item_codigo_zero").isNotNull()).withColumn(
-        "chave_logica_item", joined("chave_grupo_contrato", or_label("codigo_item_compra", ""))
-    )
-    coded = ~F.col("item_codigo_zero")
-    current = dedup.latest_snapshot(
-        known, "chave_logica_item", "periodo_origem", "periodo_mais_recente_item", where=coded, digits=True,
-        within="chave_grupo_contrato" if by_group else None,
-    )
+    known, coded = items.where(F.col("item_codigo_zero").isNotNull()), ~F.col("item_codigo_zero")
+    logical = joined("chave_grupo_contrato", or_label("codigo_item_compra", ""))
+    period = {"period": "periodo_origem", "latest": "periodo_mais_recente_item", "where": coded, "digits": True}
+    if by_group:
+        record = "chave_item_contrato", "hash_conteudo_item"
+        # Within a contract group a logical item is its code; both keys are made where the rows are.
+        current = dedup.latest_snapshot(lighter(known, *record), "codigo_item_compra", within="chave_grupo_contrato", **period)
+        current = keyed_again(current, *record, *_ahead_of_item_hash()).withColumn("chave_logica_item", logical)
+    else:
+        current = dedup.latest_snapshot(known.withColumn("chave_logica_item", logical), "chave_logica_item", **period)
     return current.withColumns(
         {
             "criterio_selecao_item": F.when(coded, "codigo_item").otherwise("registro_fisico_codigo_zero"),
@@ -249,17 +259,29 @@ def _term_counts() -> dict[str, Column]:
     }
 
 
+def _terms_together(terms: DataFrame) -> DataFrame:
+    """Terms moved by contract group, with a flag on one row of each term key."""
+    key, record = ["chave_grupo_contrato"], ("chave_termo_aditivo", "hash_conteudo_termo")
+    moved = keyed_again(lighter(terms, *record).repartition(*key), *record, *_ahead_of_term_hash())
+    term = F.col("chave_termo_aditivo")
+    return ranking.together(moved, key, {"_term": term}, moved=True).withColumn("_term", F.col("_term") & term.isNotNull())
+
+
 def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = None) -> DataFrame:
     filled = {c: F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in counts}
     filled |= {c: F.coalesce(F.col(c), F.lit(0.0)) for c in amounts or []}
     return df.withColumns(filled)
 
 
-def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -> DataFrame:
-    """GLD-CT-02: one row per contract group from three pre-aggregated sides."""
+def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame, by_group: bool = False) -> DataFrame:
+    """GLD-CT-02: one row per contract group from three pre-aggregated sides; the rows of each move once.
+
+    ``by_group`` says that the records of a group are in one partition already.
+    """
     key = ["chave_grupo_contrato"]
-    groups = ranking.summarize_apart(
-        contracts,
+    contractor = F.col("codigo_contratado")
+    groups = ranking.summarize(
+        ranking.together(contracts, key, {"_contractor": contractor}, moved=by_group),
         key,
         {
             **_group_facts(),
@@ -275,8 +297,8 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "ultimo_fim_vigencia": F.max("data_fim_vigencia"),
             "possui_contrato_sigiloso": agg.any_true("contrato_sigiloso"),
             "periodo_origem": F.max("periodo_origem"),
+            "quantidade_contratados_grupo": agg.count_where(F.col("_contractor") & contractor.isNotNull()),
         },
-        {"quantidade_contratados_grupo": agg.n_present("codigo_contratado").cast("bigint")},
     ).withColumns(
         {
             "grupo_com_multiplos_registros": F.col("quantidade_registros_atuais") > 1,
@@ -309,12 +331,7 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame) -
             "quantidade_itens_sigilosos": F.sum("_secret"),
         },
     )
-    term = F.col("chave_termo_aditivo")
-    term_side = ranking.summarize(
-        ranking.together(terms, key, {"_term": term}),
-        key,
-        {"quantidade_termos_aditivos": agg.count_where(F.col("_term") & term.isNotNull()), **_term_counts()},
-    )
+    term_side = ranking.summarize(_terms_together(terms), key, {"quantidade_termos_aditivos": agg.count_where("_term"), **_term_counts()})
     both = groups.join(item_side, key, "left").join(term_side, key, "left")
     filled = _zero_filled(
         both,

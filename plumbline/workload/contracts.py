@@ -216,7 +216,8 @@ _TERMS = f"""{cnt("termo_prorrogacao")} AS quantidade_prorrogacoes, {cnt("termo_
   FROM g LEFT JOIN gi USING (chave_grupo_contrato) LEFT JOIN gt USING (chave_grupo_contrato)""",
 )
 def contract_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return recipe.contract_summary(current(spark, sf), recipe.current_items(items(spark, sf), by_group=True), terms(spark, sf))
+    found = recipe.current_contracts(contracts(spark, sf), by_group=True)
+    return recipe.contract_summary(found, recipe.current_items(items(spark, sf), by_group=True), terms(spark, sf), by_group=True)
 
 
 _AMOUNTS = f"""{tot("valor_inicial_compra")} AS valor_inicial_total, {tot("valor_final_compra")} AS valor_final_total,

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.operators import dedup, ranking
+from plumbline.plans import contracts
 from plumbline.plans import deputy_expenses as expenses
 from plumbline.plans import grants as agreements
 from plumbline.sources import documents
@@ -185,3 +186,61 @@ def test_pages_are_files_of_one_folder(spark, sf, monkeypatch):
     orders = spark.read.parquet(f"{sf}/orders.parquet")
     assert len(pages) == orders.select(F.floor(F.col("o_orderkey") / 500)).distinct().count() > 1
     assert max(map(len, pages)) <= 500 and sum(map(len, pages)) == orders.count() == found
+
+
+def test_records_items_and_terms_of_a_contract_move_once_with_the_bytes_of_a_hash(spark, sf, large):
+    found = catalog.QUERIES["gld_ct_02_contratos_atuais_resumo"](spark, sf)
+    assert moved(spark, found) == 3
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        lines = found._jdf.queryExecution().executedPlan().toString().split("\n")
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert sum("unhex(" in line for line in lines) == 3
+    assert not any(key in line for line in below for key in ("chave_registro_contrato", "chave_item_contrato", "chave_termo_aditivo", "chave_logica_item"))
+
+
+def contract_rows(spark):
+    """Two periods, equal records, items and terms, null numbers, codes, contractors and amounts."""
+    # Number, unit, period, contractor, amount.
+    records = [("1", "u", "202501", "a", 1.0), ("1", "u", "202502", "a", 2.0), ("1", "u", "202502", "b", 2.0), ("1", "u", "202502", "b", 2.0),
+               ("2", "u", "202501", None, None), (None, "u", "202501", "c", 3.0), (None, "u", "202502", "a", 4.0), (None, None, "202501", None, -1.0)]
+    # Number, unit, period, code, amount.
+    lines = [("1", "u", "202501", "5", 1.0), ("1", "u", "202502", "5", 2.0), ("1", "u", "202502", "5", 2.0), ("1", "u", "202501", "0", 7.0), ("1", "u", "202502", "0", 7.0),
+             ("1", "u", "202502", None, 9.0), (None, "u", "202501", "7", 3.0), (None, None, "202501", "7", None), ("9", "u", "202501", "7", 1.0)]
+    # Number, unit, number of the term, object.
+    amended = [("1", "u", "1", "Prorroga"), ("1", "u", "1", "Prorroga"), ("1", "u", None, "Reajuste"), (None, "u", "SEM_TERMO", None), (None, None, None, None), ("9", "u", "1", None)]
+    named = {
+        "codigo_orgao_superior": "'s'", "nome_orgao_superior": "'S'", "codigo_orgao": "'o'", "nome_orgao": "'O'", "nome_ug": "upper(codigo_ug)",
+        "objeto": "concat('x', codigo_contratado)", "modalidade_compra": "codigo_contratado", "situacao_contrato": "'y'", "nome_contratado": "upper(codigo_contratado)",
+        "data_assinatura_contrato": "DATE'2025-01-01'", "data_inicio_vigencia": "CAST(NULL AS DATE)", "data_fim_vigencia": "DATE'2025-12-31'", "valor_inicial_compra": "1D",
+    }
+    history = spark.createDataFrame(records, "numero_contrato string, codigo_ug string, periodo_origem string, codigo_contratado string, valor_final_compra double").repartition(3)
+    items = spark.createDataFrame(lines, "numero_contrato string, codigo_ug string, periodo_origem string, codigo_item_compra string, valor_item double").repartition(3)
+    terms = spark.createDataFrame(amended, "numero_contrato string, codigo_ug string, numero_termo_aditivo string, objeto string").repartition(3)
+    items = items.selectExpr("*", "'d' AS descricao_item_compra", "'sigiloso' AS descricao_complementar_item_compra", "2D AS quantidade_item")
+    terms = terms.withColumn("data_publicacao", F.lit("2025-03-04").cast("date"))
+    return contracts.derive_contracts(history.selectExpr("*", *[f"{e} AS {n}" for n, e in named.items()])), contracts.derive_items(items), contracts.derive_terms(terms)
+
+
+def test_current_records_by_group_are_the_current_records(spark):
+    history, _, _ = contract_rows(spark)
+    apart, close = contracts.current_contracts(history), contracts.current_contracts(history, by_group=True)
+    assert close.columns == apart.columns and close.schema == apart.schema
+    assert sorted(map(str, close.collect())) == sorted(map(str, apart.collect())) and close.count() == 6
+
+
+def test_summary_of_moved_groups(spark):
+    history, items, terms = contract_rows(spark)
+    close = contracts.contract_summary(contracts.current_contracts(history, by_group=True), contracts.current_items(items, by_group=True), terms, by_group=True)
+    apart = contracts.contract_summary(contracts.current_contracts(history), contracts.current_items(items), terms)
+    assert close.schema == apart.schema and sorted(map(str, close.collect())) == sorted(map(str, apart.collect()))
+    found = {r.chave_grupo_contrato: r for r in close.collect()}
+    counts = {
+        g: (r.quantidade_registros_atuais, r.quantidade_contratados_grupo, r.quantidade_itens, r.quantidade_itens_codigo_zero, r.valor_total_itens_identificados, r.quantidade_termos_aditivos)
+        for g, r in found.items()
+    }
+    assert counts == {"u|1": (3, 2, 2, 1, 8.0, 2), "u|2": (1, 0, 0, 0, 0.0, 0), "u|SEM_CONTRATO": (1, 1, 1, 0, 6.0, 1), "SEM_UG|SEM_CONTRATO": (1, 0, 1, 0, 0.0, 1)}
+    records = history.where("chave_grupo_contrato = 'u|1' AND periodo_origem = '202502'")
+    assert found["u|1"].chave_registro_representativo == records.agg(F.min("chave_registro_contrato")).first()[0]
