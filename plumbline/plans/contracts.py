@@ -259,12 +259,16 @@ def _term_counts() -> dict[str, Column]:
     }
 
 
+def _term_keys_as_bytes(terms: DataFrame, *moved_by: str) -> DataFrame:
+    record = "chave_termo_aditivo", "hash_conteudo_termo"
+    light = lighter(terms, *record)
+    return keyed_again(light.repartition(*moved_by) if moved_by else light, *record, *_ahead_of_term_hash())
+
+
 def _terms_together(terms: DataFrame) -> DataFrame:
     """Terms moved by contract group, with a flag on one row of each term key."""
-    key, record = ["chave_grupo_contrato"], ("chave_termo_aditivo", "hash_conteudo_termo")
-    moved = keyed_again(lighter(terms, *record).repartition(*key), *record, *_ahead_of_term_hash())
-    term = F.col("chave_termo_aditivo")
-    return ranking.together(moved, key, {"_term": term}, moved=True).withColumn("_term", F.col("_term") & term.isNotNull())
+    key, term = ["chave_grupo_contrato"], F.col("chave_termo_aditivo")
+    return ranking.together(_term_keys_as_bytes(terms, *key), key, {"_term": term}, moved=True).withColumn("_term", F.col("_term") & term.isNotNull())
 
 
 def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = None) -> DataFrame:
@@ -408,10 +412,10 @@ def terms_per_contract(contracts: DataFrame, terms: DataFrame) -> DataFrame:
     """GLD-CT-06."""
     key = ["chave_grupo_contrato"]
     term_side = ranking.summarize(
-        terms,
+        _terms_together(terms),
         key,
         {
-            "quantidade_termos": agg.n_present("chave_termo_aditivo"),
+            "quantidade_termos": agg.count_where("_term"),
             "primeira_publicacao_termo": F.min("data_publicacao"),
             "ultima_publicacao_termo": F.max("data_publicacao"),
             **_term_counts(),
@@ -440,9 +444,12 @@ def agency_contractor(contracts: DataFrame) -> DataFrame:
     )
 
 
-def gold(silver_tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def gold(silver_tables: dict[str, DataFrame], stored: bool = True) -> dict[str, DataFrame]:
+    """The marts. ``stored=False`` is for readers of their rows and totals: current items, of which each reader needs a few columns, aren't stored
+    and have keys of bytes."""
     contracts, terms = silver_tables["contratos_atuais"], silver_tables["termos_aditivos"]
-    items = materialize(current_items(silver_tables["itens_contrato"]))
+    items = silver_tables["itens_contrato"]
+    items = materialize(current_items(items)) if stored else current_items(items, by_group=True)
     return {
         "contratos_atuais_detalhe": contracts,
         "itens_contrato_atuais": items,
@@ -643,7 +650,10 @@ def availability(apostilles: DataFrame) -> DataFrame:
 
 
 def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, DataFrame]) -> DataFrame:
-    """REC-02: 15 checks, the snapshot recomputed from Silver; like is compared with like."""
+    """REC-02: 15 checks, the snapshot recomputed from Silver; like is compared with like.
+
+    Sides that move items or terms are computed one after the other: what one has moved is deleted before the next begins.
+    """
     contracts, terms = silver_tables["contratos_atuais"], silver_tables["termos_aditivos"]
     known = F.col("codigo_contratado").isNotNull()
     items = silver_tables["itens_contrato"]
@@ -657,20 +667,7 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
     term_gold = gold_tables["termos_por_contrato"]
 
     group_count = agg.n_unique("chave_grupo_contrato")
-    sides = [
-        reconcile.side(
-            contracts,
-            {
-                "contratos_fisicos": agg.rows(),
-                "grupos_contrato": group_count,
-                "valor_inicial_contratos": agg.total("valor_inicial_compra"),
-                "valor_final_contratos": agg.total("valor_final_compra"),
-                "variacao_valor_contratos": agg.total("variacao_valor_contrato"),
-                "grupos_termos": group_count,
-            },
-            "silver",
-        ),
-        reconcile.side(gold_tables["contratos_atuais_detalhe"], {"contratos_fisicos": agg.rows()}, "gold"),
+    large = [
         reconcile.sides(
             summary,
             {
@@ -694,11 +691,6 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
             },
             "silver",
         ),
-        reconcile.side(
-            zero,
-            {"itens_codigo_zero": agg.rows(), "valor_itens_codigo_zero": agg.total("valor_total_item_calculado")},
-            "silver",
-        ),
         reconcile.side(
             current,
             {
@@ -707,10 +699,31 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
             },
             "gold",
         ),
-        reconcile.side(terms, {"termos_aditivos": agg.n_unique("chave_termo_aditivo")}, "silver"),
+        reconcile.side(_term_keys_as_bytes(terms), {"termos_aditivos": agg.n_unique("chave_termo_aditivo")}, "silver"),
         reconcile.side(
             term_gold, {"termos_aditivos": agg.whole_total("quantidade_termos"), "grupos_termos": agg.rows()}, "gold"
         ),
+    ]
+    sides = [
+        *map(materialize, large),
+        reconcile.side(
+            contracts,
+            {
+                "contratos_fisicos": agg.rows(),
+                "grupos_contrato": group_count,
+                "valor_inicial_contratos": agg.total("valor_inicial_compra"),
+                "valor_final_contratos": agg.total("valor_final_compra"),
+                "variacao_valor_contratos": agg.total("variacao_valor_contrato"),
+                "grupos_termos": group_count,
+            },
+            "silver",
+        ),
+        reconcile.side(gold_tables["contratos_atuais_detalhe"], {"contratos_fisicos": agg.rows()}, "gold"),
+        reconcile.side(
+            zero,
+            {"itens_codigo_zero": agg.rows(), "valor_itens_codigo_zero": agg.total("valor_total_item_calculado")},
+            "silver",
+        ),
         reconcile.side(
             reconcile.distinct_rows(contracts.where(known), ["codigo_contratado", "nome_contratado"]),
             {"contratados_ranking": agg.rows()},

@@ -467,16 +467,22 @@ _TIES = {
 def reconcile_contracts(spark: SparkSession, sf: str) -> DataFrame:
     """Items and terms exist for groups without a contract record too; those are left out, as in a clean source.
 
-    Stored are the columns that the marts and their checks read.
+    Stored are the columns that keys, marts and checks are made of. Hashes, of which a row's takes more room than the rest of it, are made when
+    they are read.
     """
-    found = silver_tables(spark, sf)
     key = "chave_grupo_contrato"
-    current = materialize(found["contratos_atuais"].drop("hash_conteudo_contrato", "fundamento_legal", "arquivo_origem", "ano_origem", "mes_origem"))
+    unread = ["arquivo_origem", "ano_origem", "mes_origem", "nome_ug_licitacao", "modalidade_compra_licitacao"]
+    history = staged(spark, sf, STAGE_CONTRACTS).drop(*unread).withColumn(key, recipe.group_key())
+    current = materialize(recipe.current_contracts(history, by_group=True))
     groups = current.select(key).distinct()
-    read = {
-        "itens_contrato": [key, "codigo_item_compra", "chave_item_contrato", "item_codigo_zero", "item_sigiloso", "valor_total_item_calculado", "periodo_origem"],
-        "termos_aditivos": [key, "chave_termo_aditivo", "data_publicacao", "termo_prorrogacao", "termo_reajuste", "termo_alteracao_quantitativa"],
-    }
-    tables = {name: materialize(found[name].select(*columns).join(groups, key, "left_semi")) for name, columns in read.items()}
-    tables["contratos_atuais"] = current
-    return recipe.reconciliation(tables, recipe.gold(tables)).select("check", "silver_value", "approved")
+
+    def of_groups(stage: str, columns: list[str]) -> DataFrame:
+        typed = staged(spark, sf, stage).select("numero_contrato", "codigo_ug", *columns).withColumn(key, recipe.group_key())
+        return materialize(typed.join(groups, key, "left_semi").drop(key))
+
+    tables = {
+        "contratos_atuais": recipe.derive_contracts(current),
+        "itens_contrato": recipe.derive_items(of_groups(STAGE_ITEMS, [*recipe.HASHED_ITEM, "periodo_origem"])),
+        "termos_aditivos": recipe.derive_terms(of_groups(STAGE_TERMS, recipe.HASHED_TERM)),
+    }
+    return recipe.reconciliation(tables, recipe.gold(tables, stored=False)).select("check", "silver_value", "approved")

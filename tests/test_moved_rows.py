@@ -244,3 +244,30 @@ def test_summary_of_moved_groups(spark):
     assert counts == {"u|1": (3, 2, 2, 1, 8.0, 2), "u|2": (1, 0, 0, 0, 0.0, 0), "u|SEM_CONTRATO": (1, 1, 1, 0, 6.0, 1), "SEM_UG|SEM_CONTRATO": (1, 0, 1, 0, 0.0, 1)}
     records = history.where("chave_grupo_contrato = 'u|1' AND periodo_origem = '202502'")
     assert found["u|1"].chave_registro_representativo == records.agg(F.min("chave_registro_contrato")).first()[0]
+
+
+def test_terms_of_a_contract_are_counted_where_they_are(spark, large):
+    history, _, terms = contract_rows(spark)
+    found = contracts.terms_per_contract(contracts.current_contracts(history, by_group=True), terms)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # Records and terms, one exchange each.
+    assert plan.count("Exchange hashpartitioning") == 2
+    counts = {r.chave_grupo_contrato: (r.quantidade_termos, r.quantidade_prorrogacoes, r.primeira_publicacao_termo is not None) for r in found.collect()}
+    assert counts == {"u|1": (2, 2, True), "u|2": (0, 0, False), "u|SEM_CONTRATO": (1, 0, True), "SEM_UG|SEM_CONTRATO": (1, 0, True)}
+
+
+def test_contract_reconciliation_is_the_same_without_stored_items(spark, monkeypatch):
+    """Sides of items and terms are computed one after the other; only their values are kept."""
+    history, items, terms = contract_rows(spark)
+    current = contracts.current_contracts(history)
+    tables = {"contratos_atuais": current, "itens_contrato": items.join(current.select("chave_grupo_contrato").distinct(), "chave_grupo_contrato", "left_semi"),
+              "termos_aditivos": terms.join(current.select("chave_grupo_contrato").distinct(), "chave_grupo_contrato", "left_semi")}
+    asked = contracts.reconciliation(tables, contracts.gold(tables)).collect()
+    frames, store = [], contracts.materialize
+    monkeypatch.setattr(contracts, "materialize", lambda df: frames.append(df.columns) or store(df))
+    found = contracts.reconciliation(tables, contracts.gold(tables, stored=False)).collect()
+    assert frames == [["check", "_side", "_value"]] * 5
+    assert sorted(map(str, found)) == sorted(map(str, asked)) and len(found) == 15 and all(r.approved for r in found)
+    assert {r.check: r.silver_value for r in found if r.check in ("termos_aditivos", "itens_identificados_atuais", "itens_codigo_zero")} == {
+        "termos_aditivos": 4.0, "itens_identificados_atuais": 4.0, "itens_codigo_zero": 2.0,
+    }

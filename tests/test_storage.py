@@ -93,3 +93,10 @@ def test_dimensions_of_keys_rank_nothing(spark, sf, monkeypatch, name):
 
     monkeypatch.setattr(amendments_plan.ranking, "_ranks", unasked)
     assert catalog.QUERIES[name](spark, sf).count() > 0
+
+
+def test_contract_reconciliation_stores_no_keys_of_items_terms_and_records(spark, sf, kept):
+    """A hash is most of such a key, and its text doesn't compress; keys are made when they are read."""
+    catalog.QUERIES["rec_02_contracts"](spark, sf)
+    assert len(kept) == 3
+    assert not any(c in ("chave_registro_contrato", "chave_item_contrato", "chave_termo_aditivo") for columns in kept for c in columns)
