@@ -259,16 +259,18 @@ def _term_counts() -> dict[str, Column]:
     }
 
 
-def _term_keys_as_bytes(terms: DataFrame, *moved_by: str) -> DataFrame:
+def term_keys_as_bytes(terms: DataFrame, *moved_by: str) -> DataFrame:
+    """Terms with their keys made anew of their hashes, as bytes, after the terms were moved if asked."""
     record = "chave_termo_aditivo", "hash_conteudo_termo"
     light = lighter(terms, *record)
     return keyed_again(light.repartition(*moved_by) if moved_by else light, *record, *_ahead_of_term_hash())
 
 
-def _terms_together(terms: DataFrame) -> DataFrame:
-    """Terms moved by contract group, with a flag on one row of each term key."""
+def _terms_together(terms: DataFrame, anew: bool = False) -> DataFrame:
+    """Terms moved by contract group, with a flag on one row of each term key, which is taken as it is or made anew."""
     key, term = ["chave_grupo_contrato"], F.col("chave_termo_aditivo")
-    return ranking.together(_term_keys_as_bytes(terms, *key), key, {"_term": term}, moved=True).withColumn("_term", F.col("_term") & term.isNotNull())
+    rows = term_keys_as_bytes(terms, *key) if anew else terms
+    return ranking.together(rows, key, {"_term": term}, moved=anew).withColumn("_term", F.col("_term") & term.isNotNull())
 
 
 def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = None) -> DataFrame:
@@ -280,7 +282,8 @@ def _zero_filled(df: DataFrame, counts: list[str], amounts: list[str] | None = N
 def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame, by_group: bool = False) -> DataFrame:
     """GLD-CT-02: one row per contract group from three pre-aggregated sides; the rows of each move once.
 
-    ``by_group`` says that the records of a group are in one partition already.
+    ``by_group`` says that the records of a group are in one partition already and that terms are those of ``derive_terms``, whose keys can be
+    made anew where the rows are.
     """
     key = ["chave_grupo_contrato"]
     contractor = F.col("codigo_contratado")
@@ -335,7 +338,7 @@ def contract_summary(contracts: DataFrame, items: DataFrame, terms: DataFrame, b
             "quantidade_itens_sigilosos": F.sum("_secret"),
         },
     )
-    term_side = ranking.summarize(_terms_together(terms), key, {"quantidade_termos_aditivos": agg.count_where("_term"), **_term_counts()})
+    term_side = ranking.summarize(_terms_together(terms, by_group), key, {"quantidade_termos_aditivos": agg.count_where("_term"), **_term_counts()})
     both = groups.join(item_side, key, "left").join(term_side, key, "left")
     filled = _zero_filled(
         both,
@@ -699,7 +702,7 @@ def reconciliation(silver_tables: dict[str, DataFrame], gold_tables: dict[str, D
             },
             "gold",
         ),
-        reconcile.side(_term_keys_as_bytes(terms), {"termos_aditivos": agg.n_unique("chave_termo_aditivo")}, "silver"),
+        reconcile.side(terms, {"termos_aditivos": agg.n_unique("chave_termo_aditivo")}, "silver"),
         reconcile.side(
             term_gold, {"termos_aditivos": agg.whole_total("quantidade_termos"), "grupos_termos": agg.rows()}, "gold"
         ),

@@ -483,6 +483,6 @@ def reconcile_contracts(spark: SparkSession, sf: str) -> DataFrame:
     tables = {
         "contratos_atuais": recipe.derive_contracts(current),
         "itens_contrato": recipe.derive_items(of_groups(STAGE_ITEMS, [*recipe.HASHED_ITEM, "periodo_origem"])),
-        "termos_aditivos": recipe.derive_terms(of_groups(STAGE_TERMS, recipe.HASHED_TERM)),
+        "termos_aditivos": recipe.term_keys_as_bytes(recipe.derive_terms(of_groups(STAGE_TERMS, recipe.HASHED_TERM))),
     }
     return recipe.reconciliation(tables, recipe.gold(tables, stored=False)).select("check", "silver_value", "approved")

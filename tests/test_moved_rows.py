@@ -271,3 +271,14 @@ def test_contract_reconciliation_is_the_same_without_stored_items(spark, monkeyp
     assert {r.check: r.silver_value for r in found if r.check in ("termos_aditivos", "itens_identificados_atuais", "itens_codigo_zero")} == {
         "termos_aditivos": 4.0, "itens_identificados_atuais": 4.0, "itens_codigo_zero": 2.0,
     }
+
+
+def test_marts_of_stored_terms_count_the_keys_that_are_there(spark):
+    """A stored key may differ from its parts; it is made anew only of terms that were just derived."""
+    history, items, terms = contract_rows(spark)
+    current = contracts.current_contracts(history)
+    broken = terms.withColumn("chave_termo_aditivo", F.when(F.col("numero_termo_aditivo").isNotNull(), F.lit("k")))
+    summary = contracts.contract_summary(current, contracts.current_items(items), broken)
+    counts = {"u|1": 1, "u|2": 0, "u|SEM_CONTRATO": 1, "SEM_UG|SEM_CONTRATO": 0}
+    assert {r.chave_grupo_contrato: r.quantidade_termos_aditivos for r in summary.collect()} == counts
+    assert {r.chave_grupo_contrato: r.quantidade_termos for r in contracts.terms_per_contract(current, broken).collect()} == counts
